@@ -135,7 +135,8 @@ def parse_timestamp(text: Column) -> Column:
     """ISO date-time with a zone, or without one as UTC; anything else is null."""
     zoned = F.when(text.rlike(rf"^{_LOCAL}(Z|[+-]\d{{2}}:\d{{2}})$"), text)
     local = F.when(text.rlike(rf"^{_LOCAL}$"), F.concat(text, F.lit("Z")))
-    return F.try_to_timestamp(F.coalesce(zoned, local))
+    with_seconds = F.regexp_replace(F.coalesce(zoned, local), r"^(.{10}T\d{2}:\d{2})(Z|[+-])", "$1:00$2")
+    return F.try_to_timestamp(with_seconds)
 
 
 def parse_date(text: Column) -> Column:
@@ -145,4 +146,12 @@ def parse_date(text: Column) -> Column:
 
 
 def json_is_valid(text: str | Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
+    """True when the text is one JSON value and nothing else.
+
+    The parser stops after the first value, so the text is read inside a list and inside an object:
+    left-over characters break at least one of them.
+    """
+    value = F.col(text) if isinstance(text, str) else text
+    items = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), value, F.lit("]"))), "$", "array<variant>")
+    fields = F.try_parse_json(F.concat(F.lit('{"a":'), value, F.lit("}")))
+    return F.coalesce((F.size(items) == 1) & fields.isNotNull(), F.lit(False))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,63 +76,93 @@ _INTEGERS = {
 }
 
 
-def json_value(value: Column, data_type: T.DataType, text: Column | None = None) -> tuple[Column, Column]:
-    """A variant as ``data_type``, and whether it has the wrong shape.
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-    Numbers accept JSON numbers and numeric text, booleans accept true, false and text, text accepts
-    anything as JSON. Empty text is null for numbers and booleans.
-    """
-    kind = F.schema_of_variant(value)
-    text = F.try_variant_get(value, "$", "string") if text is None else text
-    is_null = value.isNull() | (kind == "VOID")
+
+def _result(value: Column, bad: Column) -> Column:
+    return F.struct(value.alias("value"), F.coalesce(bad, F.lit(False)).alias("bad"))
+
+
+def _scalar(kind: Column, text: Column, data_type: T.DataType) -> Column:
+    """A JSON scalar, given its kind and its text, as ``data_type``, and whether it has the wrong shape."""
+    is_null = _is_null(kind)
     is_text, is_number = kind == "STRING", _is_number(kind)
 
-    def checked(found: Column, accepted: Column, empty_is_null: bool = True) -> tuple[Column, Column]:
-        empty = is_text & (text == "") if empty_is_null else F.lit(False)
-        good = F.when(~is_null & ~empty & accepted, found)
-        return good, F.coalesce(~is_null & ~empty & good.isNull(), F.lit(False))
+    def checked(found: Column, accepted: Column, empty_is_null: bool = True) -> Column:
+        skipped = is_null | (is_text & (text == "")) if empty_is_null else is_null
+        good = F.when(~skipped & accepted, found)
+        return _result(good, ~skipped & good.isNull())
 
+    if isinstance(data_type, T.NullType):
+        return _result(F.lit(None), F.lit(False))
+    if isinstance(data_type, T.StringType):
+        return _result(F.when(~is_null, text), F.lit(False))
     if isinstance(data_type, T.BooleanType):
-        found = F.when(kind == "BOOLEAN", text == "true").when(is_text, F.lower(text) == "true")
-        return checked(found, (kind == "BOOLEAN") | is_text)
+        is_flag = kind == "BOOLEAN"
+        return checked(F.lower(text) == "true", is_flag | is_text)
     if type(data_type) in _INTEGERS:
         low, high = _INTEGERS[type(data_type)]
         exact = text.try_cast("decimal(38,10)")
         whole = is_number & (exact == F.floor(exact)) & exact.between(F.lit(low), F.lit(high))
         digits = is_text & text.rlike(r"^[+-]?[0-9]+$")
-        found = F.when(is_number, exact.try_cast(data_type)).otherwise(text.try_cast(data_type))
-        return checked(found, whole | digits)
+        return checked(F.when(is_number, exact.try_cast(data_type)).otherwise(text.try_cast(data_type)), whole | digits)
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
         return checked(F.trim(text).try_cast(data_type), is_number | is_text)
     if isinstance(data_type, T.DecimalType):
         return checked(text.try_cast(data_type), is_number | is_text, empty_is_null=False)
-    if isinstance(data_type, T.StringType):
-        return F.when(~is_null, F.when(is_text, text).otherwise(text)), F.lit(False)
     if isinstance(data_type, T.BinaryType):
         return checked(F.try_to_binary(text, F.lit("base64")), is_text, empty_is_null=False)
+    raise PlantError(f"Unsupported type for reading RAW: {data_type.typeName()}.")
+
+
+def json_value(value: Column, data_type: T.DataType) -> Column:
+    """A variant as ``struct<value, bad>``: the value as ``data_type``, and whether it has the wrong shape.
+
+    Numbers accept JSON numbers and numeric text, booleans accept true, false and text, text accepts
+    anything as JSON. Empty text is null for numbers and booleans.
+    """
+
+    def nested(is_kind: Column, is_null: Column, made: Column, inner: Column) -> Column:
+        return _result(F.when(is_kind, made), ~is_null & (~is_kind | inner))
+
     if isinstance(data_type, T.StructType):
-        fields = {f.name: json_value(_field(value, f.name), f.dataType) for f in data_type.fields}
-        made = F.struct(*[v.alias(n) for n, (v, _) in fields.items()])
-        is_object = kind.startswith("OBJECT")
-        inner = F.lit(False)
-        for _, bad in fields.values():
-            inner = inner | bad
-        return F.when(is_object, made), ~is_null & (~is_object | inner)
+
+        def as_struct(x: Column) -> Column:
+            made = F.struct(*[x["parts"].getField(f.name)["value"].alias(f.name) for f in data_type.fields])
+            inner = reduce(Column.__or__, [x["parts"].getField(f.name)["bad"] for f in data_type.fields], F.lit(False))
+            return nested(x["kind"].startswith("OBJECT"), _is_null(x["kind"]), made, inner)
+
+        parts = F.struct(*[json_value(_field(value, f.name), f.dataType).alias(f.name) for f in data_type.fields])
+        return _bind(F.struct(F.schema_of_variant(value).alias("kind"), parts.alias("parts")), as_struct)
     if isinstance(data_type, T.ArrayType):
+
+        def as_array(x: Column) -> Column:
+            made = F.transform(x["parts"], lambda p: p["value"])
+            inner = F.exists(x["parts"], lambda p: p["bad"])
+            return nested(x["kind"].startswith("ARRAY"), _is_null(x["kind"]), made, inner)
+
         items = F.try_variant_get(value, "$", "array<variant>")
-        is_array = kind.startswith("ARRAY")
-        made = F.transform(items, lambda x: json_value(x, data_type.elementType)[0])
-        inner = F.exists(items, lambda x: json_value(x, data_type.elementType)[1])
-        return F.when(is_array, made), F.coalesce(~is_null & (~is_array | inner), F.lit(False))
+        parts = F.transform(items, lambda i: json_value(i, data_type.elementType))
+        return _bind(F.struct(F.schema_of_variant(value).alias("kind"), parts.alias("parts")), as_array)
     if isinstance(data_type, T.MapType):
+
+        def as_map(x: Column) -> Column:
+            made = F.transform_values(x["parts"], lambda _, p: p["value"])
+            inner = F.exists(F.map_values(x["parts"]), lambda p: p["bad"])
+            return nested(x["kind"].startswith("OBJECT"), _is_null(x["kind"]), made, inner)
+
         items = F.try_variant_get(value, "$", "map<string,variant>")
-        is_object = kind.startswith("OBJECT")
-        made = F.transform_values(items, lambda _, x: json_value(x, data_type.valueType)[0])
-        inner = F.exists(F.map_values(items), lambda x: json_value(x, data_type.valueType)[1])
-        return F.when(is_object, made), F.coalesce(~is_null & (~is_object | inner), F.lit(False))
-    if isinstance(data_type, T.NullType):
-        return F.lit(None), F.lit(False)
-    raise PlantError(f"Unsupported type for reading RAW: {data_type.typeName()}.")
+        parts = F.transform_values(items, lambda _, i: json_value(i, data_type.valueType))
+        return _bind(F.struct(F.schema_of_variant(value).alias("kind"), parts.alias("parts")), as_map)
+    text = F.try_variant_get(value, "$", "string")
+    known = F.struct(F.schema_of_variant(value).alias("kind"), text.alias("text"))
+    return _bind(known, lambda x: _scalar(x["kind"], x["text"], data_type))
+
+
+def _is_null(kind: Column) -> Column:
+    return kind.isNull() | (kind == "VOID")
 
 
 def _field(value: Column, name: str) -> Column:
@@ -139,39 +170,63 @@ def _field(value: Column, name: str) -> Column:
     return F.try_variant_get(value, f"$['{quoted}']", "variant")
 
 
+def _is_nested(data_type: T.DataType) -> bool:
+    return isinstance(data_type, (T.StructType, T.ArrayType, T.MapType))
+
+
 def read_json_table(
     df: DataFrame, schema: T.StructType, on_error: str = "column", column: str = "columns"
 ) -> DataFrame:
     """Typed rows of a JSON table: key, lastUpdatedTime, then one column per field of ``schema``.
 
     Rows with a value of the wrong shape keep the good values and list the bad ones in ``_errors``,
-    or fail the job with ``on_error='raise'``.
+    or fail the job with ``on_error='raise'``. Each step is a projection of its own, so that a parsed
+    value is computed once however often it is used.
     """
     if on_error not in ("column", "raise"):
         raise PlantError("on_error must be column or raise")
+    fields = list(enumerate(schema.fields))
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     parsed = df.select(
         "key", "lastUpdatedTime", F.parse_json(column).alias("_v"), F.from_json(column, as_text).alias("_t")
     )
-    values, problems = [], []
-    for field in schema.fields:
-        value, bad = json_value(_field(F.col("_v"), field.name), field.dataType, F.col("_t").getField(field.name))
-        values.append(value.cast(field.dataType).alias(to_column_name(field.name)))
-        problems.append(
-            F.when(
-                bad,
-                F.concat(F.lit("Error while loading RAW row [key='"), "key", F.lit(f"'] in column '{field.name}'")),
-            )
-        )
-    errors = F.array_compact(F.array(*problems)) if problems else F.array().cast("array<string>")
-    typed = parsed.select("key", "lastUpdatedTime", *values, errors.alias("_errors"))
-    if on_error == "column":
-        return typed
-    names = [c for c in typed.columns if c != "_errors"]
-    checked = typed.withColumn(
-        "key", F.when(F.size("_errors") == 0, F.col("key")).otherwise(F.raise_error(F.array_join("_errors", "; ")))
+    split = parsed.select(
+        "key",
+        "lastUpdatedTime",
+        *[_field(F.col("_v"), f.name).alias(f"_f{i}") for i, f in fields],
+        *[F.col("_t").getField(f.name).alias(f"_x{i}") for i, f in fields],
+    )
+    kinds = split.select(
+        "*", *[F.schema_of_variant(f"_f{i}").alias(f"_k{i}") for i, f in fields if not _is_nested(f.dataType)]
     )
-    return checked.select(*names)
+    judged = kinds.select(
+        "key",
+        "lastUpdatedTime",
+        *[
+            (
+                json_value(F.col(f"_f{i}"), f.dataType)
+                if _is_nested(f.dataType)
+                else _scalar(F.col(f"_k{i}"), F.col(f"_x{i}"), f.dataType)
+            ).alias(f"_r{i}")
+            for i, f in fields
+        ],
+    )
+    def message(name: str) -> Column:
+        return F.concat(F.lit("Error while loading RAW row [key='"), "key", F.lit(f"'] in column '{name}'"))
+
+    def value(i: int, field: T.StructField) -> Column:
+        found = F.col(f"_r{i}.value").cast(field.dataType)
+        if on_error == "raise":
+            # Each column raises for itself, so a filter on one column does not drag the others along.
+            found = F.when(F.col(f"_r{i}.bad"), F.raise_error(message(field.name)).cast(field.dataType)).otherwise(found)
+        return found.alias(to_column_name(field.name))
+
+    columns = ["key", "lastUpdatedTime", *[value(i, f) for i, f in fields]]
+    if on_error == "column":
+        problems = [F.when(F.col(f"_r{i}.bad"), message(f.name)) for i, f in fields]
+        errors = F.array_compact(F.array(*problems)) if problems else F.array()
+        columns.append(errors.cast("array<string>").alias("_errors"))
+    return judged.select(*columns)
 
 
 def drop_null_fields(column: str = "columns") -> Column:
