@@ -124,6 +124,11 @@ def json_value(value: Column, data_type: T.DataType) -> Column:
     anything as JSON. Empty text is null for numbers and booleans.
     """
 
+    if _is_text(data_type):
+        # Text takes anything, so the shape is all there is to check.
+        found = F.try_variant_get(value, "$", data_type.simpleString())
+        return _bind(found, lambda x: _result(x, x.isNull() & ~_is_null(F.schema_of_variant(value))))
+
     def nested(is_kind: Column, is_null: Column, made: Column, inner: Column) -> Column:
         return _result(F.when(is_kind, made), ~is_null & (~is_kind | inner))
 
@@ -161,6 +166,15 @@ def json_value(value: Column, data_type: T.DataType) -> Column:
     return _bind(known, lambda x: _scalar(x["kind"], x["text"], data_type))
 
 
+def _is_text(data_type: T.DataType) -> bool:
+    """True for text, and for arrays and maps that hold nothing but text."""
+    if isinstance(data_type, T.ArrayType):
+        return _is_text(data_type.elementType)
+    if isinstance(data_type, T.MapType):
+        return _is_text(data_type.valueType)
+    return isinstance(data_type, T.StringType)
+
+
 def _is_null(kind: Column) -> Column:
     return kind.isNull() | (kind == "VOID")
 
@@ -186,31 +200,29 @@ def read_json_table(
     if on_error not in ("column", "raise"):
         raise PlantError("on_error must be column or raise")
     fields = list(enumerate(schema.fields))
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    parsed = df.select(
-        "key", "lastUpdatedTime", F.parse_json(column).alias("_v"), F.from_json(column, as_text).alias("_t")
+    wanted = T.StructType(
+        [T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.StringType) else T.VariantType()) for f in schema.fields]
     )
+    parsed = df.select("key", "lastUpdatedTime", F.from_json(column, wanted, {"mode": "FAILFAST"}).alias("_t"))
     split = parsed.select(
-        "key",
-        "lastUpdatedTime",
-        *[_field(F.col("_v"), f.name).alias(f"_f{i}") for i, f in fields],
-        *[F.col("_t").getField(f.name).alias(f"_x{i}") for i, f in fields],
+        "key", "lastUpdatedTime", *[F.col("_t").getField(f.name).alias(f"_f{i}") for i, f in fields]
     )
-    kinds = split.select(
-        "*", *[F.schema_of_variant(f"_f{i}").alias(f"_k{i}") for i, f in fields if not _is_nested(f.dataType)]
-    )
-    judged = kinds.select(
-        "key",
-        "lastUpdatedTime",
-        *[
-            (
-                json_value(F.col(f"_f{i}"), f.dataType)
-                if _is_nested(f.dataType)
-                else _scalar(F.col(f"_k{i}"), F.col(f"_x{i}"), f.dataType)
-            ).alias(f"_r{i}")
-            for i, f in fields
-        ],
+    scalars = [(i, f) for i, f in fields if not _is_nested(f.dataType) and not isinstance(f.dataType, T.StringType)]
+    known = split.select(
+        "*",
+        *[F.schema_of_variant(f"_f{i}").alias(f"_k{i}") for i, _ in scalars],
+        *[F.try_variant_get(f"_f{i}", "$", "string").alias(f"_x{i}") for i, _ in scalars],
     )
+
+    def result(i: int, field: T.StructField) -> Column:
+        if isinstance(field.dataType, T.StringType):
+            return _result(F.col(f"_f{i}"), F.lit(False))
+        if _is_nested(field.dataType):
+            return json_value(F.col(f"_f{i}"), field.dataType)
+        return _scalar(F.col(f"_k{i}"), F.col(f"_x{i}"), field.dataType)
+
+    judged = known.select("key", "lastUpdatedTime", *[result(i, f).alias(f"_r{i}") for i, f in fields])
+
     def message(name: str) -> Column:
         return F.concat(F.lit("Error while loading RAW row [key='"), "key", F.lit(f"'] in column '{name}'"))
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..errors import PlantError
 from ..functions.convert import json_is_valid, narrow_exact
+from ..session import cut_lineage
 from .skew import keep_greatest
 
 KEY = ["space", "externalId"]
@@ -374,10 +375,13 @@ def upsert_instances(
     same = F.lit(True)
     for name in [*names, *values]:
         same = same & merged[name].eqNullSafe(F.col(f"_old_{name}"))
-    resolved = new.join(old, KEY, "left").select(
-        *KEY,
-        *[v.alias(n) for n, v in merged.items()],
-        F.when(F.col("_known").isNull(), "created").when(same, "noop").otherwise("modified").alias("change"),
+    # Read for the instances, for the properties and for the changes, so it is written once.
+    resolved = cut_lineage(
+        new.join(old, KEY, "left").select(
+            *KEY,
+            *[v.alias(n) for n, v in merged.items()],
+            F.when(F.col("_known").isNull(), "created").when(same, "noop").otherwise("modified").alias("change"),
+        )
     )
     stamp = F.unix_millis(F.current_timestamp() if now is None else F.lit(now))
     return InstanceResult(

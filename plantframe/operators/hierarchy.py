@@ -15,19 +15,24 @@ from pyspark.sql import types as T
 
 from ..errors import PlantError
 from ..session import cut_lineage
-from .skew import lookup
+from .skew import keep_greatest, lookup
 
 COMPARED = ("description", "metadata", "name", "source", "dataSetId", "labels")
 CLEARABLE = ("description", "source", "dataSetId")
 
 
-def resolve_ancestors(df: DataFrame, key: str, parent: str, with_path: bool = False) -> DataFrame:
+def resolve_ancestors(
+    df: DataFrame, key: str, parent: str, with_path: bool = False, stored: bool = False
+) -> DataFrame:
     """For each node its top-most ancestor inside ``df``: columns key, root, depth, cyclic (and path).
 
     A node whose parent is missing from ``df`` is a root. Nodes on or below a cycle get ``cyclic``.
-    ``path`` lists the keys from the root down to the node. Keys must be unique.
+    ``path`` lists the keys from the root down to the node. Keys must be unique. ``stored`` says that
+    ``df`` is read from storage as it is, so that reading it twice is cheap.
     """
-    nodes = cut_lineage(df.select(F.col(key).alias("k"), F.col(parent).alias("p")))
+    nodes = df.select(F.col(key).alias("k"), F.col(parent).alias("p"))
+    if not stored:
+        nodes = cut_lineage(nodes)
     known = nodes.select(F.col("k").alias("p"), F.lit(True).alias("known"))
     linked = lookup(nodes, known, "p", "left", size=nodes.count())
     state = cut_lineage(
@@ -125,25 +130,42 @@ def delete_subtrees(assets: DataFrame, tops: DataFrame) -> DataFrame:
 
 def validate_hierarchy(source: DataFrame) -> DataFrame:
     """Rows that make an input tree invalid, as (externalId, error)."""
+    return _invalid(source, resolve_ancestors(_unique(source), "externalId", "parentExternalId", stored=True))
+
+
+def _unique(source: DataFrame) -> DataFrame:
+    """One row per non-empty key, with the number of rows it stands for."""
+    named = source.filter(F.col("externalId") != "")
+    return cut_lineage(
+        named.groupBy("externalId").agg(F.max("parentExternalId").alias("parentExternalId"), F.count(F.lit(1)).alias("n"))
+    )
+
+
+def _invalid(source: DataFrame, placed: DataFrame) -> DataFrame:
     empty = source.filter((F.col("externalId") == "") | F.col("externalId").isNull()).select(
         F.coalesce("externalId", F.lit("")).alias("externalId"),
         F.concat(F.lit("empty externalId for node with name: "), F.coalesce("name", F.lit("null"))).alias("error"),
     )
-    named = source.filter(F.col("externalId") != "")
-    counted = named.groupBy("externalId").agg(F.count(F.lit(1)).alias("n"), F.max("parentExternalId").alias("parentExternalId"))
-    repeated = counted.filter("n > 1").select(
-        "externalId", F.concat(F.lit("node occurs several times: "), "externalId").alias("error")
+    repeated = (
+        source.filter(F.col("externalId") != "")
+        .groupBy("externalId")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
+        .select("externalId", F.concat(F.lit("node occurs several times: "), "externalId").alias("error"))
     )
-    cyclic = resolve_ancestors(counted, "externalId", "parentExternalId").filter("cyclic")
-    cycles = cyclic.select("externalId", F.lit("node is on or below a cycle").alias("error"))
+    cycles = placed.filter("cyclic").select("externalId", F.lit("node is on or below a cycle").alias("error"))
     return empty.unionByName(repeated).unionByName(cycles)
 
 
 def hierarchy_roots(source: DataFrame) -> DataFrame:
     """``externalId, root, depth, rootParent``: top-most node of the input above each node, and its parent."""
-    placed = resolve_ancestors(source, "externalId", "parentExternalId").filter("not cyclic")
+    return _roots(source, resolve_ancestors(source, "externalId", "parentExternalId"))
+
+
+def _roots(source: DataFrame, placed: DataFrame) -> DataFrame:
     parents = source.select(F.col("externalId").alias("root"), F.col("parentExternalId").alias("rootParent"))
-    return lookup(placed, parents, "root").select("externalId", "root", "depth", "rootParent")
+    found = lookup(placed.filter("not cyclic"), parents, "root")
+    return found.select("externalId", "root", "depth", "rootParent")
 
 
 def _has_parent(column: str) -> Column:
@@ -184,10 +206,9 @@ def diff_hierarchy(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def missing_nodes(source_roots: DataFrame, target: DataFrame) -> DataFrame:
-    """Target nodes to delete: those below an ingested root that the input lacks, with their subtrees."""
+    """Target nodes to delete: all below an ingested root that the input lacks."""
     below = _descendants(target, source_roots.select(F.col("root").alias("externalId")))
-    gone = below.join(source_roots.select("externalId"), "externalId", "left_anti")
-    return _descendants(target, gone)
+    return below.join(source_roots.select("externalId"), "externalId", "left_anti")
 
 
 def root_changes(source_roots: DataFrame, target: DataFrame) -> DataFrame:
@@ -242,9 +263,11 @@ def reconcile_hierarchy(
     if subtrees not in ("ingest", "ignore", "error"):
         raise PlantError(f"subtrees must be ingest, ignore or error, not {subtrees}")
     source = cut_lineage(source)
-    invalid = validate_hierarchy(source)
-    unique = source.filter(F.col("externalId") != "").dropDuplicates(["externalId"])
-    roots = cut_lineage(hierarchy_roots(unique))
+    keys = _unique(source)
+    placed = resolve_ancestors(keys, "externalId", "parentExternalId", stored=True)
+    invalid = _invalid(source, placed)
+    unique = keep_greatest(source.filter(F.col("externalId") != ""), ["externalId"])
+    roots = cut_lineage(_roots(keys, placed))
     errors = invalid
     loose = roots.filter(_has_parent("rootParent"))
     if subtrees == "ignore":
@@ -267,7 +290,7 @@ def reconcile_hierarchy(
     errors = errors.unionByName(absent).unionByName(root_changes(roots, target).select("externalId", "error"))
     changes = diff_hierarchy(nodes, target)
     if delete_missing:
-        deleted = missing_nodes(roots, target).join(nodes, "externalId", "left_anti")
+        deleted = missing_nodes(roots, target)
         changes = changes.unionByName(deleted.select("externalId", F.lit("delete").alias("change")))
     changes = cut_lineage(changes)
     return HierarchyResult(_apply(target, nodes, changes, ignore_null_fields), changes, errors)

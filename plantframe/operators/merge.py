@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import PlantError
+from ..session import cut_lineage
 from ..sources.schemas import WRITE_RULES, WriteRules
 from .skew import dense_rank_ids, keep_greatest
 
@@ -40,10 +42,7 @@ class MergeResult:
             "errors": self.errors,
         }
         counted = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("outcome"), "n") for k, df in parts.items()]
-        total = counted[0]
-        for part in counted[1:]:
-            total = total.unionByName(part)
-        return total
+        return reduce(DataFrame.unionByName, counted)
 
     def raise_for_errors(self) -> MergeResult:
         found = [r["error"] for r in self.errors.limit(10).collect()]
@@ -63,13 +62,6 @@ def _errors(rows: DataFrame, message: Column | str) -> DataFrame:
     )
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    total = parts[0]
-    for part in parts[1:]:
-        total = total.unionByName(part)
-    return total
-
-
 def merge(
     target: DataFrame,
     source: DataFrame,
@@ -138,22 +130,37 @@ class _Merge:
         named = self.target.filter(F.col("externalId").isNotNull())
         return named.select("externalId", F.col(self.key).alias("_key"))
 
-    def _one_per(self, rows: DataFrame, key: str) -> DataFrame:
-        return keep_greatest(rows, [key], self.order)
+    def _resolve(self, rows: DataFrame) -> DataFrame:
+        """One row per named item with ``_by`` (id or name) and ``_key``, the target row or null.
+
+        It is read several times, for updates, creates and errors, so it is written once.
+        """
+        parts = []
+        if self.rules.has_id and "id" in rows.columns:
+            one = keep_greatest(rows.filter(self._positive_id()), ["id"], self.order)
+            ids = self.target.select(F.col("id"), F.col("id").alias("_key"))
+            parts.append(one.join(ids, "id", "left").withColumn("_by", F.lit("id")))
+        if "externalId" in rows.columns:
+            named = rows.filter(~self._positive_id() & F.col("externalId").isNotNull())
+            one = keep_greatest(named, ["externalId"], self.order)
+            parts.append(one.join(self._known(), "externalId", "left").withColumn("_by", F.lit("name")))
+        return cut_lineage(reduce(DataFrame.unionByName, parts))
+
+    def _unknown(self, resolved: DataFrame) -> DataFrame:
+        message = F.when(F.col("_by") == "id", F.concat(F.lit("unknown id "), self._id_text())).otherwise(
+            F.concat(F.lit("unknown externalId "), self._name())
+        )
+        return _errors(resolved.filter("_key is null"), message)
 
-    def _by_id(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Rows that name a target id, and errors for ids that do not exist."""
-        one = self._one_per(rows, "id").withColumn("_key", F.col("id"))
-        ids = self.target.select(F.col("id").alias("_key"))
-        unknown = one.join(ids, "_key", "left_anti")
-        return one.join(ids, "_key", "left_semi"), _errors(unknown, F.concat(F.lit("unknown id "), F.col("id").cast("string")))
+    def _id_text(self) -> Column:
+        return F.col("id").cast("string") if "id" in self.source.columns else F.lit(None).cast("string")
 
-    def _merge_updates(self, by_id: DataFrame | None, by_name: DataFrame) -> DataFrame:
+    def _updates(self, resolved: DataFrame) -> DataFrame:
         """One update per target row; an update by id wins over one by external id."""
-        if by_id is None:
-            return by_name
-        both = by_id.withColumn("_rank", F.lit(1)).unionByName(by_name.withColumn("_rank", F.lit(0)))
-        return keep_greatest(both, ["_key"], [F.col("_rank")]).drop("_rank")
+        known = resolved.filter("_key is not null")
+        if not (self.rules.has_id and "id" in self.source.columns and "externalId" in self.source.columns):
+            return known
+        return keep_greatest(known, ["_key"], [(F.col("_by") == "id").cast("int")])
 
     def _is_empty_update(self) -> Column:
         if not self.ignore_null_fields:
@@ -222,69 +229,40 @@ class _Merge:
             creates if creates is not None else none,
             touched,
             none,
-            _union(errors),
+            reduce(DataFrame.unionByName, errors),
             self.source,
         )
 
     def insert(self) -> MergeResult:
-        named = self.source.filter(self._name().isNotNull())
-        repeated = named.groupBy("externalId").agg(F.count(F.lit(1)).alias("n")).filter("n > 1") if "externalId" in self.source.columns else None
         created, errors = self._create(self.source)
         problems = [errors]
-        if repeated is not None:
+        if "externalId" in self.source.columns:
+            named = self.source.filter(F.col("externalId").isNotNull())
+            repeated = named.groupBy("externalId").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
             taken = named.join(self._known().select("externalId"), "externalId", "left_semi")
             problems.append(_errors(taken, F.concat(F.lit("externalId already exists: "), F.col("externalId"))))
             problems.append(_errors(repeated, F.concat(F.lit("externalId occurs several times: "), F.col("externalId"))))
         return self._result(created, None, problems)
 
     def update(self) -> MergeResult:
-        rows = self.source
-        nameless = rows.filter(~self._positive_id() & self._name().isNull())
-        problems = [_errors(nameless, "Update requires an id or externalId to be set for each row.")]
-        rows = rows.filter(~self._is_empty_update())
-        by_id = None
-        if self.rules.has_id and "id" in rows.columns:
-            by_id, unknown = self._by_id(rows.filter(self._positive_id()))
-            problems.append(unknown)
-        if "externalId" in rows.columns:
-            by_name, unknown = self._by_name(rows.filter(~self._positive_id() & F.col("externalId").isNotNull()))
-            problems.append(unknown)
-            updates = self._merge_updates(by_id, by_name)
-        else:
-            updates = by_id
-        return self._result(None, updates, problems)
-
-    def _by_name(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        one = self._one_per(rows, "externalId")
-        found = one.join(self._known(), "externalId", "left")
-        unknown = _errors(
-            found.filter("_key is null"), F.concat(F.lit("unknown externalId "), F.col("externalId"))
-        )
-        return found.filter("_key is not null"), unknown
+        nameless = self.source.filter(~self._positive_id() & self._name().isNull())
+        resolved = self._resolve(self.source.filter(~self._is_empty_update()))
+        problems = [
+            _errors(nameless, "Update requires an id or externalId to be set for each row."),
+            self._unknown(resolved),
+        ]
+        return self._result(None, self._updates(resolved), problems)
 
     def upsert(self) -> MergeResult:
-        rows, problems, by_id = self.source, [], None
-        if self.rules.has_id and "id" in rows.columns:
-            by_id, unknown = self._by_id(rows.filter(self._positive_id()))
-            problems.append(unknown)
-        rest = rows.filter(~self._positive_id())
-        if "externalId" not in rows.columns:
-            created, errors = self._create(rest)
-            return self._result(created, by_id, [*problems, errors])
+        resolved = self._resolve(self.source)
+        nameless = self.source.filter(~self._positive_id() & self._name().isNull())
         only = self.rules.update_only_without
         only_update = F.lit(False)
         if only:
-            only_update = F.col(only).isNull() if only in rows.columns else F.lit(True)
-        one = self._one_per(rest.filter(F.col("externalId").isNotNull()), "externalId")
-        found = one.join(self._known(), "externalId", "left")
-        new = found.filter("_key is null")
-        problems.append(
-            _errors(new.filter(only_update), F.concat(F.lit("unknown externalId "), F.col("externalId")))
-        )
-        fresh = new.filter(~only_update).drop("_key").unionByName(rest.filter(F.col("externalId").isNull()))
-        created, errors = self._create(fresh)
-        updates = self._merge_updates(by_id, found.filter("_key is not null"))
-        return self._result(created, updates, [*problems, errors])
+            only_update = F.col(only).isNull() if only in self.source.columns else F.lit(True)
+        new = F.col("_key").isNull() & (F.col("_by") == "name") & ~only_update
+        created, errors = self._create(resolved.filter(new).drop("_key", "_by").unionByName(nameless))
+        return self._result(created, self._updates(resolved), [self._unknown(resolved.filter(~new)), errors])
 
 
 def _delete(target: DataFrame, source: DataFrame, rules: WriteRules, ignore_unknown_ids: bool) -> MergeResult:
@@ -311,12 +289,12 @@ def _delete(target: DataFrame, source: DataFrame, rules: WriteRules, ignore_unkn
     problems.append(_errors(keyless, f"Delete requires {' or '.join(rules.delete_by)} to be set for each row."))
     if not (ignore_unknown_ids and rules.may_ignore_unknown):
         problems += unknown
-    keys = _union(found).distinct().select(F.col("_key").alias(key))
+    keys = reduce(DataFrame.unionByName, found).distinct().select(F.col("_key").alias(key))
     return MergeResult(
         target.join(keys, key, "left_anti"),
         target.limit(0),
         target.limit(0),
         target.join(keys, key, "left_semi"),
-        _union(problems) if problems else _errors(nothing, ""),
+        reduce(DataFrame.unionByName, problems) if problems else _errors(nothing, ""),
         source,
     )

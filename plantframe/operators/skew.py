@@ -36,12 +36,13 @@ def keep_greatest(df: DataFrame, keys: Sequence[str], order: Sequence[Column] =
     It is an aggregate, so copies collapse before the shuffle; a window would gather all copies
     of a key in one task.
     """
-    rank = F.struct(
-        *[c.alias(f"o{i}") for i, c in enumerate(order)],
-        *[c.alias(f"c{i}") for i, c in enumerate(orderable(df))],
-    )
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    picked = df.groupBy(*keys).agg(F.max_by(row, rank).alias("_row"))
+    prefix = [c.alias(f"_o{i}") for i, c in enumerate(order)]
+    if not any(_has_map(df, c) for c in df.columns):
+        best = F.max(F.struct(*prefix, *[F.col(f"`{c}`") for c in df.columns]))
+    else:
+        rank = F.struct(*prefix, *[c.alias(f"_c{i}") for i, c in enumerate(orderable(df))])
+        best = F.max_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), rank)
+    picked = df.groupBy(*keys).agg(best.alias("_row"))
     return picked.select(*[F.col("_row").getField(c).alias(c) for c in df.columns])
 
 
