@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import auto_create_nodes, classify_instances, delete_instances, missing_references, upsert_instances, view_schema
-from ..sources.star import PART_VIEW, SUPPLIER_VIEW, SUPPLY_VIEW, Star, ref, text
+from ..sources.star import PART_VIEW, SUPPLIER_VIEW, SUPPLY_VIEW, Star, line_key, ref, text
 from .oracle import with_views
 from .registry import query
 
@@ -108,7 +108,7 @@ def _edge_changes(s: Star) -> DataFrame:
     """Every line again, and one new edge per order; edges without an end are refused."""
     line = s.base("lineitem")
     old = line.select(
-        F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("externalId"),
+        line_key(":").alias("externalId"),
         ref("types", F.lit("flag-X")).alias("type"),
         F.struct(F.lit(None).cast("string").alias("space"), text("part-", F.col("l_partkey")).alias("externalId")).alias("startNode"),
         ref("suppliers", text("supplier-", F.col("l_suppkey"))).alias("endNode"),
@@ -170,7 +170,7 @@ def _mixed(s: Star) -> DataFrame:
     start = F.when(flag != "N", ref("parts", text("part-", F.col("l_partkey"))))
     end = F.when((flag != "N") & ((flag == "R") | (status == "O")), ref("suppliers", text("supplier-", F.col("l_suppkey"))))
     return s.base("lineitem").select(
-        F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("externalId"),
+        line_key(":").alias("externalId"),
         F.when(flag == "R", ref("types", F.lit("edge"))).otherwise(ref("types", F.lit("other"))).alias("_type"),
         start.alias("startNode"), end.alias("endNode"), "l_quantity",
     )
@@ -208,7 +208,7 @@ def instance_delete(s: Star) -> DataFrame:
 def _references(s: Star) -> DataFrame:
     """Edges whose ends exist for some lines only: part numbers are doubled, supplier numbers tripled."""
     return s.base("lineitem").select(
-        F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("externalId"),
+        line_key(":").alias("externalId"),
         ref("parts", text("part-", F.col("l_partkey") * 2)).alias("startNode"),
         ref("suppliers", text("supplier-", F.col("l_suppkey") * 3)).alias("endNode"),
     )

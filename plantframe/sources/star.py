@@ -47,6 +47,14 @@ def text(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
+def line_key(separator: str) -> Column:
+    """A key of an order line; line numbers repeat within an order, so the key names more than those."""
+    return F.concat_ws(
+        separator, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int"),
+        F.date_format("l_shipdate", "yyyyMMdd"),
+    )
+
+
 def ref(space: str, external_id: Column) -> Column:
     return F.struct(F.lit(space).alias("space"), external_id.alias("externalId"))
 
@@ -219,9 +227,8 @@ class Star:
             F.base64(F.encode(words, "utf-8")), '","key":"inner-', F.col("l_linenumber"), '","_key":"deep-',
             F.col("l_suppkey"), '","lastUpdatedTime":"never"}',
         )
-        key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
         return self.base("lineitem").select(
-            key.alias("key"), F.col("l_shipdate").alias("lastUpdatedTime"), columns.alias("columns")
+            line_key("-").alias("key"), F.col("l_shipdate").alias("lastUpdatedTime"), columns.alias("columns")
         )
 
     def models3d(self) -> DataFrame:
@@ -259,7 +266,7 @@ class Star:
             )
 
         part_key, supplier_key = text("part-", F.col("p_partkey")), text("supplier-", F.col("s_suppkey"))
-        edge_key = F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        edge_key = line_key(":")
         nodes = instances(
             part, "parts", part_key, F.col("p_size"), _type=ref("types", F.col("p_type"))
         ).unionByName(instances(supplier, "suppliers", supplier_key, F.lit(None), _type=no_ref))
