@@ -6,7 +6,7 @@ when it holds a point, and a time range selects buckets by their start.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,8 +41,8 @@ EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 SLICE_MICROS = 3_600_000_000
 # Buckets of one series are chained in runs of this many.
 BUCKETS_PER_RUN = 100_000
-# Up to this many rows per series Spark prunes before the shuffle by itself (window group limit).
-GROUP_LIMIT = 1000
+# Up to this many rows per series and task travel to the rank filter (Spark's window group limit).
+GROUP_LIMIT = 100
 
 
 def _utc(moment: datetime | str) -> datetime:
@@ -212,7 +212,6 @@ def aggregate_datapoints(
     ).select(*series, "_t", "_v", "_step", "_o.*")
     rows = rows.withColumn("_bucket", F.col("_t") - F.pmod("_t", "_g")).filter(F.col("_bucket") < F.col("_last"))
     in_range = F.col("_bucket") >= F.col("_first")
-    point = F.struct(F.col("_t").alias("t"), F.col("_v").alias("v"))
     if neighbour:
         # All history before the range is run -1: it matters as one left neighbour only.
         run = F.floor((F.col("_bucket") - F.col("_first")) / (F.col("_g") * BUCKETS_PER_RUN))
@@ -222,10 +221,12 @@ def aggregate_datapoints(
     if ordered:
         buckets = _bucket_statistics_by_slice(inside, bucket_keys, slice_micros)
     else:
-        buckets = inside.groupBy(*bucket_keys).agg(*_plain(wanted, neighbour, point))
+        buckets = inside.groupBy(*bucket_keys).agg(*_plain(wanted, neighbour))
     if neighbour:
         keys = [*series, "granularity", "_g"]
-        ends = rows.groupBy(*keys, "_run").agg(F.max_by(point, "_t").alias("last"))
+        ends = rows.groupBy(*keys, "_run").agg(*_edge("last", F.max, F.max_by))
+        ends = ends.select(*keys, "_run", _point("_last_t", "_last_v").alias("last"))
+        buckets = buckets.withColumn("_last_point", _point("_last_t", "_last_v"))
         buckets = previous_across_slices(buckets, ends, keys, "_run", "_bucket", "_last_point", "_left")
 
     values = {name: _value(name) for name in wanted}
@@ -242,7 +243,16 @@ def aggregate_datapoints(
     )
 
 
-def _plain(wanted: Sequence[str], neighbour: bool, point: Column) -> list[Column]:
+def _point(t: str, v: str) -> Column:
+    return F.struct(F.col(t).alias("t"), F.col(v).alias("v"))
+
+
+def _edge(name: str, extreme: Callable, at_extreme: Callable) -> list[Column]:
+    """Time and value of the first or last point, as two numbers so that the aggregate stays hash-based."""
+    return [extreme("_t").alias(f"_{name}_t"), at_extreme("_v", "_t").alias(f"_{name}_v")]
+
+
+def _plain(wanted: Sequence[str], neighbour: bool) -> list[Column]:
     basic = {
         "count": F.count(F.lit(1)).cast("double"),
         "sum": F.sum("_v"),
@@ -253,11 +263,7 @@ def _plain(wanted: Sequence[str], neighbour: bool, point: Column) -> list[Column
     }
     columns = [basic[n].alias(f"_{n}") for n in wanted if n in basic]
     if neighbour:
-        columns += [
-            F.min_by(point, "_t").alias("_first_point"),
-            F.max_by(point, "_t").alias("_last_point"),
-            F.bool_or("_step").alias("_step"),
-        ]
+        columns += [*_edge("first", F.min, F.min_by), *_edge("last", F.max, F.max_by), F.bool_or("_step").alias("_step")]
     return columns or [F.count(F.lit(1)).alias("_count")]
 
 
@@ -282,7 +288,6 @@ def _bucket_statistics_by_slice(rows: DataFrame, bucket_keys: Sequence[str], sli
         .withColumn("_v0", F.lag("_v").over(inside))
     )
     parts = _segments(F.col("_t0"), F.col("_v0"), F.col("_t"), F.col("_v"), F.col("_step"))
-    point = F.struct(F.col("_t").alias("t"), F.col("_v").alias("v"))
     # The group-by reuses the partitioning of the window, so this is one shuffle of the points.
     slices = chained.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
@@ -291,16 +296,16 @@ def _bucket_statistics_by_slice(rows: DataFrame, bucket_keys: Sequence[str], sli
         F.max("_v").alias("mx"),
         (F.var_pop("_v") * F.count(F.lit(1))).alias("m2"),
         F.bool_or("_step").alias("_step"),
-        F.min_by(point, "_t").alias("p0"),
-        F.max_by(point, "_t").alias("p1"),
+        *_edge("first", F.min, F.min_by),
+        *_edge("last", F.max, F.max_by),
         *[F.coalesce(F.sum(c), F.lit(0.0)).alias(k) for k, c in parts.items()],
     )
     chain = Window.partitionBy(*bucket_keys).orderBy("_slice")
     whole = Window.partitionBy(*bucket_keys)
-    joined = slices.withColumn("_before", F.lag("p1").over(chain)).withColumn(
+    joined = slices.withColumn("_before", F.lag(_point("_last_t", "_last_v")).over(chain)).withColumn(
         "_mean", F.sum("s").over(whole) / F.sum("n").over(whole)
     )
-    border = _segments(F.col("_before.t"), F.col("_before.v"), F.col("p0.t"), F.col("p0.v"), F.col("_step"))
+    border = _segments(F.col("_before.t"), F.col("_before.v"), F.col("_first_t"), F.col("_first_v"), F.col("_step"))
     total = {k: F.sum(F.col(k)) + F.coalesce(F.sum(border[k]), F.lit(0.0)) for k in parts}
     mean1, mean2 = total["i1"] / total["dt"], total["i2"] / total["dt"]
     between = F.col("n") * F.pow(F.col("s") / F.col("n") - F.col("_mean"), 2)
@@ -313,8 +318,10 @@ def _bucket_statistics_by_slice(rows: DataFrame, bucket_keys: Sequence[str], sli
         ((F.sum("m2") + F.sum(between)) / F.sum("n")).alias("_discreteVariance"),
         total["tv"].alias("_totalVariation"),
         F.when(total["dt"] > 0, mean2 - mean1 * mean1).otherwise(0.0).alias("_continuousVariance"),
-        F.min_by("p0", "_slice").alias("_first_point"),
-        F.max_by("p1", "_slice").alias("_last_point"),
+        F.min("_first_t").alias("_first_t"),
+        F.min_by("_first_v", "_slice").alias("_first_v"),
+        F.max("_last_t").alias("_last_t"),
+        F.max_by("_last_v", "_slice").alias("_last_v"),
         F.bool_or("_step").alias("_step"),
     )
 
@@ -322,7 +329,7 @@ def _bucket_statistics_by_slice(rows: DataFrame, bucket_keys: Sequence[str], sli
 def _value(name: str) -> Column:
     if name not in _LEFT_NEIGHBOUR:
         return F.col(f"_{name}")
-    first, left = F.col("_first_point"), F.col("_left")
+    first, left = _point("_first_t", "_first_v"), F.col("_left")
     at_start = first["t"] == F.col("_bucket")
     as_step = F.when(at_start, first["v"]).otherwise(left["v"])
     if name == "stepInterpolation":

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import PlantError
+from ..session import cut_lineage
+from .datapoints import SLICE_MICROS
 from .intervals import merge_intervals
 from .skew import keep_greatest
 
-# A delete list up to this many rows is copied to every executor, a longer one is shuffled by day.
+# A delete list of up to this many range days is copied to every executor, a longer one is swept.
 MAX_BROADCAST_RANGES = 100_000
 DAY_MICROS = 86_400_000_000
 
@@ -85,7 +87,9 @@ def delete_ranges(
     """Points that stay after the ranges are deleted, and the refused requests.
 
     Requests may name the series by id or by external id (id first). Ranges of a series are first made
-    disjoint. A long list is cut by day, so that a hot series is spread over its days.
+    disjoint. A short list is cut by day and copied to every executor; with a long one the points and
+    the ends of the ranges are swept together, hour by hour, so neither a series with many points nor
+    one with many ranges is handled in one task.
     """
     good, errors = delete_range_bounds(ranges)
     kept = dp
@@ -95,29 +99,60 @@ def delete_ranges(
     return kept, errors
 
 
+def _day(column: Column) -> Column:
+    return F.floor(F.unix_micros(column) / DAY_MICROS)
+
+
 def _without(dp: DataFrame, ranges: DataFrame, key: str, max_broadcast: int) -> DataFrame:
-    size = ranges.limit(max_broadcast + 1).count()
-    if size == 0:
+    if ranges.isEmpty():
         return dp
+    disjoint = cut_lineage(merge_intervals(ranges, "begin", "end", by=["_series"]))
+    last_day = _day(F.col("end") - F.expr("interval 1 microsecond"))
+    first_day = _day(F.col("begin"))
+    size = disjoint.agg(F.sum(last_day - first_day + 1).alias("n")).first()["n"]
+    if size > max_broadcast:
+        return _swept(dp, disjoint, key)
+    by_day = disjoint.withColumn("_range_day", F.explode(F.sequence(first_day, last_day)))
+    moment = F.col("timestamp")
     within = (
-        (F.col(key) == F.col("_series")) & (F.col("timestamp") >= F.col("begin")) & (F.col("timestamp") < F.col("end"))
+        (F.col(key) == F.col("_series"))
+        & (F.col("_day") == F.col("_range_day"))
+        & (moment >= F.col("begin"))
+        & (moment < F.col("end"))
     )
-    if size <= max_broadcast:
-        return dp.join(F.broadcast(ranges), within, "left_anti")  # size counted above
-    disjoint = merge_intervals(ranges, "begin", "end", by=["_series"])
-    span = dp.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-    if span["lo"] is None:
-        return dp
-    day_of = lambda c: F.floor(F.unix_micros(c) / DAY_MICROS)
-    days = (
-        disjoint.filter((F.col("end") > F.lit(span["lo"])) & (F.col("begin") <= F.lit(span["hi"])))
-        .withColumn("_from", F.greatest("begin", F.lit(span["lo"])))
-        .withColumn("_to", F.least(F.col("end") - F.expr("interval 1 microsecond"), F.lit(span["hi"])))
-        .withColumn("_day", F.explode(F.sequence(day_of(F.col("_from")), day_of(F.col("_to")))))
-        .select("_series", "begin", "end", "_day")
+    dated = dp.withColumn("_day", _day(moment))
+    return dated.join(F.broadcast(by_day), within, "left_anti").drop("_day")  # size computed above
+
+
+def _swept(dp: DataFrame, disjoint: DataFrame, key: str) -> DataFrame:
+    """Points outside the ranges, from a running count of open ranges in the order of time."""
+    point = F.struct(*[F.col(f"`{c}`") for c in dp.columns])
+    named = dp.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("_series"), F.unix_micros("timestamp").alias("_at"), F.lit(0).alias("_step"), point.alias("_point")
+    )
+    ends = F.explode(
+        F.array(
+            F.struct(F.unix_micros("begin").alias("at"), F.lit(1).alias("step")),
+            F.struct(F.unix_micros("end").alias("at"), F.lit(-1).alias("step")),
+        )
+    )
+    steps = disjoint.select("_series", ends.alias("_e")).select(
+        "_series", F.col("_e.at").alias("_at"), F.col("_e.step").alias("_step")
+    )
+    both = named.unionByName(steps, allowMissingColumns=True).withColumn("_slice", F.floor(F.col("_at") / SLICE_MICROS))
+    before = Window.partitionBy("_series").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (
+        both.groupBy("_series", "_slice")
+        .agg(F.sum("_step").alias("_n"))
+        .select("_series", "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_carry"))
+    )
+    # At one moment the ends come before the points: a range holds its begin and not its end.
+    inside = Window.partitionBy("_series", "_slice").orderBy("_at", F.col("_point").isNotNull()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    dated = dp.withColumn("_point_day", day_of(F.col("timestamp")))
-    return dated.join(days, within & (F.col("_point_day") == F.col("_day")), "left_anti").drop("_point_day")
+    counted = both.withColumn("_open", F.sum("_step").over(inside)).join(carry, ["_series", "_slice"])
+    kept = counted.filter(F.col("_point").isNotNull() & (F.col("_open") + F.col("_carry") == 0)).select("_point.*")
+    return kept.unionByName(dp.filter(F.col(key).isNull()))
 
 
 # Value types of sequence columns.

@@ -91,7 +91,7 @@ def slice_of(column: Column, bounds: Sequence[int]) -> Column:
     return branch(0, len(bounds))
 
 
-def dense_rank_ids(df: DataFrame, order_key: Column, out: str, slices: int = 1024) -> DataFrame:
+def dense_rank_ids(df: DataFrame, order_key: Column, out: str, slices: int = 8192) -> DataFrame:
     """Number the rows 0, 1, 2, ... without sorting them all in one task.
 
     Rows fall into hash slices of ``order_key``; a row's number is the size of the slices before its

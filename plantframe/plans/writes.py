@@ -401,9 +401,9 @@ def delete_ranges_query(s: Star) -> DataFrame:
     return delete_ranges(s.catalog.scan("datapoints"), _ranges(s))[0].select("id", "timestamp", "value")
 
 
-@query("delete_ranges_by_day", with_views("dp") + _KEPT)
-def delete_ranges_by_day(s: Star) -> DataFrame:
-    """The way for long delete lists: ranges are cut by day and shuffled with the points."""
+@query("delete_ranges_swept", with_views("dp") + _KEPT)
+def delete_ranges_swept(s: Star) -> DataFrame:
+    """The way for long delete lists: points and range ends are swept together."""
     return delete_ranges(s.catalog.scan("datapoints"), _ranges(s), max_broadcast=0)[0].select("id", "timestamp", "value")
 
 

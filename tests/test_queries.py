@@ -54,7 +54,7 @@ def test_time_range_reaches_the_files(spark):
 
 
 @pytest.mark.parametrize(
-    "name", ["multi_agg", "agg_total_variation", "agg_interpolation", "edge_endpoints", "merge_upsert", "delete_ranges_by_day"]
+    "name", ["multi_agg", "agg_total_variation", "agg_interpolation", "edge_endpoints", "merge_upsert", "delete_ranges_swept"]
 )
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, ROOT))
