@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -179,9 +180,38 @@ def _is_null(kind: Column) -> Column:
     return kind.isNull() | (kind == "VOID")
 
 
-def _field(value: Column, name: str) -> Column:
+@dataclass(frozen=True)
+class _Node:
+    """A field of the schema, or of a struct inside it; arrays and maps are leaves."""
+
+    index: int
+    parent: int | None
+    depth: int
+    name: str
+    data_type: T.DataType
+
+    @property
+    def is_text(self) -> bool:
+        return isinstance(self.data_type, T.StringType)
+
+
+def _nodes(schema: T.StructType) -> list[_Node]:
+    nodes: list[_Node] = []
+
+    def visit(fields: Sequence[T.StructField], parent: int | None, depth: int) -> None:
+        for f in fields:
+            node = _Node(len(nodes), parent, depth, f.name, f.dataType)
+            nodes.append(node)
+            if isinstance(f.dataType, T.StructType):
+                visit(f.dataType.fields, node.index, depth + 1)
+
+    visit(schema.fields, None, 0)
+    return nodes
+
+
+def _field(value: Column, name: str, kind: str = "variant") -> Column:
     quoted = name.replace("\\", "\\\\").replace("'", "\\'")
-    return F.try_variant_get(value, f"$['{quoted}']", "variant")
+    return F.try_variant_get(value, f"$['{quoted}']", kind)
 
 
 def _is_nested(data_type: T.DataType) -> bool:
@@ -199,43 +229,67 @@ def read_json_table(
     """
     if on_error not in ("column", "raise"):
         raise PlantError("on_error must be column or raise")
-    fields = list(enumerate(schema.fields))
-    wanted = T.StructType(
-        [T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.StringType) else T.VariantType()) for f in schema.fields]
-    )
+    nodes = _nodes(schema)
+    top = [n for n in nodes if n.parent is None]
+    wanted = T.StructType([T.StructField(n.name, T.StringType() if n.is_text else T.VariantType()) for n in top])
     parsed = df.select("key", "lastUpdatedTime", F.from_json(column, wanted, {"mode": "FAILFAST"}).alias("_t"))
-    split = parsed.select(
-        "key", "lastUpdatedTime", *[F.col("_t").getField(f.name).alias(f"_f{i}") for i, f in fields]
-    )
-    scalars = [(i, f) for i, f in fields if not _is_nested(f.dataType) and not isinstance(f.dataType, T.StringType)]
-    known = split.select(
+    work = parsed.select("key", "lastUpdatedTime", *[F.col("_t").getField(n.name).alias(f"_f{n.index}") for n in top])
+    for depth in range(1, max((n.depth for n in nodes), default=0) + 1):
+        inner = [n for n in nodes if n.depth == depth]
+        work = work.select(
+            "*",
+            *[
+                _field(F.col(f"_f{n.parent}"), n.name, "string" if n.is_text else "variant").alias(f"_f{n.index}")
+                for n in inner
+            ],
+        )
+    scalars = [n for n in nodes if not n.is_text and not _is_nested(n.data_type)]
+    structs = [n for n in nodes if isinstance(n.data_type, T.StructType)]
+    leaves = [n for n in nodes if not isinstance(n.data_type, T.StructType)]
+    known = work.select(
         "*",
-        *[F.schema_of_variant(f"_f{i}").alias(f"_k{i}") for i, _ in scalars],
-        *[F.try_variant_get(f"_f{i}", "$", "string").alias(f"_x{i}") for i, _ in scalars],
+        *[F.schema_of_variant(f"_f{n.index}").alias(f"_k{n.index}") for n in [*scalars, *structs]],
+        *[F.try_variant_get(f"_f{n.index}", "$", "string").alias(f"_x{n.index}") for n in scalars],
     )
 
-    def result(i: int, field: T.StructField) -> Column:
-        if isinstance(field.dataType, T.StringType):
-            return _result(F.col(f"_f{i}"), F.lit(False))
-        if _is_nested(field.dataType):
-            return json_value(F.col(f"_f{i}"), field.dataType)
-        return _scalar(F.col(f"_k{i}"), F.col(f"_x{i}"), field.dataType)
+    def result(n: _Node) -> Column:
+        if n.is_text:
+            return _result(F.col(f"_f{n.index}"), F.lit(False))
+        if _is_nested(n.data_type):
+            return json_value(F.col(f"_f{n.index}"), n.data_type)
+        return _scalar(F.col(f"_k{n.index}"), F.col(f"_x{n.index}"), n.data_type)
+
+    judged = known.select(
+        "key",
+        "lastUpdatedTime",
+        *[f"_k{n.index}" for n in structs],
+        *[result(n).alias(f"_r{n.index}") for n in leaves],
+    )
 
-    judged = known.select("key", "lastUpdatedTime", *[result(i, f).alias(f"_r{i}") for i, f in fields])
+    def assembled(n: _Node) -> tuple[Column, Column]:
+        if not isinstance(n.data_type, T.StructType):
+            return F.col(f"_r{n.index}.value"), F.col(f"_r{n.index}.bad")
+        kind = F.col(f"_k{n.index}")
+        children = {c.name: assembled(c) for c in nodes if c.parent == n.index}
+        is_object = kind.startswith("OBJECT")
+        made = F.struct(*[value.alias(name) for name, (value, _) in children.items()])
+        inner = reduce(Column.__or__, [bad for _, bad in children.values()], F.lit(False))
+        return F.when(is_object, made), F.coalesce(~_is_null(kind) & (~is_object | inner), F.lit(False))
 
     def message(name: str) -> Column:
         return F.concat(F.lit("Error while loading RAW row [key='"), "key", F.lit(f"'] in column '{name}'"))
 
-    def value(i: int, field: T.StructField) -> Column:
-        found = F.col(f"_r{i}.value").cast(field.dataType)
+    found = {n.name: assembled(n) for n in top}
+    columns = ["key", "lastUpdatedTime"]
+    for n in top:
+        value, bad = found[n.name]
+        value = value.cast(n.data_type)
         if on_error == "raise":
             # Each column raises for itself, so a filter on one column does not drag the others along.
-            found = F.when(F.col(f"_r{i}.bad"), F.raise_error(message(field.name)).cast(field.dataType)).otherwise(found)
-        return found.alias(to_column_name(field.name))
-
-    columns = ["key", "lastUpdatedTime", *[value(i, f) for i, f in fields]]
+            value = F.when(bad, F.raise_error(message(n.name)).cast(n.data_type)).otherwise(value)
+        columns.append(value.alias(to_column_name(n.name)))
     if on_error == "column":
-        problems = [F.when(F.col(f"_r{i}.bad"), message(f.name)) for i, f in fields]
+        problems = [F.when(bad, message(name)) for name, (_, bad) in found.items()]
         errors = F.array_compact(F.array(*problems)) if problems else F.array()
         columns.append(errors.cast("array<string>").alias("_errors"))
     return judged.select(*columns)
