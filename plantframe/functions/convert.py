@@ -71,7 +71,7 @@ def validate(
     """
     absent = [c for c in required if c not in df.columns]
     if absent:
-        raise PlantError(f"Could not find required properties: [{', '.join(absent)}]")
+        raise PlantError(f"missing required properties: [{', '.join(absent)}]")
     name = F.col(row_id).cast("string") if row_id in df.columns else F.lit(None).cast("string")
     columns, problems = [], []
     for field in schema.fields:
@@ -87,7 +87,7 @@ def validate(
         message = F.concat(F.lit("Row "), F.coalesce(name, F.lit("?")), F.lit(expected), text)
         problems.append((field.name, F.when(F.coalesce(bad, F.lit(False)), message)))
         if field.name in required:
-            empty = F.concat(F.lit("Row "), F.coalesce(name, F.lit("?")), F.lit(f": '{field.name}' cannot be null"))
+            empty = F.concat(F.lit("Row "), F.coalesce(name, F.lit("?")), F.lit(f": '{field.name}' is null"))
             problems.append((field.name, F.when(F.col(f"`{field.name}`").isNull(), empty)))
     listed = F.filter(
         F.array(*[F.struct(F.lit(c).alias("column"), m.alias("error")) for c, m in problems]),

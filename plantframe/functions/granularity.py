@@ -28,7 +28,7 @@ def to_micros(text: str) -> int:
     """Length of one bucket in microseconds."""
     found = _FORM.fullmatch(text)
     if not found:
-        raise PlantError(f"Invalid granularity specification: {text}.")
+        raise PlantError(f"bad granularity {text}")
     return int(found[1] or 1) * UNIT_SECONDS[found[2]] * 1_000_000
 
 

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import PlantError
+from ..operators.skew import keep_greatest
+from ..session import cut_lineage
 
 # Rows read to infer a schema, and the column names that rows carry by themselves.
 INFER_LIMIT = 10_000
@@ -115,7 +117,7 @@ def _scalar(kind: Column, text: Column, data_type: T.DataType) -> Column:
         return checked(text.try_cast(data_type), is_number | is_text, empty_is_null=False)
     if isinstance(data_type, T.BinaryType):
         return checked(F.try_to_binary(text, F.lit("base64")), is_text, empty_is_null=False)
-    raise PlantError(f"Unsupported type for reading RAW: {data_type.typeName()}.")
+    raise PlantError(f"JSON can not be read as {data_type.typeName()}")
 
 
 def json_value(value: Column, data_type: T.DataType) -> Column:
@@ -277,7 +279,7 @@ def read_json_table(
         return F.when(is_object, made), F.coalesce(~_is_null(kind) & (~is_object | inner), F.lit(False))
 
     def message(name: str) -> Column:
-        return F.concat(F.lit("Error while loading RAW row [key='"), "key", F.lit(f"'] in column '{name}'"))
+        return F.concat(F.lit("row "), "key", F.lit(f": wrong type in column {name}"))
 
     found = {n.name: assembled(n) for n in top}
     columns = ["key", "lastUpdatedTime"]
@@ -310,7 +312,7 @@ def _writable(value: Column, data_type: T.DataType) -> Column:
         return value.cast("string")
     if isinstance(data_type, T.BinaryType):
         raise PlantError(
-            "BinaryType is not supported when writing raw, please convert it to base64 string or array of numbers"
+            "binary columns can not be stored as JSON, write them as base64 text"
         )
     if isinstance(data_type, T.ArrayType):
         return F.transform(value, lambda x: _writable(x, data_type.elementType))
@@ -329,10 +331,10 @@ def to_json_table(df: DataFrame, ignore_null_fields: bool = False) -> DataFrame:
     A null key fails the job.
     """
     if "key" not in df.columns:
-        raise PlantError('The dataframe used for insertion must have a "key" column.')
+        raise PlantError("rows of a JSON table need a column named key")
     fields = [f for f in df.schema.fields if f.name not in ("key", "lastUpdatedTime")]
     made = F.struct(*[_writable(F.col(f"`{f.name}`"), f.dataType).alias(to_json_name(f.name)) for f in fields])
-    key = F.coalesce(F.col("key").cast("string"), F.raise_error(F.lit('"key" can not be null.')))
+    key = F.coalesce(F.col("key").cast("string"), F.raise_error(F.lit("a row of a JSON table has a null key")))
     options = {"ignoreNullFields": str(ignore_null_fields).lower()}
     return df.select(key.alias("key"), (F.to_json(made, options) if fields else F.lit("{}")).alias("columns"))
 
@@ -348,9 +350,8 @@ def select_keys(df: DataFrame, keys: Sequence[str], limit: int = INFER_LIMIT) ->
 
 def insert_rows(target: DataFrame, source: DataFrame, now: Column | None = None) -> DataFrame:
     """Write rows into a JSON table: rows with the same key are replaced."""
-    from ..operators.skew import keep_greatest
-
-    fresh = keep_greatest(to_json_table(source), ["key"]).withColumn(
+    stamped = keep_greatest(to_json_table(source), ["key"]).withColumn(
         "lastUpdatedTime", F.current_timestamp() if now is None else now
     )
+    fresh = cut_lineage(stamped)
     return target.join(fresh.select("key"), "key", "left_anti").unionByName(fresh.select(*target.columns))

@@ -98,7 +98,7 @@ def datapoints(
 ) -> DataFrame:
     """Points of the named series; a row carries the identifier kind it was asked by, the other is null."""
     if not ids and not external_ids:
-        raise PlantError("Filtering by at least one id or externalId is required for data points.")
+        raise PlantError("data points are read by at least one id or externalId")
     by_id = F.col("id").isin(list(ids)) if ids else F.lit(False)
     by_name = F.col("externalId").isin(list(external_ids)) if external_ids else F.lit(False)
     points = dp.filter(in_time_range("timestamp", start, end, closed))
@@ -131,9 +131,7 @@ def check_series_kind(series: DataFrame, requested: DataFrame, is_string: bool)
         .select(
             "id",
             F.concat(
-                F.lit(f"Cannot read {kind} data points of series "),
-                F.col("id").cast("string"),
-                F.lit(f" here. Use {other} instead."),
+                F.lit("series "), F.col("id").cast("string"), F.lit(f" holds {kind} points, read it with {other}")
             ).alias("error"),
         )
     )
@@ -142,13 +140,13 @@ def check_series_kind(series: DataFrame, requested: DataFrame, is_string: bool)
 def _check_aggregations(aggregations: Sequence[str], granularities: Sequence[str]) -> dict[str, int]:
     unknown = [a for a in aggregations if a not in AGGREGATES]
     if unknown:
-        raise PlantError(f"Invalid aggregation {', '.join(unknown)}")
+        raise PlantError(f"unknown aggregation {', '.join(unknown)}")
     if aggregations and not granularities:
-        raise PlantError("Aggregations requested but granularity is not specified")
+        raise PlantError("aggregations need a granularity")
     if granularities and not aggregations:
-        raise PlantError("Granularity specified but no aggregation requested")
+        raise PlantError("a granularity needs an aggregation")
     if not aggregations:
-        raise PlantError("No aggregation requested")
+        raise PlantError("nothing to aggregate")
     return parse_all(granularities)
 
 

@@ -234,7 +234,7 @@ def _prepared(df: DataFrame, instance_space: str | None) -> DataFrame:
         F.coalesce(node_type, _ref(df, "type", space)).alias("_ref_type"),
         _ref(df, "startNode", space).alias("_ref_start"),
         _ref(df, "endNode", space).alias("_ref_end"),
-        F.when(key.isNull(), "'externalId' cannot be null").when(space.isNull(), "'space' cannot be null").alias("_error"),
+        F.when(key.isNull(), "'externalId' is null").when(space.isNull(), "'space' is null").alias("_error"),
     )
 
 
@@ -250,7 +250,7 @@ def classify_instances(df: DataFrame, instance_space: str | None = None) -> tupl
         F.when(F.col("_ref_end").isNotNull(), "'endNode'"),
     )
     text = F.concat(
-        F.lit("Fields 'type', 'externalId', 'startNode' & 'endNode' are required to create an edge. Only found: 'externalId', "),
+        F.lit("neither a node nor an edge, it has only: 'externalId', "),
         found,
     )
     judged = work.withColumn("_error", F.coalesce("_error", F.when(~is_edge & ~is_node, text)))
@@ -279,7 +279,7 @@ class InstanceResult:
 def _property_value(df: DataFrame, prop: Property, space: Column) -> tuple[Column, Column]:
     """A written value in the property's type, and the error it causes or null."""
     value, given = F.col(f"`{prop.name}`"), df.schema[prop.name].dataType
-    message = F.lit(f"Error parsing value for field '{prop.name}'")
+    message = F.lit(f"bad value of '{prop.name}'")
     none = F.lit(None).cast("string")
     if prop.is_list:
         compact = F.array_compact(value)
@@ -333,7 +333,7 @@ def upsert_instances(
     if view:
         lacking = [p.name for p in view.properties if not p.nullable and p.name not in source.columns]
         if lacking:
-            raise PlantError(f"Could not find required properties: [{', '.join(lacking)}]")
+            raise PlantError(f"missing required properties: [{', '.join(lacking)}]")
     work = _prepared(source, instance_space)
     error = F.col("_error")
     if edge_type is not None:
@@ -341,7 +341,7 @@ def upsert_instances(
         work = work.withColumn("_ref_type", literal)
     if kind == "edge":
         for name, column in (("type", "_ref_type"), ("startNode", "_ref_start"), ("endNode", "_ref_end")):
-            error = F.coalesce(error, F.when(F.col(column).isNull(), f"'{name}' cannot contain null values"))
+            error = F.coalesce(error, F.when(F.col(column).isNull(), f"'{name}' is incomplete"))
         references = [("type", "_ref_type"), ("startNode", "_ref_start"), ("endNode", "_ref_end")]
     else:
         references = [("_type", "_ref_node_type")]
@@ -351,7 +351,7 @@ def upsert_instances(
         values[prop.name] = value
         error = F.coalesce(error, bad)
         if not prop.nullable:
-            error = F.coalesce(error, F.when(F.col(f"`{prop.name}`").isNull(), f"'{prop.name}' cannot be null"))
+            error = F.coalesce(error, F.when(F.col(f"`{prop.name}`").isNull(), f"'{prop.name}' is null"))
     judged = work.select(
         F.col("_space").alias("space"),
         F.col("_externalId").alias("externalId"),
@@ -360,13 +360,17 @@ def upsert_instances(
         error.alias("_error"),
     )
     errors = judged.filter("_error is not null").select(*KEY, F.col("_error").alias("error"))
-    rows = keep_greatest(judged.filter("_error is null").drop("_error"), KEY)
+    rows = cut_lineage(keep_greatest(judged.filter("_error is null").drop("_error"), KEY))
 
     names = [name for name, _ in references]
     new = rows.select(*KEY, F.struct(*[F.col(c) for c in [*names, *values]]).alias("_new"))
+    # The tables are first cut down to the written keys: for a small source without a shuffle of them.
+    keys = rows.select(*KEY)
     old = instances.select(*KEY, F.lit(True).alias("_known"), *[F.col(c).alias(f"_old_{c}") for c in names])
+    old = old.join(keys, KEY, "left_semi")
     if properties is not None:
-        old = old.join(properties.select(*KEY, *[F.col(c).alias(f"_old_{c}") for c in values]), KEY, "left")
+        held = properties.select(*KEY, *[F.col(c).alias(f"_old_{c}") for c in values]).join(keys, KEY, "left_semi")
+        old = old.join(held, KEY, "left")
     merged = {}
     for name in [*names, *values]:
         value = F.col("_new").getField(name)
@@ -419,17 +423,16 @@ def _write_instances(instances: DataFrame, resolved: DataFrame, names: list[str]
 
 def _write_properties(properties: DataFrame, resolved: DataFrame, names: list[str]) -> DataFrame:
     new = resolved.select(*KEY, F.struct(*names).alias("_new"))
-    joined = properties.join(new, KEY, "full")
-    return joined.select(
-        *KEY,
+    hit = F.col("_new").isNotNull()
+    kept = properties.join(new, KEY, "left").select(
         *[
-            F.when(F.col("_new").isNotNull(), F.col("_new").getField(c)).otherwise(F.col(c)).alias(c)
-            if c in names
-            else F.col(c)
+            F.when(hit, F.col("_new").getField(c)).otherwise(F.col(c)).alias(c) if c in names else F.col(c)
             for c in properties.columns
-            if c not in KEY
-        ],
+        ]
     )
+    present = properties.select(*KEY).join(resolved.select(*KEY), KEY, "left_semi")
+    added = resolved.select(*KEY, *names).join(present, KEY, "left_anti")
+    return kept.unionByName(added, allowMissingColumns=True)
 
 
 def delete_instances(instances: DataFrame, source: DataFrame, instance_space: str | None = None) -> DataFrame:

@@ -273,19 +273,19 @@ def reconcile_hierarchy(
     if subtrees == "ignore":
         kept = roots.filter(~_has_parent("rootParent"))
         if kept.isEmpty() and not roots.isEmpty():
-            raise PlantError('Tree has no root. Set parentExternalId to "" for the root asset.')
+            raise PlantError('no tree of the input has a root, that is a node with the parentExternalId ""')
         roots = kept
     elif subtrees == "error":
         errors = errors.unionByName(
             loose.filter("externalId = root").select(
                 "externalId",
-                F.concat(F.lit("subtree is not connected to any root: "), "externalId").alias("error"),
+                F.concat(F.lit("subtree hangs under no root of the input: "), "externalId").alias("error"),
             )
         )
     nodes = unique.join(roots.select("externalId"), "externalId", "left_semi")
     absent = missing_parents(nodes, target).select(
         F.col("referencedFrom").alias("externalId"),
-        F.concat(F.lit("parent "), "parentExternalId", F.lit(" referenced from "), "referencedFrom", F.lit(" does not exist")).alias("error"),
+        F.concat(F.lit("parent "), "parentExternalId", F.lit(" of "), "referencedFrom", F.lit(" does not exist")).alias("error"),
     )
     errors = errors.unionByName(absent).unionByName(root_changes(roots, target).select("externalId", "error"))
     changes = diff_hierarchy(nodes, target)
@@ -299,23 +299,31 @@ def reconcile_hierarchy(
 def _apply(target: DataFrame, nodes: DataFrame, changes: DataFrame, ignore_null_fields: bool) -> DataFrame:
     columns = [c for c in ("externalId", "parentExternalId", *COMPARED) if c in target.columns]
     given = [c for c in columns if c in nodes.columns]
-    fresh = nodes.join(changes.filter("change in ('insert', 'update')").select("externalId"), "externalId").select(
-        F.lit(True).alias("_write"),
-        *[
-            F.when(F.col(c) != "", F.col(c)).alias(f"_{c}") if c == "parentExternalId" else F.col(c).alias(f"_{c}")
-            for c in given
-        ],
+    writes = changes.filter("change in ('insert', 'update')")
+    fresh = cut_lineage(
+        nodes.join(writes, "externalId").select(
+            "externalId",
+            "change",
+            *[
+                (F.when(F.col(c) != "", F.col(c)) if c == "parentExternalId" else F.col(c)).alias(f"_{c}")
+                for c in given
+                if c != "externalId"
+            ],
+        )
     )
     gone = changes.filter("change = 'delete'").select("externalId")
     kept = target.select(*columns).join(gone, "externalId", "left_anti")
-    joined = kept.join(fresh, F.col("externalId") == F.col("_externalId"), "full")
+    joined = kept.join(fresh.filter("change = 'update'"), "externalId", "left")
 
     def merged(column: str) -> Column:
-        if column not in given:
+        if column not in given or column == "externalId":
             return F.col(column)
         new = F.col(f"_{column}")
         if ignore_null_fields or column not in CLEARABLE:
             new = F.coalesce(new, F.col(column))
-        return F.when(F.col("_write"), new).otherwise(F.col(column)).alias(column)
+        return F.when(F.col("change").isNotNull(), new).otherwise(F.col(column)).alias(column)
 
-    return joined.select(*[merged(c) for c in columns])
+    added = fresh.filter("change = 'insert'").select(
+        "externalId", *[F.col(f"_{c}").alias(c) for c in given if c != "externalId"]
+    )
+    return joined.select(*[merged(c) for c in columns]).unionByName(added, allowMissingColumns=True)

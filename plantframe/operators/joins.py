@@ -37,7 +37,7 @@ def edge_endpoints(edges: DataFrame, nodes: DataFrame, columns: Sequence[str]) -
         ends = nodes.select(
             F.struct("space", "externalId").alias(side), *[F.col(c).alias(f"{prefix}_{c}") for c in columns]
         )
-        joined = lookup(joined, ends, side)
+        joined = lookup(joined, ends, side, count_in=edges)
     return joined
 
 

@@ -133,18 +133,27 @@ class _Merge:
     def _resolve(self, rows: DataFrame) -> DataFrame:
         """One row per named item with ``_by`` (id or name) and ``_key``, the target row or null.
 
-        It is read several times, for updates, creates and errors, so it is written once.
+        The cleaned source and the keys it meets are written once each: they are read for updates,
+        creates and errors, and with their sizes known a small source leaves the target unshuffled.
         """
         parts = []
         if self.rules.has_id and "id" in rows.columns:
             one = keep_greatest(rows.filter(self._positive_id()), ["id"], self.order)
-            ids = self.target.select(F.col("id"), F.col("id").alias("_key"))
-            parts.append(one.join(ids, "id", "left").withColumn("_by", F.lit("id")))
+            parts.append(one.withColumn("_by", F.lit("id")))
         if "externalId" in rows.columns:
             named = rows.filter(~self._positive_id() & F.col("externalId").isNotNull())
-            one = keep_greatest(named, ["externalId"], self.order)
-            parts.append(one.join(self._known(), "externalId", "left").withColumn("_by", F.lit("name")))
-        return cut_lineage(reduce(DataFrame.unionByName, parts))
+            parts.append(keep_greatest(named, ["externalId"], self.order).withColumn("_by", F.lit("name")))
+        named_by = F.when(F.col("_by") == "id", self._id_text()).otherwise(self._name())
+        clean = cut_lineage(reduce(DataFrame.unionByName, parts).withColumn("_named", named_by))
+        met = []
+        if self.rules.has_id and "id" in rows.columns:
+            ids = self.target.select("id").join(clean.filter("_by = 'id'").select("id"), "id", "left_semi")
+            met.append(ids.select(F.lit("id").alias("_by"), F.col("id").cast("string").alias("_named"), F.col("id").alias("_key")))
+        if "externalId" in rows.columns:
+            names = self._known().join(clean.filter("_by = 'name'").select("externalId"), "externalId", "left_semi")
+            met.append(names.select(F.lit("name").alias("_by"), F.col("externalId").alias("_named"), "_key"))
+        keys = cut_lineage(reduce(DataFrame.unionByName, met))
+        return clean.join(keys, ["_by", "_named"], "left").drop("_named")
 
     def _unknown(self, resolved: DataFrame) -> DataFrame:
         message = F.when(F.col("_by") == "id", F.concat(F.lit("unknown id "), self._id_text())).otherwise(
@@ -159,8 +168,8 @@ class _Merge:
         """One update per target row; an update by id wins over one by external id."""
         known = resolved.filter("_key is not null")
         if not (self.rules.has_id and "id" in self.source.columns and "externalId" in self.source.columns):
-            return known
-        return keep_greatest(known, ["_key"], [(F.col("_by") == "id").cast("int")])
+            return cut_lineage(known)
+        return cut_lineage(keep_greatest(known, ["_key"], [(F.col("_by") == "id").cast("int")]))
 
     def _is_empty_update(self) -> Column:
         if not self.ignore_null_fields:
@@ -192,7 +201,7 @@ class _Merge:
     def _create(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         """New target rows, and errors for rows that lack a required field."""
         lacking = [
-            F.when(F.col(c).isNull() if c in rows.columns else F.lit(True), F.lit(f"The {c} field must be set when creating"))
+            F.when(F.col(c).isNull() if c in rows.columns else F.lit(True), F.lit(f"{c} is missing on a new item"))
             for c in self.rules.required
         ]
         message = F.concat_ws("; ", *lacking) if lacking else F.lit("")
@@ -248,7 +257,7 @@ class _Merge:
         nameless = self.source.filter(~self._positive_id() & self._name().isNull())
         resolved = self._resolve(self.source.filter(~self._is_empty_update()))
         problems = [
-            _errors(nameless, "Update requires an id or externalId to be set for each row."),
+            _errors(nameless, "an update needs an id or externalId"),
             self._unknown(resolved),
         ]
         return self._result(None, self._updates(resolved), problems)
@@ -269,32 +278,33 @@ def _delete(target: DataFrame, source: DataFrame, rules: WriteRules, ignore_unkn
     by_id = "id" in rules.delete_by and "id" in source.columns
     by_name = "externalId" in rules.delete_by and "externalId" in source.columns
     if not by_id and not by_name:
-        raise PlantError(f"Delete requires one of the columns {', '.join(rules.delete_by)}")
+        raise PlantError(f"a delete needs one of the columns {', '.join(rules.delete_by)}")
     key = "id" if rules.has_id else "externalId"
-    nothing = source.filter(F.lit(False))
     found, unknown, problems = [], [], []
     positive = F.col("id").isNotNull() if by_id else F.lit(False)
     if by_id:
-        wanted = source.filter(positive).select("id").distinct()
-        found.append(wanted.join(target.select("id"), "id", "left_semi").select(F.col("id").alias("_key")))
-        missing = wanted.join(target.select("id"), "id", "left_anti")
+        wanted = cut_lineage(source.filter(positive).select("id").distinct())
+        present = target.select("id").join(wanted, "id", "left_semi")
+        found.append(present.select(F.col("id").alias("_key")))
+        missing = wanted.join(present, "id", "left_anti")
         unknown.append(_errors(missing, F.concat(F.lit("unknown id "), F.col("id").cast("string"))))
     if by_name:
-        wanted = source.filter(~positive & F.col("externalId").isNotNull()).select("externalId").distinct()
+        wanted = cut_lineage(source.filter(~positive & F.col("externalId").isNotNull()).select("externalId").distinct())
         named = target.filter(F.col("externalId").isNotNull()).select("externalId", F.col(key).alias("_key"))
-        found.append(wanted.join(named, "externalId").select("_key"))
-        missing = wanted.join(named, "externalId", "left_anti")
+        present = named.join(wanted, "externalId", "left_semi")
+        found.append(present.select("_key"))
+        missing = wanted.join(present, "externalId", "left_anti")
         unknown.append(_errors(missing, F.concat(F.lit("unknown externalId "), F.col("externalId"))))
     keyless = source.filter(~positive & (F.col("externalId").isNull() if by_name else F.lit(True)))
-    problems.append(_errors(keyless, f"Delete requires {' or '.join(rules.delete_by)} to be set for each row."))
+    problems.append(_errors(keyless, f"a delete needs {' or '.join(rules.delete_by)}"))
     if not (ignore_unknown_ids and rules.may_ignore_unknown):
         problems += unknown
-    keys = reduce(DataFrame.unionByName, found).distinct().select(F.col("_key").alias(key))
+    keys = cut_lineage(reduce(DataFrame.unionByName, found).distinct().select(F.col("_key").alias(key)))
     return MergeResult(
         target.join(keys, key, "left_anti"),
         target.limit(0),
         target.limit(0),
         target.join(keys, key, "left_semi"),
-        reduce(DataFrame.unionByName, problems) if problems else _errors(nothing, ""),
+        reduce(DataFrame.unionByName, problems),
         source,
     )

@@ -42,8 +42,12 @@ def resolve_series(rows: DataFrame, series: DataFrame) -> tuple[DataFrame, DataF
 
 
 def upsert_points(target: DataFrame, source: DataFrame, keys: Sequence[str] = ("id", "timestamp")) -> DataFrame:
-    """Rows of ``source`` replace rows of ``target`` with the same key; among source rows the greatest wins."""
-    fresh = keep_greatest(source.select(*target.columns), list(keys))
+    """Rows of ``source`` replace rows of ``target`` with the same key; among source rows the greatest wins.
+
+    The cleaned source is written once, so that its size is known: a small one is copied to the
+    executors and the large target is not shuffled.
+    """
+    fresh = cut_lineage(keep_greatest(source.select(*target.columns), list(keys)))
     return target.join(fresh.select(*keys), list(keys), "left_anti").unionByName(fresh)
 
 
@@ -63,12 +67,12 @@ def delete_range_bounds(ranges: DataFrame) -> tuple[DataFrame, DataFrame]:
     begin = F.coalesce(ib, eb + step)
     end = F.coalesce(ee, ie + step)
     error = (
-        F.when(col("id", "long").isNull() & col("externalId", "string").isNull(), "delete row must contain id or externalId")
-        .when(ib.isNotNull() & eb.isNotNull(), "delete row can not contain both inclusiveBegin and exclusiveBegin")
-        .when(ib.isNull() & eb.isNull(), "delete row must contain inclusiveBegin or exclusiveBegin")
-        .when(ie.isNotNull() & ee.isNotNull(), "delete row can not contain both inclusiveEnd and exclusiveEnd")
-        .when(ie.isNull() & ee.isNull(), "delete row must contain inclusiveEnd or exclusiveEnd")
-        .when(end <= begin, "delete range is empty")
+        F.when(col("id", "long").isNull() & col("externalId", "string").isNull(), "a range needs an id or externalId")
+        .when(ib.isNotNull() & eb.isNotNull(), "a range has both inclusiveBegin and exclusiveBegin")
+        .when(ib.isNull() & eb.isNull(), "a range needs inclusiveBegin or exclusiveBegin")
+        .when(ie.isNotNull() & ee.isNotNull(), "a range has both inclusiveEnd and exclusiveEnd")
+        .when(ie.isNull() & ee.isNull(), "a range needs inclusiveEnd or exclusiveEnd")
+        .when(end <= begin, "the range is empty")
     )
     checked = ranges.select(
         col("id", "long").alias("id"),
@@ -169,7 +173,7 @@ def sequence_row_schema(columns: Sequence[tuple[str, str]]) -> T.StructType:
     fields = [T.StructField("rowNumber", T.LongType(), False)]
     for name, value_type in columns:
         if not name:
-            raise PlantError("Sequence contains a column without externalId")
+            raise PlantError("a sequence column has no externalId")
         if value_type not in SEQUENCE_TYPES:
             raise PlantError(f"Unknown sequence column type {value_type}")
         fields.append(T.StructField(name, SEQUENCE_TYPES[value_type]))
@@ -188,19 +192,20 @@ def upsert_sequence_rows(
     """Upsert by (sequence, rowNumber). Columns that the source lacks keep their values."""
     known = dict(columns)
     if "rowNumber" not in source.columns:
-        raise PlantError("Can't upsert sequence rows, column `rowNumber` is missing.")
+        raise PlantError("sequence rows need a rowNumber")
     if key not in source.columns:
-        raise PlantError("Can't upsert sequence rows, at least column `externalId` or `id` must be provided.")
+        raise PlantError("sequence rows need an id or externalId")
     for field in source.schema.fields:
         if field.name in ("rowNumber", "id", "externalId"):
             continue
         if field.name not in known:
-            raise PlantError(f"Can't insert column `{field.name}`, it does not exist in the sequence definition")
+            raise PlantError(f"column {field.name} does not exist in the sequence")
         if not isinstance(field.dataType, (*_ACCEPTED[known[field.name]], T.NullType)):
             raise PlantError(f"Column `{field.name}` has type {field.dataType.simpleString()}, expected {known[field.name]}")
     keys = [key, "rowNumber"]
     given = [c for c in target.columns if c in source.columns]
-    fresh = keep_greatest(source.select(*[F.col(f"`{c}`").cast(target.schema[c].dataType).alias(c) for c in given]), keys)
+    typed = source.select(*[F.col(f"`{c}`").cast(target.schema[c].dataType).alias(c) for c in given])
+    fresh = cut_lineage(keep_greatest(typed, keys))
     new = F.struct(*[F.col(f"`{c}`") for c in given]).alias("_new")
     joined = target.join(fresh.select(*keys, new), keys, "left")
     replaced = joined.select(
@@ -211,7 +216,8 @@ def upsert_sequence_rows(
             for c in target.columns
         ]
     )
-    return replaced.unionByName(fresh.join(target.select(*keys), keys, "left_anti"), allowMissingColumns=True)
+    present = target.select(*keys).join(fresh.select(*keys), keys, "left_semi")
+    return replaced.unionByName(fresh.join(present, keys, "left_anti"), allowMissingColumns=True)
 
 
 def delete_sequence_rows(target: DataFrame, source: DataFrame, keys: Sequence[str] = ("id", "rowNumber")) -> DataFrame:

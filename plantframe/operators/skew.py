@@ -111,17 +111,25 @@ def dense_rank_ids(df: DataFrame, order_key: Column, out: str, slices: int = 819
 
 
 def lookup(
-    rows: DataFrame, table: DataFrame, key: str, how: str = "inner", *, size: int | None = None, hot_rows: int = HOT_ROWS
+    rows: DataFrame,
+    table: DataFrame,
+    key: str,
+    how: str = "inner",
+    *,
+    size: int | None = None,
+    count_in: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join ``rows`` to ``table``, unique on ``key``, when some keys may be very frequent in ``rows``.
 
     Keys above ``hot_rows`` get several copies of their one table row, and their rows pick a copy
     by hash. Rows with a null key match nothing and are spread as well. ``size`` is the number of
-    ``rows`` when the caller knows it: a small table has no hot key and is simply joined.
+    ``rows`` when the caller knows it: a small table has no hot key and is simply joined. Keys are
+    counted in ``count_in``, a cheaper table with the same keys, when ``rows`` is itself a join.
     """
     if size is not None and size <= hot_rows:
         return rows.join(table, key, how)
-    counted = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    counted = (rows if count_in is None else count_in).filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = (
         counted.filter(F.col("_n") > hot_rows)
         .orderBy(F.desc("_n"))

@@ -12,6 +12,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .datapoints import _micros, _utc
 from .skew import keep_greatest
 
@@ -72,7 +73,7 @@ def apply_changes(
     deleted: str = "deletedTime",
 ) -> DataFrame:
     """The target after a change feed: the latest change per key counts, a deleted item goes."""
-    latest = keep_greatest(changes, list(keys), [F.col(time)])
+    latest = cut_lineage(keep_greatest(changes, list(keys), [F.col(time)]))
     alive = latest.filter(F.coalesce(F.col(deleted), F.lit(0)) == 0).select(*target.columns)
     return target.join(latest.select(*keys), list(keys), "left_anti").unionByName(alive)
 

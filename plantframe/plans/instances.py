@@ -133,7 +133,7 @@ def _edge_changes(s: Star) -> DataFrame:
     UNION ALL
     SELECT 'order-' || o_orderkey, 'flag-X', 'orders', 'customer-' || o_custkey, 1.5, NULL, NULL FROM orders WHERE o_orderstatus <> 'P'
     UNION ALL
-    SELECT 'order-' || o_orderkey, NULL, NULL, NULL, NULL, NULL, '''endNode'' cannot contain null values' FROM orders WHERE o_orderstatus = 'P'""",
+    SELECT 'order-' || o_orderkey, NULL, NULL, NULL, NULL, NULL, '''endNode'' is incomplete' FROM orders WHERE o_orderstatus = 'P'""",
 )
 def edge_upsert(s: Star) -> DataFrame:
     graph = s.graph()
@@ -183,7 +183,7 @@ def _mixed(s: Star) -> DataFrame:
     SELECT CASE WHEN l_returnflag = 'N' THEN 'node' WHEN l_returnflag = 'R' OR l_linestatus = 'O' THEN 'edge' ELSE 'error' END AS kind,
            count(*) AS n, round(sum(CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 0 ELSE l_quantity END), 4) AS quantity,
            CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F'
-                THEN 'Fields ''type'', ''externalId'', ''startNode'' & ''endNode'' are required to create an edge. Only found: ''externalId'', ''type'', ''startNode''' END AS error
+                THEN 'neither a node nor an edge, it has only: ''externalId'', ''type'', ''startNode''' END AS error
     FROM lineitem GROUP BY ALL""",
 )
 def classify(s: Star) -> DataFrame:

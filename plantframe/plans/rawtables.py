@@ -102,7 +102,7 @@ def raw_typed_cast(s: Star) -> DataFrame:
     with_views("lines")
     + """
     SELECT key, CASE WHEN NOT returned THEN supp::INTEGER END AS mixed, cents,
-           CASE WHEN returned THEN 'Error while loading RAW row [key=''' || key || '''] in column ''mixed''' END AS error,
+           CASE WHEN returned THEN 'row ' || key || ': wrong type in column mixed' END AS error,
            CASE WHEN returned THEN 2 ELSE 1 END AS n
     FROM lines""",
 )
@@ -262,7 +262,7 @@ def coerce_numbers(s: Star) -> DataFrame:
            'Row order-' || o_orderkey || ' in column dataSetId: expected bigint, got string ' || o_orderstatus AS error
     FROM orders WHERE o_orderstatus <> 'P'
     UNION ALL
-    SELECT 'order-' || o_orderkey, 'name', 'Row order-' || o_orderkey || ': ''name'' cannot be null'
+    SELECT 'order-' || o_orderkey, 'name', 'Row order-' || o_orderkey || ': ''name'' is null'
     FROM orders WHERE o_orderpriority = '5-LOW'""",
 )
 def validation_errors(s: Star) -> DataFrame:

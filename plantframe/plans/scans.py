@@ -95,7 +95,7 @@ def string_datapoints(s: Star) -> DataFrame:
     "datapoints_type_guard",
     with_views("series")
     + """
-    SELECT id, 'Cannot read string data points of series ' || id || ' here. Use stringdatapoints instead.' AS error
+    SELECT id, 'series ' || id || ' holds string points, read it with stringdatapoints' AS error
     FROM series WHERE isString""",
 )
 def datapoints_type_guard(s: Star) -> DataFrame:

@@ -237,11 +237,11 @@ def files_delete(s: Star) -> DataFrame:
 @query(
     "create_required",
     """
-    SELECT 'site-' || s_suppkey AS externalId, 'The name field must be set when creating' AS error FROM supplier WHERE s_acctbal < 0
+    SELECT 'site-' || s_suppkey AS externalId, 'name is missing on a new item' AS error FROM supplier WHERE s_acctbal < 0
     UNION ALL
-    SELECT 'r-' || s_suppkey, 'The sourceType field must be set when creating; The targetType field must be set when creating' FROM supplier
+    SELECT 'r-' || s_suppkey, 'sourceType is missing on a new item; targetType is missing on a new item' FROM supplier
     UNION ALL
-    SELECT 'd-' || s_suppkey, 'The writeProtected field must be set when creating' FROM supplier""",
+    SELECT 'd-' || s_suppkey, 'writeProtected is missing on a new item' FROM supplier""",
 )
 def create_required(s: Star) -> DataFrame:
     supplier = s.base("supplier")
@@ -412,10 +412,10 @@ def delete_ranges_swept(s: Star) -> DataFrame:
     """
     SELECT error, count(*) AS n FROM (
         SELECT CASE event_type
-            WHEN 'error' THEN 'delete row can not contain both inclusiveBegin and exclusiveBegin'
-            WHEN 'click' THEN 'delete row must contain inclusiveBegin or exclusiveBegin'
-            WHEN 'view' THEN 'delete range is empty'
-            WHEN 'signup' THEN 'delete row must contain id or externalId' END AS error
+            WHEN 'error' THEN 'a range has both inclusiveBegin and exclusiveBegin'
+            WHEN 'click' THEN 'a range needs inclusiveBegin or exclusiveBegin'
+            WHEN 'view' THEN 'the range is empty'
+            WHEN 'signup' THEN 'a range needs an id or externalId' END AS error
         FROM events)
     WHERE error IS NOT NULL GROUP BY error""",
 )

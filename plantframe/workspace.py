@@ -36,19 +36,19 @@ _POINTS = ("datapoints", "stringdatapoints")
 def _flag(options: Mapping[str, object], name: str, default: bool) -> bool:
     text = str(options.get(name, default)).lower()
     if text not in ("true", "false"):
-        raise PlantError(f"{name} must be 'true' or 'false'")
+        raise PlantError(f"{name} is neither true nor false")
     return text == "true"
 
 
 def _required(options: Mapping[str, object], name: str) -> str:
     if name not in options:
-        raise PlantError(f"`{name}` must be specified")
+        raise PlantError(f"option {name} is missing")
     return str(options[name])
 
 
 def _subtrees(options: Mapping[str, object]) -> str:
     if "ignoreDisconnectedAssets" in options and "subtrees" in options:
-        raise PlantError("Can not specify both ignoreDisconnectedAssets and subtrees")
+        raise PlantError("ignoreDisconnectedAssets and subtrees exclude each other")
     if "ignoreDisconnectedAssets" in options:
         return "ignore" if _flag(options, "ignoreDisconnectedAssets", False) else "error"
     return str(options.get("subtrees", "ingest")).lower()
@@ -136,7 +136,7 @@ class Workspace:
 
     def _synced(self, rows: DataFrame, kind: str, options: Mapping[str, object]) -> DataFrame:
         if kind == "all":
-            raise PlantError("Cannot sync both nodes and edges at the same time")
+            raise PlantError("a sync reads nodes or edges, not both")
         work = rows.withColumn("_time", F.timestamp_millis(f"`{kind}.lastUpdatedTime`")).withColumn(
             "_item", F.concat_ws("/", "space", "externalId")
         )
@@ -185,7 +185,7 @@ class Workspace:
         if mode == "delete":
             return delete_ranges(target, df)
         if mode == "update":
-            raise PlantError(f"Update not supported for {kind}. Use upsert instead.")
+            raise PlantError(f"{kind} take upsert, not update")
         series = self.catalog.scan("timeseries", columns=["id", "externalId"])
         rows, errors = resolve_series(df, series)
         named = rows.join(series, "id", "left")
@@ -197,7 +197,7 @@ class Workspace:
         if mode == "delete":
             return delete_sequence_rows(target, df, (key, "rowNumber"))
         if mode != "upsert":
-            raise PlantError(f"{mode} not supported for sequencerows. Use upsert instead.")
+            raise PlantError(f"sequencerows take upsert, not {mode}")
         return upsert_sequence_rows(target, df, self._sequence_columns(options), key)
 
     def _write_instances(self, df: DataFrame, mode: str, keep_null: bool, options: Mapping[str, object]):
@@ -207,7 +207,7 @@ class Workspace:
         if mode == "delete":
             return delete_instances(table, df, space)
         if mode != "upsert":
-            raise PlantError(f"{mode} not supported for instances. Use upsert instead.")
+            raise PlantError(f"instances take upsert, not {mode}")
         view = options.get("viewExternalId")
         edge_type = None
         if "edgeTypeSpace" in options:

@@ -77,9 +77,9 @@ def test_writes(spark, space):
 
 
 @pytest.mark.parametrize("options, message", [
-    ({}, "type"), ({"type": "events", "onconflict": "merge"}, "onconflict"), ({"type": "datapoints", "onconflict": "update"}, "Use upsert"),
-    ({"type": "sequencerows", "onconflict": "abort"}, "Use upsert"), ({"type": "instances", "onconflict": "update", "instanceType": "node"}, "Use upsert"),
-    ({"type": "assethierarchy", "subtrees": "ignore", "ignoreDisconnectedAssets": "true"}, "both"),
+    ({}, "type"), ({"type": "events", "onconflict": "merge"}, "onconflict"), ({"type": "datapoints", "onconflict": "update"}, "take upsert"),
+    ({"type": "sequencerows", "onconflict": "abort"}, "take upsert"), ({"type": "instances", "onconflict": "update", "instanceType": "node"}, "take upsert"),
+    ({"type": "assethierarchy", "subtrees": "ignore", "ignoreDisconnectedAssets": "true"}, "exclude"),
     ({"type": "events", "ignoreNullFields": "maybe"}, "true"), ({"type": "raw", "database": "db"}, "table"),
 ])
 def test_wrong_options(spark, space, options, message):

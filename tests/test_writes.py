@@ -55,7 +55,7 @@ def test_update(spark, events):
                  (1, "renamed", "a", None), (None, "e2", "b", "new"), (99, None, "c", None), (0, "e3", None, None), (None, None, "d", None), (None, "zz", "d", None))
     result = merge(events, source, "events", "update", now=NOW)
     assert table(result)[1] == ("renamed", "a", "old") and table(result)[2] == ("e2", "b", "new") and table(result)[3] == ("e3", "type3", "old")
-    assert messages(result) == ["Update requires an id or externalId to be set for each row.", "unknown externalId zz", "unknown id 99"]
+    assert messages(result) == ["an update needs an id or externalId", "unknown externalId zz", "unknown id 99"]
     assert result.updated.count() == 2  # the empty update is not one
 
 
@@ -110,9 +110,9 @@ def test_resource_rules(spark, events):
     assets = spark.createDataFrame([(1, "a", "n")], "id long, externalId string, name string")
     nameless = merge(assets, src(spark, "externalId string, source string", ("zz", "s")), "assets", "upsert")
     assert messages(nameless) == ["unknown externalId zz"]
-    assert messages(merge(assets, src(spark, "externalId string, name string", ("q", None)), "assets")) == ["The name field must be set when creating"]
+    assert messages(merge(assets, src(spark, "externalId string, name string", ("q", None)), "assets")) == ["name is missing on a new item"]
     by_name = src(spark, "externalId string", ("a",))
-    with pytest.raises(PlantError, match="requires"):
+    with pytest.raises(PlantError, match="needs"):
         merge(assets, by_name, "files", "delete")
     gone = merge(assets, src(spark, "id long", (5,)), "sequences", "delete")
     assert messages(gone) == ["unknown id 5"]  # sequences can not ignore unknown ids
