@@ -63,3 +63,21 @@ def test_no_python_and_no_cross_join(spark, name):
 
 def test_one_shuffle_for_plain_aggregates(spark):
     assert plan(QUERIES["multi_agg"](spark, ROOT), "simple").count("Exchange") == 1
+
+
+def test_small_sources_leave_the_target_unshuffled(spark):
+    from plantframe.operators.merge import merge
+    from plantframe.operators.series_writes import upsert_points
+    from plantframe.sources.star import Star
+
+    star = Star(spark, ROOT)
+    points = star.catalog.scan("datapoints").select("id", "timestamp", "value")
+    change = spark.createDataFrame([(1, 2.0)], "id long, value double").selectExpr("id", "timestamp'2024-01-01' as timestamp", "value")
+    assert "Exchange hashpartitioning" not in plan(upsert_points(points, change), "simple")
+    event = spark.createDataFrame([("order-1", "t"), ("new", "t")], "externalId string, type string")
+    result = merge(star.catalog.scan("events"), event, "events", "upsert")
+    text = plan(result.table, "simple")
+    assert "BroadcastHashJoin" in text
+    # The part before the ids of the new rows is the target with its updates.
+    assert "Exchange hashpartitioning" not in text.split("Subquery")[0]
+    assert result.table.count() == star.catalog.scan("events").count() + 1
