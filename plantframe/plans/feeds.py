@@ -14,6 +14,7 @@ from ..sources.star import TABLES, Star
 from ..streaming.downsample import stream_aggregates, stream_to_table, stream_upserts
 from .oracle import with_views
 from .registry import query
+from .timeseries import FIVE, H6, PLAIN_SQL, plain_sql, rounded
 
 # 2024-01-15 00:00:00 in microseconds, with an id below all others.
 MIDDLE = format_cursor(1_705_276_800_000_000, -1)
@@ -120,14 +121,21 @@ def _stream(s: Star) -> DataFrame:
     return reader.parquet(s.root).select(F.col("user_id").alias("id"), F.col("ts").alias("timestamp"), "value")
 
 
-@query("stream_aggregates")
+@query(
+    "stream_aggregates",
+    with_views("dp")
+    + plain_sql(
+        {a: PLAIN_SQL[a] for a in FIVE}, "6h", H6,
+        "timestamp + INTERVAL 6 HOUR <= (SELECT max(timestamp) - INTERVAL 1 HOUR FROM dp)",
+    ),
+)
 def stream_aggregates_query(s: Star) -> DataFrame:
     """Finished six-hour buckets of a stream; the last buckets wait for the watermark."""
     path = f"{scratch_dir(s.spark)}/stream-{uuid.uuid4().hex}"
-    rows = stream_aggregates(_stream(s), ["count", "sum", "min", "max", "average"], "6h", "1 hour")
+    rows = stream_aggregates(_stream(s), FIVE, "6h", "1 hour")
     stream_to_table(rows, f"{path}/table", f"{path}/checkpoint").awaitTermination()
     schema = "id long, timestamp timestamp, value double, aggregation string, granularity string"
-    return s.spark.read.schema(schema).parquet(f"{path}/table")
+    return rounded(s.spark.read.schema(schema).parquet(f"{path}/table"))
 
 
 @query(

@@ -11,7 +11,7 @@ from .oracle import with_views
 from .registry import query
 
 
-def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumn("value", F.round("value", digits))
 
 
@@ -23,7 +23,7 @@ H6, H12 = 21_600_000_000, 43_200_000_000
 DAY = 86_400_000_000
 
 
-def _plain_sql(aggregations: dict[str, str], granularity: str, us: int, where: str = "true", digits: int = 6) -> str:
+def plain_sql(aggregations: dict[str, str], granularity: str, us: int, where: str = "true", digits: int = 6) -> str:
     """Plain aggregates in long form."""
     columns = ", ".join(f"({e})::DOUBLE AS {n}" for n, e in aggregations.items())
     parts = " UNION ALL ".join(
@@ -41,7 +41,7 @@ def _single(df: DataFrame) -> DataFrame:
     return df.withColumn("value", F.round("value", 9).cast("float").cast("double"))
 
 
-_SQL = {
+PLAIN_SQL = {
     "count": "count(*)",
     "sum": "sum(value)",
     "min": "min(value)",
@@ -55,36 +55,36 @@ FIVE = ["count", "sum", "min", "max", "average"]
 @query(
     "multi_agg",
     with_views("dp")
-    + _plain_sql(
-        {a: _SQL[a] for a in FIVE}, "6h", H6,
+    + plain_sql(
+        {a: PLAIN_SQL[a] for a in FIVE}, "6h", H6,
         "timestamp >= TIMESTAMP '2024-01-02 03:00:00' AND timestamp <= TIMESTAMP '2024-01-28 12:00:00'",
     ),
 )
 def multi_agg(s: Star) -> DataFrame:
     points = s.catalog.scan("datapoints")
-    return _rounded(
+    return rounded(
         aggregate_datapoints(points, FIVE, ["6h"], start="2024-01-02 03:00:00", end="2024-01-28 12:00:00", closed="both")
     )
 
 
 @query(
     "agg_count_sum_min_max",
-    with_views("dp") + _plain_sql({a: _SQL[a] for a in ("count", "sum", "min", "max")}, "1d", DAY),
+    with_views("dp") + plain_sql({a: PLAIN_SQL[a] for a in ("count", "sum", "min", "max")}, "1d", DAY),
 )
 def agg_count_sum_min_max(s: Star) -> DataFrame:
-    return _rounded(aggregate_datapoints(s.catalog.scan("datapoints"), ["count", "sum", "min", "max"], ["1d"]))
+    return rounded(aggregate_datapoints(s.catalog.scan("datapoints"), ["count", "sum", "min", "max"], ["1d"]))
 
 
-@query("agg_average", with_views("dp") + _plain_sql({"average": _SQL["average"]}, "60d", 60 * DAY))
+@query("agg_average", with_views("dp") + plain_sql({"average": PLAIN_SQL["average"]}, "60d", 60 * DAY))
 def agg_average(s: Star) -> DataFrame:
-    return _rounded(aggregate_datapoints(s.catalog.scan("datapoints"), ["average"], ["60d"]))
+    return rounded(aggregate_datapoints(s.catalog.scan("datapoints"), ["average"], ["60d"]))
 
 
 @query(
     "agg_discrete_variance",
     with_views("dp")
     + "SELECT * REPLACE (value::FLOAT::DOUBLE AS value) FROM ("
-    + _plain_sql({"discreteVariance": _SQL["discreteVariance"]}, "12h", H12, digits=9)
+    + plain_sql({"discreteVariance": PLAIN_SQL["discreteVariance"]}, "12h", H12, digits=9)
     + ")",
 )
 def agg_discrete_variance(s: Star) -> DataFrame:
@@ -120,13 +120,13 @@ def granularity_forms(s: Star) -> DataFrame:
     "multi_granularity",
     with_views("dp")
     + "SELECT * FROM ("
-    + _plain_sql({a: _SQL[a] for a in ("average", "max")}, "1d", DAY)
+    + plain_sql({a: PLAIN_SQL[a] for a in ("average", "max")}, "1d", DAY)
     + ") UNION ALL SELECT * FROM ("
-    + _plain_sql({a: _SQL[a] for a in ("average", "max")}, "2h", 7_200_000_000)
+    + plain_sql({a: PLAIN_SQL[a] for a in ("average", "max")}, "2h", 7_200_000_000)
     + ")",
 )
 def multi_granularity(s: Star) -> DataFrame:
-    return _rounded(aggregate_datapoints(s.catalog.scan("datapoints"), ["average", "max"], ["1d|2h"]))
+    return rounded(aggregate_datapoints(s.catalog.scan("datapoints"), ["average", "max"], ["1d|2h"]))
 
 
 def _ordered_sql(expression: str, name: str, granularity: str, us: int, digits: int) -> str:
@@ -150,7 +150,7 @@ def _ordered_sql(expression: str, name: str, granularity: str, us: int, digits:
     with_views("dp") + _ordered_sql("coalesce(sum(abs(value - v0)), 0)", "totalVariation", "6h", H6, 6),
 )
 def agg_total_variation(s: Star) -> DataFrame:
-    return _rounded(aggregate_datapoints(s.catalog.scan("datapoints"), ["totalVariation"], ["6h"]))
+    return rounded(aggregate_datapoints(s.catalog.scan("datapoints"), ["totalVariation"], ["6h"]))
 
 
 @query(
@@ -163,7 +163,7 @@ def agg_total_variation(s: Star) -> DataFrame:
 )
 def agg_continuous_variance(s: Star) -> DataFrame:
     points = s.catalog.scan("datapoints").withColumn("isStep", F.col("id") % 2 == 0)
-    return _rounded(aggregate_datapoints(points, ["continuousVariance"], ["12h"], is_step="isStep"), 4)
+    return rounded(aggregate_datapoints(points, ["continuousVariance"], ["12h"], is_step="isStep"), 4)
 
 
 def _interpolated_sql(us: int, granularity: str, step: bool, name: str, where: str = "true") -> str:
@@ -187,7 +187,7 @@ def _interpolated_sql(us: int, granularity: str, step: bool, name: str, where: s
     with_views("dp") + _interpolated_sql(H12, "12h", True, "stepInterpolation"),
 )
 def agg_step_interpolation(s: Star) -> DataFrame:
-    return _rounded(aggregate_datapoints(s.catalog.scan("datapoints"), ["stepInterpolation"], ["12h"]))
+    return rounded(aggregate_datapoints(s.catalog.scan("datapoints"), ["stepInterpolation"], ["12h"]))
 
 
 @query(
@@ -196,7 +196,7 @@ def agg_step_interpolation(s: Star) -> DataFrame:
 )
 def agg_interpolation(s: Star) -> DataFrame:
     points = s.catalog.scan("datapoints").withColumn("isStep", F.col("id") % 2 == 0)
-    return _rounded(aggregate_datapoints(points, ["interpolation"], ["12h"], is_step="isStep"))
+    return rounded(aggregate_datapoints(points, ["interpolation"], ["12h"], is_step="isStep"))
 
 
 @query(
@@ -209,7 +209,7 @@ def agg_interpolation(s: Star) -> DataFrame:
 def agg_interpolation_range(s: Star) -> DataFrame:
     """The left neighbour of the first bucket lies before the range."""
     points = s.catalog.scan("datapoints").withColumn("isStep", F.col("id") % 2 == 0)
-    return _rounded(
+    return rounded(
         aggregate_datapoints(points, ["interpolation"], ["1d"], start="2024-01-10", end="2024-01-25", is_step="isStep")
     )
 
