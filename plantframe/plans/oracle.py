@@ -53,14 +53,14 @@ VIEWS = {
     "edges": """
         SELECT 'supply' AS space,
                concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity::INTEGER,
-                         strftime(l_shipdate, '%Y%m%d')) AS externalId,
+                         epoch_us(l_shipdate) // 86400000000) AS externalId,
                l_linenumber::BIGINT AS version, 'flag-' || l_returnflag AS typeId,
                'part-' || l_partkey AS startId, 'supplier-' || l_suppkey AS endId,
                l_quantity AS quantity, l_discount AS discount
         FROM lineitem""",
     "lines": """
         SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity::INTEGER,
-                         strftime(l_shipdate, '%Y%m%d')) AS key,
+                         epoch_us(l_shipdate) // 86400000000) AS key,
                l_shipdate AS lastUpdatedTime, l_returnflag AS rf, l_linestatus AS ls, l_returnflag = 'R' AS returned,
                round(l_extendedprice * 100)::BIGINT AS cents, l_linenumber AS num, l_partkey AS part,
                l_suppkey AS supp

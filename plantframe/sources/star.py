@@ -51,7 +51,7 @@ def line_key(separator: str) -> Column:
     """A key of an order line; line numbers repeat within an order, so the key names more than those."""
     return F.concat_ws(
         separator, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int"),
-        F.date_format("l_shipdate", "yyyyMMdd"),
+        F.unix_date(F.to_date("l_shipdate")),
     )
 
 
