@@ -7,8 +7,9 @@ shingle frequencies, as whole subsets, or with its one-deletion neighbourhood wh
 indexed with every whole subset and, in some segments of a band, with all one-deletions.
 
 Documents with equal sets are one node. Signatures travel in packed arrays to their shard, and only those that two
-nodes share become rows. Buckets are not expanded into pairs: a few leaders of each bucket are verified exactly against
-the members of other components, components merge, and this goes on until no bucket holds two components.
+nodes share become rows. Buckets are not expanded into pairs: each node is verified against one central node, which
+puts most of a group of near copies into one component, and where a bucket still holds several components, its members
+are verified in blocks.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, mix, staged, summed, text_of, with_group
@@ -28,6 +29,8 @@ from .common import components, mix, staged, summed, text_of, with_group
 WORDS, SIMILARITY, SKETCH, SHARD_SIGNATURES = 5, (80, 100), 1 << 18, 2_000_000
 #: Bytes of text handled at once; rows a shard holds before it lets go of shared ones.
 CHUNK, HELD = 2_000_000, 6_000_000
+#: Bytes of shingle hashes in a block of sets that are compared with each other.
+BLOCK = 2_000_000
 _U = np.uint64
 _INDEX, _PROBE, _GONE = 1, 2, 4
 
@@ -289,19 +292,106 @@ def _tokens(words: int):
     return of
 
 
-def _similar(num: int, den: int):
+def _compare(num: int, den: int, heads_only: bool):
+    """Links between the sets of two blocks whose components differ; of those that say the same, one."""
+
+    def unpack(block: list[dict]) -> tuple[list[int], list[int], list[np.ndarray]]:
+        return [x["node"] for x in block], [x["comp"] for x in block], [np.frombuffer(x["tokens"], "<u8") for x in block]
+
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(den * both >= num * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep, pa.bool_())), batch.column("b").filter(pa.array(keep, pa.bool_()))], names=["a", "b"])
+            for i in range(batch.num_rows):
+                names, comps, tokens = unpack(batch.column("x")[i].as_py())
+                others, their, theirs = (names, comps, tokens) if batch.column("same")[i].as_py() else unpack(batch.column("y")[i].as_py())
+                if heads_only:
+                    home = batch.column("home")[i].as_py()
+                    names, comps, tokens = ([x[j] for j in range(len(names)) if names[j] == home][:1] for x in (names, comps, tokens))
+                sizes, root = np.array([len(t) for t in theirs]), {}
+
+                def find(c):
+                    while root.get(c, c) != c:
+                        c = root[c]
+                    return c
+
+                known, ids = np.unique(np.concatenate(theirs), return_inverse=True)
+                at, links = np.repeat(np.arange(len(theirs)), sizes), []
+                their_now = np.array(their, np.int64)
+                for node, comp, own in zip(names, comps, tokens):
+                    there = np.searchsorted(known, own)
+                    there = there[(there < len(known)) & (known[np.minimum(there, len(known) - 1)] == own)]
+                    mark = np.zeros(len(known), bool)
+                    mark[there] = True
+                    both = np.bincount(at[mark[ids]], minlength=len(sizes))
+                    for j in np.flatnonzero((den * both >= num * (len(own) + sizes - both)) & (their_now != comp)):
+                        x, y = find(comp), find(their[j])
+                        if x != y:
+                            root[y] = x
+                            links.append((node, others[j]))
+                if links:
+                    a, b = zip(*links)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return of
 
 
+def _shared_buckets(rows: DataFrame) -> DataFrame:
+    """(sig, node) of the buckets in which a probing and an indexed set meet; of buckets with equal members, one."""
+    members = rows.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("h"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("g"), F.bit_or("role").alias("all")
+    )
+    one = members.filter("c > 1 and all & 3 = 3").groupBy("c", "h", "g").agg(F.min("sig").alias("sig")).select("sig")
+    return rows.select("sig", "node").join(staged(one), "sig", "left_semi")
+
+
+def _links(spark, buckets: DataFrame, tokens: DataFrame, num: int, den: int) -> DataFrame:
+    """Enough verified links (a, b) between nodes that share a bucket to connect all that are connected.
+
+    First every node is compared with one other: of the most central nodes of its buckets, the one that it meets most
+    often. Buckets whose members this puts into one component are done. The members of the others are compared in
+    blocks of bounded size, for all pairs of blocks that meet in a bucket, and no pair becomes a row.
+    """
+    central = buckets.groupBy("node").agg(F.count(F.lit(1)).alias("deg"))
+    named = buckets.join(staged(central), "node")
+    top = with_group(named, ["sig"], {"m": F.max(F.struct("deg", "node"))}, {"m": F.max("m")}).filter("m.node <> node")
+    met = top.groupBy("node", F.col("m.node").alias("head")).agg(F.count(F.lit(1)).alias("c"))
+    homes = met.groupBy("node").agg(F.max(F.struct("c", "head")).alias("m")).select("node", F.col("m.head").alias("home"))
+    sized = tokens.select("node", F.octet_length("tokens").alias("size")).join(homes, "node", "left").withColumn("home", F.coalesce("home", "node"))
+    sized = with_group(sized, ["home"], {"all": F.sum("size")}, {"all": F.sum("all")})
+    parts = F.ceil(F.col("all") / BLOCK).cast("int")
+    placed = staged(sized.select("node", "home", F.xxhash64("home", F.pmod(F.xxhash64("node"), parts)).alias("block")))
+    heads = placed.filter("node <> home").select("home", "block").distinct().select(F.col("home").alias("node"), "home", "block")
+
+    def blocks(members: DataFrame) -> DataFrame:
+        return members.join(tokens, "node").groupBy("block").agg(F.max("home").alias("home"), F.collect_list(F.struct("node", "comp", "tokens")).alias("x"))
+
+    def compared(pairs: DataFrame, heads_only: bool) -> DataFrame:
+        # Few rows in a batch, as each may hold two whole blocks.
+        key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = spark.conf.get(key)
+        spark.conf.set(key, "8")
+        try:
+            return staged(pairs.mapInArrow(_compare(num, den, heads_only), "a long, b long"))
+        finally:
+            spark.conf.set(key, before)
+
+    families = blocks(placed.join(heads.select("block").distinct(), "block", "left_semi").unionByName(heads).distinct().withColumn("comp", F.col("node")))
+    links = compared(families.select("home", "x", F.lit(True).alias("same")), True)
+    roots = staged(components(links)).select("node", F.col("root").alias("comp"))
+    now = staged(placed.join(roots, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    rows = staged(buckets.join(now, "node"))
+    several = rows.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("sig")
+    left = staged(rows.join(staged(several), "sig", "left_semi"))
+    both = left.select("sig", "block").distinct().groupBy("sig").agg(F.sort_array(F.collect_list("block")).alias("at")).select("at").distinct()
+    pairs = both.select(F.explode(F.expr("flatten(transform(at, (p, i) -> transform(slice(at, i + 1, size(at)), q -> struct(p as p, q as q))))")).alias("w")).select("w.p", "w.q").distinct()
+    packed_ = staged(blocks(left.select("node", "home", "block", "comp").distinct()))
+    first = packed_.select(F.col("block").alias("p"), "x")
+    second = packed_.select(F.col("block").alias("q"), F.col("x").alias("y"))
+    apart = staged(pairs).join(first, "p")
+    alone = apart.filter("p = q").select("x", F.lit(True).alias("same"), F.expr("filter(x, e -> false)").alias("y"))
+    across = apart.filter("p <> q").join(second, "q").select("x", F.lit(False).alias("same"), "y")
+    return links.unionAll(compared(alone.unionAll(across), False))
+
+
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (the smallest id that links reach), set_key.
 
@@ -321,51 +411,22 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shards = max(24, math.ceil(0.6 * total / SHARD_SIGNATURES))
     packets = rows.select("doc_id", "text").mapInArrow(_packets(words, similarity, shards, spark.sparkContext.broadcast(sketch)), "shard int, kind int, packet long, sig binary, node binary, role binary")
     met = packets.repartition("shard").sortWithinPartitions("shard", "kind", "packet").mapInArrow(_meet, "sig long, node long, role int")
-    buckets = met.groupBy("sig", "node").agg(F.bit_or("role").alias("role"))
-    buckets = staged(buckets)
-    several = buckets.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("sig")
-    buckets = staged(buckets.join(several, "sig", "left_semi").withColumn("comp", F.col("node")))
+    buckets = staged(_shared_buckets(staged(met.groupBy("sig", "node").agg(F.bit_or("role").alias("role")))))
     nodes = staged(buckets.select("node").distinct())
     keyed = sets.filter("n > 0")
-    # One row of each candidate set is read again; ids choose it, so texts shuffle only where a candidate is.
-    chosen = keyed.join(nodes, keyed["key"] == nodes["node"], "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
-    chosen = staged(chosen)
-    texts = rows.join(chosen.select("doc_id"), "doc_id", "left_semi")
-    tokens = texts.select("doc_id", "text").mapInArrow(_tokens(words), "node long, tokens binary").join(nodes, "node", "left_semi")
-    tokens = staged(tokens.groupBy("node").agg(F.first("tokens").alias("tokens")).withColumn("n", (F.octet_length("tokens") / 8).cast("long")))
-    links, tried = None, None
-    leaders_each = 1
-    while True:
-        open_ = buckets.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.bit_or("role").alias("all")).filter("lo < hi and all & 3 = 3").select("sig")
-        left = staged(buckets.join(open_, "sig", "left_semi"))
-        if left.isEmpty():
-            break
-        ranked = left.withColumn("_rank", F.row_number().over(Window.partitionBy("sig").orderBy("node"))).filter(F.col("_rank") <= leaders_each)
-        leaders = staged(ranked.select("sig", F.col("node").alias("head"), F.col("comp").alias("head_comp"), F.col("role").alias("head_role")))
-        pairs = left.join(leaders, "sig").filter("comp <> head_comp and ((role & 1 > 0 and head_role & 2 > 0) or (role & 2 > 0 and head_role & 1 > 0))")
-        pairs = pairs.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"), F.least("comp", "head_comp").alias("lo"), F.greatest("comp", "head_comp").alias("hi")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = staged(pairs)
-        tried = pairs.select("a", "b") if tried is None else tried.unionAll(pairs.select("a", "b"))
-        with_a = pairs.select("a", "b").join(tokens.select(F.col("node").alias("a"), F.col("tokens").alias("x"), F.col("n").alias("nx")), "a")
-        with_b = with_a.join(tokens.select(F.col("node").alias("b"), F.col("tokens").alias("y"), F.col("n").alias("ny")), "b")
-        with_b = with_b.filter(f"{den} * least(nx, ny) >= {num} * greatest(nx, ny)")
-        new = staged(with_b.select("a", "b", "x", "y").mapInArrow(_similar(num, den), "a long, b long"))
-        links = new if links is None else links.unionAll(new)
-        joined = staged(components(new.join(pairs, ["a", "b"]).select(F.col("lo").alias("a"), F.col("hi").alias("b"))))
-        rest = left.join(leaders.select("sig", F.col("head").alias("node")), ["sig", "node"], "left_anti")
-        rest = rest.join(joined.select(F.col("node").alias("comp"), "root"), "comp", "left")
-        buckets = staged(rest.select("sig", "node", "role", F.coalesce("root", "comp").alias("comp")))
-        leaders_each *= 8
+    # One row of each candidate set is read again.
+    chosen = staged(keyed.join(nodes, keyed["key"] == nodes["node"], "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct())
+    texts = rows.join(chosen, "doc_id", "left_semi")
+    tokens = texts.select("doc_id", "text").mapInArrow(_tokens(words), "node long, tokens binary")
+    tokens = staged(tokens.join(nodes, "node", "left_semi").dropDuplicates(["node"]))
+    links = _links(spark, buckets, tokens, num, den)
     keys = with_group(keyed, ["key"], {"id": F.min("doc_id")}, {"id": F.min("id")})
     own = keys.select("doc_id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.col("key").alias("set_key"))
-    if links is not None:
-        roots = staged(components(links))
-        lowest = keyed.groupBy("key").agg(F.min("doc_id").alias("id")).join(roots, F.col("key") == F.col("node"))
-        lowest = with_group(lowest.select("key", "id", "root"), ["root"], {"low": F.min("id")}, {"low": F.min("low")})
-        lowest = staged(lowest.select(F.col("key").alias("set_key"), "low"))
-        own = own.join(lowest, "set_key", "left").withColumn("component_id", F.coalesce("low", "component_id")).select("doc_id", "n_shingles", "component_id", "set_key")
+    roots = staged(components(links))
+    lowest = keyed.groupBy("key").agg(F.min("doc_id").alias("id")).join(roots, F.col("key") == F.col("node"))
+    lowest = with_group(lowest.select("key", "id", "root"), ["root"], {"low": F.min("id")}, {"low": F.min("low")})
+    lowest = staged(lowest.select(F.col("key").alias("set_key"), "low"))
+    own = own.join(lowest, "set_key", "left").withColumn("component_id", F.coalesce("low", "component_id")).select("doc_id", "n_shingles", "component_id", "set_key")
     none = sets.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("set_key"))
     return own.unionAll(none)
 
