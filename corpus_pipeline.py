@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plantframe.llm import exact_dedup, jaccard_join
+from plantframe.llm import exact_dedup, importance, jaccard_join, mixing, packing
 from plantframe.llm.common import staged
+from plantframe.llm.queries import ship, table, tokenizer
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that importance resampling towards the well labelled ones rejects go."""
+    return importance.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,12 +24,24 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return jaccard_join.drop_similar(docs)
 
 
-STAGES = [("exact dedup", exact), ("near duplicates", near)]
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document occurs at least once; documents of small sources up to twice."""
+    return mixing.mix(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents with their place in sequences."""
+    return packing.pack_documents(docs, tokenizer())
+
+
+STAGES = [("quality", quality), ("exact dedup", exact), ("near duplicates", near), ("mixing", mixed), ("packing", packed)]
+#: Tokenizing, sampling and packing are not SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    ship(spark)
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,16 +2,31 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, line_dedup
+from . import exact_dedup, importance, jaccard_join, language_model, licenses, line_dedup, mixing, packing, rabitq, warc
 
 QUERIES, SQL = {}, {}
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, unless they find it where they start."""
+    root = Path(__file__).resolve().parents[2]
+    known = [Path(p).resolve() for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)] if p]
+    context = spark.sparkContext
+    if root not in known and not any(f.endswith("/plantframe.zip") for f in context.listFiles):
+        context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/plantframe", "zip", root, "plantframe"))
+
+
 def register(run):
     def started(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         return run(spark, sf_dir)
 
@@ -23,6 +38,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register
+def op1_importance_resampling(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels")
+    return importance.resample(table(spark, sf_dir, "documents"), importance.target_ids(labels), share=importance.good_share(labels))
+
+
+@register
+def op2_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer())
+
+
+@register
+def op3_rabitq(spark, sf_dir):
+    return rabitq.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+@register
+def op4_warc(spark, sf_dir):
+    folder = warc.archive_folder(spark)
+    warc.write_archives(table(spark, sf_dir, "pages"), folder).write.format("noop").mode("overwrite").save()
+    return warc.read_archives(spark, folder).drop("url", "payload")
+
+
+@register
+def op5_pseudo_likelihood(spark, sf_dir):
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
+@register
+def op6_license_sentences(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+SQL["op6_license_sentences"] = licenses.scan_sql()
+
+
+@register
+def op8_mixing(spark, sf_dir):
+    return mixing.mix_plan(table(spark, sf_dir, "documents"))
+
+
 @register
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
