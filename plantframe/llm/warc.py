@@ -28,7 +28,7 @@ from .common import staged, with_group
 DICTIONARY_FRAME = 0x184D2A5D
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Records the dictionary is trained on, bytes taken of each, size of the dictionary; bytes after which an archive ends.
-SAMPLE, SAMPLE_BYTES, DICTIONARY, ARCHIVE = 1024, 8192, 1 << 16, 16 << 20
+SAMPLE, SAMPLE_BYTES, DICTIONARY, ARCHIVE = 1024, 4096, 1 << 16, 16 << 20
 LEVEL = 3
 
 
@@ -162,7 +162,11 @@ def write_archives(
     spark = pages.sparkSession
     html = F.coalesce(F.col(f"`{payload_col}`").cast("string"), F.lit(""))
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"), html.alias("html"))
-    sample = rows.orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE).select("page_id", "url", F.substring("html", 1, SAMPLE_BYTES)).collect()
+    # About twice the sample passes the hash, so what tasks send does not grow with the table.
+    share = 2 * SAMPLE / max(1, pages.count())
+    by_hash = F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 40))
+    sample = rows.filter(by_hash <= F.lit(int(share * (1 << 40)))).select("page_id", "url", F.substring("html", 1, SAMPLE_BYTES).alias("html"), by_hash.alias("h"))
+    sample = sample.orderBy("h", "page_id", "html").limit(SAMPLE).select("page_id", "url", "html").collect()
     samples = [record(i, "", url, text.encode(), None, date) for i, url, text in sample]
     dictionary = spark.sparkContext.broadcast(train(samples))
     rows = rows.withColumn("sha", F.sha1("html"))
