@@ -9,8 +9,11 @@ and looked up in the plan.
 
 from __future__ import annotations
 
+import base64
+import os
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
@@ -25,37 +28,48 @@ from .common import staged, text_of
 #: Tokens in a sequence; groups of large lengths; pieces of at most this share of a sequence are small.
 SEQUENCE, GROUPS, SMALL = 2048, 48, 1 / 16
 #: Words a worker remembers with their ids.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 #: White space stays with what follows it; no token of the vocabularies reaches over such a cut.
 _CUT = re.compile(r"\s*\S+|\s+")
+_PLAIN = re.compile(r"[\t\n\r\x20-\x7e\u00a1-\u024f]*")
 _tokenizers: dict[str, tuple] = {}
 
 
 def _tokenizer(path: str) -> tuple:
+    """The tokenizer; its vocabulary as ranks, if a file of that name lies beside it; the words met so far."""
     if path not in _tokenizers:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = Tokenizer.from_file(path), {}
+        ranks, fast = path.removesuffix(".json") + ".tiktoken", None
+        if os.path.exists(ranks):
+            import public_tokenizers
+            import tiktoken
+
+            with open(ranks, "rb") as lines:
+                known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
+        _tokenizers[path] = Tokenizer.from_file(path), fast, {}
     return _tokenizers[path]
 
 
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
     """Token ids of each text as little-endian unsigned 32-bit numbers, the same as of ``encode`` of the whole text.
 
-    A text is cut before white space, and words met before are looked up.
+    A text is cut before white space, and words met before are looked up. Plain new words go through the same merges
+    as ranks, which is faster word by word; others, and special tokens, through the tokenizer itself.
     """
-    tokenizer, known = _tokenizer(path)
+    tokenizer, fast, known = _tokenizer(path)
     words = [_CUT.findall(t) for t in texts]
     new = set().union(*words).difference(known)
     if len(known) + len(new) > REMEMBERED:
         known.clear()
         new = set().union(*words)
-    new = list(new)
-    for word, found in zip(new, tokenizer.encode_batch(new, add_special_tokens=False)):
-        known[word] = np.array(found.ids, "<u4").tobytes()
+    odd = [w for w in new if fast is None or "<|" in w or not _PLAIN.fullmatch(w)]
+    for word, found in zip(odd, tokenizer.encode_batch(odd, add_special_tokens=False)):
+        known[word] = array("I", found.ids).tobytes()
+    for word in new.difference(odd):
+        known[word] = array("I", fast.encode_ordinary(word)).tobytes()
     return [b"".join(map(known.__getitem__, w)) for w in words]
 
 
