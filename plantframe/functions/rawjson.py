@@ -16,7 +16,7 @@ from ..operators.skew import keep_greatest
 from ..session import cut_lineage
 
 # Rows read to infer a schema, and the column names that rows carry by themselves.
-INFER_LIMIT = 10_000
+LONG_LIST = 10_000
 RESERVED = (re.compile(r"_*key"), re.compile(r"_*lastUpdatedTime"))
 
 
@@ -58,8 +58,8 @@ def _spark_type(variant_schema: str) -> T.DataType:
     return T.DataType.fromDDL(_DECIMAL.sub(number, ddl))
 
 
-def infer_json_schema(df: DataFrame, column: str = "columns", limit: int | None = INFER_LIMIT) -> T.StructType:
-    """Schema of the JSON objects in a text column, from at most ``limit`` rows, fields by name."""
+def infer_json_schema(df: DataFrame, column: str = "columns", limit: int | None = None) -> T.StructType:
+    """Schema of the JSON objects in a text column, from all rows or at most ``limit``, fields by name."""
     sample = df.select(column) if limit is None else df.select(column).limit(limit)
     merged = sample.agg(F.schema_of_variant_agg(F.parse_json(column)).alias("s")).first()["s"]
     if not merged or not merged.startswith("OBJECT<") or merged == "OBJECT<>":
@@ -339,13 +339,13 @@ def to_json_table(df: DataFrame, ignore_null_fields: bool = False) -> DataFrame:
     return df.select(key.alias("key"), (F.to_json(made, options) if fields else F.lit("{}")).alias("columns"))
 
 
-def select_keys(df: DataFrame, keys: Sequence[str], limit: int = INFER_LIMIT) -> DataFrame:
+def select_keys(df: DataFrame, keys: Sequence[str], limit: int = LONG_LIST) -> DataFrame:
     """Rows with one of ``keys``; nulls in the list match nothing. Long lists travel as a table."""
     wanted = sorted({k for k in keys if k is not None})
     if len(wanted) <= limit:
         return df.filter(F.col("key").isin(wanted)) if wanted else df.filter(F.lit(False))
     listed = df.sparkSession.createDataFrame([(k,) for k in wanted], "key string")
-    return df.join(F.broadcast(listed), "key", "left_semi")  # the list came from the caller's memory
+    return df.join(listed, "key", "left_semi")
 
 
 def insert_rows(target: DataFrame, source: DataFrame, now: Column | None = None) -> DataFrame:

@@ -32,9 +32,8 @@ AGGREGATES = (
 _ORDERED = {"totalVariation", "continuousVariance"}
 _LEFT_NEIGHBOUR = {"interpolation", "stepInterpolation"}
 
-# The limits of a time range that is left open.
-DEFAULT_START = datetime(1900, 1, 1, tzinfo=timezone.utc)
-DEFAULT_END = datetime(2100, 1, 1, tzinfo=timezone.utc)
+# Microseconds that no timestamp reaches, for a time range that is left open.
+OPEN_START, OPEN_END = -(1 << 62), 1 << 62
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 # One series is sorted in slices of this length, so a task holds an hour of a series at most.
@@ -61,14 +60,13 @@ def inclusive_exclusive(
     """A time range as ``[start, end)`` in microseconds; open and closed ends differ by 1 ms."""
     if closed not in ("left", "right", "both", "neither"):
         raise PlantError(f"closed must be left, right, both or neither, not {closed}")
-    low = _utc(start) if start is not None else DEFAULT_START
-    high = _utc(end) if end is not None else DEFAULT_END
-    if start is not None and low < EPOCH or end is not None and high < EPOCH:
+    given = [_utc(m) for m in (start, end) if m is not None]
+    if any(m < EPOCH for m in given):
         raise PlantError("time limits before 1970-01-01 are not supported")
     step = 1000
-    low_us = _micros(low) + (step if start is not None and closed in ("right", "neither") else 0)
-    high_us = _micros(high) + (step if end is not None and closed in ("right", "both") else 0)
-    return low_us, high_us
+    low = OPEN_START if start is None else _micros(_utc(start)) + (step if closed in ("right", "neither") else 0)
+    high = OPEN_END if end is None else _micros(_utc(end)) + (step if closed in ("right", "both") else 0)
+    return low, high
 
 
 def _moment(micros: int) -> Column:
@@ -81,10 +79,15 @@ def in_time_range(
     end: datetime | str | None = None,
     closed: str = "left",
 ) -> Column:
-    """Predicate for a timestamp column, in a form that reaches the parquet scan."""
+    """Predicate for a timestamp column, in a form that reaches the parquet scan. An open end adds no limit."""
     low, high = inclusive_exclusive(start, end, closed)
     moment = F.col(column) if isinstance(column, str) else column
-    return (moment >= _moment(low)) & (moment < _moment(high))
+    inside = moment.isNotNull()
+    if start is not None:
+        inside = inside & (moment >= _moment(low))
+    if end is not None:
+        inside = inside & (moment < _moment(high))
+    return inside
 
 
 def datapoints(
@@ -185,8 +188,10 @@ def aggregate_datapoints(
         options.append((name, size, first_bucket, last_end))
     widest_low = min(o[2] for o in options)
     widest_high = max(o[3] for o in options)
-    points = dp.filter(F.col("timestamp") < _moment(widest_high))
-    if not neighbour:
+    points = dp.filter(F.col("timestamp").isNotNull())
+    if end is not None:
+        points = points.filter(F.col("timestamp") < _moment(widest_high))
+    if start is not None and not neighbour:
         points = points.filter(F.col("timestamp") >= _moment(widest_low))
 
     rows = points.select(
@@ -364,30 +369,41 @@ def first_rows(
 
     Small ``n`` is a rank filter, which Spark applies before the shuffle too. For a large ``n`` the rows
     per time slice are counted first, so that only slices that can contribute are read and no task
-    sorts a whole series.
+    sorts a whole series. Both give the same rows: those without a time come first, ties go by the other columns.
     """
     series = list(series)
+    order = _total_order(df, position)
     if n <= GROUP_LIMIT:
-        order = Window.partitionBy(*series).orderBy(position)
-        return df.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= n).drop("_rank")
-    sliced = df.withColumn("_slice", F.floor(F.unix_micros(position) / slice_micros))
+        ranked = Window.partitionBy(*series).orderBy(*order)
+        return df.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") <= n).drop("_rank")
+    # Rows without a position come first, in a slice of their own, as they do in the rank filter.
+    sliced = df.withColumn("_slice", F.coalesce(F.floor(F.unix_micros(position) / slice_micros), F.lit(-(1 << 62))))
     before = Window.partitionBy(*series).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     counts = (
         sliced.groupBy(*series, "_slice")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .filter(F.col("_offset") < n)
-        .drop("_n")
+        .select(*[F.col(c).alias(f"_of_{c}") for c in series], F.col("_slice").alias("_of_slice"), "_offset")
     )
-    inside = Window.partitionBy(*series, "_slice").orderBy(position)
+    same = F.col("_slice") == F.col("_of_slice")
+    for c in series:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    inside = Window.partitionBy(*series, "_slice").orderBy(*order)
     return (
-        sliced.join(counts, [*series, "_slice"])
+        sliced.join(counts, same)
         .withColumn("_rank", F.col("_offset") + F.row_number().over(inside))
         .filter(F.col("_rank") <= n)
-        .drop("_rank", "_offset", "_slice")
+        .select(*df.columns)
     )
 
 
+def _total_order(df: DataFrame, position: str) -> list[str]:
+    """The position, then every other column that can be ordered, so that ties are settled by the rows alone."""
+    unordered = ("map", "variant")
+    return [position, *[c for c, kind in df.dtypes if c != position and not any(u in kind for u in unordered)]]
+
+
 def page_after(dp: DataFrame, after: datetime | str, n: int, series: Sequence[str] = ("id",)) -> DataFrame:
     """The next page: up to ``n`` points per series, at least 1 ms after ``after``."""
     low, _ = inclusive_exclusive(after, None, "right")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plantframe import PlantError
-from plantframe.functions.granularity import parse_all, to_micros
+from plantframe.functions.granularity import UNIT_SECONDS, parse_all, to_micros
 from plantframe.operators import datapoints as dpm
 from plantframe.operators.datapoints import aggregate_datapoints, datapoints, first_rows, page_after
 
@@ -16,15 +16,17 @@ def points(spark, data):
     return spark.createDataFrame(data, "id long, externalId string, timestamp timestamp, value double")
 
 
-@pytest.mark.parametrize("text", "1d day h hour m minute 1hour 2h 20d 13day 7m 7minute s w 3week".split())
-def test_good_granularities(text):
-    assert to_micros(text) > 0
+@pytest.mark.parametrize("unit", UNIT_SECONDS)
+def test_good_granularities(unit):
+    assert to_micros(unit) == to_micros(f"1{unit}") == UNIT_SECONDS[unit] * 1_000_000
+    assert [to_micros(f"{n}{unit}") for n in (4, 17, 250)] == [n * to_micros(unit) for n in (4, 17, 250)]
 
 
-@pytest.mark.parametrize("text", ["30", "dd", "d30", "1", "0", "1.2d", "1.4y", "1.4seconds", "", "0d", "01d", "d|h"])
-def test_bad_granularities(text):
-    with pytest.raises(PlantError):
-        to_micros(text)
+@pytest.mark.parametrize("unit", UNIT_SECONDS)
+def test_bad_granularities(unit):
+    for text in f"0{unit}", f"04{unit}", f"-3{unit}", f"2.5{unit}", f"{unit}6", f"{unit}x", f"3 {unit}", "", "5":
+        with pytest.raises(PlantError):
+            to_micros(text)
 
 
 def test_all_granularity_errors_are_reported():
@@ -43,18 +45,31 @@ def test_request_errors(spark):
         datapoints(dp, ids=[1], start="1969-12-31")
 
 
-@pytest.mark.parametrize("closed, emel, emel2", [
-    ("left", [0.2, 0.3, 0.4], [0.8]), ("right", [0.3, 0.4, 0.5], [0.9]), ("neither", [0.3, 0.4], []),
-    ("both", [0.2, 0.3, 0.4, 0.5], [0.8, 0.9]),
-])
-def test_open_and_closed_ranges(spark, closed, emel, emel2):
-    end = T0 + timedelta(days=1)
-    data = [(1, "emel", T0 + timedelta(hours=8 * i), v) for i, v in enumerate([0.2, 0.3, 0.4, 0.5])]
-    data += [(2, "emel2", T0, 0.8), (2, "emel2", end, 0.9)]
-    for name, expected in ("emel", emel), ("emel2", emel2):
-        found = datapoints(points(spark, data), external_ids=[name], start=str(T0), end=str(end), closed=closed)
-        assert sorted(r.value for r in found.collect()) == expected
-        assert all(r.id is None and r.externalId == name for r in found.collect())
+@pytest.mark.parametrize("closed", ["left", "right", "neither", "both"])
+def test_open_and_closed_ranges(spark, closed):
+    end = T0 + timedelta(minutes=60)
+    data = [(1, "pump", T0 + timedelta(minutes=10 * i), float(i)) for i in range(-1, 8)]
+    found = datapoints(points(spark, data), external_ids=["pump"], start=str(T0), end=str(end), closed=closed)
+    low, high = (0 if closed in ("left", "both") else 1), (6 if closed in ("right", "both") else 5)
+    assert sorted(r.value for r in found.collect()) == [float(i) for i in range(low, high + 1)]
+    assert all(r.id is None and r.externalId == "pump" for r in found.collect())
+
+
+def test_open_ends_add_no_limit(spark):
+    data = [(1, "a", datetime(y, 5, 1), float(y)) for y in (1850, 1999, 2150)]
+    assert sorted(r.value for r in datapoints(points(spark, data), ids=[1]).collect()) == [1850.0, 1999.0, 2150.0]
+    counted = aggregate_datapoints(points(spark, data), ["count", "interpolation"], ["1d"]).filter("aggregation = 'count'")
+    assert counted.count() == 3
+
+
+def test_first_rows_is_one_rule(spark, monkeypatch):
+    data = [(1, "a", t, v) for t in (None, T0, T0, T0 + timedelta(hours=3)) for v in (2.0, 1.0)] + [(None, "b", T0, 5.0)]
+    frame = points(spark, data).repartition(4)
+    for n in 1, 3, 5, 200:
+        ranked = sorted(map(repr, first_rows(frame, ["id"], n).collect()))
+        monkeypatch.setattr(dpm, "GROUP_LIMIT", 0)
+        assert sorted(map(repr, first_rows(frame, ["id"], n).collect())) == ranked
+        monkeypatch.undo()
 
 
 def test_bucket_start_decides_and_values_cover_the_bucket(spark):
