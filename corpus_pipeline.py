@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from plantframe.llm import exact_dedup, importance, jaccard_join, mixing, packing
-from plantframe.llm.common import staged
+from plantframe.llm.common import bound_batches, staged
 from plantframe.llm.queries import ship, table, tokenizer
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling towards the well labelled ones rejects go."""
+    bound_batches(spark)
     return importance.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
@@ -21,6 +22,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar word shingles stays."""
+    bound_batches(spark)
     return jaccard_join.drop_similar(docs)
 
 
@@ -31,6 +33,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents with their place in sequences."""
+    bound_batches(spark)
     return packing.pack_documents(docs, tokenizer())
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -46,6 +47,21 @@ def with_group(rows: DataFrame, keys: list[str], firsts: dict[str, Column], merg
     return salted.join(whole.withColumn("_salt", F.explode("_salts")).drop("_salts"), [*keys, "_salt"]).drop("_salt")
 
 
+def bound_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Let no batch of texts that goes to Python hold much more than ``size``, however long its documents are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def text_chunks(texts: pa.Array, size: int) -> Iterator[tuple[int, int, list[str]]]:
+    """(from, to, texts) of about ``size`` bytes, one text at least; no others are Python strings at that time."""
+    ends, at = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while at < len(texts):
+        full = size + (ends[at - 1] if at else 0)
+        to = max(at + 1, min(len(texts), int(np.searchsorted(ends, full)) + 1))
+        yield at, to, texts.slice(at, to - at).to_pylist()
+        at = to
+
+
 def fixed_width(column: pa.Array, width: int) -> np.ndarray:
     """A binary column whose values all have ``width`` bytes, as unsigned 64-bit words per row."""
     return np.frombuffer(b"".join(column.to_pylist()), dtype="<u8").reshape(-1, width // 8)

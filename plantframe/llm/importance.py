@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, packed, staged, text_of
+from .common import mix, packed, staged, text_chunks, text_of
 
 #: Hash buckets; longest n-gram; labelled target documents the target model is fitted on, at most; pseudo-count.
 BUCKETS, LONGEST, TARGET_DOCS, SMOOTHING = 10_000, 2, 20_000, 100.0
@@ -41,23 +41,12 @@ def ngram_buckets(texts: list[str], buckets: int, longest: int) -> tuple[np.ndar
     return np.concatenate(found), np.concatenate(owner)
 
 
-def _chunked(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[str]]]:
-    texts, at = batch.column(1).to_pylist(), 0
-    while at < len(texts):
-        to, held = at, 0
-        while to < len(texts) and (to == at or held < _CHUNK):
-            held += len(texts[to])
-            to += 1
-        yield at, to, texts[at:to]
-        at = to
-
-
 def _count(buckets: int, longest: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for batch in batches:
             good = batch.column(0).to_numpy(zero_copy_only=False).astype(bool)
-            for at, to, texts in _chunked(batch):
+            for at, to, texts in text_chunks(batch.column(1), _CHUNK):
                 found, owner = ngram_buckets(texts, buckets, longest)
                 raw += np.bincount(found, minlength=buckets)
                 target += np.bincount(found[good[at:to][owner]], minlength=buckets)
@@ -88,9 +77,8 @@ def _weights(ratios, buckets: int, longest: int):
     def weigh(texts):
         import pandas as pd
 
-        batch = pa.RecordBatch.from_arrays([pa.nulls(len(texts)), pa.array(texts, pa.string())], names=["_", "text"])
         weights = [np.zeros(0)]
-        for _, _, some in _chunked(batch):
+        for _, _, some in text_chunks(pa.array(texts, pa.string()), _CHUNK):
             found, owner = ngram_buckets(some, buckets, longest)
             weights.append(np.bincount(owner, ratios.value[found], minlength=len(some)))
         return pd.Series(np.concatenate(weights))

@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged, text_of
+from .common import staged, text_chunks, text_of
 
 #: Tokens in a sequence; groups of large lengths; pieces of at most this share of a sequence are small.
 SEQUENCE, GROUPS, SMALL = 2048, 48, 1 / 16
-#: Words a worker remembers with their ids.
-REMEMBERED = 300_000
+#: Words a worker remembers with their ids; bytes of text it cuts into words at once.
+REMEMBERED, CHUNK = 300_000, 1_000_000
 #: White space stays with what follows it; no token of the vocabularies reaches over such a cut.
 _CUT = re.compile(r"\s*\S+|\s+")
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\u00a1-\u024f]*")
@@ -77,15 +77,10 @@ def _pieces(path: str, end: int, most: int, with_ids: bool):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = np.array([end], "<u4").tobytes()
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            at = 0
-            while at < len(texts):
-                to, held = at, 0
-                while to < len(texts) and (to == at or held < 2_000_000):
-                    held += len(texts[to])
-                    to += 1
+            ids = batch.column(0)
+            for at, _, texts in text_chunks(batch.column(1), CHUNK):
                 cells = []
-                for row, tokens in enumerate(token_bytes(texts[at:to], path), at):
+                for row, tokens in enumerate(token_bytes(texts, path), at):
                     tokens += last
                     n = len(tokens) // 4
                     first = n % most or most
@@ -102,7 +97,6 @@ def _pieces(path: str, end: int, most: int, with_ids: bool):
                     out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(out, names=names)
-                at = to
 
     return of
 

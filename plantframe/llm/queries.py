@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup, importance, jaccard_join, language_model, licenses, line_dedup, mixing, packing, rabitq, warc
+from .common import bound_batches
 
 QUERIES, SQL = {}, {}
 
@@ -52,6 +53,7 @@ def op1_importance_resampling(spark, sf_dir):
 
 @register
 def op2_packing(spark, sf_dir):
+    bound_batches(spark)
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer())
 
 
