@@ -276,6 +276,8 @@ class InstanceResult:
     properties: DataFrame | None
     changes: DataFrame
     errors: DataFrame
+    # After a write of edges: the nodes, with placeholders for the missing ones.
+    nodes: DataFrame | None = None
 
 
 def _property_value(df: DataFrame, prop: Property, space: Column) -> tuple[Column, Column]:

@@ -7,6 +7,7 @@ of depth ``d`` needs about ``log2(d)`` joins, and each round is cut on shared st
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..errors import PlantError
 from ..session import cut_lineage
-from .skew import keep_greatest, lookup
+from .skew import dense_rank_ids, keep_greatest, lookup
 
 COMPARED = ("description", "metadata", "name", "source", "dataSetId", "labels")
 CLEARABLE = ("description", "source", "dataSetId")
@@ -254,11 +255,13 @@ def reconcile_hierarchy(
     subtrees: str = "ingest",
     delete_missing: bool = False,
     ignore_null_fields: bool = True,
+    now: datetime | None = None,
 ) -> HierarchyResult:
     """Bring the ingested trees of ``target`` in line with ``source``.
 
     ``subtrees`` says what happens to input trees whose root has a parent outside the input: ingest them
-    under that parent, ignore them, or report an error.
+    under that parent, ignore them, or report an error. The new table has all columns of ``target``: new
+    assets get an id, the times, and the ids of their parent and root; changed ones a new time and parent id.
     """
     if subtrees not in ("ingest", "ignore", "error"):
         raise PlantError(f"subtrees must be ingest, ignore or error, not {subtrees}")
@@ -293,37 +296,61 @@ def reconcile_hierarchy(
         deleted = missing_nodes(roots, target)
         changes = changes.unionByName(deleted.select("externalId", F.lit("delete").alias("change")))
     changes = cut_lineage(changes)
-    return HierarchyResult(_apply(target, nodes, changes, ignore_null_fields), changes, errors)
+    stamp = F.current_timestamp() if now is None else F.lit(now)
+    return HierarchyResult(_apply(target, nodes, roots, changes, ignore_null_fields, stamp), changes, errors)
 
 
-def _apply(target: DataFrame, nodes: DataFrame, changes: DataFrame, ignore_null_fields: bool) -> DataFrame:
-    columns = [c for c in ("externalId", "parentExternalId", *COMPARED) if c in target.columns]
-    given = [c for c in columns if c in nodes.columns]
+def _apply(
+    target: DataFrame, nodes: DataFrame, roots: DataFrame, changes: DataFrame, ignore_null_fields: bool, stamp: Column
+) -> DataFrame:
+    has = set(target.columns)
+    given = [c for c in ("parentExternalId", *COMPARED) if c in has and c in nodes.columns]
     writes = changes.filter("change in ('insert', 'update')")
     fresh = cut_lineage(
         nodes.join(writes, "externalId").select(
             "externalId",
             "change",
-            *[
-                (F.when(F.col(c) != "", F.col(c)) if c == "parentExternalId" else F.col(c)).alias(f"_{c}")
-                for c in given
-                if c != "externalId"
-            ],
+            *[(F.when(F.col(c) != "", F.col(c)) if c == "parentExternalId" else F.col(c)).alias(f"_{c}") for c in given],
         )
     )
     gone = changes.filter("change = 'delete'").select("externalId")
-    kept = target.select(*columns).join(gone, "externalId", "left_anti")
-    joined = kept.join(fresh.filter("change = 'update'"), "externalId", "left")
+    kept = target.join(gone, "externalId", "left_anti")
+    added = fresh.filter("change = 'insert'").select("externalId", *[F.col(f"_{c}").alias(c) for c in given])
+    updates = fresh.filter("change = 'update'").withColumn("_parent", F.lit(None).cast("long"))
+    if "id" in has:
+        highest = target.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+        numbered = dense_rank_ids(added, F.col("externalId"), "_rank")
+        added = cut_lineage(numbered.withColumn("id", (highest + 1 + F.col("_rank")).cast("long")).drop("_rank"))
+        ids = kept.select("externalId", "id").unionByName(added.select("externalId", "id"))
+        if "parentId" in has and "parentExternalId" in given:
+            parents = ids.select(F.col("externalId").alias("_of"), F.col("id").alias("_parent"))
+            added = added.join(parents, F.col("parentExternalId") == F.col("_of"), "left").drop("_of")
+            added = added.withColumnRenamed("_parent", "parentId")
+            updates = updates.drop("_parent").join(parents, F.col("_parentExternalId") == F.col("_of"), "left").drop("_of")
+        if "rootId" in has:
+            # Nodes stay below their root, so only new ones need its id: that of the tree they hang under, or of their top.
+            above = target.select(F.col("externalId").alias("rootParent"), F.col("rootId").alias("_under"))
+            tops = roots.select("root", "rootParent").distinct().join(above, "rootParent", "left")
+            tops = tops.join(ids.select(F.col("externalId").alias("root"), F.col("id").alias("_top")), "root", "left")
+            tops = tops.select("root", F.coalesce("_under", "_top").alias("rootId"))
+            added = added.join(roots.select("externalId", "root"), "externalId").join(tops, "root").drop("root")
+    for time in ("createdTime", "lastUpdatedTime"):
+        if time in has:
+            added = added.withColumn(time, stamp.cast(target.schema[time].dataType))
+    joined = kept.join(updates, "externalId", "left")
+    hit = F.col("change").isNotNull()
 
     def merged(column: str) -> Column:
-        if column not in given or column == "externalId":
-            return F.col(column)
+        old = F.col(column)
+        if column == "lastUpdatedTime":
+            return F.when(hit, stamp.cast(target.schema[column].dataType)).otherwise(old).alias(column)
+        if column == "parentId":
+            return F.coalesce("_parent", old).alias(column)
+        if column not in given:
+            return old
         new = F.col(f"_{column}")
         if ignore_null_fields or column not in CLEARABLE:
-            new = F.coalesce(new, F.col(column))
-        return F.when(F.col("change").isNotNull(), new).otherwise(F.col(column)).alias(column)
+            new = F.coalesce(new, old)
+        return F.when(hit, new).otherwise(old).alias(column)
 
-    added = fresh.filter("change = 'insert'").select(
-        "externalId", *[F.col(f"_{c}").alias(c) for c in given if c != "externalId"]
-    )
-    return joined.select(*[merged(c) for c in columns]).unionByName(added, allowMissingColumns=True)
+    return joined.select(*[merged(c) for c in target.columns]).unionByName(added, allowMissingColumns=True)

@@ -12,8 +12,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..errors import PlantError
+from ..functions.convert import clean_metadata, normalise_labels
 from ..session import cut_lineage
 from ..sources.schemas import WRITE_RULES, WriteRules
 from .skew import dense_rank_ids, keep_greatest
@@ -92,12 +94,26 @@ def merge(
         )
     if mode == "delete":
         return _delete(target, source, rules, ignore_unknown_ids)
-    work = _Merge(target, source, rules, ignore_null_fields, order, stamp)
+    work = _Merge(target, _tidied(source), rules, ignore_null_fields, order, stamp)
     if mode == "abort":
         return work.insert()
     return work.update() if mode == "update" else work.upsert()
 
 
+def _tidied(source: DataFrame) -> DataFrame:
+    """Values as they are stored: maps without nulls; an empty list of labels or sequence columns is not given."""
+
+    def value(field: T.StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.MapType):
+            column = clean_metadata(column)
+        elif field.name in ("labels", "columns") and isinstance(field.dataType, T.ArrayType):
+            column = normalise_labels(column)
+        return column.alias(field.name)
+
+    return source.select(*[value(f) for f in source.schema.fields])
+
+
 class _Merge:
     def __init__(
         self,
@@ -171,6 +187,14 @@ class _Merge:
             return cut_lineage(known)
         return cut_lineage(keep_greatest(known, ["_key"], [(F.col("_by") == "id").cast("int")]))
 
+    def _changed_types(self, updates: DataFrame) -> list[DataFrame]:
+        """Errors for updates that would give a sequence column another value type."""
+        if "columns" not in self.fields:
+            return []
+        old = self.target.select(F.col(self.key).alias("_key"), F.col("columns").alias("_old"))
+        other = F.expr("exists(columns, c -> exists(_old, o -> o.externalId = c.externalId and o.valueType <> c.valueType))")
+        return [_errors(updates.join(old, "_key").filter(other), "the value type of a sequence column can not change")]
+
     def _is_empty_update(self) -> Column:
         if not self.ignore_null_fields:
             return F.lit(False)
@@ -260,7 +284,8 @@ class _Merge:
             _errors(nameless, "an update needs an id or externalId"),
             self._unknown(resolved),
         ]
-        return self._result(None, self._updates(resolved), problems)
+        updates = self._updates(resolved)
+        return self._result(None, updates, problems + self._changed_types(updates))
 
     def upsert(self) -> MergeResult:
         resolved = self._resolve(self.source)
@@ -271,7 +296,8 @@ class _Merge:
             only_update = F.col(only).isNull() if only in self.source.columns else F.lit(True)
         new = F.col("_key").isNull() & (F.col("_by") == "name") & ~only_update
         created, errors = self._create(resolved.filter(new).drop("_key", "_by").unionByName(nameless))
-        return self._result(created, self._updates(resolved), [self._unknown(resolved.filter(~new)), errors])
+        updates = self._updates(resolved)
+        return self._result(created, updates, [self._unknown(resolved.filter(~new)), errors, *self._changed_types(updates)])
 
 
 def _delete(target: DataFrame, source: DataFrame, rules: WriteRules, ignore_unknown_ids: bool) -> MergeResult:

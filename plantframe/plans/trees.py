@@ -158,16 +158,20 @@ def hier_delete_missing(s: Star) -> DataFrame:
     "hier_reconcile",
     with_views("assets")
     + f""",{_CHANGES}
-    SELECT a.externalId, a.parentExternalId, CASE WHEN change = 'update' THEN upper(name) ELSE name END AS name,
+    SELECT id, a.externalId, parentId, rootId, a.parentExternalId, CASE WHEN change = 'update' THEN upper(name) ELSE name END AS name,
            description, source, dataSetId, label
     FROM assets a JOIN changes c ON c.externalId = a.externalId
     UNION ALL
-    SELECT 'supplier-' || s_suppkey, 'nation-' || s_nationkey, s_name, NULL, 'supplier', NULL, NULL FROM supplier""",
+    SELECT NULL, 'supplier-' || s_suppkey, s_nationkey + 1000, n_regionkey + 1, 'nation-' || s_nationkey, s_name, NULL, 'supplier',
+           NULL, NULL
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
 )
 def hier_reconcile(s: Star) -> DataFrame:
     result = reconcile_hierarchy(_target(s), _changed(s), delete_missing=True).raise_for_errors()
+    # Ids of new assets are any unused numbers.
     return result.table.select(
-        "externalId", "parentExternalId", "name", "description", "source", "dataSetId",
+        F.when(F.col("source") != "supplier", F.col("id")).alias("id"), "externalId", "parentId", "rootId",
+        "parentExternalId", "name", "description", "source", "dataSetId",
         F.array_join("labels", ",").alias("label"),
     )
 

@@ -15,7 +15,17 @@ from pyspark.sql import types as T
 
 from .errors import PlantError
 from .functions.rawjson import drop_null_fields, infer_json_schema, insert_rows, read_json_table
-from .operators.graph import Graph, delete_instances, scan_instances, scan_model, upsert_instances
+from .operators.graph import (
+    KEY,
+    Graph,
+    InstanceResult,
+    auto_create_nodes,
+    classify_instances,
+    delete_instances,
+    scan_instances,
+    scan_model,
+    upsert_instances,
+)
 from .operators.hierarchy import delete_subtrees, reconcile_hierarchy
 from .operators.merge import merge
 from .operators.series_writes import (
@@ -26,7 +36,7 @@ from .operators.series_writes import (
     upsert_points,
     upsert_sequence_rows,
 )
-from .operators.sync import sync
+from .operators.sync import parse_cursor, sync
 from .sources.catalog import Catalog
 from .sources.files import FILE_LIMIT, LINE_LIMIT, limit_errors, read_file_content
 
@@ -137,10 +147,14 @@ class Workspace:
     def _synced(self, rows: DataFrame, kind: str, options: Mapping[str, object]) -> DataFrame:
         if kind == "all":
             raise PlantError("a sync reads nodes or edges, not both")
+        cursor = str(options["cursor"]) or None
+        if cursor:
+            # On the stored column, so that it reaches the files below the view's join.
+            rows = rows.filter(F.col(f"`{kind}.lastUpdatedTime`") >= parse_cursor(cursor)[0] // 1000)
         work = rows.withColumn("_time", F.timestamp_millis(f"`{kind}.lastUpdatedTime`")).withColumn(
             "_item", F.concat_ws("/", "space", "externalId")
         )
-        found, _ = sync(work, str(options["cursor"]) or None, time="_time", item="_item")
+        found, _ = sync(work, cursor, time="_time", item="_item")
         return found.drop("_time", "_item")
 
     def _one_sequence(self, options: Mapping[str, object]):
@@ -203,16 +217,55 @@ class Workspace:
     def _write_instances(self, df: DataFrame, mode: str, keep_null: bool, options: Mapping[str, object]):
         graph, space = self._graph(), options.get("instanceSpace")
         kind = str(options.get("instanceType", "edge" if "edgeTypeSpace" in options else "node"))
+        if kind == "all":
+            return self._write_mixed(df, mode, keep_null, options)
         table = graph.edges if kind == "edge" else graph.nodes
         if mode == "delete":
             return delete_instances(table, df, space)
         if mode != "upsert":
             raise PlantError(f"instances take upsert, not {mode}")
         view = options.get("viewExternalId")
+        return self._upsert(df, kind, keep_null, options, graph.nodes, graph.properties[str(view)] if view else None)
+
+    def _write_mixed(self, df: DataFrame, mode: str, keep_null: bool, options: Mapping[str, object]):
+        """Nodes and edges in one frame: the results for nodes and for edges, and the rows that are neither.
+
+        A delete gives the nodes and the edges that stay.
+        """
+        graph, space = self._graph(), options.get("instanceSpace")
+        if mode == "delete":
+            return delete_instances(graph.nodes, df, space), delete_instances(graph.edges, df, space)
+        if mode != "upsert":
+            raise PlantError(f"instances take upsert, not {mode}")
+        view = options.get("viewExternalId")
+        nodes, edges, errors = classify_instances(df, space)
+        first = self._upsert(nodes, "node", keep_null, options, graph.nodes, graph.properties[str(view)] if view else None)
+        return first, self._upsert(edges, "edge", keep_null, options, first.instances, first.properties), errors
+
+    def _upsert(
+        self, df: DataFrame, kind: str, keep_null: bool, options: Mapping[str, object], nodes: DataFrame, properties: DataFrame | None
+    ) -> InstanceResult:
+        """An upsert with the nodes it refers to: missing ones get placeholders, or are errors where options forbid them."""
+        graph, space = self._graph(), options.get("instanceSpace")
+        view = graph.views[str(options["viewExternalId"])] if options.get("viewExternalId") else None
         edge_type = None
         if "edgeTypeSpace" in options:
             edge_type = (str(options["edgeTypeSpace"]), _required(options, "edgeTypeExternalId"))
-        return upsert_instances(
-            table, df, kind, graph.views[str(view)] if view else None, graph.properties[str(view)] if view else None,
+        result = upsert_instances(
+            graph.edges if kind == "edge" else nodes, df, kind, view, properties,
             instance_space=space, edge_type=edge_type, ignore_null_fields=keep_null,
         )
+        direct = [p.name for p in (view.properties if view else ()) if p.kind == "direct" and p.name in df.columns]
+        known, refused = auto_create_nodes(
+            df if kind == "edge" else df.drop("startNode", "endNode"), nodes if kind == "edge" else result.instances,
+            start_nodes=_flag(options, "autoCreateStartNodes", True), end_nodes=_flag(options, "autoCreateEndNodes", True),
+            direct_relations=direct, auto_create_direct_relations=_flag(options, "autoCreateDirectRelations", True),
+            instance_space=space,
+        )
+        absent = refused.select(*KEY, F.lit("a row refers to this node, which does not exist").alias("error"))
+        result.errors = result.errors.unionByName(absent)
+        if kind == "edge":
+            result.nodes = known
+        else:
+            result.instances = known
+        return result

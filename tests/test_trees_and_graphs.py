@@ -100,6 +100,17 @@ def test_move_update_and_delete(spark):
     assert len(as_dict(kept.table)) == 4
 
 
+def test_assets_keep_and_get_their_ids(spark):
+    data = [("r", None, "R", 5, None, 5, 1), ("a", "r", "A", 6, 5, 5, 2), ("b", "r", "B", 9, 5, 5, 3)]
+    target = spark.createDataFrame(data, TREE + ", id long, parentId long, rootId long, extra int")
+    source = tree(spark, b="a", c="b", top="", under="top").unionByName(tree(spark, a="r"))
+    found = {r.externalId: r for r in reconcile_hierarchy(target, source).raise_for_errors().table.collect()}
+    assert (found["a"].id, found["a"].extra, found["b"].id, found["b"].parentId, found["b"].rootId) == (6, 2, 9, 6, 5)
+    assert (found["c"].parentId, found["c"].rootId, found["top"].parentId, found["top"].rootId) == (9, 5, None, found["top"].id)
+    assert found["under"].parentId == found["top"].id == found["under"].rootId
+    assert {found[k].id for k in ("c", "top", "under")} == {10, 11, 12}
+
+
 def test_only_the_ingested_subtree_loses_nodes(spark):
     target = tree(spark, r=None, a="r", a1="a", a2="a", b="r", b1="b")
     result = reconcile_hierarchy(target, tree(spark, a="r", a1="a"), delete_missing=True).raise_for_errors()

@@ -76,6 +76,40 @@ def test_writes(spark, space):
     assert gone.filter("externalId = 'region-1'").count() == 0
 
 
+REF = "struct<space:string,externalId:string>"
+
+
+def test_mixed_instances_and_missing_nodes(spark, space):
+    data = [("n", None, None, None), ("e", ("t", "x"), ("parts", "part-1"), ("parts", "fresh")), ("half", ("t", "x"), ("parts", "part-1"), None)]
+    df = spark.createDataFrame(data, f"externalId string, type {REF}, startNode {REF}, endNode {REF}")
+    mixed = {"type": "instances", "instanceType": "all", "instanceSpace": "mine"}
+    nodes, edges, errors = space.write(df, onconflict="upsert", **mixed)
+    assert [r.externalId for r in nodes.instances.filter("space = 'mine'").collect()] == ["n"]
+    assert [(r.externalId, r.endNode.externalId) for r in edges.instances.filter("space = 'mine'").collect()] == [("e", "fresh")]
+    assert edges.nodes.filter("externalId = 'fresh'").count() == 1 and edges.errors.count() == 0
+    assert [r.externalId for r in errors.collect()] == ["half"]
+    strict = space.write(df.filter("externalId = 'e'"), onconflict="upsert", autoCreateEndNodes="false", **{**mixed, "instanceType": "edge"})
+    assert [r.externalId for r in strict.errors.collect()] == ["fresh"] and strict.nodes.filter("externalId = 'fresh'").count() == 0
+    kept = space.write(spark.createDataFrame([("part-1",)], "externalId string"), onconflict="delete", **{**mixed, "instanceSpace": "parts"})
+    assert kept[0].filter("externalId = 'part-1'").count() == 0 and kept[1].count() == space.graph.edges.count()
+
+
+def test_sequence_columns_and_empty_lists(spark, space):
+    column = "array<struct<externalId:string,valueType:string>>"
+    old = space.read(type="sequences").filter("externalId = 'seq-1'").first()["columns"]
+    full = "array<struct<externalId:string,name:string,description:string,valueType:string>>"
+    other = "LONG" if old[0].valueType != "LONG" else "STRING"
+    rows = spark.createDataFrame([("seq-1", [(old[0].externalId, None, None, other)]), ("seq-2", [])], f"externalId string, columns {full}")
+    done = space.write(rows, type="sequences", onconflict="update")
+    assert [(r.externalId, "type" in r.error) for r in done.errors.collect()] == [("seq-1", True)]
+    assert len(done.table.filter("externalId = 'seq-2'").first()["columns"]) == len(old)
+    empty = spark.createDataFrame([("fresh", [])], f"externalId string, columns {column}")
+    assert "columns is missing" in space.write(empty, type="sequences", onconflict="upsert").errors.first().error
+    tags = spark.createDataFrame([("region-1", {"a": None, "b": "c"}, [])], "externalId string, metadata map<string,string>, labels array<string>")
+    stored = space.write(tags, type="assets", onconflict="update").table.filter("externalId = 'region-1'").first()
+    assert stored.metadata == {"b": "c"}
+
+
 @pytest.mark.parametrize("options, message", [
     ({}, "type"), ({"type": "events", "onconflict": "merge"}, "onconflict"), ({"type": "datapoints", "onconflict": "update"}, "take upsert"),
     ({"type": "sequencerows", "onconflict": "abort"}, "take upsert"), ({"type": "instances", "onconflict": "update", "instanceType": "node"}, "take upsert"),
