@@ -95,7 +95,6 @@ def test_mixed_instances_and_missing_nodes(spark, space):
 
 
 def test_sequence_columns_and_empty_lists(spark, space):
-    column = "array<struct<externalId:string,valueType:string>>"
     old = space.read(type="sequences").filter("externalId = 'seq-1'").first()["columns"]
     full = "array<struct<externalId:string,name:string,description:string,valueType:string>>"
     other = "LONG" if old[0].valueType != "LONG" else "STRING"
@@ -103,7 +102,7 @@ def test_sequence_columns_and_empty_lists(spark, space):
     done = space.write(rows, type="sequences", onconflict="update")
     assert [(r.externalId, "type" in r.error) for r in done.errors.collect()] == [("seq-1", True)]
     assert len(done.table.filter("externalId = 'seq-2'").first()["columns"]) == len(old)
-    empty = spark.createDataFrame([("fresh", [])], f"externalId string, columns {column}")
+    empty = spark.createDataFrame([("fresh", [])], f"externalId string, columns {full}")
     assert "columns is missing" in space.write(empty, type="sequences", onconflict="upsert").errors.first().error
     tags = spark.createDataFrame([("region-1", {"a": None, "b": "c"}, [])], "externalId string, metadata map<string,string>, labels array<string>")
     stored = space.write(tags, type="assets", onconflict="update").table.filter("externalId = 'region-1'").first()
