@@ -107,8 +107,10 @@ def _scalar(kind: Column, text: Column, data_type: T.DataType) -> Column:
         return checked(F.lower(text) == "true", is_flag | is_text)
     if type(data_type) in _INTEGERS:
         low, high = _INTEGERS[type(data_type)]
-        exact = text.try_cast("decimal(38,10)")
-        whole = is_number & (exact == F.floor(exact)) & exact.between(F.lit(low), F.lit(high))
+        exact, near = text.try_cast("decimal(38,10)"), text.try_cast("double")
+        # A decimal cast rounds, so that nothing is left behind the point is seen in the text, or in the double it shows.
+        no_rest = F.when(text.contains("E"), near == F.floor(near)).otherwise(text.rlike(r"^-?[0-9]+([.]0*)?$"))
+        whole = is_number & no_rest & exact.between(F.lit(low), F.lit(high))
         digits = is_text & text.rlike(r"^[+-]?[0-9]+$")
         return checked(F.when(is_number, exact.try_cast(data_type)).otherwise(text.try_cast(data_type)), whole | digits)
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
@@ -225,8 +227,8 @@ def read_json_table(
 ) -> DataFrame:
     """Typed rows of a JSON table: key, lastUpdatedTime, then one column per field of ``schema``.
 
-    Rows with a value of the wrong shape keep the good values and list the bad ones in ``_errors``,
-    or fail the job with ``on_error='raise'``. Each step is a projection of its own, so that a parsed
+    Rows with a value of the wrong shape keep the good values and list the bad ones in ``_errors``, where
+    rows that are no JSON say so and have no values; or they fail the job with ``on_error='raise'``. Each step is a projection of its own, so that a parsed
     value is computed once however often it is used.
     """
     if on_error not in ("column", "raise"):
@@ -234,8 +236,19 @@ def read_json_table(
     nodes = _nodes(schema)
     top = [n for n in nodes if n.parent is None]
     wanted = T.StructType([T.StructField(n.name, T.StringType() if n.is_text else T.VariantType()) for n in top])
-    parsed = df.select("key", "lastUpdatedTime", F.from_json(column, wanted, {"mode": "FAILFAST"}).alias("_t"))
-    work = parsed.select("key", "lastUpdatedTime", *[F.col("_t").getField(n.name).alias(f"_f{n.index}") for n in top])
+    options, broken = {"mode": "FAILFAST"}, F.lit(False)
+    if on_error == "column":
+        # The text of a malformed row goes to a field whose name no other field has.
+        rest = "_malformed" + "_" * max((len(n.name) for n in top), default=0)
+        wanted = T.StructType([*wanted.fields, T.StructField(rest, T.StringType())])
+        options, broken = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": rest}, F.col("_t").getField(rest).isNotNull()
+    parsed = df.select("key", "lastUpdatedTime", F.from_json(column, wanted, options).alias("_t"))
+    work = parsed.select(
+        "key",
+        "lastUpdatedTime",
+        broken.alias("_broken"),
+        *[F.when(~broken, F.col("_t").getField(n.name)).alias(f"_f{n.index}") for n in top],
+    )
     for depth in range(1, max((n.depth for n in nodes), default=0) + 1):
         inner = [n for n in nodes if n.depth == depth]
         work = work.select(
@@ -264,6 +277,7 @@ def read_json_table(
     judged = known.select(
         "key",
         "lastUpdatedTime",
+        "_broken",
         *[f"_k{n.index}" for n in structs],
         *[result(n).alias(f"_r{n.index}") for n in leaves],
     )
@@ -292,7 +306,8 @@ def read_json_table(
         columns.append(value.alias(to_column_name(n.name)))
     if on_error == "column":
         problems = [F.when(bad, message(name)) for name, (_, bad) in found.items()]
-        errors = F.array_compact(F.array(*problems)) if problems else F.array()
+        problems.append(F.when(F.col("_broken"), F.concat(F.lit("row "), "key", F.lit(": malformed JSON"))))
+        errors = F.array_compact(F.array(*problems))
         columns.append(errors.cast("array<string>").alias("_errors"))
     return judged.select(*columns)
 

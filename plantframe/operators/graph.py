@@ -20,8 +20,6 @@ from ..session import cut_lineage
 from .skew import keep_greatest
 
 KEY = ["space", "externalId"]
-# Up to this many written instances their keys are copied to every executor.
-SMALL_SOURCE = 100_000
 REFERENCE = T.StructType([T.StructField("space", T.StringType()), T.StructField("externalId", T.StringType())])
 
 # Property kinds and the types they are read as.
@@ -370,13 +368,11 @@ def upsert_instances(
     new = rows.select(*KEY, F.struct(*[F.col(c) for c in [*names, *values]]).alias("_new"))
     old = instances.select(*KEY, F.lit(True).alias("_known"), *[F.col(c).alias(f"_old_{c}") for c in names])
     held = None if properties is None else properties.select(*KEY, *[F.col(c).alias(f"_old_{c}") for c in values])
-    if rows.count() <= SMALL_SOURCE:
-        # The tables are first cut down to the written keys, which a copy of these does without a shuffle.
-        keys = F.broadcast(rows.select(*KEY))  # size counted above
-        old = old.join(keys, KEY, "left_semi")
-        held = None if held is None else held.join(keys, KEY, "left_semi")
+    # The tables are first cut down to the written keys. The size of these is known, so Spark copies a small set.
+    keys = rows.select(*KEY)
+    old = old.join(keys, KEY, "left_semi")
     if held is not None:
-        old = old.join(held, KEY, "left")
+        old = old.join(held.join(keys, KEY, "left_semi"), KEY, "left")
     merged = {}
     for name in [*names, *values]:
         value = F.col("_new").getField(name)

@@ -58,10 +58,9 @@ def _lookup_by_join(
         "_by_name", F.lit(True)
     )
     condition = F.lit(False) if or_where is None else F.expr(or_where) if isinstance(or_where, str) else or_where
-    # Both lists came from the caller's memory, so a copy per executor is bounded by it.
     return (
-        df.join(F.broadcast(wanted_id), "id", "left")
-        .join(F.broadcast(wanted_name), "externalId", "left")
+        df.join(wanted_id, "id", "left")
+        .join(wanted_name, "externalId", "left")
         .filter(F.col("_by_id") | F.col("_by_name") | condition)
         .select(*df.columns)
     )

@@ -114,7 +114,8 @@ class Workspace:
         if name not in self.file_paths:
             raise PlantError(f"Unknown file {name}")
         spark, path = self.catalog.spark, self.file_paths[name]
-        wrong = limit_errors(spark, path, FILE_LIMIT, LINE_LIMIT).first()
+        # The check reads the whole content once more, so it is made on request only.
+        wrong = limit_errors(spark, path, FILE_LIMIT, LINE_LIMIT).first() if _flag(options, "checkLimits", False) else None
         if wrong:
             raise PlantError(f"{name}: {wrong['error']}")
         return read_file_content(spark, path, _flag(options, "inferSchema", True))

@@ -98,6 +98,19 @@ def test_broken_json_fails(spark):
         read_json_table(raw(spark, '{"a": '), ddl("a int"), on_error="raise").collect()
 
 
+def test_malformed_rows_are_rows_with_errors(spark):
+    found = read_json_table(raw(spark, '{"a": 1, "b": "x"}', '{"a": 2, "b": ', "no json"), ddl("a int, b string")).orderBy("key").collect()
+    assert [(r.a, r.b) for r in found] == [(1, "x"), (None, None), (None, None)]
+    assert [r._errors for r in found] == [[], ["row k1: malformed JSON"], ["row k2: malformed JSON"]]
+
+
+def test_whole_numbers_are_not_rounded(spark):
+    values = ["1e-12", "5.00000000001", "5.0", "5e2", "-3", "9223372036854775807", "9223372036854775808", "1e30"]
+    found = read_json_table(raw(spark, *['{"v": %s}' % v for v in values]), ddl("v long")).orderBy("key").collect()
+    assert [r.v for r in found] == [None, None, 5, 500, -3, 9223372036854775807, None, None]
+    assert [len(r._errors) for r in found] == [1, 1, 0, 0, 0, 0, 1, 1]
+
+
 def test_round_trip(spark):
     data = [("1", 1, 2.5, float("nan"), True, dt.date(2020, 1, 2), dt.datetime(2020, 1, 2, 3, 4, 5), [1, None], {"x": "y"}, None)]
     schema = "key string, i int, d double, nan double, b boolean, day date, t timestamp, l array<int>, m map<string,string>, n string"
