@@ -70,26 +70,28 @@ def log_ratios(docs: DataFrame, targets: DataFrame, id_col: str, text_col: str,
     return np.log((target + smoothing) / (expected + smoothing)) if target.any() else np.zeros(buckets)
 
 
-def _weights(ratios, buckets: int, longest: int):
-    """A column function: the log weight of a text."""
+def _sortable(values: np.ndarray) -> np.ndarray:
+    """Whole numbers in the same order as the doubles."""
+    bits = (values + 0.0).view(np.int64)
+    return np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits)
 
-    @F.pandas_udf("double")
-    def weigh(texts):
+
+def _keys(ratios, buckets: int, longest: int):
+    """A column function of text and noise: log weight, key, and a whole number in the order of the keys."""
+
+    @F.pandas_udf("weight double, key double, place long")
+    def keys(texts, noise):
         import pandas as pd
 
         weights = [np.zeros(0)]
         for _, _, some in text_chunks(pa.array(texts, pa.string()), _CHUNK):
             found, owner = ngram_buckets(some, buckets, longest)
             weights.append(np.bincount(owner, ratios.value[found], minlength=len(some)))
-        return pd.Series(np.concatenate(weights))
+        weight = np.concatenate(weights)
+        key = weight + noise.to_numpy(float)
+        return pd.DataFrame({"weight": weight, "key": key, "place": _sortable(key)})
 
-    return weigh
-
-
-def _sortable(values: np.ndarray) -> np.ndarray:
-    """Whole numbers in the same order as the doubles."""
-    bits = (values + 0.0).view(np.int64)
-    return np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits)
+    return keys
 
 
 def kth_largest(rows: DataFrame, column: str, k: int) -> int | None:
@@ -114,20 +116,13 @@ class Resampler:
 
     def __init__(self, docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 0, buckets: int = BUCKETS, longest: int = LONGEST, smoothing: float = SMOOTHING):
         ratios = docs.sparkSession.sparkContext.broadcast(log_ratios(docs, targets, id_col, text_col, buckets, longest, smoothing))
-        self.docs, self.id, self.text, self.seed, self.weigh = docs, F.col(f"`{id_col}`").cast("long"), text_of(text_col), seed, _weights(ratios, buckets, longest)
+        self.docs, self.id, self.text, self.seed, self.keys = docs, F.col(f"`{id_col}`").cast("long"), text_of(text_col), seed, _keys(ratios, buckets, longest)
 
     def keyed(self, *columns) -> DataFrame:
         """The columns with _weight, _key and _order, a whole number in the order of the keys."""
-
-        @F.pandas_udf("long")
-        def sortable(values):
-            import pandas as pd
-
-            return pd.Series(_sortable(values.to_numpy(float)))
-
         noise = -F.log(-F.log((F.pmod(F.xxhash64(F.col("_id"), F.lit(self.seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)))
-        rows = self.docs.select(*columns, self.id.alias("_id"), self.weigh(self.text).alias("_weight"))
-        return rows.withColumn("_key", F.col("_weight") + noise).withColumn("_order", sortable("_key"))
+        rows = self.docs.select(*columns, self.id.alias("_id"), self.text.alias("_text")).withColumn("_keys", self.keys("_text", noise))
+        return rows.drop("_text").select("*", F.col("_keys.weight").alias("_weight"), F.col("_keys.key").alias("_key"), F.col("_keys.place").alias("_order")).drop("_keys")
 
     def kept(self, keyed: DataFrame, k: int | None, share: float = 0.0) -> Column:
         """Whether a row has one of the ``k`` largest keys of ``keyed``."""
