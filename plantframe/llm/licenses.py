@@ -1,8 +1,10 @@
 """Licence scans by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences, which are normalised and mapped to identifiers of known licence sentences. What a text
-says is then a sequence of identifiers, with a mark where other text lies between; ordered rules match runs of it, each
-taking what it matches out of the sequence before the next one looks.
+A text is cut into sentences, which are normalised and mapped to identifiers of known licence sentences. Sentence marks
+and blank lines end a sentence; a single line end ends one only where no known sentence goes on over it, whatever comment
+marks the next line starts with. List numbers and bare URLs part nothing from each other. What a text says is then a
+sequence of identifiers, with a mark where other text lies between; ordered rules match runs of it, each taking what it
+matches out of the sequence before the next one looks.
 """
 
 from __future__ import annotations
@@ -79,6 +81,11 @@ RULES = [
 ]
 #: A sentence ends at these marks before white space, or at a line's end; what is left of it are letters, digits, plus.
 _END, _OTHER = "[.!?;:]+[ \\t]|[\\n\\r]", "[^a-z0-9+\\n]+"
+#: The same where lines are joined: marks before white space, unless they start a line as comment marks do; they leave a
+#: blank line. A URL counts as one word of its own.
+_MARKS, _URL, _WORD = "(?<!\\n[ \\t]{0,20}[;:.!?]{0,8})[.!?;:]+(?:[ \\t]|(?=\\n))", "https?://\\S*[^\\s.,;:!?)>\\]\"']", "\u0002"
+#: List numbers, and the least length of a known part that may have one before it or URLs behind it.
+_NUMBER, _LONG = "(?:[0-9]{1,2}|[a-h]|[ivx]{1,4})", 12
 
 
 def normalised(sentence: str) -> str:
@@ -112,17 +119,36 @@ def _run(names: list[str]) -> str:
     return "".join(f"{x};" for x in out)
 
 
+def _piece() -> str:
+    """What a text is cut into: a known part, over as many lines as it takes, or else the rest of a line; longest first."""
+    joined = lambda part: part.replace("+", "[+]").replace(" ", "(?: | ?\\n ?)")
+    parts = sorted(_known(), key=len, reverse=True)
+    long, short = ("|".join(joined(p) for p in parts if (len(p) >= _LONG) == x) for x in (True, False))
+    return f" ?(?:(?:{_NUMBER} )?(?:{long})(?:(?: | ?\\n ?){_WORD})*|{short})(?= ?(?:\\n|\\z))|[^\\n]++"
+
+
 def sequence(text: Column) -> Column:
     """The text's sentences as identifiers, each followed by a semicolon, with ``-;`` where other sentences lie between.
 
-    Every sentence becomes a line of its identifier or of nothing; lines of nothing are taken together.
+    Every sentence is replaced by its identifier or by nothing, nothings are taken together. List numbers and URLs on
+    their own are nothing as well, except between two known sentences.
     """
-    lines = F.regexp_replace(F.regexp_replace(lower_ascii(text), _END, "\n"), _OTHER, " ")
+    lines = F.replace(F.replace(lower_ascii(text), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    lines = F.regexp_replace(F.replace(lines, F.lit(_WORD), F.lit(" ")), _URL, _WORD)
+    lines = F.regexp_replace(F.regexp_replace(lines, _MARKS, "\n\n"), _OTHER.replace("\\n", f"\\n{_WORD}"), " ")
     names = F.create_map(*[F.lit(x) for pair in _known().items() for x in pair])
-    marks = F.transform(F.split(lines, "\n"), lambda s: F.trim(s))
+    marks = F.transform(F.regexp_extract_all(lines, F.lit(_piece()), F.lit(0)), lambda s: F.trim(s))
     marks = F.filter(marks, lambda s: s != "")
-    found = F.transform(marks, lambda s: F.coalesce(F.concat(names[s], F.lit(";")), F.lit("-;")))
-    return F.regexp_replace(F.array_join(found, ""), "(-;)+", "-;")
+
+    def named(s: Column) -> Column:
+        plain = F.regexp_replace(s, f"[ \\n]+|{_WORD}", " ")
+        bare = F.trim(F.regexp_replace(F.regexp_replace(plain, " +", " "), f"^{_NUMBER} (?=.{{{_LONG}}})", ""))
+        number = F.when(s.rlike(f"^(?:{_NUMBER}|{_WORD}(?: {_WORD})*)$"), F.lit("~"))
+        # Whole pieces first; a number, a URL and line ends are only taken off where that leaves a known part.
+        return F.concat(F.coalesce(names[s], number, names[bare], F.lit("-")), F.lit(";"))
+
+    found = F.regexp_replace(F.array_join(F.transform(marks, named), ""), "(?<=[A-Za-z0-9];)(?:~;)+(?=[A-Z])", "")
+    return F.regexp_replace(F.replace(found, F.lit("~"), F.lit("-")), "(-;)+", "-;")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

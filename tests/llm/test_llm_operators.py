@@ -2,6 +2,7 @@
 
 import math
 import struct
+import textwrap
 from collections import Counter, defaultdict
 from random import Random
 
@@ -182,6 +183,32 @@ def test_licences(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_licences_as_they_are_printed(spark):
+    said = licenses.SENTENCES
+
+    def printed(names, width, mark="", number=False, gap="\n\n"):
+        parts = [(f"{i}. " if number and i else "") + said[n] + "." for i, n in enumerate(names)]
+        return gap.join("\n".join(f"{mark}{x}" for x in textwrap.wrap(p, width)) for p in parts)
+
+    mit, bsd = ["MITGrant", "MITNotice", "AsIs", "NoLiability"], ["BSDRedistribution", "BSDSource", "BSDBinary", "BSDEndorse"]
+    gpl, url = ["GPL2Free", "GPLHope"], "http://www.apache.org/licenses/LICENSE-2.0"
+    apache = [said["ApacheLicensedThe"] + ";\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at"]
+    apache += [printed(["ApacheUnless", "ApacheSee"], 70, gap="\n")]
+    texts = [("MIT", "MIT License\n\nCopyright (c) 2020 Some One\n\n" + printed(mit, 78))]
+    texts += [("MIT", "x = 1\n" + printed(mit, 70, mark, gap=f"\n{mark.rstrip()}\n")) for mark in ("# ", "// ", " * ", ";; ", "-- ")]
+    texts += [("MIT", printed(mit, 72).replace("\n", end)) for end in ("\r\n", "\r")]
+    texts += [("BSD-3-Clause", printed(bsd[:3], 74, number=True) + "\n\n3. " + said[bsd[3]] + "."), ("BSD-2-Clause", printed(bsd[:3], 74, " * ", True, "\n"))]
+    texts += [("BSD-2-Clause", printed(bsd[:3], 9999, number=True, gap=" ")), ("BSD-2-Clause", printed(bsd[:3], 72, number=True).replace("1. ", "(1) ").replace("2. ", "b) "))]
+    texts += [("GPL-2.0-or-later", printed(gpl, 70, "// ")), ("Apache-2.0", f"{apache[0]}\n\n    {url}\n\n{apache[1]}"), ("Apache-2.0", f"{apache[0]} {url}\n{apache[1]}")]
+    texts += [("Apache-2.0", "\n".join(f"# {x}" for x in f"{apache[0]}\n\n    <{url}>\n\n{apache[1]}".split("\n")))]
+    texts += [("AllRightsReserved", "Copyright 2020 Some One\nAll rights\nreserved"), ("CC0-1.0", "a line\nLicensed under CC0 1.0\nanother")]
+    texts += [(None, "All rights\n\nreserved"), (None, "All rights.\nReserved"), (None, "not all rights\nreserved"), (None, f"1. {url}\n2. words")]
+    found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")).collect()}
+    assert [found[i].licenses for i in range(len(texts))] == [x for x, _ in texts]
+    assert all(found[i].left_over == "" for i in range(len(texts)))
+    assert found[len(texts) - 1].sentences == "-;"
+
+
 def mixture(spark):
     rng = Random(3)
     rows = [(i, "w " * rng.randint(0, 30), "big" if i % 3 else rng.choice(["a", "b", None])) for i in range(600)] + [(1, None, "a"), (1, None, "a")]
