@@ -131,7 +131,9 @@ def _without(dp: DataFrame, ranges: DataFrame, key: str, max_broadcast: int) ->
 def _swept(dp: DataFrame, disjoint: DataFrame, key: str) -> DataFrame:
     """Points outside the ranges, from a running count of open ranges in the order of time."""
     point = F.struct(*[F.col(f"`{c}`") for c in dp.columns])
-    named = dp.filter(F.col(key).isNotNull()).select(
+    # No range covers a point without a series or a time; both ways of deleting keep it.
+    placed = F.col(key).isNotNull() & F.col("timestamp").isNotNull()
+    named = dp.filter(placed).select(
         F.col(key).alias("_series"), F.unix_micros("timestamp").alias("_at"), F.lit(0).alias("_step"), point.alias("_point")
     )
     ends = F.explode(
@@ -156,7 +158,7 @@ def _swept(dp: DataFrame, disjoint: DataFrame, key: str) -> DataFrame:
     )
     counted = both.withColumn("_open", F.sum("_step").over(inside)).join(carry, ["_series", "_slice"])
     kept = counted.filter(F.col("_point").isNotNull() & (F.col("_open") + F.col("_carry") == 0)).select("_point.*")
-    return kept.unionByName(dp.filter(F.col(key).isNull()))
+    return kept.unionByName(dp.filter(~placed))
 
 
 # Value types of sequence columns.

@@ -155,6 +155,14 @@ def test_delete_ranges(spark, limit):
     assert errors.count() == 0 and kept.columns == dp.columns
 
 
+@pytest.mark.parametrize("limit", [100, 0])
+def test_delete_ranges_keep_points_without_a_time(spark, limit):
+    points = [(1, "a", at(0), 1.0), (1, "a", None, 2.0), (1, None, None, 3.0), (None, "a", None, 4.0), (None, None, at(0), 5.0), (2, "b", None, 6.0)]
+    ranges = spark.createDataFrame([(1, None, at(0), None, at(9), None), (None, "a", at(0), None, at(9), None), (None, "b", at(0), None, at(9), None)], RANGES)
+    kept, _ = delete_ranges(spark.createDataFrame(points, POINTS), ranges, max_broadcast=limit)
+    assert sorted(r.value for r in kept.collect()) == [2.0, 3.0, 4.0, 5.0, 6.0]
+
+
 @pytest.mark.parametrize("row, message", [
     ((1, None, at(1), None, at(1), None), "empty"),
     ((1, None, at(1), at(1), at(2), None), "both inclusiveBegin"),
