@@ -1,23 +1,27 @@
 """Scoring by masked pseudo-likelihood with a small bidirectional window network.
 
 The network predicts a word from the words on both sides of it: embeddings weighted by position, one hidden layer, and a
-softmax in two steps (class, word in class). It is trained in numpy inside tasks on masked positions of all documents;
+softmax in two steps (class, word in class). Words without an id of their own share one of ``RARE`` by hash; what the
+network gives that id is divided among them by their counts in all texts, which stay in a table and are joined. It is
+trained in numpy inside tasks on masked positions of all documents;
 after each round the tasks' parameters are averaged, weighted by what they have seen. A document's score is the sum of
 the conditional log-probabilities of all its words.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate, chain, compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, summed, text_of
+from .common import lists, staged, summed, text_of
 
 #: Classes of words, and words in a class; ids shared by rare words; width of embeddings; words seen on each side.
 CLASSES, MEMBERS, RARE, WIDTH, SIDE = 32, 32, 256, 24, 2
@@ -25,6 +29,8 @@ CLASSES, MEMBERS, RARE, WIDTH, SIDE = 32, 32, 256, 24, 2
 ROUNDS, MASKED, STEP, RATE = 2, 0.075, 1024, 0.1
 _CHUNK, _COUNTED = 1_000_000, 200_000
 _PAD = CLASSES * MEMBERS
+#: Logarithms are added as whole numbers of this size, so that no order of rows changes a sum.
+_GRID = 2.0**-24
 
 
 class Words(dict):
@@ -71,20 +77,38 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def vocabulary(texts: DataFrame) -> list[bytes]:
-    """The commonest words of all texts, as many as have ids of their own; ties go to the smaller word."""
-    counts = texts.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(word, n) of all words of all texts, written once."""
+    return staged(texts.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+
+
+def vocabulary(counts: DataFrame) -> list[bytes]:
+    """The commonest words, as many as have ids of their own; ties go to the smaller word."""
     return [bytes(r[0]) for r in counts.orderBy(F.desc("n"), "word").limit(_PAD - RARE).collect()]
 
 
+def shares(counts: DataFrame, frequent: list[bytes]) -> tuple[DataFrame, int]:
+    """(word, share) of the words that share an id: the logarithm of a word's part of all words with that id, in steps
+    of the grid. And the least that a word may have, for one that was not counted."""
+    own = counts.sparkSession.createDataFrame([(bytearray(w),) for w in frequent], "word binary")
+    rare = counts.join(own, "word", "left_anti").withColumn("id", (F.crc32("word") % RARE).cast("int"))
+    totals = {r["id"]: r["n"] for r in rare.groupBy("id").agg(F.sum("n").alias("n")).collect()}
+    logs = F.array(*[F.lit(math.log(totals.get(i, 1))) for i in range(RARE)])
+    share = F.round((F.log("n") - logs[F.col("id")]) / _GRID).cast("long")
+    return rare.select("word", share.alias("share")), round(-math.log(sum(totals.values()) + 1) / _GRID)
+
+
 def numbers(texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all texts in a row with padding between them, the places of the words, and the text of each place."""
-    found = [list(map(words.__getitem__, split(t))) for t in texts]
-    sizes = np.fromiter(map(len, found), np.int64, len(found))
-    doc = np.repeat(np.arange(len(found)), sizes)
+    return _numbers([split(t) for t in texts], words)
+
+
+def _numbers(texts: list[list[bytes]], words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    doc = np.repeat(np.arange(len(texts)), sizes)
     places = np.arange(len(doc)) + SIDE * (doc + 1)
-    row = np.full(len(doc) + SIDE * (len(found) + 1), _PAD, np.int32)
-    row[places] = np.fromiter((i for f in found for i in f), np.int32, len(doc))
+    row = np.full(len(doc) + SIDE * (len(texts) + 1), _PAD, np.int32)
+    row[places] = np.fromiter(map(words.__getitem__, chain.from_iterable(texts)), np.int32, len(doc))
     return row, places, doc
 
 
@@ -108,6 +132,11 @@ def shaped(values: np.ndarray) -> dict[str, np.ndarray]:
     return {n: p.reshape(s) for (n, s), p in zip(_SHAPES.items(), parts)}
 
 
+def _products(hidden: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Rounded from higher precision, so that a row's values do not hang on where it stands among the others."""
+    return (hidden.astype(np.float64) @ weights.T.astype(np.float64)).astype(np.float32)
+
+
 def _normal(scores: np.ndarray) -> np.ndarray:
     scores = scores - scores.max(axis=1, keepdims=True)
     return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
@@ -124,13 +153,13 @@ def log_probabilities(model: dict, row: np.ndarray, at: np.ndarray) -> np.ndarra
     """Log-probability of the word at each place, given the words around it."""
     hidden, target = _hidden(model, row, at), row[at]
     group, member = target % CLASSES, target // CLASSES
-    found = _normal(hidden @ model["classes"].T + model["class_bias"])[np.arange(len(at)), group]
+    found = _normal(_products(hidden, model["classes"]) + model["class_bias"])[np.arange(len(at)), group]
     order = np.argsort(group, kind="stable")
     ends = np.cumsum(np.bincount(group, minlength=CLASSES))
     for c in range(CLASSES):
         own = order[ends[c - 1] if c else 0 : ends[c]]
         if len(own):
-            found[own] += _normal(hidden[own] @ model["members"][c].T + model["member_bias"][c])[np.arange(len(own)), member[own]]
+            found[own] += _normal(_products(hidden[own], model["members"][c]) + model["member_bias"][c])[np.arange(len(own)), member[own]]
     return found
 
 
@@ -181,10 +210,14 @@ def _train(words, model, round_: int, seed: int):
     return of
 
 
-def fit(texts: DataFrame, rounds: int = ROUNDS, seed: int = 0) -> tuple[list[bytes], dict[str, np.ndarray]]:
-    """The vocabulary and the network, from all texts. What passes through the driver is the network, of fixed size."""
+def fit(texts: DataFrame, rounds: int = ROUNDS, seed: int = 0) -> tuple[list[bytes], dict[str, np.ndarray], DataFrame]:
+    """The words with own ids, the network, from all texts, and the counts of all words.
+
+    What passes through the driver is the network, of fixed size.
+    """
     context = texts.sparkSession.sparkContext
-    words, values = vocabulary(texts), flat(fresh(seed))
+    counts = word_counts(texts)
+    words, values = vocabulary(counts), flat(fresh(seed))
     known = context.broadcast(words)
     for round_ in range(rounds):
         model = context.broadcast(values)
@@ -192,31 +225,45 @@ def fit(texts: DataFrame, rounds: int = ROUNDS, seed: int = 0) -> tuple[list[byt
         if total:
             sums = np.frombuffer(total[0][1], "<f8")
             values = (sums[:-1] / sums[-1]).astype(np.float32)
-    return words, shaped(values)
+    return words, shaped(values), counts
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, seed: int = 0) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, log_likelihood (summed over its words), mean_log_likelihood.
 
     Words are split at ASCII white space, A-Z lower-cased. Texts without words, null among them, have a sum of 0 and no
-    mean. Very long texts are scored whole. Rows that repeat count each time; an empty table gives no rows.
+    mean. Very long texts are scored whole. Rows that repeat count each time; an empty table gives no rows. Every word
+    counts with its own probability: that of its id, times its share of the id where others have the same.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    words, model = fit(rows.select("text"), rounds, seed)
+    words, model, counts = fit(rows.select("text"), rounds, seed)
     context = docs.sparkSession.sparkContext
     known, values = context.broadcast(words), context.broadcast(flat(model))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network, ids = shaped(values.value), Words(known.value)
+        from pyspark import TaskContext
+
+        network, ids, at = shaped(values.value), Words(known.value), TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in _chunks(texts):
-                row, places, doc = numbers(texts[a:b], ids)
+                found = [split(t) for t in texts[a:b]]
+                row, places, doc = _numbers(found, ids)
                 sums = np.zeros(b - a)
                 for i in range(0, len(places), 65536):
-                    sums += np.bincount(doc[i : i + 65536], log_probabilities(network, row, places[i : i + 65536]), minlength=b - a)
+                    steps = np.rint(log_probabilities(network, row, places[i : i + 65536]) / _GRID)
+                    sums += np.bincount(doc[i : i + 65536], steps, minlength=b - a)
                 sizes = np.bincount(doc, minlength=b - a)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(sums)], names=["doc_id", "n_words", "log_likelihood"])
-
-    scored = rows.mapInArrow(of, "doc_id long, n_words long, log_likelihood double")
-    return scored.withColumn("mean_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
+                shared = row[places] >= _PAD - RARE
+                rare = lists(list(compress(chain.from_iterable(found), shared.tolist())), accumulate(np.bincount(doc[shared], minlength=b - a).tolist()), pa.binary())
+                key = pa.array(np.arange(at, at + b - a))
+                at += b - a
+                yield pa.RecordBatch.from_arrays([key, batch.column(0).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(sums.astype(np.int64)), rare], names=["row", "doc_id", "n_words", "network", "rare"])
+
+    # Written once: the numbers of rows stay, and neither the network nor the cutting runs twice.
+    scored = staged(rows.mapInArrow(of, "row long, doc_id long, n_words long, network long, rare array<binary>"))
+    share, least = shares(counts, words)
+    each = scored.select("row", F.explode("rare").alias("word")).join(share, "word", "left")
+    within = each.groupBy("row").agg(F.sum(F.coalesce("share", F.lit(least))).alias("within"))
+    whole = scored.drop("rare").join(within, "row", "left").withColumn("log_likelihood", (F.col("network") + F.coalesce("within", F.lit(0))) * _GRID)
+    return whole.select("doc_id", "n_words", "log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")).alias("mean_log_likelihood"))

@@ -3,6 +3,7 @@
 import math
 import struct
 import textwrap
+import zlib
 from collections import Counter, defaultdict
 from random import Random
 
@@ -174,6 +175,37 @@ def test_scores(spark):
     assert language_model.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_words_with_one_id_have_their_own_probabilities(spark):
+    share = {}
+    words = [(f"w{i}", 1 + i % 7) for i in range(900)]
+    frame = spark.createDataFrame([(w.encode(), n) for w, n in words], "word binary, n long")
+    totals = defaultdict(int)
+    for w, n in words:
+        totals[zlib.crc32(w.encode()) % language_model.RARE] += n
+    found, least = language_model.shares(frame, [b"w0"])
+    totals[zlib.crc32(b"w0") % language_model.RARE] -= 1
+    for r in found.collect():
+        share[bytes(r.word).decode()] = r.share * language_model._GRID
+    assert set(share) == {w for w, _ in words[1:]}
+    assert all(abs(share[w] - math.log(n / totals[zlib.crc32(w.encode()) % language_model.RARE])) < 1e-6 for w, n in words[1:])
+    assert least * language_model._GRID < min(share.values())
+
+
+def test_rare_words_score_below_commoner_ones_with_the_same_id(spark):
+    filler = " ".join(f"common{i} common{i}" for i in range(768))
+    same = defaultdict(list)
+    for i in range(3000):
+        same[zlib.crc32(f"r{i}".encode()) % language_model.RARE].append(f"r{i}")
+    a, b = next(x for x in same.values() if len(x) > 1)[:2]
+    rows = [(i, filler + " " + filler) for i in range(6)] + [(100, a), (101, b), (102, b), (103, b), (104, f"{a} {a.upper()}"), (None, a), (105, None)]
+    found = {r.doc_id: r for r in language_model.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(found) == len(rows)
+    # Four times a, three times b, under one id: the network's part is the same, the shares are 4/7 and 3/7.
+    assert abs(found[100].log_likelihood - found[101].log_likelihood - math.log(4 / 3)) < 1e-5
+    assert found[None].log_likelihood == pytest.approx(found[100].log_likelihood) and found[101].log_likelihood == pytest.approx(found[103].log_likelihood)
+    assert found[104].n_words == 2 and found[105].log_likelihood == 0
+
+
 def test_licences(spark):
     whole = ". ".join(licenses.SENTENCES[n] for n in ("MITGrant", "MITNotice", "AsIs", "NoLiability")) + "."
     texts = {1: f"Some prose here.\n{whole}\nMore prose. Released under the MIT license", 2: "Licensed under the Apache License, Version 2.0.", 3: None, 4: "", 5: "word " * 50_000 + ".\nAll rights reserved.", 6: licenses.SENTENCES["BSDRedistribution"] + ":\nwords. Licensed under CC BY-NC 4.0.\nLicensed under CC0 1.0"}
