@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, importance, jaccard_join, language_model, licenses, line_dedup, mixing, packing, rabitq, warc
+from . import alignment, collocations, exact_dedup, importance, jaccard_join, language_model, licenses, line_dedup, mixing, packing, rabitq, substring_dedup, warc
 from .common import bound_batches
 
 QUERIES, SQL = {}, {}
@@ -39,10 +39,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer() -> str:
+def tokenizer(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return str(public_tokenizers.path(name))
 
 
 @register
@@ -141,3 +141,55 @@ c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, w.doc_id) AS component_id
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.x = w.doc_id
 """
+
+
+@register
+def op11_token_alignment(spark, sf_dir):
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer(), tokenizer("piece_bpe_32k.model"))
+
+
+@register
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+SQL["op12_collocations"] = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+g AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(ws) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS n FROM g GROUP BY ALL HAVING count(*) >= 100),
+t AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT lang, k AS m, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2),
+x AS (SELECT lang, m, phrase, a, ws, unnest(range(1, m)) AS k FROM c),
+s AS (
+  SELECT x.lang, x.phrase, x.a, x.k, l.n AS l, r.n AS r, t.n, (1000::HUGEINT * x.a * t.n // (l.n::HUGEINT * r.n))::BIGINT AS score
+  FROM x JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(x.ws[1:x.k], ' ')
+  JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(x.ws[x.k + 1:x.m], ' ') JOIN t ON t.lang = x.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (
+  SELECT DISTINCT c.lang, c.phrase FROM c JOIN c o ON o.lang = c.lang AND o.m > c.m AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' ') AND 100 * o.a >= 100 * c.a),
+k AS (SELECT b.* FROM b ANTI JOIN i ON i.lang = b.lang AND i.phrase = b.phrase)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM k QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+
+@register
+def op13_substring_dedup(spark, sf_dir):
+    found = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+SQL["op13_substring_dedup"] = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+w AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS g FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM d WHERE len(words) >= 13)),
+f AS (SELECT g, min(doc_id) AS first FROM w GROUP BY g HAVING min(doc_id) < max(doc_id)),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM w JOIN f USING (g) WHERE doc_id > first),
+k AS (SELECT d.doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM d)
+SELECT d.doc_id, any_value(len(words)) AS n_words, count(c.p) AS n_removed, sha256(coalesce(string_agg(word, ' ' ORDER BY k.p) FILTER (k.p IS NOT NULL AND c.p IS NULL), '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = k.doc_id AND c.p = k.p GROUP BY d.doc_id
+"""
