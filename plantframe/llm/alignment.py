@@ -15,6 +15,7 @@ import math
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -27,7 +28,7 @@ from .common import bound_batches, lists, staged, text_chunks, text_of
 from .words import runs
 
 #: Bytes of text handled at once; words a worker remembers; pairs of ids in a slice; entries a product expands at once.
-CHUNK, REMEMBERED, SLICE_PAIRS, EXPANDED = 4_000_000, 250_000, 2_000_000, 4_000_000
+CHUNK, REMEMBERED, SLICE_PAIRS, EXPANDED = 1_500_000, 150_000, 2_000_000, 2_000_000
 #: White space stays with the word behind it. Texts of other characters are aligned whole.
 _CUT = re.compile(r"[ \n\t]*[^ \n\t]+|[ \n\t]+")
 _PLAIN = re.compile(r"[\t\n\x20-\x7e¡-ɏ]*")
@@ -110,14 +111,8 @@ class Tokenizers:
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
-
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
-        values, entries = _byte_values(), self.a.get_vocab(with_added_tokens=True)
-        self.a_bytes = [b""] * (max(entries.values()) + 1)
-        for entry, i in entries.items():
-            self.a_bytes[i] = bytes(values[c] for c in entry) if all(c in values for c in entry) else entry.encode()
+
+        self.a_path, self.a = a_path, None
         ranks, self.fast = a_path.removesuffix(".json") + ".tiktoken", None
         if os.path.exists(ranks):
             import public_tokenizers
@@ -126,6 +121,12 @@ class Tokenizers:
             with open(ranks, "rb") as lines:
                 known = {base64.b64decode(x): int(y) for x, y in map(bytes.split, lines)}
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
+        else:
+            values = _byte_values()
+            known = {bytes(values[c] for c in entry) if all(c in values for c in entry) else entry.encode(): i for entry, i in self._whole().get_vocab().items()}
+        self.a_bytes = [b""] * (max(known.values()) + 1)
+        for entry, i in known.items():
+            self.a_bytes[i] = entry
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [(self.b.id_to_piece(i), self.b.is_byte(i)) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if byte else p.replace("▁", " ").encode() for p, byte in pieces]
@@ -134,11 +135,25 @@ class Tokenizers:
         self.sizes = [np.array([len(x) for x in own], np.int64) for own in (self.a_bytes, self.b_bytes)]
         ids = max(len(self.a_bytes), len(self.b_bytes))
         self.names = {end: np.array([b"%d%s" % (i, end) for i in range(ids)], object) for end in (b",", b"|", b";")}
-        self.clear()
-
-    def clear(self) -> None:
         #: Per word: its number; by number: tokens of A, of B, groups, links (all 0 if the bytes differ), group text, linked ids.
-        self.known, self.counts, self.texts, self.links = {}, np.zeros((4, 2 * REMEMBERED), np.int64), [], []
+        self.known, self.counts, self.texts, self.links = {}, np.zeros((4, 0), np.int64), [], []
+
+    def _whole(self):
+        """The tokenizer of A itself, loaded for the first text that needs it."""
+        if self.a is None:
+            from tokenizers import Tokenizer
+
+            self.a = Tokenizer.from_file(self.a_path)
+            self.a.encode_special_tokens = True
+        return self.a
+
+    def keep(self, words: set[str], more: int) -> None:
+        """Forget all words but these, and make room for ``more``."""
+        old = [self.known[w] for w in words]
+        counts = np.zeros((4, max(REMEMBERED, len(old) + more)), np.int64)
+        counts[:, : len(old)] = self.counts[:, old]
+        self.known, self.counts = {w: i for i, w in enumerate(words)}, counts
+        self.texts, self.links = [self.texts[i] for i in old], [self.links[i] for i in old]
 
     def words(self, text: str) -> list[str]:
         """The text with a space before it, cut where no token of either vocabulary reaches over."""
@@ -146,7 +161,7 @@ class Tokenizers:
         return _CUT.findall(full) if self.splits and self.fast and _PLAIN.fullmatch(text) else [full]
 
     def _encode(self, words: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [self.fast.encode_ordinary(w) if self.fast and _PLAIN.fullmatch(w) else self.a.encode(w, add_special_tokens=False).ids for w in words]
+        a = [self.fast.encode_ordinary(w) if self.fast and _PLAIN.fullmatch(w) else self._whole().encode(w, add_special_tokens=False).ids for w in words]
         b = self.b.encode([w[1:] if w[0] == " " else w for w in words], num_threads=1)
         for i, w in enumerate(words):
             if w == " ":  # the tokenizer puts nothing before an empty text
@@ -184,19 +199,17 @@ class Tokenizers:
     def number(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words of all texts by number, and how many each text has; none where the bytes of a text differ."""
         words = [self.words(t) if t else [] for t in texts]
-        new = set().union(*words).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.clear()
-            new = set().union(*words)
-            if len(new) > self.counts.shape[1]:
-                self.counts = np.zeros((4, len(new)), np.int64)
+        own = set().union(*words)
+        new = own.difference(self.known)
+        if len(self.known) + len(new) > self.counts.shape[1]:
+            self.keep(own - new, len(new))
         if new:
-            self.learn(sorted(new))
-        numbers = [list(map(self.known.__getitem__, w)) for w in words]
-        for i, own in enumerate(numbers):
-            if own and not self.counts[0, own].all():
-                numbers[i] = []
-        return np.fromiter((n for own in numbers for n in own), np.int64), np.array([len(own) for own in numbers], np.int64)
+            self.learn(list(new))
+        sizes = np.array([len(w) for w in words], np.int64)
+        numbers = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
+        row = np.repeat(np.arange(len(texts)), sizes)
+        differs = np.bincount(row, weights=self.counts[0, numbers] == 0, minlength=len(texts)) > 0
+        return numbers[~differs[row]], np.where(differs, 0, sizes)
 
 
 _loaded: dict[tuple[str, str], Tokenizers] = {}
