@@ -15,12 +15,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, staged, text_of
-from .words import FIRST, SECOND, as_bytes, from_five, gathered, mix, ordered, rolled, runs, short_keys, split, to_five
+from .common import bound_batches, mix, staged, text_of
+from .words import FIRST, SECOND, as_bytes, from_five, gathered, ordered, rolled, runs, shard_of, short_keys, split, to_five
 
 #: Words of the longest phrase; a window in so many triggers a cut; occurrences a candidate has.
 LONGEST, TRIGGER, MIN_COUNT = 5, 32, 100
@@ -150,8 +151,9 @@ def _frequent_pairs(min_count: int):
     return of
 
 
-def _send_phrases(longest: int, shards: int):
-    """Counts of the phrases whose words and word pairs may be frequent, and of all words (0 words)."""
+def _send_phrases(longest: int, shards: int, phrase_shards: int):
+    """Counts of the phrases whose words and word pairs may be frequent, and of all words (the empty phrase), by shard
+    and language; every phrase ends with a line end."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, entries, row in _entries(batches):
@@ -159,10 +161,11 @@ def _send_phrases(longest: int, shards: int):
             told = row.column("told").flatten()
             often = [from_five(k) | _U(s << 40) for s, k in zip(told.field("shard").to_pylist(), told.field("keys").to_pylist())]
             often = np.sort(np.concatenate(often)) if often else np.zeros(0, _U)
-            names = ["lang", "words", "phrase", "n"]
-            owned = block.room > 0
-            langs = pa.table({"lang": block.langs.take(pa.array(block.chunk[owned])), "n": block.weight[owned]}).group_by("lang").aggregate([("n", "sum")])
-            yield from pa.table([langs["lang"], pa.array(np.zeros(len(langs)), pa.int32()), pa.array([""] * len(langs)), langs["n_sum"]], names=names).to_batches()
+            langs = block.langs.dictionary_encode()
+            lang = langs.indices.to_numpy()[block.chunk]
+            totals = np.zeros(len(langs.dictionary), np.int64)
+            np.add.at(totals, lang[block.room > 0], block.weight[block.room > 0])
+            yield from _packets(langs.dictionary, np.arange(len(totals)), np.zeros(len(totals), np.int64), np.ones(len(totals), np.int64), np.full(len(totals), 0x0A, np.uint8), totals)
             if not len(often):
                 continue
             second = SECOND.of(block.flat, block.starts, block.ends)
@@ -182,12 +185,38 @@ def _send_phrases(longest: int, shards: int):
                     at = at[frequent[1][at + k - 2] | (block.room[at + k - 2] < 2)]
                 if not len(at):
                     break
-                order, new = ordered(rolled(block.first, at, k) ^ block.code[at], rolled(second, at, k))
-                some = at[order[new]]
-                sizes, text = gathered(block.flat, block.starts[some], block.ends[some + k - 1])
-                text = pa.LargeStringArray.from_buffers(len(some), pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)])), pa.py_buffer(text))
-                n = pa.array(np.add.reduceat(block.weight[at[order]], new))
-                yield pa.RecordBatch.from_arrays([block.langs.take(pa.array(block.chunk[some])), pa.array(np.full(len(some), k), pa.int32()), text.cast(pa.string()), n], names=names)
+                first = rolled(block.first, at, k)
+                order, new = ordered(first ^ block.code[at], rolled(second, at, k))
+                some, n = at[order[new]], np.add.reduceat(block.weight[at[order]], new)
+                shard = shard_of(first[order[new]], phrase_shards)
+                by = np.lexsort((shard, lang[some]))
+                some = some[by]
+                sizes, text = gathered(block.flat, block.starts[some], block.ends[some + k - 1] + 1)
+                text[np.cumsum(sizes) - 1] = 0x0A
+                yield from _packets(langs.dictionary, lang[some], shard[by], sizes, text, n[by])
+
+    return of
+
+
+def _packets(names: pa.Array, lang: np.ndarray, shard: np.ndarray, sizes: np.ndarray, text: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Phrases in order of language and shard, one row for each of both."""
+    cuts = runs(lang.astype(np.int64) << 32 | shard)
+    at, ends, whole = cuts[:-1], np.concatenate([[0], np.cumsum(sizes)]), text.tobytes()
+    phrases = [whole[ends[a] : ends[b]] for a, b in zip(cuts, cuts[1:])]
+    counts = [n[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+    yield pa.RecordBatch.from_arrays([names.take(pa.array(lang[at])), pa.array(shard[at], pa.int32()), pa.array(phrases, pa.binary()), pa.array(counts, pa.binary())], names=["lang", "shard", "phrases", "counts"])
+
+
+def _sum_phrases(min_count: int):
+    def of(packets: pa.Table) -> pa.Table:
+        flat = np.frombuffer(b"".join(packets["phrases"].to_pylist()), np.uint8)
+        offsets = np.concatenate([[0], np.flatnonzero(flat == 0x0A) + 1])
+        phrases = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(flat))
+        found = pa.table({"phrase": phrases, "n": np.frombuffer(b"".join(packets["counts"].to_pylist()), np.int64)}).group_by("phrase").aggregate([("n", "sum")])
+        phrase, n = pc.utf8_rtrim(found["phrase"], "\n"), found["n_sum"]
+        words = pc.if_else(pc.equal(phrase, ""), 0, pc.add(pc.count_substring(phrase, " "), 1)).cast(pa.int32())
+        table = pa.table({"lang": pa.repeat(packets["lang"][0], len(found)), "words": words, "phrase": phrase.cast(pa.string()), "n": n})
+        return table.filter(pc.or_(pc.equal(words, 0), pc.greater_equal(n, min_count)))
 
     return of
 
@@ -208,8 +237,8 @@ def phrase_counts(
     packets = entries.mapInArrow(_send_pairs(longest, min_count, shards), "shard int, block long, keys binary, counts binary")
     told = packets.groupBy("shard").applyInArrow(_frequent_pairs(min_count), "block long, shard int, keys binary")
     told = told.groupBy("block").agg(F.collect_list(F.struct("shard", "keys")).alias("told"))
-    found = entries.join(told, "block", "left").mapInArrow(_send_phrases(longest, shards), "lang string, words int, phrase string, n long")
-    return found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).filter((F.col("words") == 0) | (F.col("n") >= min_count))
+    found = entries.join(told, "block", "left").mapInArrow(_send_phrases(longest, shards, 4 * shards), "lang string, shard int, phrases binary, counts binary")
+    return found.groupBy("lang", "shard").applyInArrow(_sum_phrases(min_count), "lang string, words int, phrase string, n long")
 
 
 def collocations(
