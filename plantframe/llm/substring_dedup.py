@@ -4,7 +4,7 @@ A window is a run of words. Anchors are shorter runs that begin only at places o
 whatever the places of two equal windows, some word of both lies on the cover at the same distance from their starts,
 and the anchor that begins there lies inside both windows. So blocks of texts send their anchors to shards and learn
 which of them other blocks have too. Only around those, anchors are extended to whole windows, which are compared by
-128 bits; blocks learn which of their windows begin in a smaller document elsewhere. What texts of one block share is
+96 bits; blocks learn which of their windows begin in a smaller document elsewhere. What texts of one block share is
 found inside the block.
 """
 
@@ -114,13 +114,13 @@ def _send_windows(window: int, shards: int):
             first, second = first[order[new]], second[order[new]]
             shard = shard_of(first, shards)
             cuts = runs(shard)
-            own = np.stack([first, second], 1)
+            own, least = _twelve(first, second), _planes(least, cuts)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(shard[cuts[:-1]], pa.int32()),
                     pa.array(np.full(len(cuts) - 1, number)),
                     pa.array([own[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
-                    pa.array([least[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                    pa.array(least, pa.binary()),
                 ],
                 names=["shard", "block", "keys", "least"],
             )
@@ -128,16 +128,31 @@ def _send_windows(window: int, shards: int):
     return of
 
 
+def _twelve(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """96 bits of each window."""
+    return np.concatenate([first.astype("<u8").view(np.uint8).reshape(-1, 8), second.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :4]], axis=1)
+
+
+def _from_twelve(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(blob, np.uint8).reshape(-1, 12)
+    return np.ascontiguousarray(both[:, :8]).view("<u8").ravel(), np.ascontiguousarray(both[:, 8:]).view("<u4").ravel().astype(np.uint64)
+
+
+def _planes(values: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+    """Parts of numbers, lowest bytes of all first: the upper ones are mostly equal and take no room when compressed."""
+    return [values[a:b].astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for a, b in zip(cuts, cuts[1:])]
+
+
 def _later_windows(packets: pa.Table) -> pa.Table:
     """Of each packet, the windows that begin in a smaller document of another block."""
     blobs = packets["keys"].to_pylist()
-    keys = np.frombuffer(b"".join(blobs), np.uint64).reshape(-1, 2)
-    least = np.frombuffer(b"".join(packets["least"].to_pylist()), np.int64)
-    order, new = ordered(keys[:, 0], keys[:, 1])
+    keys = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 12)
+    least = np.concatenate([np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view("<i8").ravel() for x in packets["least"].to_pylist()])
+    order, new = ordered(*_from_twelve(b"".join(blobs)))
     smallest = np.repeat(np.minimum.reduceat(least[order], new), np.diff([*new, len(order)])) if len(new) else least
     later = np.zeros(len(keys), bool)
     later[order] = least[order] > smallest
-    ends = np.cumsum([len(b) // 16 for b in blobs])
+    ends = np.cumsum([len(b) // 12 for b in blobs])
     parts = [keys[a:b][later[a:b]].tobytes() for a, b in zip([0, *ends[:-1]], ends)]
     told = packets.select(["block"]).append_column("keys", pa.array(parts, pa.binary()))
     return told.filter(pa.array([bool(p) for p in parts]))
@@ -167,10 +182,11 @@ def _remove(window: int):
                 gone[order] = own > np.repeat(np.minimum.reduceat(own, new), np.diff([*new, len(order)]))
             told = [x for x in row.column("told").flatten().to_pylist()]
             if told and len(at):
-                keys = np.frombuffer(b"".join(told), np.uint64).reshape(-1, 2)
-                keys = keys[np.argsort(keys[:, 0])]
-                found = np.minimum(np.searchsorted(keys[:, 0], first), len(keys) - 1)
-                gone |= (keys[found, 0] == first) & (keys[found, 1] == second)
+                one, two = _from_twelve(b"".join(told))
+                by_first = np.argsort(one)
+                one, two = one[by_first], two[by_first]
+                found = np.minimum(np.searchsorted(one, first), len(one) - 1)
+                gone |= (one[found] == first) & (two[found] == (second & np.uint64(0xFFFFFFFF)))
             steps = np.zeros(len(block.row) + 1, np.int64)
             steps[at[gone]] += 1
             steps[at[gone] + window] -= 1
@@ -201,7 +217,8 @@ def dedup_substrings(
     anchors = blocks.mapInArrow(_send_anchors(window, shards), "shard int, block long, keys binary")
     told = anchors.groupBy("shard").applyInArrow(_shared_anchors, "block long, shard int, keys binary")
     told = told.groupBy("block").agg(F.collect_list(F.struct("shard", "keys")).alias("told"))
-    windows = blocks.join(told, "block").mapInArrow(_send_windows(window, shards), "shard int, block long, keys binary, least binary")
+    # Left joins: an inner one would filter the blocks first, and their exchange could not be used three times.
+    windows = blocks.join(told, "block", "left").mapInArrow(_send_windows(window, shards), "shard int, block long, keys binary, least binary")
     later = windows.groupBy("shard").applyInArrow(_later_windows, "block long, keys binary")
     later = later.groupBy("block").agg(F.collect_list("keys").alias("told"))
     return blocks.join(later, "block", "left").mapInArrow(_remove(window), "doc_id long, kept_text string, n_words long, n_removed long")

@@ -110,7 +110,7 @@ def runs(values: np.ndarray) -> np.ndarray:
 
 
 def ordered(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the 128-bit keys, and where runs of equal ones begin."""
+    """Order of keys in two parts, and where runs of equal ones begin."""
     order = np.argsort(first, kind="stable")
     one, two = first[order], second[order]
     if ((one[1:] == one[:-1]) & (two[1:] != two[:-1])).any():
