@@ -6,6 +6,7 @@ when it holds a point, and a time range selects buckets by their start.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta, timezone
 
@@ -167,82 +168,54 @@ def aggregate_datapoints(
 ) -> DataFrame:
     """Long-form aggregates: one row per (series, bucket, aggregation, granularity).
 
-    All granularities share one scan. Plain aggregates are one group-by with map-side partials.
-    Order-dependent ones are solved per time slice and joined at slice borders. Interpolation needs
-    only the first point of a bucket and the last point of the bucket before it.
-    ``is_step`` is a constant or the name of a boolean column.
+    Points become states of the largest bucket length that divides all granularities, in one shuffle with map-side
+    partials; the buckets of every granularity are combined from these states. Order-dependent aggregates are solved per
+    time slice and joined at slice borders. Interpolation needs only the first point of a bucket and the last point
+    of the bucket before it. ``is_step`` is a constant or the name of a boolean column.
     """
     parsed = _check_aggregations(aggregations, granularities)
     wanted = list(dict.fromkeys(aggregations))
     step = F.col(is_step).cast("boolean") if isinstance(is_step, str) else F.lit(bool(is_step))
-    ordered = bool(_ORDERED & set(wanted))
     neighbour = bool(_LEFT_NEIGHBOUR & set(wanted))
     series = list(series)
-    bucket_keys = [*series, "granularity", "_g", "_bucket"]
 
     low, high = inclusive_exclusive(start, end, closed)
-    options = []
+    names: dict[int, list[str]] = {}
     for name, size in parsed.items():
-        first_bucket = -(-low // size) * size
-        last_end = -(-high // size) * size
-        options.append((name, size, first_bucket, last_end))
-    widest_low = min(o[2] for o in options)
-    widest_high = max(o[3] for o in options)
+        names.setdefault(size, []).append(name)
+    limits = {size: (-(-low // size) * size, -(-high // size) * size) for size in names}
+    earliest, latest = min(first for first, _ in limits.values()), max(last for _, last in limits.values())
     points = dp.filter(F.col("timestamp").isNotNull())
-    if end is not None:
-        points = points.filter(F.col("timestamp") < _moment(widest_high))
-    if start is not None and not neighbour:
-        points = points.filter(F.col("timestamp") >= _moment(widest_low))
-
-    rows = points.select(
-        *series,
-        F.unix_micros("timestamp").alias("_t"),
-        F.col("value").cast("double").alias("_v"),
-        step.alias("_step"),
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("granularity"),
-                        F.lit(size).cast("long").alias("_g"),
-                        F.lit(first).cast("long").alias("_first"),
-                        F.lit(last).cast("long").alias("_last"),
-                    )
-                    for name, size, first, last in options
-                ]
-            )
-        ).alias("_o"),
-    ).select(*series, "_t", "_v", "_step", "_o.*")
-    rows = rows.withColumn("_bucket", F.col("_t") - F.pmod("_t", "_g")).filter(F.col("_bucket") < F.col("_last"))
-    in_range = F.col("_bucket") >= F.col("_first")
-    if neighbour:
-        # All history before the range is run -1: it matters as one left neighbour only.
-        run = F.floor((F.col("_bucket") - F.col("_first")) / (F.col("_g") * BUCKETS_PER_RUN))
-        rows = rows.withColumn("_run", F.when(in_range, run).otherwise(F.lit(-1)))
-        bucket_keys.append("_run")
-    inside = rows.filter(in_range)
-    if ordered:
-        buckets = _bucket_statistics_by_slice(inside, bucket_keys, slice_micros)
-    else:
-        buckets = inside.groupBy(*bucket_keys).agg(*_plain(wanted, neighbour))
+    inside = points if end is None else points.filter(F.col("timestamp") < _moment(latest))
+    inside = inside if start is None else inside.filter(F.col("timestamp") >= _moment(earliest))
+
+    states = _states(_measured(inside, series, step), series, math.gcd(*names), wanted, slice_micros)
+    buckets = _rolled_up(states, series, math.gcd(*names), list(names), wanted)
+
+    def of_size(values: dict[int, Column]) -> Column:
+        return F.coalesce(*[F.when(F.col("_g") == size, value) for size, value in values.items()])
+
+    first = of_size({size: F.lit(limit[0]) for size, limit in limits.items()})
+    last = of_size({size: F.lit(limit[1]) for size, limit in limits.items()})
     if neighbour:
-        keys = [*series, "granularity", "_g"]
-        ends = rows.groupBy(*keys, "_run").agg(*_edge("last", F.max, F.max_by))
-        ends = ends.select(*keys, "_run", _point("_last_t", "_last_v").alias("last"))
-        buckets = buckets.withColumn("_last_point", _point("_last_t", "_last_v"))
-        buckets = previous_across_slices(buckets, ends, keys, "_run", "_bucket", "_last_point", "_left")
-
-    values = {name: _value(name) for name in wanted}
-    long = buckets.select(
-        *series,
-        F.timestamp_micros("_bucket").alias("timestamp"),
-        "granularity",
-        F.explode(
-            F.array(*[F.struct(F.lit(n).alias("aggregation"), v.alias("value")) for n, v in values.items()])
-        ).alias("_a"),
-    )
-    return long.filter(F.col("_a.value").isNotNull()).select(
-        *series, "timestamp", F.col("_a.value").alias("value"), F.col("_a.aggregation").alias("aggregation"), "granularity"
+        history = None
+        if start is not None:
+            # All history before the range matters as one left neighbour only.
+            before = _measured(points.filter(F.col("timestamp") < _moment(earliest)), series, step)
+            before = before.groupBy(*series).agg(*_edge("last", F.max, F.max_by))
+            history = before.withColumn("_g", F.explode(F.array(*[F.lit(size).cast("long") for size in names])))
+        buckets = _with_left(buckets, history, series, first)
+    values = F.array(*[F.struct(F.lit(n).alias("aggregation"), _value(n).alias("value")) for n in wanted])
+    asked = of_size({size: F.array(*[F.lit(n) for n in own]) for size, own in names.items()})
+    chosen = buckets.filter((F.col("_bucket") >= first) & (F.col("_bucket") < last))
+    long = chosen.select(*series, "_g", F.timestamp_micros("_bucket").alias("timestamp"), F.explode(values).alias("_a"))
+    long = long.filter(F.col("_a.value").isNotNull()).withColumn("granularity", F.explode(asked))
+    return long.select(*series, "timestamp", F.col("_a.value").alias("value"), F.col("_a.aggregation").alias("aggregation"), "granularity")
+
+
+def _measured(points: DataFrame, series: Sequence[str], step: Column) -> DataFrame:
+    return points.select(
+        *series, F.unix_micros("timestamp").alias("_t"), F.col("value").cast("double").alias("_v"), step.alias("_step")
     )
 
 
@@ -250,24 +223,9 @@ def _point(t: str, v: str) -> Column:
     return F.struct(F.col(t).alias("t"), F.col(v).alias("v"))
 
 
-def _edge(name: str, extreme: Callable, at_extreme: Callable) -> list[Column]:
+def _edge(name: str, extreme: Callable, at_extreme: Callable, t: str = "_t", v: str = "_v") -> list[Column]:
     """Time and value of the first or last point, as two numbers so that the aggregate stays hash-based."""
-    return [extreme("_t").alias(f"_{name}_t"), at_extreme("_v", "_t").alias(f"_{name}_v")]
-
-
-def _plain(wanted: Sequence[str], neighbour: bool) -> list[Column]:
-    basic = {
-        "count": F.count(F.lit(1)).cast("double"),
-        "sum": F.sum("_v"),
-        "min": F.min("_v"),
-        "max": F.max("_v"),
-        "average": F.avg("_v"),
-        "discreteVariance": F.var_pop("_v"),
-    }
-    columns = [basic[n].alias(f"_{n}") for n in wanted if n in basic]
-    if neighbour:
-        columns += [*_edge("first", F.min, F.min_by), *_edge("last", F.max, F.max_by), F.bool_or("_step").alias("_step")]
-    return columns or [F.count(F.lit(1)).alias("_count")]
+    return [extreme(t).alias(f"_{name}_t"), at_extreme(v, t).alias(f"_{name}_v")]
 
 
 def _segments(t0: Column, v0: Column, t1: Column, v1: Column, step: Column) -> dict[str, Column]:
@@ -281,18 +239,21 @@ def _segments(t0: Column, v0: Column, t1: Column, v1: Column, step: Column) -> d
     }
 
 
-def _bucket_statistics_by_slice(rows: DataFrame, bucket_keys: Sequence[str], slice_micros: int) -> DataFrame:
-    slice_ = F.when(F.col("_g") <= slice_micros, F.lit(0)).otherwise(F.floor(F.col("_t") / slice_micros))
-    keys = [*bucket_keys, "_slice"]
-    inside = Window.partitionBy(*keys).orderBy("_t")
-    chained = (
-        rows.withColumn("_slice", slice_)
-        .withColumn("_t0", F.lag("_t").over(inside))
-        .withColumn("_v0", F.lag("_v").over(inside))
-    )
-    parts = _segments(F.col("_t0"), F.col("_v0"), F.col("_t"), F.col("_v"), F.col("_step"))
+def _states(rows: DataFrame, series: Sequence[str], base: int, wanted: Sequence[str], slice_micros: int) -> DataFrame:
+    """What is known of each bucket of ``base``: number, sum, extremes, moment, first and last point, and, for aggregates
+    that follow the order, stretches inside. Aggregates that are not asked for are pruned by the optimizer."""
+    rows = rows.withColumn("_bucket", F.col("_t") - F.pmod("_t", F.lit(base)))
+    keys, parts = [*series, "_bucket"], {}
+    ordered = bool(_ORDERED & set(wanted))
+    sliced = ordered and base > slice_micros
+    if ordered:
+        rows = rows.withColumn("_slice", F.floor(F.col("_t") / slice_micros) if sliced else F.lit(0))
+        keys.append("_slice")
+        inside = Window.partitionBy(*keys).orderBy("_t")
+        rows = rows.withColumns({"_t0": F.lag("_t").over(inside), "_v0": F.lag("_v").over(inside)})
+        parts = _segments(F.col("_t0"), F.col("_v0"), F.col("_t"), F.col("_v"), F.col("_step"))
     # The group-by reuses the partitioning of the window, so this is one shuffle of the points.
-    slices = chained.groupBy(*keys).agg(
+    states = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("_v").alias("s"),
         F.min("_v").alias("mn"),
@@ -303,35 +264,72 @@ def _bucket_statistics_by_slice(rows: DataFrame, bucket_keys: Sequence[str], sli
         *_edge("last", F.max, F.max_by),
         *[F.coalesce(F.sum(c), F.lit(0.0)).alias(k) for k, c in parts.items()],
     )
-    chain = Window.partitionBy(*bucket_keys).orderBy("_slice")
-    whole = Window.partitionBy(*bucket_keys)
-    joined = slices.withColumn("_before", F.lag(_point("_last_t", "_last_v")).over(chain)).withColumn(
-        "_mean", F.sum("s").over(whole) / F.sum("n").over(whole)
-    )
-    border = _segments(F.col("_before.t"), F.col("_before.v"), F.col("_first_t"), F.col("_first_v"), F.col("_step"))
-    total = {k: F.sum(F.col(k)) + F.coalesce(F.sum(border[k]), F.lit(0.0)) for k in parts}
-    mean1, mean2 = total["i1"] / total["dt"], total["i2"] / total["dt"]
-    between = F.col("n") * F.pow(F.col("s") / F.col("n") - F.col("_mean"), 2)
-    return joined.groupBy(*bucket_keys).agg(
-        F.sum("n").cast("double").alias("_count"),
-        F.sum("s").alias("_sum"),
-        F.min("mn").alias("_min"),
-        F.max("mx").alias("_max"),
-        (F.sum("s") / F.sum("n")).alias("_average"),
-        ((F.sum("m2") + F.sum(between)) / F.sum("n")).alias("_discreteVariance"),
-        total["tv"].alias("_totalVariation"),
-        F.when(total["dt"] > 0, mean2 - mean1 * mean1).otherwise(0.0).alias("_continuousVariance"),
-        F.min("_first_t").alias("_first_t"),
-        F.min_by("_first_v", "_slice").alias("_first_v"),
-        F.max("_last_t").alias("_last_t"),
-        F.max_by("_last_v", "_slice").alias("_last_v"),
+    return _combined(states, [*series, "_bucket"], "_slice", wanted) if sliced else states.drop("_slice")
+
+
+def _combined(states: DataFrame, keys: Sequence[str], position: str, wanted: Sequence[str]) -> DataFrame:
+    """States of ``keys`` from those of their parts, which follow each other by ``position``."""
+    ordered, moments = bool(_ORDERED & set(wanted)), "discreteVariance" in wanted
+    whole = {"n": F.sum("n"), "s": F.sum("s"), "mn": F.min("mn"), "mx": F.max("mx")}
+    if moments:
+        everything = Window.partitionBy(*keys)
+        states = states.withColumn("_mean", F.sum("s").over(everything) / F.sum("n").over(everything))
+        whole["m2"] = F.sum("m2") + F.sum(F.col("n") * F.pow(F.col("s") / F.col("n") - F.col("_mean"), 2))
+    if ordered:
+        chain = Window.partitionBy(*keys).orderBy(position)
+        states = states.withColumn("_before", F.lag(_point("_last_t", "_last_v")).over(chain))
+        border = _segments(F.col("_before.t"), F.col("_before.v"), F.col("_first_t"), F.col("_first_v"), F.col("_step"))
+        whole |= {k: F.sum(k) + F.coalesce(F.sum(c), F.lit(0.0)) for k, c in border.items()}
+    return states.groupBy(*keys).agg(
+        *[c.alias(k) for k, c in whole.items()],
         F.bool_or("_step").alias("_step"),
+        *_edge("first", F.min, F.min_by, "_first_t", "_first_v"),
+        *_edge("last", F.max, F.max_by, "_last_t", "_last_v"),
     )
 
 
+def _rolled_up(states: DataFrame, series: Sequence[str], base: int, sizes: Sequence[int], wanted: Sequence[str]) -> DataFrame:
+    """States of the buckets of all sizes, ``_g`` long. States of ``base`` are dealt once, by series and a stretch of time
+    that holds whole buckets of every size, so that they are combined where they lie and no shuffle has them twice."""
+    if list(sizes) == [base]:
+        return states.withColumn("_g", F.lit(base).cast("long"))
+    stretch = math.lcm(*sizes)
+    slab = F.floor(F.col("_bucket") / stretch) if stretch < OPEN_END else F.lit(0)
+    dealt = states.withColumn("_slab", slab).repartition(*series, "_slab").withColumnRenamed("_bucket", "_part")
+    each = dealt.withColumn("_g", F.explode(F.array(*[F.lit(size).cast("long") for size in sizes])))
+    each = each.withColumn("_bucket", F.col("_part") - F.pmod("_part", "_g"))
+    return _combined(each, [*series, "_slab", "_g", "_bucket"], "_part", wanted).drop("_slab")
+
+
+def _with_left(buckets: DataFrame, history: DataFrame | None, series: Sequence[str], first: Column) -> DataFrame:
+    """Buckets from ``first`` on with ``_left``, the last point before them. Buckets of a series are chained run by run."""
+    keys = [*series, "_g"]
+    run = F.when(F.col("_bucket") >= first, F.floor((F.col("_bucket") - first) / (F.col("_g") * BUCKETS_PER_RUN))).otherwise(-1)
+    buckets = buckets.withColumn("_run", run)
+    known = buckets.select(*keys, "_run", "_last_t", "_last_v")
+    if history is not None:
+        known = known.unionByName(history.withColumn("_run", F.lit(-1).cast("long")))
+    ends = known.groupBy(*keys, "_run").agg(*_edge("end", F.max, F.max_by, "_last_t", "_last_v"))
+    ends = ends.select(*keys, "_run", _point("_end_t", "_end_v").alias("last"))
+    later = buckets.filter(F.col("_bucket") >= first).withColumn("_last_point", _point("_last_t", "_last_v"))
+    return previous_across_slices(later, ends, keys, "_run", "_bucket", "_last_point", "_left")
+
+
 def _value(name: str) -> Column:
+    if name == "continuousVariance":
+        mean1, mean2 = F.col("i1") / F.col("dt"), F.col("i2") / F.col("dt")
+        return F.when(F.col("dt") > 0, mean2 - mean1 * mean1).otherwise(0.0)
     if name not in _LEFT_NEIGHBOUR:
-        return F.col(f"_{name}")
+        stated = {
+            "count": F.col("n").cast("double"),
+            "sum": F.col("s"),
+            "min": F.col("mn"),
+            "max": F.col("mx"),
+            "average": F.col("s") / F.col("n"),
+            "discreteVariance": F.col("m2") / F.col("n"),
+            "totalVariation": F.col("tv"),
+        }
+        return stated[name]
     first, left = _point("_first_t", "_first_v"), F.col("_left")
     at_start = first["t"] == F.col("_bucket")
     as_step = F.when(at_start, first["v"]).otherwise(left["v"])

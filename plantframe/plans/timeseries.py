@@ -214,6 +214,29 @@ def agg_interpolation_range(s: Star) -> DataFrame:
     )
 
 
+_TWO = (("6h", H6), ("1d", DAY))
+
+
+@query(
+    "agg_rollup",
+    "SELECT * REPLACE (value::FLOAT::DOUBLE AS value) FROM ("
+    + " UNION ALL ".join(
+        f"SELECT * FROM ({with_views('dp')} {part})"
+        for g, us in _TWO
+        for part in (
+            _ordered_sql("coalesce(sum(abs(value - v0)), 0)", "totalVariation", g, us, 9),
+            plain_sql({"discreteVariance": PLAIN_SQL["discreteVariance"]}, g, us, digits=9),
+            _interpolated_sql(us, g, True, "stepInterpolation"),
+        )
+    )
+    + ")",
+)
+def agg_rollup(s: Star) -> DataFrame:
+    """Aggregates of every kind at two granularities from the same states."""
+    wanted = ["totalVariation", "discreteVariance", "stepInterpolation"]
+    return _single(aggregate_datapoints(s.catalog.scan("datapoints"), wanted, ["6h|1d"]))
+
+
 @query(
     "first_latest",
     with_views("dp")

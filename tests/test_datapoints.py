@@ -204,3 +204,30 @@ def test_first_rows_per_series(spark, monkeypatch, limit):
 def test_page_starts_one_millisecond_later(spark):
     dp = points(spark, [(1, "a", T0 + timedelta(microseconds=500 * i), float(i)) for i in range(6)])
     assert sorted(r.value for r in page_after(dp, str(T0), 2).collect()) == [2.0, 3.0]
+
+
+@pytest.mark.parametrize("limits", [{}, {"start": "2022-09-01 05:00", "end": "2022-09-03 07:30"}])
+def test_granularities_together_are_those_alone(spark, limits):
+    rng = Random(3)
+    data = [(i, f"s{i}", T0 + timedelta(seconds=rng.randint(0, 260_000)), rng.uniform(-9, 9)) for i in (1, 2) for _ in range(400)]
+    dp = points(spark, list({(i, t): (i, n, t, v) for i, n, t, v in data}.values())).withColumn("step", F.col("id") == 2)
+    sizes = ["90s", "2h", "1d", "day", "20h", "7m"]
+
+    def rows(granularities):
+        found = aggregate_datapoints(dp, dpm.AGGREGATES, granularities, is_step="step", slice_micros=1_800_000_000, **limits).collect()
+        return {(r.id, r.timestamp, r.aggregation, r.granularity): r.value for r in found}
+
+    together, alone = rows(sizes), {}
+    for size in sizes:
+        alone |= rows([size])
+    assert together.keys() == alone.keys() and len(together) > 5000
+    assert all(together[k] == pytest.approx(alone[k], abs=1e-9) for k in alone)
+
+
+def test_points_are_not_multiplied_before_the_shuffle(spark):
+    from test_queries import plan
+
+    text = plan(aggregate_datapoints(points(spark, []), ["average", "max"], ["2h", "1d", "1w"]), "simple")
+    scan_side = text[text.rindex("Exchange") :]
+    assert "Generate" not in scan_side and "explode" not in scan_side and "partial_max" in scan_side
+    assert text.count("Scan ExistingRDD") == 1
