@@ -1,7 +1,9 @@
-"""Asset trees: validation, placement, difference and reconciliation."""
+"""Asset trees: validation, placement, difference, reconciliation and stored labels."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from ..operators.hierarchy import (
     root_changes,
     validate_hierarchy,
 )
+from ..operators.labels import below, contained, label_tree, move, write_labelled
+from ..session import scratch_dir
 from ..sources.star import Star, text
 from .oracle import with_views
 from .registry import query
@@ -235,3 +239,75 @@ def hier_delete_recursive(s: Star) -> DataFrame:
     unknown = region.select(F.lit("no such node").alias("externalId"))
     tops = debtors.unionByName(region).unionByName(unknown)
     return delete_subtrees(_target(s), tops).select("id", "externalId")
+
+
+def _labelled(s: Star) -> DataFrame:
+    """The assets with interval labels, stored in the order of the walk and read again."""
+    path = f"{scratch_dir(s.spark)}/labelled-{uuid.uuid4().hex}"
+    write_labelled(s.catalog.scan("assets"), path)
+    return s.spark.read.parquet(path)
+
+
+@query(
+    "assets_subtree_labels",
+    with_views("assets", recursive=True)
+    + """,
+    below(externalId) AS (
+        SELECT externalId FROM assets WHERE externalId = 'region-1' OR id = 1010
+        UNION
+        SELECT a.externalId FROM assets a JOIN below b ON a.parentExternalId = b.externalId)
+    SELECT id, externalId, name FROM assets WHERE externalId IN (SELECT externalId FROM below)""",
+)
+def assets_subtree_labels(s: Star) -> DataFrame:
+    """A subtree as a range of one stored column."""
+    return below(_labelled(s), (F.col("externalId") == "region-1") | (F.col("id") == 1010)).select("id", "externalId", "name")
+
+
+@query(
+    "tree_sizes",
+    with_views("assets", recursive=True)
+    + """,
+    up(externalId, above) AS (
+        SELECT externalId, parentExternalId FROM assets WHERE parentExternalId IS NOT NULL
+        UNION ALL
+        SELECT up.externalId, a.parentExternalId FROM up JOIN assets a ON a.externalId = up.above WHERE a.parentExternalId IS NOT NULL)
+    SELECT a.externalId, count(up.externalId) AS descendants FROM assets a LEFT JOIN up ON up.above = a.externalId GROUP BY a.externalId""",
+)
+def tree_sizes(s: Star) -> DataFrame:
+    """How many assets lie below each one, read off its label."""
+    return label_tree(s.catalog.scan("assets")).select("externalId", (F.col("leave") - F.col("enter")).alias("descendants"))
+
+
+@query(
+    "assets_labels_moved",
+    with_views("assets", recursive=True)
+    + """,
+    moved AS (SELECT id, externalId, CASE id WHEN 1003 THEN 3 WHEN 2 THEN 1007 ELSE parentId END AS parentId FROM assets),
+    below(id) AS (
+        SELECT id FROM moved WHERE id IN (3, 1007)
+        UNION
+        SELECT m.id FROM moved m JOIN below b ON m.parentId = b.id)
+    SELECT id, externalId, parentId FROM moved WHERE id IN (SELECT id FROM below)""",
+)
+def assets_labels_moved(s: Star) -> DataFrame:
+    """Labels repaired after two moves: a nation to another region, and a whole region below a nation."""
+    moved = move(move(_labelled(s), 1003, 3), 2, 1007)
+    return below(moved, F.col("id").isin(3, 1007)).select("id", "externalId", "parentId")
+
+
+@query(
+    "hier_delete_labels",
+    with_views("assets")
+    + """
+    SELECT id, externalId FROM assets a
+    WHERE externalId <> 'region-2' AND coalesce(parentExternalId, '') <> 'region-2'
+      AND NOT EXISTS (SELECT 1 FROM nation WHERE a.parentExternalId = 'nation-' || n_nationkey AND n_regionkey = 2)
+      AND externalId NOT IN (SELECT 'customer-' || c_custkey FROM customer WHERE c_acctbal < 0)""",
+)
+def hier_delete_labels(s: Star) -> DataFrame:
+    """The recursive delete by labels: which of very many subtrees a node lies in takes no loop and no range join."""
+    debtors = s.base("customer").filter("c_acctbal < 0").select(text("customer-", F.col("c_custkey")).alias("externalId"))
+    regions = s.base("region").filter("r_regionkey = 2").select(text("region-", F.col("r_regionkey")).alias("externalId"))
+    assets = _labelled(s)
+    tops = assets.join(debtors.unionByName(regions), "externalId", "left_semi")
+    return assets.join(contained(assets, tops), "id", "left_anti").select("id", "externalId")
