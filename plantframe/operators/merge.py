@@ -74,10 +74,12 @@ def merge(
     ignore_unknown_ids: bool = True,
     order_by: str | None = None,
     now: datetime | None = None,
+    highest_id: int | None = None,
 ) -> MergeResult:
     """Write ``source`` into ``target`` by the rules of ``resource``.
 
-    Among source rows for one item, the greatest by ``order_by`` wins, then the greatest row.
+    Among source rows for one item, the greatest by ``order_by`` wins, then the greatest row. New ids follow
+    ``highest_id``, or the highest one of ``target`` when that is the whole table.
     """
     rules = WRITE_RULES.get(resource)
     if rules is None:
@@ -90,11 +92,12 @@ def merge(
     if mode == "insert_into":
         return merge(
             target, source.drop("id"), resource, "upsert",
-            ignore_null_fields=ignore_null_fields, order_by=order_by, now=now,
+            ignore_null_fields=ignore_null_fields, order_by=order_by, now=now, highest_id=highest_id,
         )
     if mode == "delete":
         return _delete(target, source, rules, ignore_unknown_ids)
     work = _Merge(target, _tidied(source), rules, ignore_null_fields, order, stamp)
+    work.highest_id = highest_id
     if mode == "abort":
         return work.insert()
     return work.update() if mode == "update" else work.upsert()
@@ -127,6 +130,7 @@ class _Merge:
         self.target, self.source, self.rules = target, source, rules
         self.ignore_null_fields, self.order, self.stamp = ignore_null_fields, order, stamp
         self.key = "id" if rules.has_id else "externalId"
+        self.highest_id: int | None = None
         if "id" not in source.columns and "externalId" not in source.columns and not rules.has_id:
             raise PlantError("externalId is required")
         self.fields = [
@@ -235,7 +239,9 @@ class _Merge:
         if self.rules.has_id and "id" in types:
             unique = F.coalesce(F.concat(F.lit("e"), self._name()), F.concat(F.lit("r"), F.to_json(F.struct(*self.fields))))
             good = dense_rank_ids(good, unique, "_rank")
-            highest = self.target.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+            highest = F.lit(self.highest_id)
+            if self.highest_id is None:
+                highest = self.target.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
 
         def field(name: str) -> Column:
             if name == "id":

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -18,7 +19,9 @@ from ..operators.series_writes import (
     upsert_sequence_rows,
 )
 from ..operators.skew import keep_greatest
+from ..session import scratch_dir
 from ..sources.star import Star, text
+from ..sources.store import create_store, merge_at, open_store
 from .oracle import with_views
 from .registry import query
 from .scans import sequence_columns
@@ -478,3 +481,43 @@ def sequence_rows_upsert(s: Star) -> DataFrame:
 def sequence_rows_delete(s: Star) -> DataFrame:
     target = s.catalog.scan("sequencerows")
     return delete_sequence_rows(target, target.filter("kind = 'error'")).select("id", "rowNumber", "k")
+
+
+def _stored(s: Star, resource: str) -> str:
+    """The folder of a stored copy of a resource, in 16 files by key."""
+    path = f"{scratch_dir(s.spark)}/store-{uuid.uuid4().hex}"
+    create_store(s.catalog.scan(resource), path, resource, 16)
+    return path
+
+
+@query(
+    "merge_touched_files",
+    with_views("ev")
+    + f""",{_EVENT_CHANGES},
+    visits AS (SELECT 'visit-' || c_custkey AS externalId, c_mktsegment AS description FROM customer)
+    SELECT ev.externalId, ev.type, c.description, coalesce(c.subtype, ev.subtype) AS subtype, c.k IS NOT NULL AS touched
+    FROM ev LEFT JOIN by_id c ON c.k = ev.id
+    UNION ALL
+    SELECT externalId, NULL, description, NULL, true FROM visits""",
+)
+def merge_touched_files(s: Star) -> DataFrame:
+    """An upsert into a stored table that leaves the files without a named row as they are."""
+    visits = s.base("customer").select(
+        text("visit-", F.col("c_custkey")).alias("externalId"), F.col("c_mktsegment").alias("description")
+    )
+    changes = _event_changes(s).filter("id is not null").unionByName(visits, allowMissingColumns=True)
+    path = _stored(s, "events")
+    merge_at(s.spark, path, changes, "events", "upsert", now=NOW)
+    return _touched(open_store(s.spark, path))
+
+
+@query(
+    "delete_touched_files",
+    with_views("rel") + "SELECT externalId, sourceExternalId, confidence FROM rel WHERE NOT starts_with(externalId, '1')",
+)
+def delete_touched_files(s: Star) -> DataFrame:
+    """A delete by externalId that only rewrites the files in which such rows lie."""
+    named = s.catalog.scan("relationships").filter(F.col("externalId").startswith("1")).select("externalId")
+    path = _stored(s, "relationships")
+    merge_at(s.spark, path, named, "relationships", "delete")
+    return open_store(s.spark, path).select("externalId", "sourceExternalId", F.round("confidence", 6).alias("confidence"))
