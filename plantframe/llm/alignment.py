@@ -28,7 +28,7 @@ from .common import bound_batches, lists, staged, text_chunks, text_of
 from .words import runs
 
 #: Bytes of text handled at once; words a worker remembers; pairs of ids in a slice; entries a product expands at once.
-CHUNK, REMEMBERED, SLICE_PAIRS, EXPANDED = 1_500_000, 150_000, 2_000_000, 2_000_000
+CHUNK, REMEMBERED, SLICE_PAIRS, EXPANDED = 500_000, 120_000, 2_000_000, 1_000_000
 #: White space stays with the word behind it. Texts of other characters are aligned whole.
 _CUT = re.compile(r"[ \n\t]*[^ \n\t]+|[ \n\t]+")
 _PLAIN = re.compile(r"[\t\n\x20-\x7e¡-ɏ]*")
