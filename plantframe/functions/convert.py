@@ -62,6 +62,15 @@ def coerce(value: Column, source: T.DataType, target: T.DataType) -> tuple[Colum
     return F.lit(None).cast(target), value.isNotNull()
 
 
+def takes_all(source: T.DataType, target: T.DataType) -> bool:
+    """Whether no value of the source type is refused by ``coerce``."""
+    if isinstance(source, T.NullType) or source == target:
+        return True
+    if isinstance(target, T.ArrayType) and isinstance(source, T.ArrayType):
+        return isinstance(target.elementType, T.StructType) or takes_all(source.elementType, target.elementType)
+    return isinstance(target, T.StructType) or isinstance(source, _TAKES.get(type(target), ()))
+
+
 def validate(
     df: DataFrame, schema: T.StructType, required: Sequence[str] = (), row_id: str = "externalId"
 ) -> tuple[DataFrame, DataFrame]:

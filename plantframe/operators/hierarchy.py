@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..errors import PlantError
 from ..session import cut_lineage
-from .skew import dense_rank_ids, keep_greatest, lookup
+from .skew import dense_rank_ids, keep_greatest
 
 COMPARED = ("description", "metadata", "name", "source", "dataSetId", "labels")
 CLEARABLE = ("description", "source", "dataSetId")
@@ -35,7 +35,7 @@ def resolve_ancestors(
     if not stored:
         nodes = cut_lineage(nodes)
     known = nodes.select(F.col("k").alias("p"), F.lit(True).alias("known"))
-    linked = lookup(nodes, known, "p", "left", size=nodes.count())
+    linked = nodes.join(known, "p", "left")
     state = cut_lineage(
         linked.select(
             "k",
@@ -56,7 +56,7 @@ def resolve_ancestors(
             *([F.col("path").alias("path2")] if with_path else []),
         )
         moved = cut_lineage(
-            lookup(pending, above, "up", size=open_rows).select(
+            pending.join(above, "up").select(
                 "k",
                 F.col("up2").alias("up"),
                 (F.col("depth") + F.col("depth2")).alias("depth"),
@@ -106,7 +106,7 @@ def _descendants(tree: DataFrame, tops: DataFrame) -> DataFrame:
         .withColumn("parentExternalId", F.when(F.col("_top"), None).otherwise(F.col("parentExternalId")))
     )
     placed = resolve_ancestors(cut.drop("_top"), "externalId", "parentExternalId").filter("not cyclic")
-    return lookup(placed, marks.withColumnRenamed("externalId", "root"), "root").select("externalId")
+    return placed.join(marks.withColumnRenamed("externalId", "root"), "root").select("externalId")
 
 
 def subtree(assets: DataFrame, ids: list[int] = (), external_ids: list[str] = ()) -> DataFrame:
@@ -159,13 +159,17 @@ def _invalid(source: DataFrame, placed: DataFrame) -> DataFrame:
 
 
 def hierarchy_roots(source: DataFrame) -> DataFrame:
-    """``externalId, root, depth, rootParent``: top-most node of the input above each node, and its parent."""
-    return _roots(source, resolve_ancestors(source, "externalId", "parentExternalId"))
+    """``externalId, root, depth, rootParent``: top-most node of the input above each node, and its parent.
+
+    A repeated key counts once, with the greatest of its parents.
+    """
+    nodes = _unique(source)
+    return _roots(nodes, resolve_ancestors(nodes, "externalId", "parentExternalId", stored=True))
 
 
 def _roots(source: DataFrame, placed: DataFrame) -> DataFrame:
     parents = source.select(F.col("externalId").alias("root"), F.col("parentExternalId").alias("rootParent"))
-    found = lookup(placed.filter("not cyclic"), parents, "root")
+    found = placed.filter("not cyclic").join(parents, "root")
     return found.select("externalId", "root", "depth", "rootParent")
 
 
@@ -222,7 +226,7 @@ def root_changes(source_roots: DataFrame, target: DataFrame) -> DataFrame:
         tops.join(placed.select(F.col("externalId").alias("rootParent"), F.col("root").alias("under")), "rootParent", "left")
         .select("root", F.coalesce("under", "root").alias("newRoot"))
     )
-    moved = lookup(source_roots.select("externalId", "root", "rootParent"), new_tops, "root").join(old, "externalId")
+    moved = source_roots.select("externalId", "root", "rootParent").join(new_tops, "root").join(old, "externalId")
     becomes_root = (F.col("externalId") == F.col("root")) & ~_has_parent("rootParent")
     return moved.filter(F.col("oldRoot") != F.col("newRoot")).select(
         "externalId",

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .skew import lookup
-
 
 def consecutive_pairs(
     df: DataFrame, keys: Sequence[str], sequence: str, columns: Sequence[str]
@@ -27,7 +25,7 @@ def link_assets(items: DataFrame, assets: DataFrame, column: str = "assetIds") -
     named = assets.select(
         F.col("id").alias("asset_id"), *[F.col(c).alias(f"asset_{c}") for c in assets.columns if c != "id"]
     )
-    return lookup(items.withColumn("asset_id", F.explode(column)), named, "asset_id")
+    return items.withColumn("asset_id", F.explode(column)).join(named, "asset_id")
 
 
 def edge_endpoints(edges: DataFrame, nodes: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -37,7 +35,7 @@ def edge_endpoints(edges: DataFrame, nodes: DataFrame, columns: Sequence[str]) -
         ends = nodes.select(
             F.struct("space", "externalId").alias(side), *[F.col(c).alias(f"{prefix}_{c}") for c in columns]
         )
-        joined = lookup(joined, ends, side, count_in=edges)
+        joined = joined.join(ends, side)
     return joined
 
 

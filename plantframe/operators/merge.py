@@ -6,7 +6,7 @@ Source rows are first resolved to target ids, so the wide table is joined once,
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import reduce
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import PlantError
-from ..functions.convert import clean_metadata, normalise_labels
+from ..functions.convert import coerce, normalise_labels, takes_all
 from ..session import cut_lineage
 from ..sources.schemas import WRITE_RULES, WriteRules
 from .skew import dense_rank_ids, keep_greatest
@@ -96,25 +96,40 @@ def merge(
         )
     if mode == "delete":
         return _delete(target, source, rules, ignore_unknown_ids)
-    work = _Merge(target, _tidied(source), rules, ignore_null_fields, order, stamp)
+    good, refused = _tidied(source, target)
+    work = _Merge(target, good, rules, ignore_null_fields, order, stamp)
     work.highest_id = highest_id
     if mode == "abort":
-        return work.insert()
-    return work.update() if mode == "update" else work.upsert()
+        result = work.insert()
+    else:
+        result = work.update() if mode == "update" else work.upsert()
+    return replace(result, errors=result.errors if refused is None else result.errors.unionByName(refused), read=source)
 
 
-def _tidied(source: DataFrame) -> DataFrame:
-    """Values as they are stored: maps without nulls; an empty list of labels or sequence columns is not given."""
+def _tidied(source: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with their values as they are stored, and errors for rows with a value of a type that its column does not take.
 
-    def value(field: T.StructField) -> Column:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.MapType):
-            column = clean_metadata(column)
-        elif field.name in ("labels", "columns") and isinstance(field.dataType, T.ArrayType):
-            column = normalise_labels(column)
-        return column.alias(field.name)
-
-    return source.select(*[value(f) for f in source.schema.fields])
+    Numbers become those of the column; arrays and maps lose their nulls, and an empty list of labels or sequence
+    columns is not given. Columns that the target does not have stay as they are.
+    """
+    name = F.concat(F.lit("Row "), F.coalesce(*[F.col(c).cast("string") for c in ("externalId", "id") if c in source.columns], F.lit("?")))
+    values, problems = [], []
+    for field in source.schema.fields:
+        value = F.col(f"`{field.name}`")
+        if field.name in target.columns:
+            wanted = target.schema[field.name].dataType
+            text = value.cast("string") if isinstance(field.dataType, T.AtomicType) else F.to_json(F.struct(value))
+            value, bad = coerce(value, field.dataType, wanted)
+            if not takes_all(field.dataType, wanted):
+                what = f" in column {field.name}: expected {wanted.simpleString()}, got {field.dataType.simpleString()} "
+                problems.append(F.when(F.coalesce(bad, F.lit(False)), F.concat(name, F.lit(what), text)))
+            if field.name in ("labels", "columns") and isinstance(wanted, T.ArrayType):
+                value = normalise_labels(value)
+        values.append(value.alias(field.name))
+    if not problems:
+        return source.select(*values), None
+    message = F.concat_ws("; ", *problems)
+    return source.filter(message == "").select(*values), _errors(source.filter(message != ""), message)
 
 
 class _Merge:

@@ -13,10 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A lookup key occurring more often than this is spread over several tasks.
-HOT_ROWS = 1_000_000
-# At most this many hot keys are broadcast, which bounds the broadcast whatever the data.
-MAX_HOT_KEYS = 10_000
 # Aimed size and largest number of the slices that a table is cut into by value.
 SLICE_ROWS = 500_000
 MAX_SLICES = 1024
@@ -110,44 +106,5 @@ def dense_rank_ids(df: DataFrame, order_key: Column, out: str, slices: int = 819
     )
 
 
-def lookup(
-    rows: DataFrame,
-    table: DataFrame,
-    key: str,
-    how: str = "inner",
-    *,
-    size: int | None = None,
-    count_in: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Join ``rows`` to ``table``, unique on ``key``, when some keys may be very frequent in ``rows``.
-
-    Keys above ``hot_rows`` get several copies of their one table row, and their rows pick a copy
-    by hash. Rows with a null key match nothing and are spread as well. ``size`` is the number of
-    ``rows`` when the caller knows it: a small table has no hot key and is simply joined. Keys are
-    counted in ``count_in``, a cheaper table with the same keys, when ``rows`` is itself a join.
-    """
-    if size is not None and size <= hot_rows:
-        return rows.join(table, key, how)
-    counted = (rows if count_in is None else count_in).filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = (
-        counted.filter(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"))
-        .limit(MAX_HOT_KEYS)
-        .select(key, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_copies"))
-    )
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns if not _has_map(rows, c)])
-    left = rows.join(F.broadcast(hot), key, "left").withColumn(  # at most MAX_HOT_KEYS rows
-        "_salt",
-        F.when(F.col(key).isNull(), F.pmod(spread, F.lit(4096)).cast("int"))
-        .when(F.col("_copies").isNotNull(), F.pmod(spread, F.col("_copies")).cast("int"))
-        .otherwise(F.lit(0)),
-    )
-    right = table.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_copies"), F.lit(1)) - 1))
-    )
-    return left.drop("_copies").join(right.drop("_copies"), [key, "_salt"], how).drop("_salt")
-
-
 def _has_map(df: DataFrame, column: str) -> bool:
     return "map" in df.schema[column].dataType.simpleString()

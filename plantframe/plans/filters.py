@@ -12,7 +12,7 @@ from ..operators.hierarchy import missing_parents
 from ..operators.intervals import complement_intervals, intersect_intervals, merge_intervals
 from ..operators.joins import consecutive_pairs, edge_endpoints, link_assets, split_existing
 from ..operators.predicates import contains_any, equals_array, lookup_rows, reference
-from ..operators.skew import keep_greatest, lookup
+from ..operators.skew import keep_greatest
 from ..sources.star import Star, text
 from .oracle import with_views
 from .registry import query
@@ -437,7 +437,7 @@ def endpoints(s: Star) -> DataFrame:
 )
 def datapoints_by_unit(s: Star) -> DataFrame:
     series = s.catalog.scan("timeseries", columns=["id", "unit", "isStep"])
-    joined = lookup(s.catalog.scan("datapoints"), series, "id")
+    joined = s.catalog.scan("datapoints").join(series, "id")
     return joined.groupBy("unit", "isStep").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total")
     )
