@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rawjson import infer_json_schema, read_json_table
+from ..errors import PlantError
 from ..operators.datapoints import check_series_kind, datapoints
 from ..operators.graph import has_data, scan_instances, scan_model
 from ..operators.series_writes import sequence_rows
@@ -103,6 +104,31 @@ def datapoints_type_guard(s: Star) -> DataFrame:
     return check_series_kind(series, series, is_string=False)
 
 
+@query(
+    "datapoints_needs_id",
+    with_views("dp", "series")
+    + """
+    SELECT 'points' AS part, id, count(*) AS n, NULL AS error FROM dp WHERE id BETWEEN 3 AND 40 GROUP BY id
+    UNION ALL
+    SELECT 'refused', NULL, NULL, 'data points are read by at least one id or externalId'
+    UNION ALL
+    SELECT 'refused', NULL, NULL, 'series ' || id || ' holds ' || CASE WHEN isString THEN 'string points, read it with stringdatapoints'
+           ELSE 'numeric points, read it with datapoints' END
+    FROM series WHERE externalId IN ('text-5', 'user-7')""",
+)
+def datapoints_needs_id(s: Star) -> DataFrame:
+    """Reads of named series, and the reads that are refused: no series named, or one of the other kind."""
+    found = s.catalog.points(ids=list(range(3, 41))).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    found = found.select(F.lit("points").alias("part"), "id", "n", F.lit(None).cast("string").alias("error"))
+    refused = []
+    for kind, names in (("datapoints", []), ("datapoints", ["text-5", "user-6"]), ("stringdatapoints", ["user-7"])):
+        try:
+            s.catalog.points(kind, external_ids=names)
+        except PlantError as error:
+            refused.append(("refused", None, None, str(error)))
+    return found.unionByName(s.spark.createDataFrame(refused, "part string, id long, n long, error string"))
+
+
 @query(
     "scan_files",
     """

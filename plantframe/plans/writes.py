@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.merge import merge
+from ..operators.mixed_rows import check_mixed_rows, mixed_cells, upsert_mixed_rows
 from ..operators.series_writes import (
     delete_range_bounds,
     delete_ranges,
@@ -521,3 +522,98 @@ def delete_touched_files(s: Star) -> DataFrame:
     path = _stored(s, "relationships")
     merge_at(s.spark, path, named, "relationships", "delete")
     return open_store(s.spark, path).select("externalId", "sourceExternalId", F.round("confidence", 6).alias("confidence"))
+
+
+@query(
+    "merge_validated",
+    """
+    SELECT 'row' AS part, 'call-' || o_orderkey AS externalId, o_custkey + 1000000 AS asset, NULL AS error
+    FROM orders WHERE o_orderstatus <> 'F'
+    UNION ALL
+    SELECT 'error', 'call-' || o_orderkey, NULL,
+           'Row call-' || o_orderkey || ' in column endTime: expected timestamp, got string ' || o_orderpriority
+           || '; Row call-' || o_orderkey || ' in column type: expected string, got bigint ' || o_custkey
+    FROM orders WHERE o_orderstatus = 'F'""",
+)
+def merge_validated(s: Star) -> DataFrame:
+    """Values of a type that their column does not take refuse the row; the others are stored, arrays without nulls."""
+    closed = F.col("o_orderstatus") == "F"
+    calls = s.base("orders").select(
+        text("call-", F.col("o_orderkey")).alias("externalId"),
+        F.when(closed, F.col("o_orderpriority")).alias("endTime"),
+        F.when(closed, F.col("o_custkey")).alias("type"),
+        F.array(F.lit(None).cast("long"), F.col("o_custkey") + 1_000_000).alias("assetIds"),
+    )
+    result = merge(s.catalog.scan("events"), calls, "events", "upsert", now=NOW)
+    rows = result.created.select(F.lit("row").alias("part"), "externalId", F.col("assetIds")[0].alias("asset"))
+    errors = result.errors.select(F.lit("error").alias("part"), "externalId", "error")
+    return rows.unionByName(errors, allowMissingColumns=True)
+
+
+def _mixed(s: Star) -> tuple[DataFrame, DataFrame]:
+    """Sequences of three kinds by their number, and rows of all of them with a value and a kind each."""
+    sequences = s.catalog.scan("sequences")
+    wanted = F.when(F.col("id") % 3 == 0, F.array(F.lit("value"), F.lit("kind"))).when(F.col("id") % 3 == 1, F.array(F.lit("k")))
+    wanted = wanted.otherwise(F.array(F.lit("value"), F.lit("kind"), F.lit("k")))
+    sequences = sequences.withColumn("columns", F.filter("columns", lambda c: F.array_contains(wanted, c["externalId"])))
+    return sequences, s.catalog.scan("sequencerows")
+
+
+_MIXED_CELLS = """
+    cells AS (
+        SELECT externalId, rowNumber, 'value' AS "column", 'DOUBLE' AS valueType, NULL AS text, value AS number, NULL::BIGINT AS whole FROM {rows} WHERE id % 3 <> 1
+        UNION ALL SELECT externalId, rowNumber, 'kind', 'STRING', kind, NULL, NULL FROM {rows} WHERE id % 3 <> 1
+        UNION ALL SELECT externalId, rowNumber, 'k', 'LONG', NULL, NULL, k FROM {rows} WHERE id % 3 <> 0)"""
+
+
+@query(
+    "sequence_rows_mixed",
+    with_views("seqrows")
+    + ","
+    + _MIXED_CELLS.format(rows="seqrows")
+    + """
+    SELECT 'cell' AS part, externalId, rowNumber, "column", valueType, text, number, whole, NULL AS error FROM cells
+    UNION ALL
+    SELECT 'error', externalId, rowNumber, NULL, NULL, NULL, NULL, NULL, CASE id % 3
+        WHEN 0 THEN 'column k of sequence ' || externalId || ' does not exist; column value of sequence ' || externalId || ' has type STRING, expected DOUBLE'
+        WHEN 1 THEN 'column k of sequence ' || externalId || ' has type STRING, expected LONG; column value of sequence ' || externalId || ' does not exist'
+        ELSE 'column k of sequence ' || externalId || ' has type STRING, expected LONG; column value of sequence ' || externalId || ' has type STRING, expected DOUBLE' END
+    FROM seqrows WHERE kind = 'error'""",
+)
+def sequence_rows_mixed(s: Star) -> DataFrame:
+    """Rows of sequences with different columns in one frame: typed cells of those that fit, errors of the others."""
+    sequences, rows = _mixed(s)
+    given = _given(rows).unionByName(
+        rows.filter("kind = 'error'").select("externalId", "rowNumber", F.to_variant_object(F.struct(F.lit("x").alias("value"), F.col("kind").alias("k"))).alias("values"))
+    )
+    good, errors = check_mixed_rows(given, sequences)
+    cells = mixed_cells(good, sequences).withColumn("part", F.lit("cell"))
+    return cells.unionByName(errors.withColumn("part", F.lit("error")), allowMissingColumns=True)
+
+
+def _given(rows: DataFrame) -> DataFrame:
+    """Each row with the cells that its sequence has columns for."""
+    shapes = {0: ["value", "kind"], 1: ["k"], 2: ["value", "kind", "k"]}
+    values = F.coalesce(*[F.when(F.col("id") % 3 == n, F.to_variant_object(F.struct(*names))) for n, names in shapes.items()])
+    return rows.select("externalId", "rowNumber", values.alias("values"))
+
+
+@query(
+    "sequence_rows_mixed_upsert",
+    with_views("seqrows")
+    + """,
+    changed AS (
+        SELECT id, externalId, rowNumber, CASE WHEN kind = 'error' THEN -value ELSE value END AS value, kind, k FROM seqrows),"""
+    + _MIXED_CELLS.format(rows="changed")
+    + """
+    SELECT externalId, rowNumber, "column", text, number, whole FROM cells
+    UNION ALL
+    SELECT externalId, rowNumber + 100000000, 'value', NULL, -value, NULL FROM seqrows WHERE kind = 'error' AND id % 3 <> 1""",
+)
+def sequence_rows_mixed_upsert(s: Star) -> DataFrame:
+    """An upsert of one column into rows of many sequences: other cells stay, rows of sequences without it are refused."""
+    sequences, rows = _mixed(s)
+    negative = rows.filter("kind = 'error'").select("externalId", "rowNumber", F.to_variant_object(F.struct((-F.col("value")).alias("value"))).alias("values"))
+    added = negative.withColumn("rowNumber", F.col("rowNumber") + 100_000_000)
+    table, _ = upsert_mixed_rows(_given(rows), negative.unionByName(added), sequences)
+    return mixed_cells(table, sequences).drop("valueType")

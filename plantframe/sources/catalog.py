@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import PlantError
+from ..operators.datapoints import check_series_kind, datapoints
 from ..operators.hierarchy import subtree
 from ..operators.predicates import parse_ids
 from .schemas import READ_SCHEMAS
@@ -59,6 +61,27 @@ class Catalog:
             df = df.filter(where)
         return df.select(*columns) if columns else df
 
+    def points(
+        self,
+        resource: str = "datapoints",
+        *,
+        ids: Sequence[int] = (),
+        external_ids: Sequence[str] = (),
+        start: datetime | str | None = None,
+        end: datetime | str | None = None,
+        closed: str = "left",
+    ) -> DataFrame:
+        """Points of named series of one kind. Without a name, and for series of the other kind, it is an error; unknown
+        names have no points."""
+        found = datapoints(self.table(resource), ids=ids, external_ids=external_ids, start=start, end=end, closed=closed)
+        series = self.table("timeseries")
+        asked = series.filter(F.col("id").isin(list(ids)) | F.col("externalId").isin(list(external_ids)))
+        wrong = check_series_kind(asked, asked, is_string=resource == "stringdatapoints").select("error").orderBy("error").limit(10)
+        messages = [r["error"] for r in wrong.collect()]
+        if messages:
+            raise PlantError("; ".join(messages))
+        return found
+
     def register_views(self, prefix: str = "") -> None:
         """Make every resource available to ``spark.sql`` under its name."""
         for name in self._tables:

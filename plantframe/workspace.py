@@ -28,6 +28,7 @@ from .operators.graph import (
 )
 from .operators.hierarchy import delete_subtrees, reconcile_hierarchy
 from .operators.merge import merge
+from .operators.predicates import parse_ids
 from .operators.series_writes import (
     delete_ranges,
     delete_sequence_rows,
@@ -64,6 +65,10 @@ def _subtrees(options: Mapping[str, object]) -> str:
     return str(options.get("subtrees", "ingest")).lower()
 
 
+def _texts(value: object) -> list[str]:
+    return [] if value is None else [value] if isinstance(value, str) else [str(v) for v in value]
+
+
 @dataclass
 class Workspace:
     """A catalog, and where graphs, JSON tables and file contents are found."""
@@ -87,6 +92,9 @@ class Workspace:
             columns = self._sequence_columns(options)
             rows = self.catalog.scan("sequencerows", where=self._one_sequence(options))
             return sequence_rows(rows, columns)
+        if kind in _POINTS and {"id", "externalId"} & options.keys():
+            ids, external_ids = parse_ids(str(options["id"])) if "id" in options else ([], [])
+            return self.catalog.points(kind, ids=ids, external_ids=[*external_ids, *_texts(options.get("externalId"))])
         subtree = options.get("assetSubtreeIds") if kind == "assets" else None
         numbers = {"model_id": "modelId", "revision_id": "revisionId"}
         chosen = {name: int(str(options[o])) for name, o in numbers.items() if kind.startswith("3d") and o in options}

@@ -198,3 +198,32 @@ def test_sequence_columns(spark, rows):
     target = spark.createDataFrame([("s", [("a", "LONG"), ("b", "STRING")]), ("t", [("a", "LONG")])], kind)
     source = spark.createDataFrame([("s", [("a", "DOUBLE"), ("c", None)]), ("t", []), ("unknown", [("a", "LONG")])], kind)
     assert rows(diff_sequence_columns(target, source)) == [("s", "a", "error", "LONG"), ("s", "b", "remove", "STRING"), ("s", "c", "add", "STRING")]
+
+
+def test_sources_of_other_types_are_refused_row_by_row(spark, rows):
+    target = spark.createDataFrame([(1, "a", 1.5, [1], {"k": "v"})], "id long, externalId string, confidence double, assetIds array<long>, metadata map<string,string>")
+    source = spark.createDataFrame(
+        [("a", 3, [None, 2], {"x": None, "y": "1"}, None), ("b", 4, [], None, "text"), ("c", None, None, None, None)],
+        "externalId string, confidence int, assetIds array<int>, metadata map<string,string>, createdTime string",
+    )
+    stored = target.withColumns({"createdTime": F.current_timestamp(), "lastUpdatedTime": F.current_timestamp()})
+    result = merge(stored, source, "events", "upsert")
+    assert rows(result.errors, "externalId", "error") == [("b", "Row b in column createdTime: expected timestamp, got string text")]
+    found = {r.externalId: r for r in result.table.collect()}
+    assert found.keys() == {"a", "c"} and found["a"].confidence == 3.0 and found["a"].assetIds == [2] and found["a"].metadata == {"y": "1"}
+
+
+def test_points_are_read_by_name_and_kind(spark):
+    from plantframe.sources.catalog import Catalog
+
+    catalog = Catalog(
+        spark,
+        {
+            "timeseries": lambda: spark.createDataFrame([(1, "n", False), (2, "t", True)], "id long, externalId string, isString boolean"),
+            "datapoints": lambda: spark.createDataFrame([(1, "n", NOW, 2.0)], "id long, externalId string, timestamp timestamp, value double"),
+        },
+    )
+    assert catalog.points(ids=[1, 77]).count() == 1 and catalog.points(external_ids=["unknown"]).count() == 0
+    for wrong in ({}, {"ids": [2]}, {"ids": [1], "external_ids": ["t"]}):
+        with pytest.raises(PlantError, match="series 2 holds string points|at least one id"):
+            catalog.points(**wrong)
