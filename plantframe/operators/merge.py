@@ -132,6 +132,21 @@ def _tidied(source: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame
     return source.filter(message == "").select(*values), _errors(source.filter(message != ""), message)
 
 
+def _changed_columns(new: Column, old: Column, data_type: T.ArrayType) -> Column:
+    """The columns that an update of a sequence lists: those there already keep the fields that it leaves open, others
+    are added, as text unless it says otherwise, and those it does not list go."""
+
+    def merged(column: Column) -> Column:
+        before = F.try_element_at(F.filter(old, lambda o: o["externalId"] == column["externalId"]), F.lit(1))
+        fields = []
+        for f in data_type.elementType.fields:
+            given = [column[f.name], before[f.name], *([F.lit("STRING")] if f.name == "valueType" else [])]
+            fields.append(F.coalesce(*given).alias(f.name))
+        return F.struct(*fields)
+
+    return F.transform(new, merged)
+
+
 class _Merge:
     def __init__(
         self,
@@ -235,6 +250,8 @@ class _Merge:
             if name not in self.fields:
                 return old
             new = F.col(f"_new_{name}").cast(self.target.schema[name].dataType)
+            if name == "columns":
+                new = _changed_columns(new, old, self.target.schema[name].dataType)
             if not self.ignore_null_fields and name in self.rules.clearable:
                 return F.when(F.col("_hit"), new).otherwise(old).alias(name)
             return F.coalesce(new, old).alias(name)

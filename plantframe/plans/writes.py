@@ -617,3 +617,31 @@ def sequence_rows_mixed_upsert(s: Star) -> DataFrame:
     added = negative.withColumn("rowNumber", F.col("rowNumber") + 100_000_000)
     table, _ = upsert_mixed_rows(_given(rows), negative.unionByName(added), sequences)
     return mixed_cells(table, sequences).drop("valueType")
+
+
+@query(
+    "sequences_upsert",
+    """
+    WITH s AS (SELECT DISTINCT user_id AS u, 'seq-' || user_id AS externalId FROM events)
+    SELECT externalId, CASE WHEN u % 4 = 0 THEN 'value:value:DOUBLE:,kind:kind:STRING:,k:k:LONG:'
+        ELSE 'k:k:LONG:counter ' || u || ',extra::STRING:,value:amount:DOUBLE:' END AS columns FROM s
+    UNION ALL SELECT 'error ' || externalId, 'the value type of a sequence column can not change' FROM s WHERE u % 4 = 1""",
+)
+def sequences_upsert(s: Star) -> DataFrame:
+    """Column lists written over those of all sequences: open fields stay, some lists are empty and change nothing."""
+    sequences = s.catalog.scan("sequences")
+    kind = "array<struct<externalId:string,name:string,description:string,valueType:string>>"
+
+    def column(name: str, label=None, about=None, value_type=None) -> F.Column:
+        values = {"externalId": F.lit(name), "name": F.lit(label), "description": F.lit(None) if about is None else about, "valueType": F.lit(None) if value_type is None else value_type}
+        return F.struct(*[v.cast("string").alias(k) for k, v in values.items()])
+
+    asked = F.array(column("k", about=text("counter ", F.col("id"))), column("extra"), column("value", "amount"))
+    source = sequences.select("externalId", F.when(F.col("id") % 4 == 0, F.array().cast(kind)).otherwise(asked).alias("columns"))
+    wrong = sequences.filter("id % 4 = 1").select("externalId", F.array(column("value", value_type=F.lit("LONG"))).alias("columns"))
+    described = F.transform("columns", lambda c: F.concat_ws(":", *[F.coalesce(c[f], F.lit("")) for f in ("externalId", "name", "valueType", "description")]))
+    table = merge(sequences, source, "sequences", "upsert").raise_for_errors().table
+    errors = merge(sequences, wrong, "sequences", "update").errors
+    return table.select("externalId", F.array_join(described, ",").alias("columns")).unionByName(
+        errors.select(text("error ", F.col("externalId")).alias("externalId"), F.col("error").alias("columns"))
+    )
