@@ -28,7 +28,7 @@ from .common import components, mix, staged, summed, text_of, with_group
 #: Words in a shingle; similarity as a fraction; counters of the frequency sketch; signatures in one shard.
 WORDS, SIMILARITY, SKETCH, SHARD_SIGNATURES = 5, (80, 100), 1 << 18, 2_000_000
 #: Bytes of text handled at once; rows a shard holds before it lets go of shared ones.
-CHUNK, HELD = 2_000_000, 6_000_000
+CHUNK, HELD = 2_000_000, 3_000_000
 #: Bytes of shingle hashes in a block of sets that are compared with each other.
 BLOCK = 2_000_000
 _U = np.uint64
@@ -221,13 +221,14 @@ class _Shard:
 
     def __init__(self):
         self.held: list[tuple[np.ndarray, ...]] = []
-        self.n, self.sorted, self.met = 0, None, None
+        self.n, self.least, self.sorted, self.met = 0, 0, None, None
 
     def add(self, rows: tuple[np.ndarray, ...]) -> Iterator[tuple[np.ndarray, ...]]:
         self.held.append(rows)
         self.n += len(rows[0])
-        if self.n > HELD:
+        if self.n > max(HELD, 3 * self.least // 2):  # what stays is not sorted anew for every packet
             yield self.shared(False)
+            self.least = self.n
 
     def _grouped(self) -> tuple:
         sig, node, role = (np.concatenate(x) for x in zip(*self.held))
@@ -414,9 +415,9 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     buckets = staged(_shared_buckets(staged(met.groupBy("sig", "node").agg(F.bit_or("role").alias("role")))))
     nodes = staged(buckets.select("node").distinct())
     keyed = sets.filter("n > 0")
-    # One row of each candidate set is read again.
+    # One row of each candidate set is read again, and rows without an id, as a set may have no others.
     chosen = staged(keyed.join(nodes, keyed["key"] == nodes["node"], "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct())
-    texts = rows.join(chosen, "doc_id", "left_semi")
+    texts = rows.join(chosen, "doc_id", "left_semi").unionAll(rows.filter("doc_id is null"))
     tokens = texts.select("doc_id", "text").mapInArrow(_tokens(words), "node long, tokens binary")
     tokens = staged(tokens.join(nodes, "node", "left_semi").dropDuplicates(["node"]))
     links = _links(spark, buckets, tokens, num, den)

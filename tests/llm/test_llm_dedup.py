@@ -166,3 +166,15 @@ def test_similar_sets_share_a_signature():
             probe = jaccard_join.signatures(large, top, home, home[0] == at[0], bands, sketch)
             assert home[0] == at[0] or bands.reaches_lower(top, at)[0]
             assert set(index[0][index[2] & 1 > 0].tolist()) & set(probe[0][probe[2] & 2 > 0].tolist())
+
+
+def test_a_row_without_an_id_links_those_beside_it(spark):
+    words = [f"w{i}" for i in range(60)]
+    texts = [words[:54], words, words[6:]]
+    rows = [(1, " ".join(texts[0])), (None, " ".join(texts[1])), (2, " ".join(texts[2]))]
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    alike = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    assert alike(sets[0], sets[1]) and alike(sets[1], sets[2])
+    found = jaccard_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.component_id) for r in found if r.doc_id) == [(False, 1, 1), (False, 2, 1)]
+    assert [r.component_id for r in found if r.doc_id is None] == [1]
