@@ -119,7 +119,7 @@ def narrow_exact(value: Column, target: T.DataType | str) -> tuple[Column, Colum
     return F.when(same, narrowed), value.isNotNull() & ~same
 
 
-_INT_LOW, _INT_HIGH = -(2**31), 2**31 - 1
+_INT_LOW = -(2**31)
 
 
 def read_cast(value: Column, source: T.DataType, target: T.DataType) -> Column:
@@ -131,9 +131,12 @@ def read_cast(value: Column, source: T.DataType, target: T.DataType) -> Column:
     if isinstance(target, T.IntegerType) and isinstance(source, T.LongType):
         # Keeps the low 32 bits.
         return (F.pmod(value - _INT_LOW, F.lit(2**32)) + _INT_LOW).cast("int")
-    if isinstance(target, T.IntegerType) and isinstance(source, (T.FloatType, T.DoubleType)):
-        # Truncates, and stops at the limits of the type.
-        return F.greatest(F.least(value, F.lit(float(_INT_HIGH))), F.lit(float(_INT_LOW))).cast("int")
+    if isinstance(target, (T.IntegerType, T.LongType)) and isinstance(source, (T.FloatType, T.DoubleType)):
+        # Truncates, and stops at the limits of the type; what is not a number is zero.
+        bits = 31 if isinstance(target, T.IntegerType) else 63
+        low, high = -(2**bits), 2**bits - 1
+        whole = F.when(value >= float(high), F.lit(high)).when(value <= float(low), F.lit(low)).otherwise(value.try_cast(target))
+        return F.when(F.isnan(value), F.lit(0)).otherwise(whole).cast(target)
     return value.cast(target)
 
 

@@ -6,8 +6,8 @@ of its properties with the same key.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -17,79 +17,26 @@ from pyspark.sql import types as T
 from ..errors import PlantError
 from ..functions.convert import json_is_valid, narrow_exact
 from ..session import cut_lineage
+from .models import (  # the definitions are read from here as well
+    KEY,
+    PROPERTY_TYPES,
+    REFERENCE,
+    Connection,
+    DataModel,
+    Graph,
+    Property,
+    View,
+    ViewRef,
+    find_connection,
+    find_in_model,
+    find_view,
+    property_table,
+    read_columns,
+    written_properties,
+)
 from .skew import keep_greatest
 
-KEY = ["space", "externalId"]
-REFERENCE = T.StructType([T.StructField("space", T.StringType()), T.StructField("externalId", T.StringType())])
-
-# Property kinds and the types they are read as.
-PROPERTY_TYPES = {
-    "text": T.StringType(),
-    "enum": T.StringType(),
-    "timestamp": T.TimestampType(),
-    "date": T.DateType(),
-    "boolean": T.BooleanType(),
-    "float32": T.FloatType(),
-    "float64": T.DoubleType(),
-    "int32": T.IntegerType(),
-    "int64": T.LongType(),
-    "json": T.StringType(),
-    "timeseries": T.StringType(),
-    "file": T.StringType(),
-    "sequence": T.StringType(),
-    "direct": REFERENCE,
-}
-
-
-@dataclass(frozen=True)
-class Property:
-    name: str
-    kind: str
-    is_list: bool = False
-    nullable: bool = True
-
-    def data_type(self) -> T.DataType:
-        one = PROPERTY_TYPES[self.kind]
-        return T.ArrayType(one, self.nullable) if self.is_list else one
-
-
-@dataclass(frozen=True)
-class Connection:
-    """A view property that stands for the edges of one type."""
-
-    name: str
-    edge_space: str
-    edge_type: str
-
-
-@dataclass(frozen=True)
-class View:
-    space: str
-    external_id: str
-    version: str
-    used_for: str
-    properties: tuple[Property, ...] = ()
-    connections: tuple[Connection, ...] = ()
-
-
-@dataclass(frozen=True)
-class DataModel:
-    space: str
-    external_id: str
-    version: str
-    views: tuple[View, ...]
-
-
-@dataclass
-class Graph:
-    """Instance tables, property tables by view name, and data models."""
-
-    nodes: DataFrame
-    edges: DataFrame
-    properties: Mapping[str, DataFrame] = field(default_factory=dict)
-    views: Mapping[str, View] = field(default_factory=dict)
-    models: Sequence[DataModel] = ()
-
+__all__ = ["KEY", "REFERENCE", "Connection", "DataModel", "Graph", "Property", "View", "ViewRef"]
 
 def _reference_field(name: str, nullable: bool) -> T.StructField:
     return T.StructField(name, REFERENCE, nullable)
@@ -127,11 +74,11 @@ def _attributes(kind: str) -> list[Column]:
 def scan_instances(
     graph: Graph,
     usage: str | None = None,
-    view: str | None = None,
+    view: str | View | None = None,
     edge_type: tuple[str, str] | None = None,
     instance_space: str | None = None,
 ) -> DataFrame:
-    """Nodes, edges or both; with a view, those that have data in it, with its properties.
+    """Nodes, edges or both; with a view (or the name of one), those that have data in it, with its properties.
 
     ``edge_type`` reads the edges of one (space, externalId) type.
     """
@@ -140,22 +87,20 @@ def scan_instances(
             (F.col("type.space") == edge_type[0]) & (F.col("type.externalId") == edge_type[1])
         )
         return _in_space(found, instance_space).select("space", "externalId", "startNode", "endNode")
-    if view is not None:
-        if view not in graph.views:
-            raise PlantError(f"Could not find view {view}")
-        definition = graph.views[view]
+    definition = find_view(graph, view) if isinstance(view, str) else view
+    if definition is not None:
         usage = usage or definition.used_for
         if definition.used_for not in ("all", usage):
-            raise PlantError(f"View {view} is used for {definition.used_for}, not for {usage}")
+            raise PlantError(f"View {definition.id} is used for {definition.used_for}, not for {usage}")
     if usage not in ("node", "edge", "all"):
         raise PlantError(f"usage must be node, edge or all, not {usage}")
     parts = []
     if usage in ("node", "all"):
-        parts.append(_with_view(graph, _in_space(graph.nodes, instance_space), "node", view))
+        parts.append(_with_view(graph, _in_space(graph.nodes, instance_space), "node", definition))
     if usage in ("edge", "all"):
-        parts.append(_with_view(graph, _in_space(graph.edges, instance_space), "edge", view))
+        parts.append(_with_view(graph, _in_space(graph.edges, instance_space), "edge", definition))
     whole = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
-    schema = view_schema(graph.views[view] if view else None, usage)
+    schema = view_schema(definition, usage)
     return whole.select(*[F.col(f"`{n}`") for n in schema.fieldNames()])
 
 
@@ -163,7 +108,7 @@ def _in_space(df: DataFrame, space: str | None) -> DataFrame:
     return df if space is None else df.filter(F.col("space") == space)
 
 
-def _with_view(graph: Graph, instances: DataFrame, kind: str, view: str | None) -> DataFrame:
+def _with_view(graph: Graph, instances: DataFrame, kind: str, view: View | None) -> DataFrame:
     columns = [*KEY, *_attributes(kind)]
     if kind == "edge":
         columns += ["type", F.col("type").alias("_type"), "startNode", "endNode"]
@@ -172,8 +117,8 @@ def _with_view(graph: Graph, instances: DataFrame, kind: str, view: str | None)
     base = instances.select(*columns)
     if view is None:
         return base
-    names = [p.name for p in graph.views[view].properties]
-    return base.join(graph.properties[view].select(*KEY, *names), KEY)
+    table = property_table(graph, view)
+    return base.join(table.select(*KEY, *read_columns(view, table)), KEY)
 
 
 def scan_model(
@@ -184,18 +129,11 @@ def scan_model(
     instance_space: str | None = None,
 ) -> DataFrame:
     """Scan through a data model: a view of the model, or the edges behind one of its connections."""
-    found = [m for m in graph.models if (m.space, m.external_id, m.version) == model]
-    if not found:
-        raise PlantError(f"Could not find data model {model}")
-    views = [v for v in found[0].views if v.external_id == view]
-    if not views:
-        raise PlantError(f"Could not find view {view} in data model {model}")
     if connection is None:
-        return scan_instances(graph, views[0].used_for, view, instance_space=instance_space)
-    edges = [c for c in views[0].connections if c.name == connection]
-    if not edges:
-        raise PlantError(f"Could not find connection {connection} in view {view}")
-    return scan_instances(graph, edge_type=(edges[0].edge_space, edges[0].edge_type), instance_space=instance_space)
+        definition = find_in_model(graph, model, view)
+        return scan_instances(graph, definition.used_for, definition, instance_space=instance_space)
+    edges = find_connection(graph, model, view, connection)
+    return scan_instances(graph, edge_type=(edges.edge_space, edges.edge_type), instance_space=instance_space)
 
 
 def has_data(instances: DataFrame, properties: DataFrame) -> DataFrame:
@@ -331,7 +269,7 @@ def upsert_instances(
 
     ``edge_type`` gives every edge that type, whatever the rows say.
     """
-    written = [p for p in (view.properties if view else ()) if p.name in source.columns]
+    written = written_properties(view, source, properties) if view else []
     if view:
         lacking = [p.name for p in view.properties if not p.nullable and p.name not in source.columns]
         if lacking:
@@ -350,7 +288,7 @@ def upsert_instances(
     values = {}
     for prop in written:
         value, bad = _property_value(source, prop, F.col("_space"))
-        values[prop.name] = value
+        values[prop.column] = value
         error = F.coalesce(error, bad)
         if not prop.nullable:
             error = F.coalesce(error, F.when(F.col(f"`{prop.name}`").isNull(), f"'{prop.name}' is null"))

@@ -94,6 +94,24 @@ def asset_aggregates(assets: DataFrame) -> DataFrame:
     )
 
 
+def with_aggregates(assets: DataFrame) -> DataFrame:
+    """Assets with ``aggregates`` filled in: the number of children, the ids from the root down, and the depth.
+
+    Links are those of ``parentId``; an asset on or below a cycle has neither path nor depth.
+    """
+    placed = resolve_ancestors(assets, "id", "parentId", with_path=True)
+    children = assets.filter("parentId is not null").groupBy(F.col("parentId").alias("id")).agg(F.count(F.lit(1)).alias("_n"))
+    found = F.struct(
+        F.coalesce("_n", F.lit(0)).cast("long").alias("childCount"),
+        F.col("_path").cast("array<string>").alias("path"),
+        F.col("_depth").alias("depth"),
+    )
+    extra = placed.select("id", F.col("path").alias("_path"), F.col("depth").alias("_depth")).join(children, "id", "left")
+    return assets.join(extra.select("id", found.alias("_found")), "id", "left").select(
+        *[F.col("_found").alias(c) if c == "aggregates" else F.col(c) for c in assets.columns]
+    )
+
+
 def _descendants(tree: DataFrame, tops: DataFrame) -> DataFrame:
     """``externalId`` of the tops found in the tree and of everything below them.
 

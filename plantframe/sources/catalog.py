@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..errors import PlantError
 from ..operators.datapoints import check_series_kind, datapoints
-from ..operators.hierarchy import subtree
+from ..operators.hierarchy import subtree, with_aggregates
 from ..operators.predicates import parse_ids
 from .schemas import READ_SCHEMAS
 
@@ -48,9 +48,15 @@ class Catalog:
         asset_subtree_ids: str | None = None,
         model_id: int | None = None,
         revision_id: int | None = None,
+        aggregates: bool = False,
     ) -> DataFrame:
-        """A resource as a table; the optimizer pushes the filter and the columns into the files."""
+        """A resource as a table; the optimizer pushes the filter and the columns into the files.
+
+        ``aggregates`` fills that column of assets, which takes about log2(depth) joins over the whole tree.
+        """
         df = self.table(resource)
+        if aggregates:
+            df = with_aggregates(df)
         if asset_subtree_ids is not None:
             df = subtree(df, *parse_ids(asset_subtree_ids))
         if model_id is not None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.graph import Connection, DataModel, Graph, Property, View
+from ..operators.graph import Connection, DataModel, Graph, Property, View, ViewRef
 from .catalog import Catalog
 from .schemas import read_schema
 
@@ -33,6 +33,12 @@ PART_VIEW = View(
     (Property("name", "text"), Property("brand", "text"), Property("size", "int32"), Property("price", "float64")),
     (Connection("suppliedBy", "types", "flag-A"),),
 )
+# The same table under other names and types, and another connection of the same name.
+PART_VIEW_2 = View(
+    "models", "Part", "2", "node",
+    (Property("title", "text", stored="name"), Property("size", "int64"), Property("cost", "int32", stored="price")),
+    (Connection("suppliedBy", "types", "flag-R"),),
+)
 SUPPLIER_VIEW = View(
     "models", "Supplier", "1", "node",
     (Property("name", "text"), Property("balance", "float64"), Property("favourite", "direct")),
@@ -291,4 +297,5 @@ class Star:
         }
         views = {v.external_id: v for v in (PART_VIEW, SUPPLIER_VIEW, SUPPLY_VIEW)}
         model = DataModel("models", "Trade", "1", tuple(views.values()))
-        return Graph(nodes, edges, properties, views, [model])
+        later = DataModel("models", "Trade", "2", (PART_VIEW_2, ViewRef("models", "Supplier", "1")))
+        return Graph(nodes, edges, properties, views, [model, later])

@@ -19,15 +19,16 @@ from .operators.graph import (
     KEY,
     Graph,
     InstanceResult,
+    View,
     auto_create_nodes,
     classify_instances,
     delete_instances,
     scan_instances,
-    scan_model,
     upsert_instances,
 )
 from .operators.hierarchy import delete_subtrees, reconcile_hierarchy
 from .operators.merge import merge
+from .operators.models import find_connection, find_in_model, find_view, property_table
 from .operators.predicates import parse_ids
 from .operators.series_writes import (
     delete_ranges,
@@ -98,7 +99,8 @@ class Workspace:
         subtree = options.get("assetSubtreeIds") if kind == "assets" else None
         numbers = {"model_id": "modelId", "revision_id": "revisionId"}
         chosen = {name: int(str(options[o])) for name, o in numbers.items() if kind.startswith("3d") and o in options}
-        return self.catalog.scan(kind, asset_subtree_ids=subtree, **chosen)
+        filled = kind == "assets" and _flag(options, "aggregates", False)
+        return self.catalog.scan(kind, asset_subtree_ids=subtree, aggregates=filled, **chosen)
 
     def _raw(self, options: Mapping[str, object]) -> DataFrame:
         name = (_required(options, "database"), _required(options, "table"))
@@ -133,25 +135,40 @@ class Workspace:
             raise PlantError("this workspace has no instances")
         return self.graph
 
-    def _read_instances(self, options: Mapping[str, object]) -> DataFrame:
-        """Precedence: sync by instance type, edge type, instance type, then the data model."""
-        graph, space = self._graph(), options.get("instanceSpace")
-        kind, view = options.get("instanceType"), options.get("viewExternalId")
+    def _view(self, options: Mapping[str, object]) -> View | None:
+        """The view that ``viewExternalId`` names, by ``viewSpace`` and ``viewVersion`` where they are given."""
+        if options.get("viewExternalId") is None:
+            return None
+        place = [None if options.get(o) is None else str(options[o]) for o in ("viewSpace", "viewVersion")]
+        return find_view(self._graph(), str(options["viewExternalId"]), *place)
+
+    def _instance_target(self, options: Mapping[str, object]) -> tuple[str, View | None, tuple[str, str] | None]:
+        """What options mean: an instance kind, a view and an edge type.
+
+        The first of these that is given decides: a kind with a cursor, an edge type, a kind, a data model (whose
+        cursor comes before a connection). A data model says which space and version of a view is meant.
+        """
+        kind = options.get("instanceType")
         if kind and "cursor" in options:
-            return self._synced(scan_instances(graph, str(kind), view, instance_space=space), str(kind), options)
+            return str(kind), self._view(options), None
         if "edgeTypeSpace" in options and "edgeTypeExternalId" in options:
-            edge_type = (str(options["edgeTypeSpace"]), str(options["edgeTypeExternalId"]))
-            return scan_instances(graph, edge_type=edge_type, instance_space=space)
+            return "edge", None, (str(options["edgeTypeSpace"]), str(options["edgeTypeExternalId"]))
         if kind:
-            return scan_instances(graph, str(kind), view, instance_space=space)
+            return str(kind), self._view(options), None
         if not all(o in options for o in ("modelSpace", "modelExternalId", "modelVersion", "viewExternalId")):
             raise PlantError("instances need an instanceType, an edge type, or a data model with a view")
+        graph, name = self._graph(), str(options["viewExternalId"])
         model = tuple(str(options[o]) for o in ("modelSpace", "modelExternalId", "modelVersion"))
-        connection = options.get("connectionPropertyName")
-        found = scan_model(graph, model, str(view), connection, instance_space=space)
-        if "cursor" in options and connection is None:
-            return self._synced(found, graph.views[str(view)].used_for, options)
-        return found
+        if "connectionPropertyName" in options and "cursor" not in options:
+            edges = find_connection(graph, model, name, str(options["connectionPropertyName"]))
+            return "edge", None, (edges.edge_space, edges.edge_type)
+        view = find_in_model(graph, model, name)
+        return view.used_for, view, None
+
+    def _read_instances(self, options: Mapping[str, object]) -> DataFrame:
+        kind, view, edge_type = self._instance_target(options)
+        rows = scan_instances(self._graph(), kind, view, edge_type, options.get("instanceSpace"))
+        return self._synced(rows, kind, options) if "cursor" in options and edge_type is None else rows
 
     def _synced(self, rows: DataFrame, kind: str, options: Mapping[str, object]) -> DataFrame:
         if kind == "all":
@@ -225,18 +242,18 @@ class Workspace:
 
     def _write_instances(self, df: DataFrame, mode: str, keep_null: bool, options: Mapping[str, object]):
         graph, space = self._graph(), options.get("instanceSpace")
-        kind = str(options.get("instanceType", "edge" if "edgeTypeSpace" in options else "node"))
+        kind, view, edge_type = self._instance_target({k: v for k, v in options.items() if k != "cursor"})
         if kind == "all":
-            return self._write_mixed(df, mode, keep_null, options)
+            return self._write_mixed(df, mode, keep_null, options, view)
         table = graph.edges if kind == "edge" else graph.nodes
         if mode == "delete":
             return delete_instances(table, df, space)
         if mode != "upsert":
             raise PlantError(f"instances take upsert, not {mode}")
-        view = options.get("viewExternalId")
-        return self._upsert(df, kind, keep_null, options, graph.nodes, graph.properties[str(view)] if view else None)
+        properties = property_table(graph, view) if view else None
+        return self._upsert(df, kind, keep_null, options, graph.nodes, view, properties, edge_type)
 
-    def _write_mixed(self, df: DataFrame, mode: str, keep_null: bool, options: Mapping[str, object]):
+    def _write_mixed(self, df: DataFrame, mode: str, keep_null: bool, options: Mapping[str, object], view: View | None):
         """Nodes and edges in one frame: the results for nodes and for edges, and the rows that are neither.
 
         A delete gives the nodes and the edges that stay.
@@ -246,20 +263,16 @@ class Workspace:
             return delete_instances(graph.nodes, df, space), delete_instances(graph.edges, df, space)
         if mode != "upsert":
             raise PlantError(f"instances take upsert, not {mode}")
-        view = options.get("viewExternalId")
         nodes, edges, errors = classify_instances(df, space)
-        first = self._upsert(nodes, "node", keep_null, options, graph.nodes, graph.properties[str(view)] if view else None)
-        return first, self._upsert(edges, "edge", keep_null, options, first.instances, first.properties), errors
+        first = self._upsert(nodes, "node", keep_null, options, graph.nodes, view, property_table(graph, view) if view else None)
+        return first, self._upsert(edges, "edge", keep_null, options, first.instances, view, first.properties), errors
 
     def _upsert(
-        self, df: DataFrame, kind: str, keep_null: bool, options: Mapping[str, object], nodes: DataFrame, properties: DataFrame | None
-    ) -> InstanceResult:
+        self, df: DataFrame, kind: str, keep_null: bool, options: Mapping[str, object], nodes: DataFrame,
+        view: View | None, properties: DataFrame | None, edge_type: tuple[str, str] | None = None,
+    ) -> InstanceResult:
         """An upsert with the nodes it refers to: missing ones get placeholders, or are errors where options forbid them."""
         graph, space = self._graph(), options.get("instanceSpace")
-        view = graph.views[str(options["viewExternalId"])] if options.get("viewExternalId") else None
-        edge_type = None
-        if "edgeTypeSpace" in options:
-            edge_type = (str(options["edgeTypeSpace"]), _required(options, "edgeTypeExternalId"))
         result = upsert_instances(
             graph.edges if kind == "edge" else nodes, df, kind, view, properties,
             instance_space=space, edge_type=edge_type, ignore_null_fields=keep_null,
