@@ -436,8 +436,21 @@ def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``docs`` with one document of each component, the one with the smallest id; all columns stay as they are.
 
     Documents without words are components of their own. Of rows that repeat the smallest id, and of rows without an
-    id whose component has no other, all stay.
+    id whose component has no other, all stay. Where an id is repeated, only its rows that are similar to others go.
     """
-    found = similar_components(docs, id_col, text_col, words, similarity)
-    gone = staged(found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    found = staged(similar_components(docs, id_col, text_col, words, similarity))
+    away = staged(found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone"), F.col("set_key").alias("_key")).distinct())
+    whole = away.select("_gone").distinct()
+    kept = found.filter("component_id = doc_id").select(F.col("doc_id").alias("_gone"))
+    shared = staged(whole.join(kept, "_gone", "left_semi"))
+    if shared.isEmpty():
+        return docs.join(whole, docs[id_col] == whole["_gone"], "left_anti")
+    # Ids with rows that stay and rows that go: there the texts say which is which.
+    alone = whole.join(shared, "_gone", "left_anti")
+    left = docs.join(alone, docs[id_col] == alone["_gone"], "left_anti")
+    print_ = F.xxhash64(text_of(text_col))
+    texts = docs.join(shared, docs[id_col] == shared["_gone"], "left_semi").select(print_.alias("doc_id"), text_of(text_col).alias("text"))
+    keys = texts.mapInArrow(_sets(words), "doc_id long, n long, key long, block int, part long, data binary").filter("block is null")
+    keys = staged(keys.select(F.col("doc_id").alias("_print"), F.col("key").alias("_key")).distinct())
+    pairs = away.join(shared, "_gone", "left_semi").join(keys, "_key").select("_gone", "_print").distinct()
+    return left.join(pairs, (left[id_col] == pairs["_gone"]) & (print_ == pairs["_print"]), "left_anti")

@@ -124,7 +124,8 @@ def _piece() -> str:
     joined = lambda part: part.replace("+", "[+]").replace(" ", "(?: | ?\\n ?)")
     parts = sorted(_known(), key=len, reverse=True)
     long, short = ("|".join(joined(p) for p in parts if (len(p) >= _LONG) == x) for x in (True, False))
-    return f" ?(?:(?:{_NUMBER} )?(?:{long})(?:(?: | ?\\n ?){_WORD})*|{short})(?= ?(?:\\n|\\z))|[^\\n]++"
+    # Runs of URLs are collapsed before, to at most one on the line, a line of its own, and one that other text follows.
+    return f" ?(?:(?:{_NUMBER} )?(?:{long})(?:(?: | ?\\n ?){_WORD}){{0,3}}|{short})(?= ?(?:\\n|\\z))|[^\\n]++"
 
 
 def sequence(text: Column) -> Column:
@@ -136,6 +137,9 @@ def sequence(text: Column) -> Column:
     lines = F.replace(F.replace(lower_ascii(text), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
     lines = F.regexp_replace(F.replace(lines, F.lit(_WORD), F.lit(" ")), _URL, _WORD)
     lines = F.regexp_replace(F.regexp_replace(lines, _MARKS, "\n\n"), _OTHER.replace("\\n", f"\\n{_WORD}"), " ")
+    # A run of URLs on a line counts as one, as does a run of lines that have nothing else; no loop here can backtrack.
+    lines = F.regexp_replace(lines, f"{_WORD}(?: {_WORD})++", _WORD)
+    lines = F.regexp_replace(lines, f"(\\n ?{_WORD} ?)(?:\\n ?{_WORD} ?(?=\\n|\\z))++", "$1")
     names = F.create_map(*[F.lit(x) for pair in _known().items() for x in pair])
     marks = F.transform(F.regexp_extract_all(lines, F.lit(_piece()), F.lit(0)), lambda s: F.trim(s))
     marks = F.filter(marks, lambda s: s != "")
@@ -180,7 +184,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 
 def scan_sql() -> str:
-    """The same as SQL over ``documents``, a step for each rule."""
+    """SQL over ``documents``, a step for each rule, for texts whose known sentences stand on lines of their own.
+
+    It cuts at every line end, so it finds no sentence that is wrapped, commented or numbered, as ``scan`` does.
+    """
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     known = ", ".join(f"({quote(k)}, {quote(v)})" for k, v in _known().items())
     end, other = _END.replace("\\n\\r", "\\n\\r"), _OTHER

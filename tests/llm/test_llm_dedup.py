@@ -120,6 +120,15 @@ def near_rows(seed):
     return rows + [(2000, None), (2001, ""), (2002, " \n"), (2003, "one TWO"), (2004, "One two"), (None, "one two"), (3, rows[3][1]), (None, "alone here")]
 
 
+def test_a_repeated_id_goes_only_with_its_similar_row(spark):
+    text = " ".join(f"w{i}" for i in range(100))
+    rows = [(3, text, "a"), (7, text + " more", "b"), (7, "nothing like it at all here", "c"), (7, None, "d"), (8, text + " more", "e"), (None, "own words of no id", "f"), (9, "", "g")]
+    for source in (rows, rows[:3] + rows[:3]):
+        frame = spark.createDataFrame(source, "doc_id long, text string, _gone string")
+        left = sorted(jaccard_join.drop_similar(frame).collect(), key=repr)
+        assert left == sorted((r for r in frame.collect() if r["_gone"] not in "be"), key=repr)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_similar_components(spark, seed):
     rows = near_rows(seed)

@@ -215,6 +215,19 @@ def test_licences(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_licences_among_very_many_repeats(spark):
+    url, known = "http://example.org/a", "All rights reserved"
+    runs = {"urls on lines": f"\n{url}", "urls on a line": f" {url}", "blank lines": "\n", "marks": "\n * #", "numbers": "\n1. 2.", "words": " a b\nc",
+            "urls apart": f"\n{url}\n\n{url} and", "known": f".\n{known}", "points": ". ; !", "own marks": "\u0002\n"}
+    texts = [(name, known + part * 100_000 + f"\n{known}.") for name, part in runs.items()]
+    found = licenses.scan(spark.createDataFrame(texts, "doc_id string, text string")).collect()
+    assert {r.doc_id: r.licenses for r in found} == dict.fromkeys(runs, "AllRightsReserved")
+    short = licenses.scan(spark.createDataFrame([(n, t) for n in range(7) for t in (known + f"\n{url}" * n, known + f"\n{url}" * n + " more")], "doc_id long, text string"))
+    assert {(r.licenses, r.n_sentences) for r in short.collect() if r.doc_id} == {("AllRightsReserved", 1)}
+    apart = [f"{known} {url}\n{url} {url}\n{url}\n{url} more", f"{url}\n{url}\n{known}\n{url}", f"{known} {url} {url} more\n{url}"]
+    assert [r.licenses for r in licenses.scan(spark.createDataFrame(list(enumerate(apart)), "doc_id long, text string")).orderBy("doc_id").collect()] == ["AllRightsReserved"] * 2 + [None]
+
+
 def test_licences_as_they_are_printed(spark):
     said = licenses.SENTENCES
 
