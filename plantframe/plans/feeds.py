@@ -11,7 +11,7 @@ from ..operators.sync import apply_changes, format_cursor, sync
 from ..session import scratch_dir
 from ..sources.sink import read_points
 from ..sources.star import TABLES, Star
-from ..streaming.downsample import stream_aggregates, stream_to_table, stream_upserts
+from ..streaming.downsample import read_corrected, stream_aggregates, stream_corrected, stream_to_table, stream_upserts
 from .oracle import with_views
 from .registry import query
 from .timeseries import FIVE, H6, PLAIN_SQL, plain_sql, rounded
@@ -146,3 +146,17 @@ def stream_upserts_query(s: Star) -> DataFrame:
     path = f"{scratch_dir(s.spark)}/points-{uuid.uuid4().hex}"
     stream_upserts(_stream(s), f"{path}/table", f"{path}/checkpoint").awaitTermination()
     return read_points(s.spark, f"{path}/table").select("id", "timestamp", "value", "day")
+
+
+@query(
+    "stream_late_rows",
+    with_views("dp") + plain_sql({a: PLAIN_SQL[a] for a in FIVE}, "6h", H6),
+)
+def stream_late_rows(s: Star) -> DataFrame:
+    """Points dealt over files without regard to time, a file a batch: late ones correct buckets, none waits or is lost."""
+    path = f"{scratch_dir(s.spark)}/late-{uuid.uuid4().hex}"
+    points = s.base("events").select(F.col("user_id").alias("id"), F.col("ts").alias("timestamp"), "value")
+    points.repartition(3, F.xxhash64("id", "timestamp")).write.parquet(f"{path}/source")
+    stream = s.spark.readStream.schema(points.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/source")
+    stream_corrected(stream, path, f"{path}/checkpoint", FIVE, ["6h"]).awaitTermination()
+    return rounded(read_corrected(s.spark, path))

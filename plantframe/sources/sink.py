@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.series_writes import upsert_points
 
@@ -29,11 +30,14 @@ def write_points(points: DataFrame, path: str) -> None:
     _arranged(points).write.mode("errorifexists").partitionBy("day").parquet(path)
 
 
-def read_points(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_points(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A data-point table. With the columns of a point named, a folder that has no file yet is an empty table."""
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("day", T.DateType())])).parquet(path)
 
 
-def upsert_points_at(spark: SparkSession, path: str, source: DataFrame) -> None:
+def upsert_points_at(spark: SparkSession, path: str, source: DataFrame, schema: T.StructType | None = None) -> None:
     """Upsert points into a stored table: only the days that ``source`` touches are read and replaced.
 
     Running it again with the same source gives the same table.
@@ -41,7 +45,7 @@ def upsert_points_at(spark: SparkSession, path: str, source: DataFrame) -> None:
     days = [r["day"] for r in source.select(_day()).distinct().collect()]  # one value per day
     if not days:
         return
-    stored = spark.read.parquet(path)
+    stored = read_points(spark, path, schema)
     touched = stored.filter(F.col("day").isin(days)).drop("day")
     merged = upsert_points(touched, source.select(*touched.columns))
     (

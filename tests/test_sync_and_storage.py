@@ -5,11 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from plantframe import PlantError, cut_lineage
+from plantframe.operators.datapoints import aggregate_datapoints
 from plantframe.operators.sync import apply_changes, format_cursor, load_cursor, parse_cursor, save_cursor, sync
 from plantframe.sources.catalog import Catalog
 from plantframe.sources.files import file_sizes, limit_errors, read_file_content
 from plantframe.sources.sink import read_points, upsert_points_at, write_points, write_table
-from plantframe.streaming.downsample import stream_aggregates, stream_to_table, stream_upserts
+from plantframe.streaming.downsample import read_corrected, stream_aggregates, stream_corrected, stream_to_table, stream_upserts
 
 T0 = dt.datetime(2024, 1, 1)
 FEED = "id long, lastUpdatedTime timestamp, v int"
@@ -134,3 +135,27 @@ def test_cut_lineage_keeps_types(spark):
     df = spark.createDataFrame([(1, T0, [1], {"a": "b"}, (2,))], "a.b int, t timestamp, l array<int>, m map<string,string>, s struct<x:int>".replace("a.b", "`a.b`"))
     again = cut_lineage(df)
     assert again.schema == df.schema and again.collect() == df.collect()
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1)])
+def test_late_points_correct_streamed_buckets(spark, rows, tmp_path, order):
+    start = dt.datetime(2024, 1, 3, 23, 30)
+    data = [(i % 2, start + dt.timedelta(minutes=37 * i), float(i * i % 17)) for i in range(90)]
+    parts = [data[0::3], data[1::3], [*data[2::3], (None, start, 1.0), (1, None, 1.0)]]
+    source, path, kinds, sizes = str(tmp_path / "source"), str(tmp_path), ["count", "sum", "max", "totalVariation", "continuousVariance"], ["1h", "1d", "2w"]
+    for i in order:  # a file a run, each run goes on from the checkpoint
+        spark.createDataFrame(parts[i], POINTS).coalesce(1).write.mode("append").parquet(source)
+        stream_corrected(spark.readStream.schema(POINTS).parquet(source), path, f"{path}/check", kinds, sizes).awaitTermination()
+    whole = aggregate_datapoints(spark.createDataFrame(data, POINTS), kinds, sizes)
+    columns = ["id", "timestamp", "aggregation", "granularity", F.round("value", 6).alias("value")]
+    assert rows(read_corrected(spark, path), *columns) == rows(whole, *columns)
+    with pytest.raises(PlantError, match="interpolation"):
+        stream_corrected(None, path, path, ["interpolation"], ["1h"])
+
+
+def test_a_first_batch_that_died_is_repeated(spark, tmp_path):
+    (tmp_path / "points" / "_temporary").mkdir(parents=True)
+    source, path = str(tmp_path / "source"), str(tmp_path / "points")
+    spark.createDataFrame([(1, dt.datetime(2024, 1, 1), 2.0)], POINTS).write.parquet(source)
+    stream_upserts(spark.readStream.schema(POINTS).parquet(source), path, str(tmp_path / "check")).awaitTermination()
+    assert read_points(spark, path).count() == 1
