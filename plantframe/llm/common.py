@@ -69,7 +69,7 @@ def fixed_width(column: pa.Array, width: int) -> np.ndarray:
 
 def lists(values: np.ndarray, ends: Iterable[int], kind: pa.DataType) -> pa.Array:
     """A list column from all values in a row and the end of each list."""
-    return pa.ListArray.from_arrays(pa.array(chain((0,), ends), pa.int32()), pa.array(values, kind))
+    return pa.ListArray.from_arrays(pa.array(chain((0,), ends), pa.int32()), values if isinstance(values, pa.Array) else pa.array(values, kind))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

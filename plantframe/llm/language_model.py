@@ -1,11 +1,15 @@
 """Scoring by masked pseudo-likelihood with a small bidirectional window network.
 
 The network predicts a word from the words on both sides of it: embeddings weighted by position, one hidden layer, and a
-softmax in two steps (class, word in class). Words without an id of their own share one of ``RARE`` by hash; what the
-network gives that id is divided among them by their counts in all texts, which stay in a table and are joined. It is
-trained in numpy inside tasks on masked positions of all documents;
-after each round the tasks' parameters are averaged, weighted by what they have seen. A document's score is the sum of
-the conditional log-probabilities of all its words.
+softmax in two steps (class, word in class). The predicted word is never in its own window, so every position of every
+document is a training target, once: each round takes its own share of the positions. Words with ids of their own grow
+with the cube root of all words; the others share ids by hash, and what the network gives such an id is divided among
+them by their counts in all texts.
+
+Texts are split and numbered once, in chunks; both training rounds and the scoring read the numbers. The network is
+trained in numpy inside tasks; after each round the tasks' parameters are averaged, weighted by what they have seen.
+Chunks send the hashes of their distinct rare words to the shard that holds the counts, in packets, and get the
+words' shares back in the same order. A document's score is the sum of the conditional log-probabilities of all its words.
 """
 
 from __future__ import annotations
@@ -14,34 +18,38 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate, chain, compress
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lists, staged, summed, text_of
-
-#: Classes of words, and words in a class; ids shared by rare words; width of embeddings; words seen on each side.
-CLASSES, MEMBERS, RARE, WIDTH, SIDE = 32, 32, 256, 24, 2
-#: Rounds of training, share of positions masked in a round, positions in a step, rate.
-ROUNDS, MASKED, STEP, RATE = 2, 0.075, 1024, 0.1
-_CHUNK, _COUNTED = 1_000_000, 200_000
-_PAD = CLASSES * MEMBERS
+from .common import lists, staged, summed, text_chunks, text_of
+
+#: Least number of classes, and of words in a class; width of embeddings; words seen on each side.
+LEAST, WIDTH, SIDE = 32, 24, 2
+#: Words with ids, shared ones included, per cube root of all words; the part of the ids that rare words share.
+GROWTH, SHARED = 10, 4
+#: Rounds of training, which share the positions between them; rate.
+ROUNDS, RATE = 2, 0.1
+#: Bytes of text in a chunk; distinct words held while counting; hashes in a shard; parameters in a block that tasks add up.
+_CHUNK, _COUNTED, _SHARD, _BLOCK = 2_000_000, 200_000, 2_000_000, 32_768
+_PAD, RARE = LEAST * LEAST, LEAST * LEAST // SHARED
 #: Logarithms are added as whole numbers of this size, so that no order of rows changes a sum.
 _GRID = 2.0**-24
 
 
 class Words(dict):
-    """Ids of words: frequent ones have their own, others share one of ``RARE`` by hash. Remembers a bounded number."""
+    """Ids of words: frequent ones have their own, others share one of ``rare`` by hash. Remembers a bounded number."""
 
-    def __init__(self, frequent: list[bytes]):
+    def __init__(self, frequent: list[bytes], classes: int = LEAST):
         super().__init__((w, i) for i, w in enumerate(frequent))
-        self.most = len(frequent) + 500_000
+        self.most, self.pad, self.rare = len(frequent) + 500_000, classes * classes, classes * classes // SHARED
 
     def __missing__(self, word: bytes) -> int:
-        found = _PAD - RARE + zlib.crc32(word) % RARE
+        found = self.pad - self.rare + zlib.crc32(word) % self.rare
         if len(self) < self.most:
             self[word] = found
         return found
@@ -51,17 +59,6 @@ def split(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    at = 0
-    while at < len(texts):
-        to, held = at, 0
-        while to < len(texts) and (to == at or held < _CHUNK):
-            held += len(texts[to])
-            to += 1
-        yield at, to
-        at = to
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
 
@@ -69,11 +66,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
 
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            counts.update(split(text))
-            if len(counts) > _COUNTED:
-                yield out()
-                counts.clear()
+        for _, _, texts in text_chunks(batch.column(0), _CHUNK):
+            for text in texts:
+                counts.update(split(text))
+                if len(counts) > _COUNTED:
+                    yield out()
+                    counts.clear()
     yield out()
 
 
@@ -82,20 +80,27 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return staged(texts.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def vocabulary(counts: DataFrame) -> list[bytes]:
+def classes_of(counts: DataFrame) -> int:
+    """How many classes, and words in each, a corpus of so many words gets."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return max(LEAST, math.ceil(math.sqrt(GROWTH * total ** (1 / 3))))
+
+
+def vocabulary(counts: DataFrame, classes: int = LEAST) -> list[bytes]:
     """The commonest words, as many as have ids of their own; ties go to the smaller word."""
-    return [bytes(r[0]) for r in counts.orderBy(F.desc("n"), "word").limit(_PAD - RARE).collect()]
+    own = classes * classes - classes * classes // SHARED
+    return [bytes(r[0]) for r in counts.orderBy(F.desc("n"), "word").limit(own).collect()]
 
 
-def shares(counts: DataFrame, frequent: list[bytes]) -> tuple[DataFrame, int]:
+def shares(counts: DataFrame, frequent: list[bytes], rare: int = RARE) -> tuple[DataFrame, int]:
     """(word, share) of the words that share an id: the logarithm of a word's part of all words with that id, in steps
     of the grid. And the least that a word may have, for one that was not counted."""
     own = counts.sparkSession.createDataFrame([(bytearray(w),) for w in frequent], "word binary")
-    rare = counts.join(own, "word", "left_anti").withColumn("id", (F.crc32("word") % RARE).cast("int"))
-    totals = {r["id"]: r["n"] for r in rare.groupBy("id").agg(F.sum("n").alias("n")).collect()}
-    logs = F.array(*[F.lit(math.log(totals.get(i, 1))) for i in range(RARE)])
-    share = F.round((F.log("n") - logs[F.col("id")]) / _GRID).cast("long")
-    return rare.select("word", share.alias("share")), round(-math.log(sum(totals.values()) + 1) / _GRID)
+    left = counts.join(own, "word", "left_anti").withColumn("id", (F.crc32("word") % rare).cast("int"))
+    totals = left.groupBy("id").agg(F.sum("n").alias("total"))
+    share = F.round((F.log("n") - F.log("total")) / _GRID).cast("long")
+    every = totals.agg(F.sum("total")).first()[0] or 0
+    return left.join(totals, "id").select("word", share.alias("share")), round(-math.log(every + 1) / _GRID)
 
 
 def numbers(texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -107,18 +112,51 @@ def _numbers(texts: list[list[bytes]], words: Words) -> tuple[np.ndarray, np.nda
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     doc = np.repeat(np.arange(len(texts)), sizes)
     places = np.arange(len(doc)) + SIDE * (doc + 1)
-    row = np.full(len(doc) + SIDE * (len(texts) + 1), _PAD, np.int32)
+    row = np.full(len(doc) + SIDE * (len(texts) + 1), words.pad, np.int32)
     row[places] = np.fromiter(map(words.__getitem__, chain.from_iterable(texts)), np.int32, len(doc))
     return row, places, doc
 
 
-_OFFSETS = np.array([i for i in range(-SIDE, SIDE + 1) if i])
-_SHAPES = {"embed": (_PAD + 1, WIDTH), "place": (2 * SIDE, WIDTH), "bias": (WIDTH,), "classes": (CLASSES, WIDTH), "class_bias": (CLASSES,), "members": (CLASSES, MEMBERS, WIDTH), "member_bias": (CLASSES, MEMBERS)}
+_CHUNKS = "chunk long, doc_id array<long>, sizes binary, ids binary, seen binary, hashes binary"
+
 
+def _number(known, classes: int):
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        words, at = Words(known.value, classes), TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for a, b, texts in text_chunks(batch.column(1), _CHUNK):
+                found = [split(t) for t in texts]
+                row, places, _ = _numbers(found, words)
+                index: dict[bytes, int] = {}
+                shared = compress(chain.from_iterable(found), (row[places] >= words.pad - words.rare).tolist())
+                seen = np.array([index.setdefault(w, len(index)) for w in shared], np.int32)
+                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, index), np.uint64, len(index))
+                order = np.argsort(hashes)
+                rank = np.empty(len(order), np.int32)
+                rank[order] = np.arange(len(order))
+                data = [np.fromiter(map(len, found), np.int64, len(found)), row, rank[seen], hashes[order]]
+                ids = lists(batch.column(0).slice(a, b - a), [b - a], pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array([at]), ids, *[pa.array([d.tobytes()], pa.binary()) for d in data]], names=["chunk", "doc_id", "sizes", "ids", "seen", "hashes"])
+                at += 1
+
+    return of
 
-def fresh(seed: int) -> dict[str, np.ndarray]:
+
+_OFFSETS = [i for i in range(-SIDE, SIDE + 1) if i]
+
+
+def shapes(classes: int) -> dict[str, tuple[int, ...]]:
+    return {"embed": (classes * classes + 1, WIDTH), "place": (2 * SIDE, WIDTH), "bias": (WIDTH,), "classes": (classes, WIDTH), "class_bias": (classes,), "members": (classes, classes, WIDTH), "member_bias": (classes, classes)}
+
+
+_SHAPES = shapes(LEAST)
+
+
+def fresh(seed: int, classes: int = LEAST) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
-    model = {n: (0.1 * rng.standard_normal(s)).astype(np.float32) for n, s in _SHAPES.items()}
+    model = {n: (0.1 * rng.standard_normal(s)).astype(np.float32) for n, s in shapes(classes).items()}
     model["place"] += 1
     return model
 
@@ -127,9 +165,10 @@ def flat(model: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([model[n].ravel() for n in _SHAPES])
 
 
-def shaped(values: np.ndarray) -> dict[str, np.ndarray]:
-    parts = np.split(values.astype(np.float32), np.cumsum([np.prod(s) for s in _SHAPES.values()])[:-1])
-    return {n: p.reshape(s) for (n, s), p in zip(_SHAPES.items(), parts)}
+def shaped(values: np.ndarray, classes: int = LEAST) -> dict[str, np.ndarray]:
+    every = shapes(classes)
+    parts = np.split(values.astype(np.float32), np.cumsum([math.prod(s) for s in every.values()])[:-1])
+    return {n: p.reshape(s) for (n, s), p in zip(every.items(), parts)}
 
 
 def _products(hidden: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -142,128 +181,225 @@ def _normal(scores: np.ndarray) -> np.ndarray:
     return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
 
 
-def _hidden(model: dict, row: np.ndarray, at: np.ndarray) -> np.ndarray:
-    total = np.broadcast_to(model["bias"], (len(at), WIDTH)).copy()
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    scores -= scores.max(axis=1, keepdims=True)
+    np.exp(scores, out=scores)
+    scores /= scores.sum(axis=1, keepdims=True)
+    return scores
+
+
+def _hidden(model: dict, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Embeddings of a span of the row, and the hidden layer at all its places but ``SIDE`` at both ends."""
+    embedded, n = model["embed"][span], len(span) - 2 * SIDE
+    total = np.broadcast_to(model["bias"], (n, WIDTH)).copy()
     for j, offset in enumerate(_OFFSETS):
-        total += model["embed"][row[at + offset]] * model["place"][j]
-    return np.tanh(total)
+        total += embedded[SIDE + offset : SIDE + offset + n] * model["place"][j]
+    return embedded, np.tanh(total)
+
+
+def _by_class(target: np.ndarray, classes: int) -> tuple[np.ndarray, list[int]]:
+    """The order that puts targets of one class together, and where each class begins and the last ends."""
+    group = (target % classes).astype(np.uint16)
+    return np.argsort(group, kind="stable"), [0, *np.cumsum(np.bincount(group, minlength=classes)).tolist()]
 
 
 def log_probabilities(model: dict, row: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log-probability of the word at each place, given the words around it."""
-    hidden, target = _hidden(model, row, at), row[at]
-    group, member = target % CLASSES, target // CLASSES
-    found = _normal(_products(hidden, model["classes"]) + model["class_bias"])[np.arange(len(at)), group]
-    order = np.argsort(group, kind="stable")
-    ends = np.cumsum(np.bincount(group, minlength=CLASSES))
-    for c in range(CLASSES):
-        own = order[ends[c - 1] if c else 0 : ends[c]]
-        if len(own):
-            found[own] += _normal(_products(hidden[own], model["members"][c]) + model["member_bias"][c])[np.arange(len(own)), member[own]]
+    """Log-probability of the word at each place (ascending), given the words around it."""
+    classes = len(model["classes"])
+    target, (_, hidden) = row[at], _hidden(model, row[at[0] - SIDE : at[-1] + SIDE + 1])
+    order, starts = _by_class(target, classes)
+    hidden, target = hidden[(at - at[0])[order]], target[order]
+    every = np.arange(len(at))
+    sums = _normal(_products(hidden, model["classes"]) + model["class_bias"])[every, target % classes]
+    for c in range(classes):
+        a, b = starts[c], starts[c + 1]
+        if a < b:
+            sums[a:b] += _normal(_products(hidden[a:b], model["members"][c]) + model["member_bias"][c])[every[: b - a], target[a:b] // classes]
+    found = np.empty_like(sums)
+    found[order] = sums
     return found
 
 
 def train_step(model: dict, squares: dict, row: np.ndarray, at: np.ndarray, rate: float) -> None:
-    """One step of gradient ascent on the log-probabilities, each parameter's rate scaled by its past gradients."""
-    n, target = len(at), row[at]
-    group, member, every = target % CLASSES, target // CLASSES, np.arange(len(at))
-    hidden = _hidden(model, row, at)
-    upper = -np.exp(_normal(hidden @ model["classes"].T + model["class_bias"]))
+    """One step of gradient ascent on the log-probabilities of the words at ascending places, which lie close together;
+    each parameter's rate is scaled by its past gradients."""
+    classes, every = len(model["classes"]), np.arange(len(at))
+    span = row[at[0] - SIDE : at[-1] + SIDE + 1]
+    embedded, layer = _hidden(model, span)
+    order, starts = _by_class(row[at], classes)
+    inside, target = (at - at[0])[order], row[at][order]
+    group, member, hidden = target % classes, target // classes, layer[inside]
+    upper = -_softmax(hidden @ model["classes"].T + model["class_bias"])
     upper[every, group] += 1
-    own = model["members"][group]
-    lower = -np.exp(_normal(np.einsum("nd,nmd->nm", hidden, own) + model["member_bias"][group]))
-    lower[every, member] += 1
-    back = (upper @ model["classes"] + np.einsum("nm,nmd->nd", lower, own)) * (1 - hidden**2)
-    change = {n: np.zeros(s, np.float32) for n, s in _SHAPES.items()}
-    change["classes"], change["class_bias"], change["bias"] = upper.T @ hidden, upper.sum(axis=0), back.sum(axis=0)
-    np.add.at(change["members"], group, lower[:, :, None] * hidden[:, None, :])
-    np.add.at(change["member_bias"], group, lower)
+    back = upper @ model["classes"]
+    change = {"classes": upper.T @ hidden, "class_bias": upper.sum(axis=0), "members": np.zeros_like(model["members"]), "member_bias": np.zeros_like(model["member_bias"])}
+    for c in range(classes):
+        a, b = starts[c], starts[c + 1]
+        if a < b:
+            own, weights = hidden[a:b], model["members"][c]
+            lower = -_softmax(own @ weights.T + model["member_bias"][c])
+            lower[every[: b - a], member[a:b]] += 1
+            back[a:b] += lower @ weights
+            change["members"][c], change["member_bias"][c] = lower.T @ own, lower.sum(axis=0)
+    back *= 1 - hidden**2
+    change["bias"] = back.sum(axis=0)
+    full, inner, change["place"] = np.zeros_like(layer), np.zeros_like(embedded), np.empty_like(model["place"])
+    full[inside] = back
     for j, offset in enumerate(_OFFSETS):
-        word = row[at + offset]
-        change["place"][j] = (back * model["embed"][word]).sum(axis=0)
-        np.add.at(change["embed"], word, back * model["place"][j])
+        to = slice(SIDE + offset, SIDE + offset + len(full))
+        change["place"][j] = np.einsum("nd,nd->d", full, embedded[to])
+        inner[to] += full * model["place"][j]
+    by_word = np.argsort(span, kind="stable")
+    words, first = np.unique(span[by_word], return_index=True)
+    step = np.add.reduceat(inner[by_word], first, axis=0) / len(at)
+    squares["embed"][words] += step**2
+    model["embed"][words] += rate * step / np.sqrt(squares["embed"][words] + 1e-8)
     for name, step in change.items():
-        step /= n
+        step /= len(at)
         squares[name] += step**2
         model[name] += rate * step / np.sqrt(squares[name] + 1e-8)
 
 
-def _train(words, model, round_: int, seed: int):
+def _train(state, classes: int, round_: int, rounds: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
-        rng, own, ids = np.random.default_rng([seed, round_, part]), shaped(model.value), Words(words.value)
-        squares, seen = {n: np.zeros(s, np.float32) for n, s in _SHAPES.items()}, 0
+        part, step, pad, seen = TaskContext.get().partitionId(), classes * classes, classes * classes, 0
+        model, squares = (shaped(half, classes) for half in np.split(state.value, 2))
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in _chunks(texts):
-                row, places, _ = numbers(texts[a:b], ids)
-                masked = rng.permutation(places[rng.random(len(places)) < MASKED])
-                for i in range(0, len(masked), STEP):
-                    train_step(own, squares, row, masked[i : i + STEP], RATE)
-                seen += len(masked)
+            for data in batch.column(0):
+                row = np.frombuffer(data.as_buffer(), np.int32)
+                places = np.flatnonzero(row != pad)
+                for i in range(0, len(places), rounds * step):
+                    at = places[i + round_ : i + rounds * step : rounds]
+                    if len(at):
+                        train_step(model, squares, row, at, RATE)
+                        seen += len(at)
         if seen:
-            values = np.concatenate([flat(own).astype(np.float64) * seen, [seen]])
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([part], pa.int64()), pa.array([values.tobytes()])], names=["block", "part", "data"])
+            values = np.concatenate([flat(model), flat(squares), [1]]) * np.float64(seen)
+            blocks = [values[i : i + _BLOCK].tobytes() for i in range(0, len(values), _BLOCK)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array([part] * len(blocks), pa.int64()), pa.array(blocks)], names=["block", "part", "data"])
 
     return of
 
 
-def fit(texts: DataFrame, rounds: int = ROUNDS, seed: int = 0) -> tuple[list[bytes], dict[str, np.ndarray], DataFrame]:
-    """The words with own ids, the network, from all texts, and the counts of all words.
+def fit(chunks: DataFrame, classes: int, rounds: int = ROUNDS, seed: int = 0) -> dict[str, np.ndarray]:
+    """The network, from the numbers of all chunks. A step has as many places as there are ids.
 
-    What passes through the driver is the network, of fixed size.
+    What passes through the driver is the network and its squared gradients, which grow with the cube root of the corpus.
     """
-    context = texts.sparkSession.sparkContext
-    counts = word_counts(texts)
-    words, values = vocabulary(counts), flat(fresh(seed))
-    known = context.broadcast(words)
+    network = flat(fresh(seed, classes))
+    values, ways = np.concatenate([network, np.zeros_like(network)]), max(8, math.isqrt(chunks.rdd.getNumPartitions()))
     for round_ in range(rounds):
-        model = context.broadcast(values)
-        total = summed(texts.mapInArrow(_train(known, model, round_, seed), "block int, part long, data binary"), "<f8").collect()
+        state = chunks.sparkSession.sparkContext.broadcast(values)
+        parts = chunks.select("ids").mapInArrow(_train(state, classes, round_, rounds), "block int, part long, data binary")
+        total = dict(tuple(r) for r in summed(parts, "<f8", ways).collect())
         if total:
-            sums = np.frombuffer(total[0][1], "<f8")
+            sums = np.concatenate([np.frombuffer(total[i], "<f8") for i in range(len(total))])
             values = (sums[:-1] / sums[-1]).astype(np.float32)
-    return words, shaped(values), counts
+        state.unpersist()
+    return shaped(values[: len(network)], classes)
+
+
+def _asked(bits: int):
+    """Hashes of chunks, in packets by shard; their order within a chunk is that of the shards."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                hashes = np.frombuffer(data.as_buffer(), np.uint64)
+                shards, first = np.unique(hashes >> np.uint64(64 - bits), return_index=True)
+                packets = [x.tobytes() for x in np.split(hashes, first[1:])] if len(shards) else []
+                yield pa.RecordBatch.from_arrays([pa.array(shards.astype(np.int64)), pa.array([chunk] * len(packets), pa.int64()), pa.array(packets, pa.binary()), pa.nulls(len(packets), pa.binary())], names=["shard", "chunk", "hashes", "shares"])
+
+    return of
+
+
+def _known(bits: int):
+    """Hashes and shares of words, in packets by shard, without a chunk."""
+
+    def out(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        hashes, values = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(hashes)
+        hashes, values = hashes[order], values[order]
+        shards, first = np.unique(hashes >> np.uint64(64 - bits), return_index=True)
+        packed = [pa.array([x.tobytes() for x in np.split(all_, first[1:])], pa.binary()) for all_ in (hashes, values)]
+        return pa.RecordBatch.from_arrays([pa.array(shards.astype(np.int64)), pa.nulls(len(shards), pa.int64()), *packed], names=["shard", "chunk", "hashes", "shares"])
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append((np.fromiter(map(xxhash.xxh3_64_intdigest, batch.column(0).to_pylist()), np.uint64, batch.num_rows), batch.column(1).to_numpy()))
+                n += batch.num_rows
+            if n > _COUNTED:
+                yield out(held)
+                held, n = [], 0
+        if held:
+            yield out(held)
+
+    return of
+
+
+def rare_shares(chunks: DataFrame, share: DataFrame, least: int) -> DataFrame:
+    """(chunk, shard, shares): shares of the distinct rare words of chunks, in the order of their hashes."""
+    many = (chunks.agg(F.sum(F.length("hashes"))).first()[0] or 0) // 8 + share.count()
+    bits = max(3, math.ceil(math.log2(many / _SHARD + 1)))
+
+    def find(packets: pa.Table) -> pa.Table:
+        counted = packets.filter(packets["chunk"].is_null())
+        asked = packets.filter(packets["chunk"].is_valid())
+        hashes = np.frombuffer(b"".join(counted["hashes"].to_pylist()), np.uint64)
+        values = np.frombuffer(b"".join(counted["shares"].to_pylist()), np.int64)
+        order = np.argsort(hashes)
+        hashes, values, answers = hashes[order], values[order], []
+        for data in asked["hashes"]:
+            wanted = np.frombuffer(data.as_buffer(), np.uint64)
+            if not len(hashes):
+                answers.append(np.full(len(wanted), least, np.int64).tobytes())
+                continue
+            at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
+            answers.append(np.where(hashes[at] == wanted, values[at], least).tobytes())
+        return pa.table({"chunk": asked["chunk"], "shard": asked["shard"], "shares": pa.array(answers, pa.binary())})
+
+    schema = "shard long, chunk long, hashes binary, shares binary"
+    packets = chunks.select("chunk", "hashes").mapInArrow(_asked(bits), schema).unionAll(share.mapInArrow(_known(bits), schema))
+    return packets.groupBy("shard").applyInArrow(find, "chunk long, shard long, shares binary")
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, seed: int = 0) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, log_likelihood (summed over its words), mean_log_likelihood.
 
     Words are split at ASCII white space, A-Z lower-cased. Texts without words, null among them, have a sum of 0 and no
-    mean. Very long texts are scored whole. Rows that repeat count each time; an empty table gives no rows. Every word
-    counts with its own probability: that of its id, times its share of the id where others have the same.
+    mean; a null id stays null. Very long texts are scored whole. Rows that repeat count each time and have equal
+    scores; an empty table gives no rows. Other columns, whatever their names, are not read. Every word counts with its
+    own probability: that of its id, times its share of the id where others have the same.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    words, model, counts = fit(rows.select("text"), rounds, seed)
-    context = docs.sparkSession.sparkContext
-    known, values = context.broadcast(words), context.broadcast(flat(model))
-
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        network, ids, at = shaped(values.value), Words(known.value), TaskContext.get().partitionId() << 40
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in _chunks(texts):
-                found = [split(t) for t in texts[a:b]]
-                row, places, doc = _numbers(found, ids)
-                sums = np.zeros(b - a)
-                for i in range(0, len(places), 65536):
-                    steps = np.rint(log_probabilities(network, row, places[i : i + 65536]) / _GRID)
-                    sums += np.bincount(doc[i : i + 65536], steps, minlength=b - a)
-                sizes = np.bincount(doc, minlength=b - a)
-                shared = row[places] >= _PAD - RARE
-                rare = lists(list(compress(chain.from_iterable(found), shared.tolist())), accumulate(np.bincount(doc[shared], minlength=b - a).tolist()), pa.binary())
-                key = pa.array(np.arange(at, at + b - a))
-                at += b - a
-                yield pa.RecordBatch.from_arrays([key, batch.column(0).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(sums.astype(np.int64)), rare], names=["row", "doc_id", "n_words", "network", "rare"])
-
-    # Written once: the numbers of rows stay, and neither the network nor the cutting runs twice.
-    scored = staged(rows.mapInArrow(of, "row long, doc_id long, n_words long, network long, rare array<binary>"))
-    share, least = shares(counts, words)
-    each = scored.select("row", F.explode("rare").alias("word")).join(share, "word", "left")
-    within = each.groupBy("row").agg(F.sum(F.coalesce("share", F.lit(least))).alias("within"))
-    whole = scored.drop("rare").join(within, "row", "left").withColumn("log_likelihood", (F.col("network") + F.coalesce("within", F.lit(0))) * _GRID)
-    return whole.select("doc_id", "n_words", "log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")).alias("mean_log_likelihood"))
+    counts, context = word_counts(rows.select("text")), docs.sparkSession.sparkContext
+    classes = classes_of(counts)
+    words = vocabulary(counts, classes)
+    # Written once: no text is split again, and chunks keep their numbers.
+    chunks = staged(rows.mapInArrow(_number(context.broadcast(words), classes), _CHUNKS))
+    values = context.broadcast(flat(fit(chunks, classes, rounds, seed)))
+    found = rare_shares(chunks, *shares(counts, words, classes * classes // SHARED))
+
+    def of(parts: pa.Table) -> pa.Table:
+        network, pad = shaped(values.value, classes), classes * classes
+        packets = parts.filter(parts["shard"].is_valid()).sort_by("shard")
+        chunk = parts.filter(parts["shard"].is_null()).slice(0, 1)
+        sizes, row, seen = (np.frombuffer(chunk[c][0].as_buffer(), k) for c, k in (("sizes", np.int64), ("ids", np.int32), ("seen", np.int32)))
+        share = np.frombuffer(b"".join(packets["shares"].to_pylist()), np.int64)
+        places, doc, sums = np.flatnonzero(row != pad), np.repeat(np.arange(len(sizes)), sizes), np.zeros(len(sizes))
+        for i in range(0, len(places), 65536):
+            steps = np.rint(log_probabilities(network, row, places[i : i + 65536]) / _GRID)
+            sums += np.bincount(doc[i : i + 65536], steps, minlength=len(sizes))
+        sums += np.bincount(doc[row[places] >= pad - pad // SHARED], share[seen], minlength=len(sizes))
+        whole = pa.array(sums * _GRID)
+        mean = pa.array(sums * _GRID / np.maximum(sizes, 1), mask=sizes == 0)
+        return pa.table({"doc_id": chunk["doc_id"].combine_chunks().flatten(), "n_words": pa.array(sizes), "log_likelihood": whole, "mean_log_likelihood": mean})
+
+    empty = {c: F.lit(None).cast(k).alias(c) for c, k in (("shard", "long"), ("shares", "binary"), ("doc_id", "array<long>"), ("sizes", "binary"), ("ids", "binary"), ("seen", "binary"))}
+    own = chunks.select("chunk", empty["shard"], empty["shares"], "doc_id", "sizes", "ids", "seen")
+    packets = found.select("chunk", "shard", "shares", *[empty[c] for c in ("doc_id", "sizes", "ids", "seen")])
+    return own.unionAll(packets).groupBy("chunk").applyInArrow(of, "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double")

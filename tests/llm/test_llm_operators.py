@@ -175,6 +175,61 @@ def test_scores(spark):
     assert language_model.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_scores_of_a_fixed_network_equal_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"W{int(x)}" for x in rng.zipf(1.3, rng.integers(0, 200)) % 4000) for _ in range(120)] + ["", None, "w1", "w1\tnever\nW1"]
+    monkeypatch.setattr(language_model, "fit", lambda chunks, classes, rounds, seed: language_model.fresh(3, classes))
+    monkeypatch.setattr(language_model, "_CHUNK", 3000)
+    monkeypatch.setattr(language_model, "_SHARD", 50)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in language_model.score(frame).collect()}
+    words = [[w.lower().encode() for w in (t or "").split()] for t in texts]
+    counts = Counter(w for t in words for w in t)
+    own = {w: i for i, (w, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:768])}
+    number = {w: own.get(w, 768 + zlib.crc32(w) % 256) for w in counts}
+    totals = Counter()
+    for w in counts:
+        totals[number[w]] += counts[w]
+    m = {n: v.astype(float) for n, v in language_model.fresh(3).items()}
+    assert len(counts) > 900
+
+    def normal(x):
+        return x - x.max() - math.log(np.exp(x - x.max()).sum())
+
+    for i, t in enumerate(words):
+        ids, total = [1024] * 2 + [number[w] for w in t] + [1024] * 2, 0.0
+        for k, w in enumerate(t):
+            around = [ids[k], ids[k + 1], ids[k + 3], ids[k + 4]]
+            h = np.tanh(m["bias"] + sum(m["embed"][x] * m["place"][j] for j, x in enumerate(around)))
+            group, member = number[w] % 32, number[w] // 32
+            total += normal(m["classes"] @ h + m["class_bias"])[group] + normal(m["members"][group] @ h + m["member_bias"][group])[member]
+            total += 0 if w in own else math.log(counts[w] / totals[number[w]])
+        assert found[i].n_words == len(t) and found[i].log_likelihood == pytest.approx(total, abs=1e-3)
+
+
+def test_gradients_equal_differences():
+    rng = np.random.default_rng(1)
+    row = np.concatenate([[1024] * 2, rng.integers(0, 1024, 9), [1024] * 2]).astype(np.int32)
+    at = np.array([2, 4, 5, 9])
+    model = language_model.fresh(2)
+    squares = {n: np.zeros(s, np.float32) for n, s in language_model._SHAPES.items()}
+    language_model.train_step({n: v.copy() for n, v in model.items()}, squares, row, at, 0.1)
+    places = {"embed": [(row[3], 5), (row[7], 0)], "place": [(1, 3), (2, 7)], "bias": [(4,)], "classes": [(row[4] % 32, 2)], "class_bias": [(row[9] % 32,)], "members": [(row[5] % 32, row[5] // 32, 1)], "member_bias": [(row[2] % 32, row[2] // 32)]}
+    for name, some in places.items():
+        for where in some:
+            sides = []
+            for d in (0.05, -0.05):
+                other = {n: v.copy() for n, v in model.items()}
+                other[name][where] += d
+                sides.append(language_model.log_probabilities(other, row, at).astype(float).mean())
+            assert math.sqrt(squares[name][where]) == pytest.approx(abs(sides[0] - sides[1]) / 0.1, rel=0.03, abs=2e-4), (name, where)
+
+
+def test_the_vocabulary_grows_with_the_corpus(spark):
+    small, large = (language_model.classes_of(spark.createDataFrame([(b"a", n)], "word binary, n long")) for n in (10**7, 10**10))
+    assert 32 < small < large and language_model.classes_of(spark.createDataFrame([], "word binary, n long")) == 32
+
+
 def test_words_with_one_id_have_their_own_probabilities(spark):
     share = {}
     words = [(f"w{i}", 1 + i % 7) for i in range(900)]
