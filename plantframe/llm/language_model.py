@@ -96,11 +96,17 @@ def shares(counts: DataFrame, frequent: list[bytes], rare: int = RARE) -> tuple[
     """(word, share) of the words that share an id: the logarithm of a word's part of all words with that id, in steps
     of the grid. And the least that a word may have, for one that was not counted."""
     own = counts.sparkSession.createDataFrame([(bytearray(w),) for w in frequent], "word binary")
-    left = counts.join(own, "word", "left_anti").withColumn("id", (F.crc32("word") % rare).cast("int"))
-    totals = left.groupBy("id").agg(F.sum("n").alias("total"))
-    share = F.round((F.log("n") - F.log("total")) / _GRID).cast("long")
-    every = totals.agg(F.sum("total")).first()[0] or 0
-    return left.join(totals, "id").select("word", share.alias("share")), round(-math.log(every + 1) / _GRID)
+    # Both broadcasts hold no more than the ids of the vocabulary, whose number classes_of() bounds.
+    left = counts.join(F.broadcast(own), "word", "left_anti").withColumn("id", (F.crc32("word") % rare).cast("int"))
+    found = {r["id"]: r["total"] for r in left.groupBy("id").agg(F.sum("n").alias("total")).collect()}
+    totals = counts.sparkSession.createDataFrame([(i, math.log(n)) for i, n in found.items()], "id int, total double")
+    share = F.round((F.log("n") - F.col("total")) / _GRID).cast("int")
+    return left.join(F.broadcast(totals), "id").select("word", share.alias("share")), round(-math.log(sum(found.values()) + 1) / _GRID)
+
+
+def kind(pad: int) -> type:
+    """The type of stored ids."""
+    return np.uint16 if pad < 1 << 16 else np.int32
 
 
 def numbers(texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,8 +118,8 @@ def _numbers(texts: list[list[bytes]], words: Words) -> tuple[np.ndarray, np.nda
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     doc = np.repeat(np.arange(len(texts)), sizes)
     places = np.arange(len(doc)) + SIDE * (doc + 1)
-    row = np.full(len(doc) + SIDE * (len(texts) + 1), words.pad, np.int32)
-    row[places] = np.fromiter(map(words.__getitem__, chain.from_iterable(texts)), np.int32, len(doc))
+    row = np.full(len(doc) + SIDE * (len(texts) + 1), words.pad, kind(words.pad))
+    row[places] = np.fromiter(map(words.__getitem__, chain.from_iterable(texts)), row.dtype, len(doc))
     return row, places, doc
 
 
@@ -171,20 +177,24 @@ def shaped(values: np.ndarray, classes: int = LEAST) -> dict[str, np.ndarray]:
     return {n: p.reshape(s) for (n, s), p in zip(every.items(), parts)}
 
 
-def _products(hidden: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Rounded from higher precision, so that a row's values do not hang on where it stands among the others."""
-    return (hidden.astype(np.float64) @ weights.T.astype(np.float64)).astype(np.float32)
+def _products(weights: np.ndarray, bias: np.ndarray, hidden: np.ndarray) -> np.ndarray:
+    """A column per place. Rounded from higher precision, so that values do not hang on where a place stands among the others."""
+    return (weights.astype(np.float64) @ hidden.T.astype(np.float64)).astype(np.float32) + bias[:, None]
 
 
-def _normal(scores: np.ndarray) -> np.ndarray:
-    scores = scores - scores.max(axis=1, keepdims=True)
-    return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
+def _taken(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Per column the logarithm of the softmax in row ``at``."""
+    scores -= scores.max(axis=0)
+    own = scores[at, np.arange(len(at))]
+    return own - np.log(np.exp(scores, out=scores).sum(axis=0))
 
 
-def _softmax(scores: np.ndarray) -> np.ndarray:
-    scores -= scores.max(axis=1, keepdims=True)
+def _slopes(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Per column the slope of that logarithm by each score."""
+    scores -= scores.max(axis=0)
     np.exp(scores, out=scores)
-    scores /= scores.sum(axis=1, keepdims=True)
+    scores *= -1 / scores.sum(axis=0)
+    scores[at, np.arange(len(at))] += 1
     return scores
 
 
@@ -209,12 +219,11 @@ def log_probabilities(model: dict, row: np.ndarray, at: np.ndarray) -> np.ndarra
     target, (_, hidden) = row[at], _hidden(model, row[at[0] - SIDE : at[-1] + SIDE + 1])
     order, starts = _by_class(target, classes)
     hidden, target = hidden[(at - at[0])[order]], target[order]
-    every = np.arange(len(at))
-    sums = _normal(_products(hidden, model["classes"]) + model["class_bias"])[every, target % classes]
+    sums = _taken(_products(model["classes"], model["class_bias"], hidden), target % classes)
     for c in range(classes):
         a, b = starts[c], starts[c + 1]
         if a < b:
-            sums[a:b] += _normal(_products(hidden[a:b], model["members"][c]) + model["member_bias"][c])[every[: b - a], target[a:b] // classes]
+            sums[a:b] += _taken(_products(model["members"][c], model["member_bias"][c], hidden[a:b]), target[a:b] // classes)
     found = np.empty_like(sums)
     found[order] = sums
     return found
@@ -223,24 +232,22 @@ def log_probabilities(model: dict, row: np.ndarray, at: np.ndarray) -> np.ndarra
 def train_step(model: dict, squares: dict, row: np.ndarray, at: np.ndarray, rate: float) -> None:
     """One step of gradient ascent on the log-probabilities of the words at ascending places, which lie close together;
     each parameter's rate is scaled by its past gradients."""
-    classes, every = len(model["classes"]), np.arange(len(at))
+    classes = len(model["classes"])
     span = row[at[0] - SIDE : at[-1] + SIDE + 1]
     embedded, layer = _hidden(model, span)
     order, starts = _by_class(row[at], classes)
     inside, target = (at - at[0])[order], row[at][order]
-    group, member, hidden = target % classes, target // classes, layer[inside]
-    upper = -_softmax(hidden @ model["classes"].T + model["class_bias"])
-    upper[every, group] += 1
-    back = upper @ model["classes"]
-    change = {"classes": upper.T @ hidden, "class_bias": upper.sum(axis=0), "members": np.zeros_like(model["members"]), "member_bias": np.zeros_like(model["member_bias"])}
+    member, hidden = target // classes, layer[inside]
+    upper = _slopes(model["classes"] @ hidden.T + model["class_bias"][:, None], target % classes)
+    back = upper.T @ model["classes"]
+    change = {"classes": upper @ hidden, "class_bias": upper.sum(axis=1), "members": np.zeros_like(model["members"]), "member_bias": np.zeros_like(model["member_bias"])}
     for c in range(classes):
         a, b = starts[c], starts[c + 1]
         if a < b:
             own, weights = hidden[a:b], model["members"][c]
-            lower = -_softmax(own @ weights.T + model["member_bias"][c])
-            lower[every[: b - a], member[a:b]] += 1
-            back[a:b] += lower @ weights
-            change["members"][c], change["member_bias"][c] = lower.T @ own, lower.sum(axis=0)
+            lower = _slopes(weights @ own.T + model["member_bias"][c][:, None], member[a:b])
+            back[a:b] += lower.T @ weights
+            change["members"][c], change["member_bias"][c] = lower @ own, lower.sum(axis=1)
     back *= 1 - hidden**2
     change["bias"] = back.sum(axis=0)
     full, inner, change["place"] = np.zeros_like(layer), np.zeros_like(embedded), np.empty_like(model["place"])
@@ -268,7 +275,7 @@ def _train(state, classes: int, round_: int, rounds: int):
         model, squares = (shaped(half, classes) for half in np.split(state.value, 2))
         for batch in batches:
             for data in batch.column(0):
-                row = np.frombuffer(data.as_buffer(), np.int32)
+                row = np.frombuffer(data.as_buffer(), kind(pad))
                 places = np.flatnonzero(row != pad)
                 for i in range(0, len(places), rounds * step):
                     at = places[i + round_ : i + rounds * step : rounds]
@@ -276,7 +283,7 @@ def _train(state, classes: int, round_: int, rounds: int):
                         train_step(model, squares, row, at, RATE)
                         seen += len(at)
         if seen:
-            values = np.concatenate([flat(model), flat(squares), [1]]) * np.float64(seen)
+            values = (np.concatenate([flat(model), flat(squares), [1]]) * (seen / 1e6)).astype(np.float32)
             blocks = [values[i : i + _BLOCK].tobytes() for i in range(0, len(values), _BLOCK)]
             yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array([part] * len(blocks), pa.int64()), pa.array(blocks)], names=["block", "part", "data"])
 
@@ -293,9 +300,9 @@ def fit(chunks: DataFrame, classes: int, rounds: int = ROUNDS, seed: int = 0) ->
     for round_ in range(rounds):
         state = chunks.sparkSession.sparkContext.broadcast(values)
         parts = chunks.select("ids").mapInArrow(_train(state, classes, round_, rounds), "block int, part long, data binary")
-        total = dict(tuple(r) for r in summed(parts, "<f8", ways).collect())
+        total = dict(tuple(r) for r in summed(parts, "<f4", ways).collect())
         if total:
-            sums = np.concatenate([np.frombuffer(total[i], "<f8") for i in range(len(total))])
+            sums = np.concatenate([np.frombuffer(total[i], "<f4") for i in range(len(total))])
             values = (sums[:-1] / sums[-1]).astype(np.float32)
         state.unpersist()
     return shaped(values[: len(network)], classes)
@@ -341,25 +348,25 @@ def _known(bits: int):
     return of
 
 
-def rare_shares(chunks: DataFrame, share: DataFrame, least: int) -> DataFrame:
+def rare_shares(chunks: DataFrame, words: int, share: DataFrame, least: int) -> DataFrame:
     """(chunk, shard, shares): shares of the distinct rare words of chunks, in the order of their hashes."""
-    many = (chunks.agg(F.sum(F.length("hashes"))).first()[0] or 0) // 8 + share.count()
+    many = (chunks.agg(F.sum(F.length("hashes"))).first()[0] or 0) // 8 + words
     bits = max(3, math.ceil(math.log2(many / _SHARD + 1)))
 
     def find(packets: pa.Table) -> pa.Table:
         counted = packets.filter(packets["chunk"].is_null())
         asked = packets.filter(packets["chunk"].is_valid())
         hashes = np.frombuffer(b"".join(counted["hashes"].to_pylist()), np.uint64)
-        values = np.frombuffer(b"".join(counted["shares"].to_pylist()), np.int64)
+        values = np.frombuffer(b"".join(counted["shares"].to_pylist()), np.int32)
         order = np.argsort(hashes)
         hashes, values, answers = hashes[order], values[order], []
         for data in asked["hashes"]:
             wanted = np.frombuffer(data.as_buffer(), np.uint64)
             if not len(hashes):
-                answers.append(np.full(len(wanted), least, np.int64).tobytes())
+                answers.append(np.full(len(wanted), least, np.int32).tobytes())
                 continue
             at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
-            answers.append(np.where(hashes[at] == wanted, values[at], least).tobytes())
+            answers.append(np.where(hashes[at] == wanted, values[at], np.int32(least)).tobytes())
         return pa.table({"chunk": asked["chunk"], "shard": asked["shard"], "shares": pa.array(answers, pa.binary())})
 
     schema = "shard long, chunk long, hashes binary, shares binary"
@@ -382,24 +389,31 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
     # Written once: no text is split again, and chunks keep their numbers.
     chunks = staged(rows.mapInArrow(_number(context.broadcast(words), classes), _CHUNKS))
     values = context.broadcast(flat(fit(chunks, classes, rounds, seed)))
-    found = rare_shares(chunks, *shares(counts, words, classes * classes // SHARED))
+    found = rare_shares(chunks, counts.count(), *shares(counts, words, classes * classes // SHARED))
+
+    def network(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, pad = shaped(values.value, classes), classes * classes
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row, sizes = (np.frombuffer(batch[c][i].as_buffer(), k) for c, k in (("ids", kind(pad)), ("sizes", np.int64)))
+                places, doc, sums = np.flatnonzero(row != pad), np.repeat(np.arange(len(sizes)), sizes), np.zeros(len(sizes))
+                for k in range(0, len(places), 8192):
+                    steps = np.rint(log_probabilities(model, row, places[k : k + 8192]) / _GRID)
+                    sums += np.bincount(doc[k : k + 8192], steps, minlength=len(sizes))
+                rare = np.bincount(doc[row[places] >= pad - pad // SHARED], minlength=len(sizes))
+                more = [pa.array([x.tobytes()], pa.binary()) for x in (sums, rare)]
+                yield pa.RecordBatch.from_arrays([*[batch[c].slice(i, 1) for c in ("chunk", "doc_id", "sizes", "seen")], *more], names=["chunk", "doc_id", "sizes", "seen", "sums", "rare"])
 
     def of(parts: pa.Table) -> pa.Table:
-        network, pad = shaped(values.value, classes), classes * classes
         packets = parts.filter(parts["shard"].is_valid()).sort_by("shard")
         chunk = parts.filter(parts["shard"].is_null()).slice(0, 1)
-        sizes, row, seen = (np.frombuffer(chunk[c][0].as_buffer(), k) for c, k in (("sizes", np.int64), ("ids", np.int32), ("seen", np.int32)))
-        share = np.frombuffer(b"".join(packets["shares"].to_pylist()), np.int64)
-        places, doc, sums = np.flatnonzero(row != pad), np.repeat(np.arange(len(sizes)), sizes), np.zeros(len(sizes))
-        for i in range(0, len(places), 65536):
-            steps = np.rint(log_probabilities(network, row, places[i : i + 65536]) / _GRID)
-            sums += np.bincount(doc[i : i + 65536], steps, minlength=len(sizes))
-        sums += np.bincount(doc[row[places] >= pad - pad // SHARED], share[seen], minlength=len(sizes))
-        whole = pa.array(sums * _GRID)
-        mean = pa.array(sums * _GRID / np.maximum(sizes, 1), mask=sizes == 0)
-        return pa.table({"doc_id": chunk["doc_id"].combine_chunks().flatten(), "n_words": pa.array(sizes), "log_likelihood": whole, "mean_log_likelihood": mean})
-
-    empty = {c: F.lit(None).cast(k).alias(c) for c, k in (("shard", "long"), ("shares", "binary"), ("doc_id", "array<long>"), ("sizes", "binary"), ("ids", "binary"), ("seen", "binary"))}
-    own = chunks.select("chunk", empty["shard"], empty["shares"], "doc_id", "sizes", "ids", "seen")
-    packets = found.select("chunk", "shard", "shares", *[empty[c] for c in ("doc_id", "sizes", "ids", "seen")])
-    return own.unionAll(packets).groupBy("chunk").applyInArrow(of, "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double")
+        kinds = (("sizes", np.int64), ("seen", np.int32), ("sums", np.float64), ("rare", np.int64))
+        sizes, seen, sums, rare = (np.frombuffer(chunk[c][0].as_buffer(), k) for c, k in kinds)
+        share = np.frombuffer(b"".join(packets["shares"].to_pylist()), np.int32)
+        sums = (sums + np.bincount(np.repeat(np.arange(len(sizes)), rare), share[seen], minlength=len(sizes))) * _GRID
+        mean = pa.array(sums / np.maximum(sizes, 1), mask=sizes == 0)
+        return pa.table({"doc_id": chunk["doc_id"].combine_chunks().flatten(), "n_words": pa.array(sizes), "log_likelihood": pa.array(sums), "mean_log_likelihood": mean})
+
+    scored = "chunk long, doc_id array<long>, sizes binary, seen binary, sums binary, rare binary"
+    own = chunks.select("chunk", "doc_id", "sizes", "ids", "seen").mapInArrow(network, scored)
+    return own.unionByName(found, allowMissingColumns=True).groupBy("chunk").applyInArrow(of, "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double")
