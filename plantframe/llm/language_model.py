@@ -278,7 +278,9 @@ def _train(state, classes: int, round_: int, rounds: int):
                 row = np.frombuffer(data.as_buffer(), kind(pad))
                 places = np.flatnonzero(row != pad)
                 for i in range(0, len(places), rounds * step):
-                    at = places[i + round_ : i + rounds * step : rounds]
+                    window = places[i : i + rounds * step]
+                    part_of = math.ceil(len(window) / rounds)
+                    at = window[round_ * part_of : (round_ + 1) * part_of]
                     if len(at):
                         train_step(model, squares, row, at, RATE)
                         seen += len(at)
