@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,10 +35,13 @@ from .models import (  # the definitions are read from here as well
     read_columns,
     written_properties,
 )
-from .skew import keep_greatest
+from .skew import has_hot_key, keep_greatest
 
 __all__ = ["KEY", "REFERENCE", "Connection", "DataModel", "Graph", "Property", "View", "ViewRef"]
 
+# Up to so many written rows the stored tables are joined with them where they lie; above, both are dealt by key once.
+SMALL_SOURCE = 100_000
+
 def _reference_field(name: str, nullable: bool) -> T.StructField:
     return T.StructField(name, REFERENCE, nullable)
 
@@ -214,6 +218,8 @@ class InstanceResult:
     errors: DataFrame
     # After a write of edges: the nodes, with placeholders for the missing ones.
     nodes: DataFrame | None = None
+    # Instances that have data in the view, with their properties.
+    joined: DataFrame | None = None
 
 
 def _property_value(df: DataFrame, prop: Property, space: Column) -> tuple[Column, Column]:
@@ -300,9 +306,15 @@ def upsert_instances(
         error.alias("_error"),
     )
     errors = judged.filter("_error is not null").select(*KEY, F.col("_error").alias("error"))
-    rows = cut_lineage(keep_greatest(judged.filter("_error is null").drop("_error"), KEY))
-
+    good = judged.filter("_error is null").drop("_error")
     names = [name for name, _ in references]
+    stamp = F.unix_millis(F.current_timestamp() if now is None else F.lit(now))
+    written_rows, hot = has_hot_key(good, KEY)
+    if written_rows > SMALL_SOURCE:
+        # Copies of a hot key collapse before they travel; others do so where the tables meet.
+        rows = keep_greatest(good, KEY) if hot else good
+        return _upsert_together(instances, properties, rows, names, list(values), ignore_null_fields, stamp, errors)
+    rows = cut_lineage(keep_greatest(good, KEY))
     new = rows.select(*KEY, F.struct(*[F.col(c) for c in [*names, *values]]).alias("_new"))
     old = instances.select(*KEY, F.lit(True).alias("_known"), *[F.col(c).alias(f"_old_{c}") for c in names])
     held = None if properties is None else properties.select(*KEY, *[F.col(c).alias(f"_old_{c}") for c in values])
@@ -311,14 +323,7 @@ def upsert_instances(
     old = old.join(keys, KEY, "left_semi")
     if held is not None:
         old = old.join(held.join(keys, KEY, "left_semi"), KEY, "left")
-    merged = {}
-    for name in [*names, *values]:
-        value = F.col("_new").getField(name)
-        keeps = ignore_null_fields or name in names
-        merged[name] = F.coalesce(value, F.col(f"_old_{name}")) if keeps else value
-    same = F.lit(True)
-    for name in [*names, *values]:
-        same = same & merged[name].eqNullSafe(F.col(f"_old_{name}"))
+    merged, same = _merged({n: F.col(f"_old_{n}") for n in [*names, *values]}, names, ignore_null_fields)
     # Read for the instances, for the properties and for the changes, so it is written once.
     resolved = cut_lineage(
         new.join(old, KEY, "left").select(
@@ -327,13 +332,90 @@ def upsert_instances(
             F.when(F.col("_known").isNull(), "created").when(same, "noop").otherwise("modified").alias("change"),
         )
     )
-    stamp = F.unix_millis(F.current_timestamp() if now is None else F.lit(now))
-    return InstanceResult(
-        _write_instances(instances, resolved, names, stamp),
-        None if properties is None else _write_properties(properties, resolved, list(values)),
-        resolved.select(*KEY, "change"),
-        errors,
+    after = _write_instances(instances, resolved, names, stamp)
+    held_after = None if properties is None else _write_properties(properties, resolved, list(values))
+    joined = None if properties is None else after.join(held_after, KEY)
+    return InstanceResult(after, held_after, resolved.select(*KEY, "change"), errors, joined=joined)
+
+
+def _merged(old: dict[str, Column], names: Sequence[str], ignore_null_fields: bool) -> tuple[dict[str, Column], Column]:
+    """The values after a write of the struct ``_new`` over the old ones, and whether nothing changes."""
+    merged, same = {}, F.lit(True)
+    for name, before in old.items():
+        value = F.col("_new").getField(name)
+        merged[name] = F.coalesce(value, before) if ignore_null_fields or name in names else value
+        same = same & merged[name].eqNullSafe(before)
+    return merged, same
+
+
+def _upsert_together(
+    instances: DataFrame, properties: DataFrame | None, rows: DataFrame, names: list[str], values: list[str],
+    ignore_null_fields: bool, stamp: Column, errors: DataFrame,
+) -> InstanceResult:
+    """An upsert that may touch much of the tables: written rows, instances and properties are dealt by key once, and
+    all results are read from one table of what comes out."""
+
+    def packed(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*KEY, F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in KEY]).alias(name))
+
+    sides = [packed(rows, "_new"), packed(instances, "_inst")]
+    if properties is not None:
+        sides.append(packed(properties, "_prop"))
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
+    held = [c for c in ("_inst", "_prop") if c in whole.columns]
+    # Dealt before they are aggregated, as hardly any row meets another one of its key on the way.
+    met = whole.repartition(*KEY).groupBy(*KEY).agg(
+        F.max("_new").alias("_new"),
+        *[F.first(c, ignorenulls=True).alias(c) for c in held],
+        F.greatest(F.lit(0), *[F.count(c) for c in held]).alias("_copies"),
+    )
+    twice = F.raise_error(F.concat(F.lit("a stored table holds a key twice: "), F.concat_ws(", ", *KEY)))
+    met = met.withColumn("_new", F.when(F.col("_copies") > 1, twice.cast(met.schema["_new"].dataType)).otherwise(F.col("_new")))
+    known, written = F.col("_inst").isNotNull(), F.col("_new").isNotNull()
+    old = {n: F.col("_inst").getField(n) for n in names}
+    old |= {n: F.when(known, F.col("_prop").getField(n)) for n in values}
+    merged, same = _merged(old, names, ignore_null_fields)
+    change = F.when(written, F.when(~known, "created").when(same, "noop").otherwise("modified"))
+    hit = F.coalesce(F.col("change") != "noop", F.lit(False))
+
+    stamps = {
+        "version": lambda before: F.coalesce(before, F.lit(0)) + 1,
+        "createdTime": lambda before: F.when(known, before).otherwise(stamp),
+        "lastUpdatedTime": lambda _: stamp,
+    }
+
+    def attribute(name: str) -> Column:
+        before = F.col("_inst").getField(name)
+        if name in names:
+            return F.when(hit, merged[name]).otherwise(before).alias(name)
+        if name in stamps:
+            return F.when(hit, stamps[name](before).cast(instances.schema[name].dataType)).otherwise(before).alias(name)
+        return before.alias(name)
+
+    def value(name: str) -> Column:
+        before = F.col("_prop").getField(name)
+        return (F.when(written, merged[name]).otherwise(before) if name in values else before).alias(name)
+
+    columns = [c for c in instances.columns if c not in KEY]
+    made = [F.when(known | written, F.struct(*[attribute(c) for c in columns])).alias("_after")]
+    if properties is not None:
+        held_columns = [c for c in properties.columns if c not in KEY]
+        present = F.col("_prop").isNotNull() | written
+        made.append(F.when(present, F.struct(*[value(c) for c in held_columns])).alias("_held"))
+    state = cut_lineage(met.withColumn("change", change).select(*KEY, "change", *made))
+
+    def unpacked(like: DataFrame, name: str) -> list[Column]:
+        return [F.col(c) if c in KEY else F.col(name).getField(c).alias(c) for c in like.columns]
+
+    after = state.filter("_after is not null")
+    result = InstanceResult(
+        after.select(*unpacked(instances, "_after")), None, state.filter("change is not null").select(*KEY, "change"), errors
     )
+    if properties is not None:
+        result.properties = state.filter("_held is not null").select(*unpacked(properties, "_held"))
+        more = [F.col("_held").getField(c).alias(c) for c in held_columns]
+        result.joined = after.filter("_held is not null").select(*KEY, *[F.col("_after").getField(c).alias(c) for c in columns], *more)
+    return result
 
 
 def _write_instances(instances: DataFrame, resolved: DataFrame, names: list[str], stamp: Column) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 # Aimed size and largest number of the slices that a table is cut into by value.
 SLICE_ROWS = 500_000
 MAX_SLICES = 1024
+HASH_BUCKETS = 65_536
 
 
 def orderable(df: DataFrame) -> list[Column]:
@@ -42,6 +43,14 @@ def keep_greatest(df: DataFrame, keys: Sequence[str], order: Sequence[Column] =
     return picked.select(*[F.col("_row").getField(c).alias(c) for c in df.columns])
 
 
+def has_hot_key(df: DataFrame, keys: Sequence[str], copies: int = SLICE_ROWS) -> tuple[int, bool]:
+    """The number of rows, and whether a key may have more than ``copies`` of them, from counts of hash buckets."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(HASH_BUCKETS))
+    counted = df.groupBy(bucket.alias("_bucket")).count().agg(F.sum("count").alias("n"), F.max("count").alias("most")).first()
+    rows = counted["n"] or 0
+    return rows, (counted["most"] or 0) > copies + 2 * rows // HASH_BUCKETS
+
+
 def previous_across_slices(
     rows: DataFrame, ends: DataFrame, keys: Sequence[str], slice_: str, position: str, value: str, out: str
 ) -> DataFrame:

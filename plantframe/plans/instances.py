@@ -140,11 +140,10 @@ def edge_upsert(s: Star) -> DataFrame:
     result = upsert_instances(
         graph.edges, _edge_changes(s), "edge", SUPPLY_VIEW, graph.properties["Supply"], instance_space="supply", now=NOW
     )
-    edges = result.instances.select(
-        "space", "externalId", F.col("type.externalId").alias("typeId"), F.col("startNode.space").alias("startSpace"),
-        F.col("endNode.externalId").alias("endId"),
+    rows = result.joined.select(
+        "externalId", F.col("type.externalId").alias("typeId"), F.col("startNode.space").alias("startSpace"),
+        F.col("endNode.externalId").alias("endId"), "quantity", "discount",
     )
-    rows = edges.join(result.properties, ["space", "externalId"]).drop("space")
     return rows.unionByName(result.errors.select("externalId", "error"), allowMissingColumns=True)
 
 
