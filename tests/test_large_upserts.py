@@ -63,3 +63,20 @@ def test_hot_keys_are_seen(spark):
     assert has_hot_key(rows, ["k"], copies=1000) == (3000, True)
     assert has_hot_key(rows, ["id"], copies=1000) == (3000, False)
     assert has_hot_key(rows.limit(0), ["k"]) == (0, False)
+
+
+def test_edges_of_a_large_upsert_are_stored_once(spark, monkeypatch):
+    monkeypatch.setattr(graph, "SMALL_SOURCE", 0, raising=False)
+    ends = [f"cast(null as {REF}) as type", "named_struct('space', 's', 'externalId', 'a') as startNode", "named_struct('space', 's', 'externalId', 'b') as endNode"]
+    stored = ["'s' as space", "concat('e', id) as externalId", "id as version", "0L as createdTime", "0L as lastUpdatedTime"]
+    edges = spark.range(5).selectExpr(*stored, *ends)
+    written = spark.range(3, 9).selectExpr("concat('e', id) as externalId", *ends[1:])
+    done = graph.upsert_instances(edges, written, "edge", instance_space="s", edge_type=("t", "x"), now=NOW)
+    assert done.properties is None and done.joined is None
+    listed = done.instances.selectExpr("externalId", "version", "type.externalId as x").collect()
+    found = {r["externalId"]: (r["version"], r["x"]) for r in listed}
+    assert found == {f"e{i}": (i, None) if i < 3 else (i + 1 if i < 5 else 1, "x") for i in range(9)}
+    out = io.StringIO()
+    with redirect_stdout(out):
+        done.instances.explain("simple")
+    assert "Exchange" not in out.getvalue()
