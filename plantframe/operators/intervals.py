@@ -3,19 +3,21 @@
 Intervals become +1/-1 steps at their ends. Steps at one position are summed before the shuffle, and
 the running sum tells how many intervals cover each stretch. The running sum is taken slice by slice
 with the state carried across, so neither a hot group nor an ungrouped table is sorted in one task.
+Where no group is hot, groups are dealt once and each is solved where it lies.
 A null start or end is unbounded.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
-from .skew import quantile_bounds, slice_of
+from .skew import SLICE_ROWS, has_hot_key, quantile_bounds, slice_of
 
 LOWEST, HIGHEST = -(2**63), 2**63 - 1
 
@@ -46,10 +48,26 @@ def _steps(bounds: DataFrame, by: Sequence[str], name: str) -> DataFrame:
     return bounds.select(*by, step.alias("_x")).select(*by, F.col("_x.p").alias("_p"), F.col("_x.d").alias(name))
 
 
+def _join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join where null is a group like others."""
+    named = right.withColumnsRenamed({k: f"_j_{k}" for k in keys})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_j_{k}")) for k in keys])
+    return left.join(named, same).drop(*[f"_j_{k}" for k in keys])
+
+
 def _running(steps: DataFrame, by: Sequence[str], names: Sequence[str], slices: int | None) -> DataFrame:
     """Per position, for each kind of step the number of covering intervals after it (``c_``) and
-    before it (``b_``), and the slice of the position."""
-    summed = cut_lineage(steps.groupBy(*by, "_p").agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]))
+    before it (``b_``), and the slice of the position; no slices where no group needs them."""
+    sums = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]
+    rows, hot = (0, True) if slices else has_hot_key(steps, by)
+    if not hot:
+        # The number of parts follows the rows, so that the memory of a task does not.
+        counted = (
+            steps.repartition(max(1, -(-rows // SLICE_ROWS)), *by).groupBy(*by, "_p").agg(*sums)
+            .select(*by, "_p", *names, *[F.sum(n).over(Window.partitionBy(*by).orderBy("_p")).alias(f"c_{n}") for n in names])
+        )
+        return counted.select("*", *[(F.col(f"c_{n}") - F.col(n)).alias(f"b_{n}") for n in names])
+    summed = cut_lineage(steps.groupBy(*by, "_p").agg(*sums))
     bounds = quantile_bounds(summed, "_p", slices)
     summed = summed.withColumn("_slice", slice_of(F.col("_p"), bounds))
     inside = Window.partitionBy(*by, "_slice").orderBy("_p")
@@ -60,7 +78,7 @@ def _running(steps: DataFrame, by: Sequence[str], names: Sequence[str], slices:
             .agg(*[F.sum(n).alias(f"n_{n}") for n in names])
             .select(*by, "_slice", *[F.coalesce(F.sum(f"n_{n}").over(before), F.lit(0)).alias(f"k_{n}") for n in names])
         )
-        summed = summed.join(carry, [*by, "_slice"])
+        summed = _join(summed, carry, [*by, "_slice"])
     carried = {n: F.col(f"k_{n}") if bounds else F.lit(0) for n in names}
     counted = summed.select(
         *by, "_p", "_slice", *names, *[(F.sum(n).over(inside) + carried[n]).alias(f"c_{n}") for n in names]
@@ -72,19 +90,21 @@ def _stretches(
     edges: DataFrame, by: Sequence[str], start: str, end: str, data_type: T.DataType
 ) -> DataFrame:
     """Pair each opening edge with the closing edge that follows it."""
-    inside = Window.partitionBy(*by, "_slice").orderBy("_p")
-    after = Window.partitionBy(*by).orderBy("_slice").rowsBetween(1, Window.unboundedFollowing)
-    next_slice = (
-        edges.groupBy(*by, "_slice")
-        .agg(F.min("_p").alias("_head"))
-        .select(*by, "_slice", F.min("_head").over(after).alias("_next_head"))
-    )
-    paired = (
-        edges.withColumn("_next", F.lead("_p").over(inside))
-        .join(next_slice, [*by, "_slice"])
-        .filter("_open")
-        .withColumn("_next", F.coalesce("_next", "_next_head"))
-    )
+    if "_slice" not in edges.columns:
+        paired = edges.withColumn("_next", F.lead("_p").over(Window.partitionBy(*by).orderBy("_p"))).filter("_open")
+    else:
+        inside = Window.partitionBy(*by, "_slice").orderBy("_p")
+        after = Window.partitionBy(*by).orderBy("_slice").rowsBetween(1, Window.unboundedFollowing)
+        next_slice = (
+            edges.groupBy(*by, "_slice")
+            .agg(F.min("_p").alias("_head"))
+            .select(*by, "_slice", F.min("_head").over(after).alias("_next_head"))
+        )
+        paired = (
+            _join(edges.withColumn("_next", F.lead("_p").over(inside)), next_slice, [*by, "_slice"])
+            .filter("_open")
+            .withColumn("_next", F.coalesce("_next", "_next_head"))
+        )
 
     def value(name: str, unbounded: int) -> Column:
         found = F.when(F.col(name) != unbounded, F.col(name))
