@@ -1,9 +1,12 @@
+import io
+from contextlib import redirect_stdout
 from random import Random
 
 import oracle
 import pytest
 
 import __spark_entry__ as entry
+from plantframe.operators import intervals, skew
 
 from plantframe.operators.intervals import complement_intervals, intersect_intervals, merge_intervals
 
@@ -92,3 +95,30 @@ def test_gaps_beyond_the_last_part_number_are_kept(spark, tmp_path):
     """Larger tables hold part numbers of 100,000 and more, where a supplier's gaps were cut off."""
     lines = [(1, 5, 3.0, "R"), (1, 99_999, 4.0, "A"), (1, 100_010, 2.0, "N"), (2, 250_000, 1.0, "R"), (2, 250_004, 1.0, "R"), (3, 0, 9.0, "A")]
     assert lines_differ(spark, tmp_path, "interval_complement", lines) is None
+
+
+@pytest.mark.parametrize("slices", [None, 3])
+def test_null_is_a_group_like_others(spark, slices):
+    spans = table(spark, [(None, 1, 4), (None, 3, 6), ("a", 2, 3), (None, 8, 9)])
+    assert sorted(map(tuple, merge_intervals(spans, by=["g"], slices=slices).collect()), key=str) == [("a", 2, 3), (None, 1, 6), (None, 8, 9)]
+    both = intersect_intervals(spans, spans, by=["g"], slices=slices).collect()
+    assert sorted(map(tuple, both), key=str) == [("a", 2, 3), (None, 1, 6), (None, 8, 9)]
+
+
+def test_groups_that_are_not_hot_are_dealt_once(spark):
+    spans = table(spark, random_spans(6))
+    for found in (merge_intervals(spans, by=["g"]), intersect_intervals(spans, spans, by=["g"])):
+        out = io.StringIO()
+        with redirect_stdout(out):
+            found.explain("simple")
+        assert out.getvalue().count("Exchange") == 1
+
+
+def test_hot_groups_are_cut_into_slices(spark, monkeypatch):
+    monkeypatch.setattr(intervals, "has_hot_key", lambda *_: (1_000, True))
+    spans = random_spans(7)
+    for size in (10, 10**6):
+        monkeypatch.setattr(skew, "SLICE_ROWS", size)
+        found = merge_intervals(table(spark, spans), by=["g"]).collect()
+        for group in "abc":
+            assert sorted((r.start, r.end) for r in found if r.g == group) == runs(covered(spans, group))
