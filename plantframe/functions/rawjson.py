@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -223,31 +223,40 @@ def _is_nested(data_type: T.DataType) -> bool:
 
 
 def read_json_table(
-    df: DataFrame, schema: T.StructType, on_error: str = "column", column: str = "columns"
-) -> DataFrame:
+    df: DataFrame, schema: T.StructType, on_error: str = "column", column: str = "columns",
+    sources: Mapping[str, str] | None = None,
+) -> DataFrame:
     """Typed rows of a JSON table: key, lastUpdatedTime, then one column per field of ``schema``.
 
     Rows with a value of the wrong shape keep the good values and list the bad ones in ``_errors``, where
     rows that are no JSON say so and have no values; or they fail the job with ``on_error='raise'``. Each step is a projection of its own, so that a parsed
-    value is computed once however often it is used.
+    value is computed once however often it is used. ``sources`` names the JSON field of a field that is called
+    otherwise in ``schema``, so that one field can be read as several types at once.
     """
     if on_error not in ("column", "raise"):
         raise PlantError("on_error must be column or raise")
     nodes = _nodes(schema)
     top = [n for n in nodes if n.parent is None]
-    wanted = T.StructType([T.StructField(n.name, T.StringType() if n.is_text else T.VariantType()) for n in top])
+    origin = {n.index: (sources or {}).get(n.name, n.name) for n in top}
+    as_text = {name: all(n.is_text for n in top if origin[n.index] == name) for name in origin.values()}
+    wanted = T.StructType([T.StructField(name, T.StringType() if plain else T.VariantType()) for name, plain in as_text.items()])
     options, broken = {"mode": "FAILFAST"}, F.lit(False)
     if on_error == "column":
         # The text of a malformed row goes to a field whose name no other field has.
-        rest = "_malformed" + "_" * max((len(n.name) for n in top), default=0)
+        rest = "_malformed" + "_" * max((len(name) for name in as_text), default=0)
         wanted = T.StructType([*wanted.fields, T.StructField(rest, T.StringType())])
         options, broken = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": rest}, F.col("_t").getField(rest).isNotNull()
+
+    def taken(n: _Node) -> Column:
+        found = F.col("_t").getField(origin[n.index])
+        return F.try_variant_get(found, "$", "string") if n.is_text and not as_text[origin[n.index]] else found
+
     parsed = df.select("key", "lastUpdatedTime", F.from_json(column, wanted, options).alias("_t"))
     work = parsed.select(
         "key",
         "lastUpdatedTime",
         broken.alias("_broken"),
-        *[F.when(~broken, F.col("_t").getField(n.name)).alias(f"_f{n.index}") for n in top],
+        *[F.when(~broken, taken(n)).alias(f"_f{n.index}") for n in top],
     )
     for depth in range(1, max((n.depth for n in nodes), default=0) + 1):
         inner = [n for n in nodes if n.depth == depth]

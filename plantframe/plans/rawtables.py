@@ -90,11 +90,8 @@ def raw_unrename(s: Star) -> DataFrame:
     FROM lines""",
 )
 def raw_typed_cast(s: Star) -> DataFrame:
-    schema = _fields("num int, numText long, empty double, flag boolean, flagText boolean, cents long")
-    typed = read_json_table(s.raw_lines(), schema, on_error="raise")
-    again = read_json_table(s.raw_lines(), _fields("numText double"), on_error="raise")
-    ratio = again.select("key", F.col("numText").alias("ratio"))
-    return typed.drop("lastUpdatedTime").join(ratio, "key")
+    schema = _fields("num int, numText long, empty double, flag boolean, flagText boolean, cents long, ratio double")
+    return read_json_table(s.raw_lines(), schema, on_error="raise", sources={"ratio": "numText"}).drop("lastUpdatedTime")
 
 
 @query(
@@ -132,12 +129,10 @@ def raw_string_of_json(s: Star) -> DataFrame:
     with_views("lines") + "SELECT key, part, rf AS tag0, ls AS tag1, 2 AS tags, part::VARCHAR AS mapped FROM lines",
 )
 def raw_nested(s: Star) -> DataFrame:
-    lines = s.raw_lines()
-    typed = read_json_table(lines, _fields("nested struct<part:long,tags:array<string>>"), on_error="raise")
-    mapped = read_json_table(lines, _fields("nested map<string,string>"), on_error="raise")
-    return typed.join(mapped.select("key", F.col("nested")["part"].alias("mapped")), "key").select(
+    schema = _fields("nested struct<part:long,tags:array<string>>, mapped map<string,string>")
+    return read_json_table(s.raw_lines(), schema, on_error="raise", sources={"mapped": "nested"}).select(
         "key", "nested.part", F.col("nested.tags")[0].alias("tag0"), F.col("nested.tags")[1].alias("tag1"),
-        F.size("nested.tags").alias("tags"), "mapped",
+        F.size("nested.tags").alias("tags"), F.col("mapped")["part"].alias("mapped"),
     )
 
 
