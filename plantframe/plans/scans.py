@@ -13,6 +13,7 @@ from ..operators.datapoints import check_series_kind, datapoints
 from ..operators.graph import has_data, scan_instances, scan_model
 from ..operators.series_writes import sequence_rows
 from ..session import scratch_dir
+from ..operators.skew import SLICE_ROWS, has_hot_key
 from ..sources.files import limit_errors, read_file_content
 from ..sources.star import Star
 from .oracle import with_views
@@ -283,7 +284,11 @@ def scan_3dmodelrevisionnodes(s: Star) -> DataFrame:
     FROM lineitem GROUP BY ALL""",
 )
 def scan_3dmodelrevisionmappings(s: Star) -> DataFrame:
-    mappings = s.catalog.scan("3dmodelrevisionmappings")
+    """Mappings are dealt by their pair in parts that follow the rows, unless a pair is hot, so that a task's memory does not."""
+    mappings, pair = s.catalog.scan("3dmodelrevisionmappings", columns=["modelId", "assetId", "nodeId"]), ["modelId", "assetId"]
+    rows, hot = has_hot_key(mappings, pair)
+    if not hot:
+        mappings = mappings.repartition(max(1, -(-rows // SLICE_ROWS)), *pair)
     return mappings.groupBy("modelId", "assetId").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("nodeId").alias("nodes")
     )
