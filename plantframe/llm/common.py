@@ -52,16 +52,22 @@ def bound_batches(spark: SparkSession, size: str = "4m") -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
-def text_chunks(texts: pa.Array, size: int) -> Iterator[tuple[int, int, list[str]]]:
-    """(from, to, texts) of about ``size`` bytes, one text at least; no others are Python strings at that time."""
+def spans(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """(from, to) of texts that have about ``size`` bytes together, one text at least."""
     ends, at = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64), 0
     while at < len(texts):
         full = size + (ends[at - 1] if at else 0)
         to = max(at + 1, min(len(texts), int(np.searchsorted(ends, full)) + 1))
-        yield at, to, texts.slice(at, to - at).to_pylist()
+        yield at, to
         at = to
 
 
+def text_chunks(texts: pa.Array, size: int) -> Iterator[tuple[int, int, list[str]]]:
+    """(from, to, texts) of about ``size`` bytes, one text at least; no others are Python strings at that time."""
+    for at, to in spans(texts, size):
+        yield at, to, texts.slice(at, to - at).to_pylist()
+
+
 def fixed_width(column: pa.Array, width: int) -> np.ndarray:
     """A binary column whose values all have ``width`` bytes, as unsigned 64-bit words per row."""
     return np.frombuffer(b"".join(column.to_pylist()), dtype="<u8").reshape(-1, width // 8)

@@ -16,17 +16,16 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lists, staged, summed, text_chunks, text_of
+from .common import lists, spans, staged, summed, text_of
 
 #: Least number of classes, and of words in a class; width of embeddings; words seen on each side.
 LEAST, WIDTH, SIDE = 32, 24, 2
@@ -34,45 +33,62 @@ LEAST, WIDTH, SIDE = 32, 24, 2
 GROWTH, SHARED = 10, 4
 #: Rounds of training, which share the positions between them; rate.
 ROUNDS, RATE = 2, 0.1
-#: Bytes of text in a chunk; distinct words held while counting; hashes in a shard; parameters in a block that tasks add up.
-_CHUNK, _COUNTED, _SHARD, _BLOCK = 2_000_000, 200_000, 2_000_000, 32_768
+#: Bytes of text in a chunk; distinct words held while counting; hashes in a shard; parameters in a block that tasks add up;
+#: places scored at once.
+_CHUNK, _COUNTED, _SHARD, _BLOCK, _SCORED = 2_000_000, 200_000, 2_000_000, 32_768, 4096
 _PAD, RARE = LEAST * LEAST, LEAST * LEAST // SHARED
 #: Logarithms are added as whole numbers of this size, so that no order of rows changes a sum.
 _GRID = 2.0**-24
 
 
-class Words(dict):
-    """Ids of words: frequent ones have their own, others share one of ``rare`` by hash. Remembers a bounded number."""
+class Words:
+    """Ids of words: frequent ones have their own, others share one of ``rare`` by hash."""
 
     def __init__(self, frequent: list[bytes], classes: int = LEAST):
-        super().__init__((w, i) for i, w in enumerate(frequent))
-        self.most, self.pad, self.rare = len(frequent) + 500_000, classes * classes, classes * classes // SHARED
+        self.frequent, self.pad, self.rare = pa.array(frequent, pa.binary()), classes * classes, classes * classes // SHARED
 
-    def __missing__(self, word: bytes) -> int:
-        found = self.pad - self.rare + zlib.crc32(word) % self.rare
-        if len(self) < self.most:
-            self[word] = found
-        return found
+    def ids(self, distinct: pa.Array) -> np.ndarray:
+        own = pc.fill_null(pc.index_in(distinct, value_set=self.frequent.cast(distinct.type)), -1).to_numpy()
+        hashes = np.fromiter(map(zlib.crc32, _bytes(distinct)), np.int64, len(distinct))
+        return np.where(own < 0, self.pad - self.rare + hashes % self.rare, own).astype(kind(self.pad))
 
 
-def split(text: str) -> list[bytes]:
-    return text.encode().lower().split()
+def _bytes(words: pa.Array) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
+def split_all(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """How many words each text has, and the words of all texts in a row, A-Z lower-cased."""
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    words = pc.ascii_split_whitespace(trimmed)
+    sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    # Arrow finds one empty word in a text without words.
+    empty = pc.fill_null(pc.equal(pc.binary_length(trimmed), 0), False).to_numpy(zero_copy_only=False)
+    flat = words.flatten()
+    if empty.any():
+        sizes[empty], flat = 0, flat.filter(pc.greater(pc.binary_length(flat), 0))
+    return sizes, flat.cast(pa.large_binary() if pa.types.is_large_string(flat.type) else pa.binary())
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+    held, n = [], 0
 
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
+    def out() -> pa.Table:
+        return pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
 
     for batch in batches:
-        for _, _, texts in text_chunks(batch.column(0), _CHUNK):
-            for text in texts:
-                counts.update(split(text))
-                if len(counts) > _COUNTED:
-                    yield out()
-                    counts.clear()
-    yield out()
+        for a, b in spans(batch.column(0), _CHUNK):
+            words, counts = split_all(batch.column(0).slice(a, b - a))[1].value_counts().flatten()
+            held.append(pa.table({"word": words.cast(pa.binary()), "n": counts}))
+            n += len(words)
+            if n > 2 * _COUNTED:
+                held = [out()]
+                n = held[0].num_rows
+                if n > _COUNTED:
+                    yield from held[0].to_batches()
+                    held, n = [], 0
+    if held:
+        yield from out().to_batches()
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -111,15 +127,22 @@ def kind(pad: int) -> type:
 
 def numbers(texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all texts in a row with padding between them, the places of the words, and the text of each place."""
-    return _numbers([split(t) for t in texts], words)
+    sizes, flat = split_all(pa.array(texts, pa.string()))
+    return _placed(sizes, _ids(flat, words)[0], words)
+
 
+def _ids(flat: pa.Array, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Ids of words in a row; each one's number among the distinct words, and these with their ids."""
+    found = flat.dictionary_encode()
+    own, index = words.ids(found.dictionary), found.indices.to_numpy()
+    return own[index], index, own, found.dictionary
 
-def _numbers(texts: list[list[bytes]], words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    doc = np.repeat(np.arange(len(texts)), sizes)
+
+def _placed(sizes: np.ndarray, ids: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    doc = np.repeat(np.arange(len(sizes)), sizes)
     places = np.arange(len(doc)) + SIDE * (doc + 1)
-    row = np.full(len(doc) + SIDE * (len(texts) + 1), words.pad, kind(words.pad))
-    row[places] = np.fromiter(map(words.__getitem__, chain.from_iterable(texts)), row.dtype, len(doc))
+    row = np.full(len(doc) + SIDE * (len(sizes) + 1), words.pad, kind(words.pad))
+    row[places] = ids
     return row, places, doc
 
 
@@ -132,17 +155,15 @@ def _number(known, classes: int):
 
         words, at = Words(known.value, classes), TaskContext.get().partitionId() << 40
         for batch in batches:
-            for a, b, texts in text_chunks(batch.column(1), _CHUNK):
-                found = [split(t) for t in texts]
-                row, places, _ = _numbers(found, words)
-                index: dict[bytes, int] = {}
-                shared = compress(chain.from_iterable(found), (row[places] >= words.pad - words.rare).tolist())
-                seen = np.array([index.setdefault(w, len(index)) for w in shared], np.int32)
-                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, index), np.uint64, len(index))
+            for a, b in spans(batch.column(1), _CHUNK):
+                sizes, flat = split_all(batch.column(1).slice(a, b - a))
+                ids, index, own, distinct = _ids(flat, words)
+                rare = own >= words.pad - words.rare
+                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, _bytes(distinct.filter(pa.array(rare)))), np.uint64, np.count_nonzero(rare))
                 order = np.argsort(hashes)
-                rank = np.empty(len(order), np.int32)
-                rank[order] = np.arange(len(order))
-                data = [np.fromiter(map(len, found), np.int64, len(found)), row, rank[seen], hashes[order]]
+                rank = np.empty(len(own), np.int32)
+                rank[np.flatnonzero(rare)[order]] = np.arange(len(order))
+                data = [sizes, _placed(sizes, ids, words)[0], rank[index[rare[index]]], hashes[order]]
                 ids = lists(batch.column(0).slice(a, b - a), [b - a], pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array([at]), ids, *[pa.array([d.tobytes()], pa.binary()) for d in data]], names=["chunk", "doc_id", "sizes", "ids", "seen", "hashes"])
                 at += 1
@@ -177,9 +198,27 @@ def shaped(values: np.ndarray, classes: int = LEAST) -> dict[str, np.ndarray]:
     return {n: p.reshape(s) for (n, s), p in zip(every.items(), parts)}
 
 
-def _products(weights: np.ndarray, bias: np.ndarray, hidden: np.ndarray) -> np.ndarray:
-    """A column per place. Rounded from higher precision, so that values do not hang on where a place stands among the others."""
-    return (weights.astype(np.float64) @ hidden.T.astype(np.float64)).astype(np.float32) + bias[:, None]
+def _with_ones(hidden: np.ndarray, of: type = np.float32) -> np.ndarray:
+    """Rows of the hidden layer and a one, so that a product with ``_with_bias`` has the bias in it."""
+    found = np.ones((len(hidden), WIDTH + 1), of)
+    found[:, :WIDTH] = hidden
+    return found
+
+
+def _with_bias(model: dict[str, np.ndarray], of: type = np.float32) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and biases of the classes, and of the members of each class."""
+    upper = np.concatenate([model["classes"], model["class_bias"][:, None]], axis=1, dtype=of)
+    return upper, np.concatenate([model["members"], model["member_bias"][..., None]], axis=2, dtype=of)
+
+
+def _member_scores(lower: np.ndarray, hidden: np.ndarray, starts: list[int]) -> np.ndarray:
+    """A column per place, which stand by class: scores of the members of its class."""
+    scores = np.empty((lower.shape[1], len(hidden)), hidden.dtype)
+    for c, weights in enumerate(lower):
+        a, b = starts[c], starts[c + 1]
+        if a < b:
+            np.matmul(weights, hidden[a:b].T, out=scores[:, a:b])
+    return scores
 
 
 def _taken(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -215,15 +254,17 @@ def _by_class(target: np.ndarray, classes: int) -> tuple[np.ndarray, list[int]]:
 
 def log_probabilities(model: dict, row: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log-probability of the word at each place (ascending), given the words around it."""
-    classes = len(model["classes"])
+    return _scored(model, _with_bias(model, np.float64), row, at)
+
+
+def _scored(model: dict, weights: tuple[np.ndarray, np.ndarray], row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    # Products are rounded from higher precision, so that values do not hang on where a place stands among the others.
+    (upper, lower), classes = weights, len(model["classes"])
     target, (_, hidden) = row[at], _hidden(model, row[at[0] - SIDE : at[-1] + SIDE + 1])
     order, starts = _by_class(target, classes)
-    hidden, target = hidden[(at - at[0])[order]], target[order]
-    sums = _taken(_products(model["classes"], model["class_bias"], hidden), target % classes)
-    for c in range(classes):
-        a, b = starts[c], starts[c + 1]
-        if a < b:
-            sums[a:b] += _taken(_products(model["members"][c], model["member_bias"][c], hidden[a:b]), target[a:b] // classes)
+    hidden, target = _with_ones(hidden[(at - at[0])[order]], np.float64), target[order]
+    sums = _taken((upper @ hidden.T).astype(np.float32), target % classes)
+    sums += _taken(_member_scores(lower, hidden, starts).astype(np.float32), target // classes)
     found = np.empty_like(sums)
     found[order] = sums
     return found
@@ -232,22 +273,22 @@ def log_probabilities(model: dict, row: np.ndarray, at: np.ndarray) -> np.ndarra
 def train_step(model: dict, squares: dict, row: np.ndarray, at: np.ndarray, rate: float) -> None:
     """One step of gradient ascent on the log-probabilities of the words at ascending places, which lie close together;
     each parameter's rate is scaled by its past gradients."""
-    classes = len(model["classes"])
+    classes, (above, below) = len(model["classes"]), _with_bias(model)
     span = row[at[0] - SIDE : at[-1] + SIDE + 1]
     embedded, layer = _hidden(model, span)
     order, starts = _by_class(row[at], classes)
     inside, target = (at - at[0])[order], row[at][order]
-    member, hidden = target // classes, layer[inside]
-    upper = _slopes(model["classes"] @ hidden.T + model["class_bias"][:, None], target % classes)
-    back = upper.T @ model["classes"]
-    change = {"classes": upper @ hidden, "class_bias": upper.sum(axis=1), "members": np.zeros_like(model["members"]), "member_bias": np.zeros_like(model["member_bias"])}
+    hidden = _with_ones(layer[inside])
+    upper = _slopes(above @ hidden.T, target % classes)
+    lower = _slopes(_member_scores(below, hidden, starts), target // classes)
+    back, found, inner_ = upper.T @ model["classes"], upper @ hidden, np.zeros_like(below)
     for c in range(classes):
         a, b = starts[c], starts[c + 1]
         if a < b:
-            own, weights = hidden[a:b], model["members"][c]
-            lower = _slopes(weights @ own.T + model["member_bias"][c][:, None], member[a:b])
-            back[a:b] += lower.T @ weights
-            change["members"][c], change["member_bias"][c] = lower @ own, lower.sum(axis=1)
+            back[a:b] += lower[:, a:b].T @ model["members"][c]
+            np.matmul(lower[:, a:b], hidden[a:b], out=inner_[c])
+    change = {"classes": found[:, :WIDTH], "class_bias": found[:, WIDTH], "members": inner_[..., :WIDTH], "member_bias": inner_[..., WIDTH]}
+    hidden = hidden[:, :WIDTH]
     back *= 1 - hidden**2
     change["bias"] = back.sum(axis=0)
     full, inner, change["place"] = np.zeros_like(layer), np.zeros_like(embedded), np.empty_like(model["place"])
@@ -339,7 +380,7 @@ def _known(bits: int):
         held, n = [], 0
         for batch in batches:
             if batch.num_rows:
-                held.append((np.fromiter(map(xxhash.xxh3_64_intdigest, batch.column(0).to_pylist()), np.uint64, batch.num_rows), batch.column(1).to_numpy()))
+                held.append((np.fromiter(map(xxhash.xxh3_64_intdigest, _bytes(batch.column(0))), np.uint64, batch.num_rows), batch.column(1).to_numpy()))
                 n += batch.num_rows
             if n > _COUNTED:
                 yield out(held)
@@ -395,13 +436,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
 
     def network(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, pad = shaped(values.value, classes), classes * classes
+        weights = _with_bias(model, np.float64)
         for batch in batches:
             for i in range(batch.num_rows):
                 row, sizes = (np.frombuffer(batch[c][i].as_buffer(), k) for c, k in (("ids", kind(pad)), ("sizes", np.int64)))
                 places, doc, sums = np.flatnonzero(row != pad), np.repeat(np.arange(len(sizes)), sizes), np.zeros(len(sizes))
-                for k in range(0, len(places), 8192):
-                    steps = np.rint(log_probabilities(model, row, places[k : k + 8192]) / _GRID)
-                    sums += np.bincount(doc[k : k + 8192], steps, minlength=len(sizes))
+                for k in range(0, len(places), _SCORED):
+                    steps = np.rint(_scored(model, weights, row, places[k : k + _SCORED]) / _GRID)
+                    sums += np.bincount(doc[k : k + _SCORED], steps, minlength=len(sizes))
                 rare = np.bincount(doc[row[places] >= pad - pad // SHARED], minlength=len(sizes))
                 more = [pa.array([x.tobytes()], pa.binary()) for x in (sums, rare)]
                 yield pa.RecordBatch.from_arrays([*[batch[c].slice(i, 1) for c in ("chunk", "doc_id", "sizes", "seen")], *more], names=["chunk", "doc_id", "sizes", "seen", "sums", "rare"])

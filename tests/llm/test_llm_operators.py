@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from random import Random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,6 +167,26 @@ def test_probabilities_sum_to_one_and_training_helps():
     assert language_model.log_probabilities(model, row, places).mean() > before + 3
 
 
+def test_words_are_split_and_numbered_without_a_python_step_for_each(monkeypatch):
+    texts = ["".join(f"A{chr(c)}b" for c in range(300)), None, "", " \t", "  The\x0bthe\x0c THE ", "\u00c4\u00a0\u00e4 \u2003 x", "the end", "\r\n"]
+    expected = [(t or "").encode().lower().split() for t in texts]
+    whole = pa.array(["not read", *texts], pa.string()).slice(1)
+    sizes, flat = language_model.split_all(whole)
+    assert sizes.tolist() == [len(x) for x in expected] and flat.to_pylist() == [w for x in expected for w in x]
+    monkeypatch.setattr(language_model, "_CHUNK", 10)
+    monkeypatch.setattr(language_model, "_COUNTED", 3)
+    counts = Counter()
+    for batch in language_model._count(iter([pa.RecordBatch.from_arrays([whole], names=["text"])] * 2)):
+        for word, n in zip(*(c.to_pylist() for c in batch.columns)):
+            counts[word] += n
+    assert counts == Counter(2 * [w for x in expected for w in x])
+    words = language_model.Words([b"the", b"x"])
+    row, places, doc = language_model.numbers([t or "" for t in texts], words)
+    shared = language_model._PAD - language_model.RARE
+    assert row[places].tolist() == [{b"the": 0, b"x": 1}.get(w, shared + zlib.crc32(w) % language_model.RARE) for x in expected for w in x]
+    assert doc.tolist() == [i for i, x in enumerate(expected) for _ in x]
+
+
 def test_scores(spark):
     rows = [(i, "the tree stands in the wood " * 5) for i in range(40)] + [(100, "wood the in stands tree the " * 5), (101, None), (102, " "), (None, "x"), (0, "the tree stands in the wood " * 5)]
     found = language_model.score(spark.createDataFrame([(*r, 1.0) for r in rows], "doc_id long, text string, log_likelihood double")).collect()
