@@ -180,6 +180,10 @@ def _is_text(data_type: T.DataType) -> bool:
     return isinstance(data_type, T.StringType)
 
 
+def _has_parts(kind: Column) -> Column:
+    return kind.startswith("OBJECT") | kind.startswith("ARRAY")
+
+
 def _is_null(kind: Column) -> Column:
     return kind.isNull() | (kind == "VOID")
 
@@ -273,7 +277,8 @@ def read_json_table(
     known = work.select(
         "*",
         *[F.schema_of_variant(f"_f{n.index}").alias(f"_k{n.index}") for n in [*scalars, *structs]],
-        *[F.try_variant_get(f"_f{n.index}", "$", "string").alias(f"_x{n.index}") for n in scalars],
+        # Objects and arrays are never scalars, and writing them as text is slow.
+        *[F.when(~_has_parts(F.schema_of_variant(f"_f{n.index}")), F.try_variant_get(f"_f{n.index}", "$", "string")).alias(f"_x{n.index}") for n in scalars],
     )
 
     def result(n: _Node) -> Column:

@@ -210,3 +210,13 @@ def test_dates(spark, text, moment, day):
 ])
 def test_json_validity(spark, text, valid):
     assert spark.createDataFrame([(text,)], "t string").select(json_is_valid("t").alias("v")).first().v is valid
+
+
+def test_a_nested_value_read_as_a_scalar_is_wrong_and_not_written_as_text(spark):
+    frame = spark.createDataFrame([("a", '{"n":{"x":"1"},"m":[1]}'), ("b", '{"n":"7","m":null}')], "key string, columns string")
+    typed = read_json_table(frame.withColumn("lastUpdatedTime", F.current_timestamp()), ddl("n int, m double"))
+    found = {r.key: r for r in typed.collect()}
+    assert found["a"].n is None and found["a"].m is None and len(found["a"]._errors) == 2
+    assert found["b"].n == 7 and found["b"].m is None and found["b"]._errors == []
+    plan = typed._jdf.queryExecution().analyzed().toString()
+    assert plan.count("THEN try_variant_get(_f") == 2 and "StartsWith(schema_of_variant(_f0" in plan
