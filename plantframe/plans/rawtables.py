@@ -414,9 +414,10 @@ def required_props(s: Star) -> DataFrame:
 def raw_key_columns(s: Star) -> DataFrame:
     """Columns that look reserved go back to their JSON names all at once."""
     schema = _fields("key string, num long, lastUpdatedTime string")
-    typed = read_json_table(s.raw_lines(), schema, on_error="raise").drop("key", "lastUpdatedTime")
+    typed = read_json_table(s.raw_lines(), schema, on_error="raise").withColumn("row", F.col("key")).drop("key", "lastUpdatedTime")
     back = unrename_reserved(typed)
-    keys = F.regexp_extract("key", "inner-(.*)", 1).cast("long")
-    joined = s.raw_lines().select(F.col("key").alias("row"), F.get_json_object("columns", "$.num").cast("long").alias("m"))
-    counted = back.select(keys.alias("m"), F.col("num").alias("key_value"), F.col("lastUpdatedTime").alias("lastUpdatedTime_value")).distinct()
-    return joined.join(counted, "m").select(F.col("row").alias("key"), "key_value", "lastUpdatedTime_value")
+    inner = F.regexp_extract("key", "inner-(.*)", 1).cast("long")
+    return back.select(
+        F.col("row").alias("key"), F.when(inner == F.col("num"), F.col("num")).alias("key_value"),
+        F.col("lastUpdatedTime").alias("lastUpdatedTime_value"),
+    )

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from __spark_entry__ import queries
 from plantframe import PlantError
 from plantframe.functions.convert import json_is_valid, narrow_exact, parse_date, parse_timestamp, read_cast, validate
 from plantframe.functions.rawjson import (
@@ -220,3 +221,8 @@ def test_a_nested_value_read_as_a_scalar_is_wrong_and_not_written_as_text(spark)
     assert found["b"].n == 7 and found["b"].m is None and found["b"]._errors == []
     plan = typed._jdf.queryExecution().analyzed().toString()
     assert plan.count("THEN try_variant_get(_f") == 2 and "StartsWith(schema_of_variant(_f0" in plan
+
+
+def test_key_columns_take_one_reading_and_no_shuffle(spark):
+    plan = queries()["raw_key_columns"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Join" not in plan
