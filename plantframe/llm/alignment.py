@@ -29,6 +29,8 @@ from .words import runs
 
 #: Bytes of text handled at once; words a worker remembers; pairs of ids in a slice; entries a product expands at once.
 CHUNK, REMEMBERED, SLICE_PAIRS, EXPANDED = 500_000, 120_000, 2_000_000, 1_000_000
+#: Bytes of staged chunks that a task reads at once; a chunk has some 600,000.
+GROUP_BYTES = 4 << 20
 #: White space stays with the word behind it. Texts of other characters are aligned whole.
 _CUT = re.compile(r"[ \n\t]*[^ \n\t]+|[ \n\t]+")
 _PLAIN = re.compile(r"[\t\n\x20-\x7e¡-ɏ]*")
@@ -309,7 +311,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     """
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    chunks = staged(rows.mapInArrow(_align(a_path, b_path, with_groups), _STAGED))
+    chunks = staged(rows.mapInArrow(_align(a_path, b_path, with_groups), _STAGED), GROUP_BYTES)
     import sentencepiece
 
     width = sentencepiece.SentencePieceProcessor(model_file=b_path).get_piece_size()

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from random import Random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from plantframe.llm import alignment, collocations, queries, substring_dedup, words
@@ -209,3 +210,16 @@ def test_links(spark, brute):
 
 def test_alignment_of_nothing(spark):
     assert alignment.align(frame(spark, []).limit(0), A, B).count() == 0
+
+
+def test_staged_chunks_come_back_in_small_row_groups(spark, monkeypatch):
+    made, real = [], alignment.staged
+    monkeypatch.setattr(alignment, "GROUP_BYTES", 1 << 20, raising=False)
+    monkeypatch.setattr(alignment, "staged", lambda *args: made.append(real(*args)) or made[-1])
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"word{i}" for i in rng.integers(0, 3000, 60_000)) for _ in range(10)]
+    found = alignment.align(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), A, B)
+    assert found.count() == 10
+    groups = [f.row_group(i) for path in made[0].inputFiles() for f in [pq.ParquetFile(path.removeprefix("file://")).metadata] for i in range(f.num_row_groups)]
+    assert sum(g.num_rows for g in groups) >= 10
+    assert max(g.total_byte_size for g in groups) < 2 << 20
