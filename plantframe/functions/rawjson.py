@@ -222,6 +222,15 @@ def _field(value: Column, name: str, kind: str = "variant") -> Column:
     return F.try_variant_get(value, f"$['{quoted}']", kind)
 
 
+def _if_set(column: str, use: Column) -> Column:
+    """``use``, a JSON or map function of ``column`` that gives null for null.
+
+    Spark evaluates the arguments of such functions node by node, without compiling them. As the test for null reads the
+    column a second time, an expression that makes its text stays in a projection of its own, which is compiled.
+    """
+    return F.when(F.col(column).isNotNull(), use)
+
+
 def _is_nested(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.StructType, T.ArrayType, T.MapType))
 
@@ -329,7 +338,7 @@ def read_json_table(
 def drop_null_fields(column: str = "columns") -> Column:
     """JSON objects without their null fields."""
     fields = F.try_variant_get(F.parse_json(column), "$", "map<string,variant>")
-    return F.to_json(F.map_filter(fields, lambda _, v: ~F.is_variant_null(v)))
+    return _if_set(column, F.to_json(F.map_filter(fields, lambda _, v: ~F.is_variant_null(v))))
 
 
 def _writable(value: Column, data_type: T.DataType) -> Column:
