@@ -264,7 +264,7 @@ def read_json_table(
         found = F.col("_t").getField(origin[n.index])
         return F.try_variant_get(found, "$", "string") if n.is_text and not as_text[origin[n.index]] else found
 
-    parsed = df.select("key", "lastUpdatedTime", F.from_json(column, wanted, options).alias("_t"))
+    parsed = df.select("key", "lastUpdatedTime", _if_set(column, F.from_json(column, wanted, options)).alias("_t"))
     work = parsed.select(
         "key",
         "lastUpdatedTime",
@@ -283,11 +283,14 @@ def read_json_table(
     scalars = [n for n in nodes if not n.is_text and not _is_nested(n.data_type)]
     structs = [n for n in nodes if isinstance(n.data_type, T.StructType)]
     leaves = [n for n in nodes if not isinstance(n.data_type, T.StructType)]
+    # A JSON field that is read as several scalar types has its kind and its text taken once.
+    read = {n.index: next(m.index for m in scalars if m is n or n.parent is m.parent is None and origin[m.index] == origin[n.index]) for n in scalars}
+    once = sorted({*read.values()})
     known = work.select(
         "*",
-        *[F.schema_of_variant(f"_f{n.index}").alias(f"_k{n.index}") for n in [*scalars, *structs]],
+        *[F.schema_of_variant(f"_f{i}").alias(f"_k{i}") for i in [*once, *[n.index for n in structs]]],
         # Objects and arrays are never scalars, and writing them as text is slow.
-        *[F.when(~_has_parts(F.schema_of_variant(f"_f{n.index}")), F.try_variant_get(f"_f{n.index}", "$", "string")).alias(f"_x{n.index}") for n in scalars],
+        *[F.when(~_has_parts(F.schema_of_variant(f"_f{i}")), F.try_variant_get(f"_f{i}", "$", "string")).alias(f"_x{i}") for i in once],
     )
 
     def result(n: _Node) -> Column:
@@ -295,7 +298,7 @@ def read_json_table(
             return _result(F.col(f"_f{n.index}"), F.lit(False))
         if _is_nested(n.data_type):
             return json_value(F.col(f"_f{n.index}"), n.data_type)
-        return _scalar(F.col(f"_k{n.index}"), F.col(f"_x{n.index}"), n.data_type)
+        return _scalar(F.col(f"_k{read[n.index]}"), F.col(f"_x{read[n.index]}"), n.data_type)
 
     judged = known.select(
         "key",

@@ -152,6 +152,15 @@ def test_text_that_loses_its_null_fields_is_made_beside(spark, rows):
     assert made_beside(slim, "map_filter") and rows(slim) == [("a", '{"t":"eA=="}'), ("b", None)]
 
 
+def test_text_of_typed_rows_is_made_beside(spark, rows):
+    df = spark.createDataFrame([("a", "x"), ("b", None)], "key string, t string")
+    made = df.select("key", F.lit(None).cast("timestamp").alias("lastUpdatedTime"), F.concat(F.lit('{"n":"7","t":"'), F.base64("t"), F.lit('"}')).alias("columns"))
+    typed = read_json_table(made, ddl("t string, n int, m long, d double"), sources={"m": "n", "d": "n"})
+    assert made_beside(typed, "from_json")
+    assert typed._jdf.queryExecution().optimizedPlan().toString().count("try_variant_get") == 1
+    assert rows(typed, "key", "t", "n", "m", "d", "_errors") == [("a", "eA==", 7, 7, 7.0, []), ("b", None, None, None, None, [])]
+
+
 def test_insert_replaces_by_key(spark, rows):
     target = raw(spark, {"a": 1}, {"a": 2})
     source = spark.createDataFrame([("k1", "new"), ("k9", "x")], "key string, _key string")
