@@ -47,6 +47,15 @@ def with_group(rows: DataFrame, keys: list[str], firsts: dict[str, Column], merg
     return salted.join(whole.withColumn("_salt", F.explode("_salts")).drop("_salts"), [*keys, "_salt"]).drop("_salt")
 
 
+def beside_group(rows: DataFrame, keys: list[str], **found: Column) -> DataFrame:
+    """``rows``, which are best staged, with aggregates of their key's group.
+
+    Spark aggregates rows where they lie before any of them meet. The join has a shuffle and nothing else on either
+    side, so that Spark can split the partition of a key with a third of all rows.
+    """
+    return rows.join(staged(rows.groupBy(*keys).agg(*[c.alias(n) for n, c in found.items()])), keys)
+
+
 def bound_batches(spark: SparkSession, size: str = "4m") -> None:
     """Let no batch of texts that goes to Python hold much more than ``size``, however long its documents are."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
@@ -100,25 +109,29 @@ def summed(blocks: DataFrame, kind: str, ways: int = 64) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the undirected ``edges`` (a, b): the smallest node that links reach.
 
-    Alternating stars: neighbours move to the smallest neighbour until nothing changes. A node with very many links is
-    spread over salts; every round is written to shared storage.
+    Alternating stars: neighbours move to the smallest neighbour until every node has one, which has none itself. A
+    node with very many links is aggregated where they lie and split by the join; every step is written to shared
+    storage, so that no plan holds more than one of them.
     """
 
-    def star(pairs: DataFrame, larger: bool) -> DataFrame:
-        rows = pairs if not larger else pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        near = with_group(rows, ["u"], {"m": F.min("v")}, {"m": F.min("m")}).withColumn("m", F.least("m", "u"))
-        if larger:
-            return near.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        moved = near.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        return moved.unionAll(near.select("u", F.col("m").alias("v"))).distinct()
+    def large(pairs: DataFrame) -> DataFrame:
+        turned = pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))
+        least = staged(pairs.unionAll(turned).groupBy("u").agg(F.least(F.min("v"), "u").alias("m")))
+        return turned.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+
+    def small(pairs: DataFrame) -> DataFrame:
+        least = staged(pairs.groupBy("u").agg(F.min("v").alias("m")))
+        moved = pairs.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        return moved.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
+
+    def tangled(pairs: DataFrame) -> bool:
+        """Whether a node has several smaller neighbours, or one while others have it."""
+        ends = pairs.select(F.explode(F.expr("array(struct(u as node, 1 as up, 0 as down), struct(v as node, 0 as up, 1 as down))")).alias("e"))
+        roles = ends.groupBy("e.node").agg(F.sum("e.up").alias("up"), F.max("e.down").alias("down"))
+        return roles.agg(F.max(F.expr("up + down > 1 and up > 0"))).first()[0] or False
 
     now = staged(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    state = None
-    while True:
-        seen = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if seen == state:
-            break
-        state = seen
-        now = staged(star(star(now, True), False))
+    while tangled(now):
+        now = staged(small(staged(large(now))))
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionAll(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, mix, staged, summed, text_of, with_group
+from .common import beside_group, components, mix, staged, summed, text_of
 
 #: Words in a shingle; similarity as a fraction; counters of the frequency sketch; signatures in one shard.
 WORDS, SIMILARITY, SKETCH, SHARD_SIGNATURES = 5, (80, 100), 1 << 18, 2_000_000
@@ -231,9 +231,15 @@ class _Shard:
             self.least = self.n
 
     def _grouped(self) -> tuple:
-        sig, node, role = (np.concatenate(x) for x in zip(*self.held))
-        order = np.lexsort((node, sig))
-        sig, node, role = sig[order], node[order], role[order]
+        # One copy of one column at a time: what is held is the most that a worker has.
+        columns = [[h[i] for h in self.held] for i in range(3)]
+        self.held = []
+        for i in range(3):
+            columns[i] = np.concatenate(columns[i])
+        order = np.lexsort((columns[1], columns[0]))
+        for i in range(3):
+            columns[i] = columns[i][order]
+        sig, node, role = columns
         starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         return sig, node, role, starts
 
@@ -251,7 +257,7 @@ class _Shard:
         return sig[rows], node[rows], role[rows]
 
     def match(self, rows: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
-        if not self.held:
+        if not self.n:
             return tuple(x[:0] for x in rows)
         if self.sorted is None:
             self.sorted = self._grouped()
@@ -272,14 +278,14 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for place, kind, sig, node, role in zip(*(batch.column(n).to_pylist() for n in ("shard", "kind", "sig", "node", "role"))):
             if place != at:
-                if shard.held:
+                if shard.n:
                     yield rows(shard.shared(True))
                 at, shard = place, _Shard()
             got = np.frombuffer(sig, "<u8"), np.frombuffer(node, "<i8"), np.frombuffer(role, np.uint8)
             for found in [shard.match(got)] if kind else shard.add(got):
                 if len(found[0]):
                     yield rows(found)
-    if shard.held:
+    if shard.n:
         yield rows(shard.shared(True))
 
 
@@ -352,12 +358,12 @@ def _links(spark, buckets: DataFrame, tokens: DataFrame, num: int, den: int) ->
     blocks of bounded size, for all pairs of blocks that meet in a bucket, and no pair becomes a row.
     """
     central = buckets.groupBy("node").agg(F.count(F.lit(1)).alias("deg"))
-    named = buckets.join(staged(central), "node")
-    top = with_group(named, ["sig"], {"m": F.max(F.struct("deg", "node"))}, {"m": F.max("m")}).filter("m.node <> node")
+    named = staged(buckets.join(staged(central), "node"))
+    top = beside_group(named, ["sig"], m=F.max(F.struct("deg", "node"))).filter("m.node <> node")
     met = top.groupBy("node", F.col("m.node").alias("head")).agg(F.count(F.lit(1)).alias("c"))
     homes = met.groupBy("node").agg(F.max(F.struct("c", "head")).alias("m")).select("node", F.col("m.head").alias("home"))
     sized = tokens.select("node", F.octet_length("tokens").alias("size")).join(homes, "node", "left").withColumn("home", F.coalesce("home", "node"))
-    sized = with_group(sized, ["home"], {"all": F.sum("size")}, {"all": F.sum("all")})
+    sized = beside_group(staged(sized), ["home"], all=F.sum("size"))
     parts = F.ceil(F.col("all") / BLOCK).cast("int")
     placed = staged(sized.select("node", "home", F.xxhash64("home", F.pmod(F.xxhash64("node"), parts)).alias("block")))
     heads = placed.filter("node <> home").select("home", "block").distinct().select(F.col("home").alias("node"), "home", "block")
@@ -390,7 +396,7 @@ def _links(spark, buckets: DataFrame, tokens: DataFrame, num: int, den: int) ->
     apart = staged(pairs).join(first, "p")
     alone = apart.filter("p = q").select("x", F.lit(True).alias("same"), F.expr("filter(x, e -> false)").alias("y"))
     across = apart.filter("p <> q").join(second, "q").select("x", F.lit(False).alias("same"), "y")
-    return links.unionAll(compared(alone.unionAll(across), False))
+    return roots.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionAll(compared(alone.unionAll(across), False))
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
@@ -421,13 +427,13 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     tokens = texts.select("doc_id", "text").mapInArrow(_tokens(words), "node long, tokens binary")
     tokens = staged(tokens.join(nodes, "node", "left_semi").dropDuplicates(["node"]))
     links = _links(spark, buckets, tokens, num, den)
-    keys = with_group(keyed, ["key"], {"id": F.min("doc_id")}, {"id": F.min("id")})
-    own = keys.select("doc_id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.col("key").alias("set_key"))
     roots = staged(components(links))
-    lowest = keyed.groupBy("key").agg(F.min("doc_id").alias("id")).join(roots, F.col("key") == F.col("node"))
-    lowest = with_group(lowest.select("key", "id", "root"), ["root"], {"low": F.min("id")}, {"low": F.min("low")})
-    lowest = staged(lowest.select(F.col("key").alias("set_key"), "low"))
-    own = own.join(lowest, "set_key", "left").withColumn("component_id", F.coalesce("low", "component_id")).select("doc_id", "n_shingles", "component_id", "set_key")
+    ids = staged(keyed.groupBy("key").agg(F.min("doc_id").alias("id")))
+    linked = staged(ids.join(roots, ids["key"] == roots["node"]).select("key", "id", "root"))
+    linked = staged(beside_group(linked, ["root"], low=F.min("id")).select("key", "low"))
+    # One row for each set, so that the rows of a set with very many copies meet one join.
+    named = staged(ids.join(linked, "key", "left").select("key", F.coalesce("low", "id").alias("component_id")))
+    own = keyed.join(named, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("key").alias("set_key"))
     none = sets.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("set_key"))
     return own.unionAll(none)
 

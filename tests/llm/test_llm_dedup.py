@@ -1,12 +1,14 @@
 """Exact, line and near de-duplication against brute force, with nulls, empty texts, ties, repeated rows and clashing names."""
 
+import gc
 import hashlib
+import tracemalloc
 from random import Random
 
 import numpy as np
 import pytest
 
-from plantframe.llm import exact_dedup, jaccard_join, line_dedup
+from plantframe.llm import common, exact_dedup, jaccard_join, line_dedup
 
 SCHEMA = "doc_id long, text string, _sha string, kept long"
 ROWS = [(1, "Ab c", "x", 1), (2, "aB C", "y", 2), (3, None, "z", 3), (4, "", "z", 4), (2, "aB C", "y", 2), (None, "zz", "n", 5), (5, "ZZ", "n", 6), (6, "É", "e", 7), (7, "é", "e", 8), (8, "q" * 200_000, "l", 9)]
@@ -187,3 +189,46 @@ def test_a_row_without_an_id_links_those_beside_it(spark):
     found = jaccard_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id is None, r.doc_id, r.component_id) for r in found if r.doc_id) == [(False, 1, 1), (False, 2, 1)]
     assert [r.component_id for r in found if r.doc_id is None] == [1]
+
+
+def test_components_in_small_plans(spark, monkeypatch):
+    rng, plans = Random(5), []
+    chain = list(range(100, 140))
+    rng.shuffle(chain)
+    pairs = [*zip(chain, chain[1:]), *((7, i) for i in range(200, 240)), *((i, 300) for i in (301, 7)), (5, 5), (1, 2), (2, 1)]
+
+    def recorded(df, *a):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return jaccard_join.staged(df, *a)
+
+    monkeypatch.setattr(common, "staged", recorded)
+    found = {r.node: r.root for r in common.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert found == {i: 100 for i in chain} | {i: 7 for i in (7, *range(200, 240), 300, 301)} | {1: 1, 2: 1}
+    assert max(plans) <= 4  # 20 and more when a round was one plan
+    plans.clear()
+    assert common.components(spark.createDataFrame([(1, i) for i in range(2, 50)], "a long, b long")).count() == 49
+    assert len(plans) == 1  # stars need no round
+
+
+def test_a_shard_sorts_one_column_at_a_time():
+    n, rng = 300_000, np.random.default_rng(1)
+    rows = [(rng.integers(0, 1 << 40, n).astype(np.uint64), rng.integers(0, 1 << 40, n), np.full(n, 3, np.uint8)) for _ in range(4)]
+    shard, size = jaccard_join._Shard(), sum(x.nbytes for r in rows for x in r)
+    for r in rows:
+        list(shard.add(tuple(x.copy() for x in r)))
+    expected = np.sort(np.concatenate([r[0] for r in rows]))
+    gc.collect()
+    tracemalloc.start()
+    sig, *_ = shard._grouped()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(sig, expected) and peak < 2.2 * size  # above what is held; 2.47 before
+
+
+def test_what_a_shard_matches_after_it_is_sorted():
+    shard = jaccard_join._Shard()
+    rows = lambda sigs, role: (np.array(sigs, np.uint64), np.arange(len(sigs)), np.full(len(sigs), role, np.uint8))
+    assert [len(x) for x in shard.match(rows([1], 1))] == [0, 0, 0]
+    assert not list(shard.add(rows([5, 6, 9], 3)))
+    assert [shard.match(rows([i, 7], 1))[0].tolist() for i in (9, 6, 9)] == [[9], [6], [9]]
+    assert sorted(shard.shared(True)[0].tolist()) == [6, 9]
