@@ -37,15 +37,15 @@ def _bounds(df: DataFrame, start: str, end: str, by: Sequence[str]) -> DataFrame
     ).filter(F.col("_s") < F.col("_e"))
 
 
-def _steps(bounds: DataFrame, by: Sequence[str], name: str) -> DataFrame:
-    """+1 at every start and -1 at every end, in a column ``name``."""
-    step = F.explode(
-        F.array(
-            F.struct(F.col("_s").alias("p"), F.lit(1).alias("d")),
-            F.struct(F.col("_e").alias("p"), F.lit(-1).alias("d")),
-        )
+def _steps(intervals: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """At every start what the columns ``names`` hold, at every end its negative."""
+    at = [
+        F.struct(F.col(end).alias("p"), *[(F.col(n) * sign).alias(n) for n in names])
+        for end, sign in (("_s", 1), ("_e", -1))
+    ]
+    return intervals.select(*by, F.explode(F.array(*at)).alias("_x")).select(
+        *by, F.col("_x.p").alias("_p"), *[F.col(f"_x.{n}").alias(n) for n in names]
     )
-    return bounds.select(*by, step.alias("_x")).select(*by, F.col("_x.p").alias("_p"), F.col("_x.d").alias(name))
 
 
 def _join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -55,19 +55,21 @@ def _join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return left.join(named, same).drop(*[f"_j_{k}" for k in keys])
 
 
-def _running(steps: DataFrame, by: Sequence[str], names: Sequence[str], slices: int | None) -> DataFrame:
-    """Per position, for each kind of step the number of covering intervals after it (``c_``) and
+def _running(intervals: DataFrame, by: Sequence[str], names: Sequence[str], slices: int | None) -> DataFrame:
+    """Per position, for each kind of interval, which counts by its column of ``names``, the number of covering intervals after it (``c_``) and
     before it (``b_``), and the slice of the position; no slices where no group needs them."""
     sums = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]
-    rows, hot = (0, True) if slices else has_hot_key(steps, by)
+    rows, hot = (0, True) if slices else has_hot_key(intervals, by, SLICE_ROWS // 2)
     if not hot:
-        # The number of parts follows the rows, so that the memory of a task does not.
+        # The number of parts follows the rows, so that the memory of a task does not. With more than 200 parts a
+        # task holds what it sends: whole intervals, which become steps where they arrive.
+        dealt = intervals.repartition(max(1, -(-2 * rows // SLICE_ROWS)), *by)
         counted = (
-            steps.repartition(max(1, -(-rows // SLICE_ROWS)), *by).groupBy(*by, "_p").agg(*sums)
+            _steps(dealt, by, names).groupBy(*by, "_p").agg(*sums)
             .select(*by, "_p", *names, *[F.sum(n).over(Window.partitionBy(*by).orderBy("_p")).alias(f"c_{n}") for n in names])
         )
         return counted.select("*", *[(F.col(f"c_{n}") - F.col(n)).alias(f"b_{n}") for n in names])
-    summed = cut_lineage(steps.groupBy(*by, "_p").agg(*sums))
+    summed = cut_lineage(_steps(intervals, by, names).groupBy(*by, "_p").agg(*sums))
     bounds = quantile_bounds(summed, "_p", slices)
     summed = summed.withColumn("_slice", slice_of(F.col("_p"), bounds))
     inside = Window.partitionBy(*by, "_slice").orderBy("_p")
@@ -124,11 +126,11 @@ def _with_group(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def _covered_by_all(
-    steps: DataFrame, names: Sequence[str], start: str, end: str, by: Sequence[str], data_type: T.DataType, slices: int | None
+    intervals: DataFrame, names: Sequence[str], start: str, end: str, by: Sequence[str], data_type: T.DataType, slices: int | None
 ) -> DataFrame:
-    """Stretches where every kind of step covers."""
+    """Stretches where every kind of interval covers."""
     keys = _grouped(by)
-    counted = _running(steps, keys, names, slices)
+    counted = _running(intervals, keys, names, slices)
     now, was = F.lit(True), F.lit(True)
     for n in names:
         now, was = now & (F.col(f"c_{n}") > 0), was & (F.col(f"b_{n}") > 0)
@@ -141,8 +143,8 @@ def merge_intervals(
 ) -> DataFrame:
     """Union of the intervals per group as disjoint intervals; touching ones are joined."""
     keys = _grouped(by)
-    steps = _steps(_bounds(_with_group(df, by), start, end, keys), keys, "_d")
-    return _covered_by_all(steps, ["_d"], start, end, by, df.schema[start].dataType, slices)
+    intervals = _bounds(_with_group(df, by), start, end, keys).withColumn("_d", F.lit(1))
+    return _covered_by_all(intervals, ["_d"], start, end, by, df.schema[start].dataType, slices)
 
 
 def intersect_intervals(
@@ -156,11 +158,11 @@ def intersect_intervals(
     """Stretches covered by both tables, from one running pass over both."""
     keys = _grouped(by)
     sides = [
-        _steps(_bounds(_with_group(side, by), start, end, keys), keys, name)
+        _bounds(_with_group(side, by), start, end, keys).withColumn(name, F.lit(1))
         for side, name in ((left, "_l"), (right, "_r"))
     ]
-    steps = sides[0].unionByName(sides[1], allowMissingColumns=True)
-    return _covered_by_all(steps, ["_l", "_r"], start, end, by, left.schema[start].dataType, slices)
+    intervals = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    return _covered_by_all(intervals, ["_l", "_r"], start, end, by, left.schema[start].dataType, slices)
 
 
 def complement_intervals(
@@ -181,9 +183,8 @@ def complement_intervals(
         *keys, F.greatest("_s", F.lit(first)).alias("_s"), F.least("_e", F.lit(last)).alias("_e")
     ).filter(F.col("_s") < F.col("_e"))
     groups = df.select(*by).distinct() if by else df.sparkSession.range(1).select(F.lit(0).alias("_all"))
-    limits = F.explode(F.array(F.lit(first).cast("long"), F.lit(last).cast("long")))
-    frame = groups.select(*keys, limits.alias("_p"), F.lit(0).alias("_d"))
-    counted = _running(_steps(clipped, keys, "_d").unionByName(frame), keys, ["_d"], slices)
+    frame = groups.select(*keys, F.lit(first).cast("long").alias("_s"), F.lit(last).cast("long").alias("_e"), F.lit(0).alias("_d"))
+    counted = _running(clipped.withColumn("_d", F.lit(1)).unionByName(frame), keys, ["_d"], slices)
     now = (F.col("c__d") == 0) & (F.col("_p") < F.lit(last))
     was = (F.col("b__d") == 0) & (F.col("_p") > F.lit(first))
     edges = counted.filter(now != was).withColumn("_open", now)

@@ -122,3 +122,10 @@ def test_hot_groups_are_cut_into_slices(spark, monkeypatch):
         found = merge_intervals(table(spark, spans), by=["g"]).collect()
         for group in "abc":
             assert sorted((r.start, r.end) for r in found if r.g == group) == runs(covered(spans, group))
+
+
+def test_intervals_travel_whole(spark):
+    """Steps are made where intervals arrive: one row of an interval is sent, not two."""
+    frame = spark.createDataFrame([(1, 0, 5), (1, 3, 9), (2, 4, 6)], "supplier int, start long, end long")
+    plan = intersect_intervals(frame, frame, by=["supplier"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("RepartitionByExpression")
