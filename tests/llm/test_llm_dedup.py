@@ -204,7 +204,7 @@ def test_components_in_small_plans(spark, monkeypatch):
     monkeypatch.setattr(common, "staged", recorded)
     found = {r.node: r.root for r in common.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert found == {i: 100 for i in chain} | {i: 7 for i in (7, *range(200, 240), 300, 301)} | {1: 1, 2: 1}
-    assert max(plans) <= 4  # 20 and more when a round was one plan
+    assert max(plans) <= 4  # 15 when a round was one plan
     plans.clear()
     assert common.components(spark.createDataFrame([(1, i) for i in range(2, 50)], "a long, b long")).count() == 49
     assert len(plans) == 1  # stars need no round
